@@ -23,7 +23,8 @@ from cartlens.operators.filters import filter_between
 from cartlens.operators.joins import deals
 from cartlens.sources.schemas import BUY
 
-ZERO_MONEY = F.lit(0).cast("decimal(38,6)")
+def zero_money() -> F.Column:
+    return F.lit(0).cast("decimal(38,6)")
 
 
 def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
@@ -50,7 +51,7 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
         rows = counts.unionByName(priced)
     aggs = [F.sum("_e").cast("bigint").alias("events"), F.sum("_b").cast("bigint").alias("buys")]
     if products is not None:
-        aggs += [F.coalesce(F.sum("_p"), ZERO_MONEY).alias("spend"),
+        aggs += [F.coalesce(F.sum("_p"), zero_money()).alias("spend"),
                  F.sum("_wb").cast("bigint").alias("window_buys")]
     return rows.groupBy("user_id", "month_idx").agg(*aggs)
 
@@ -72,8 +73,8 @@ def user_month_next(facts: DataFrame) -> DataFrame:
         "events_next": F.coalesce(F.sum("events").over(nxt), F.lit(0)).cast("bigint"),
     }
     if "spend" in facts.columns:
-        cols["spend_next"] = F.coalesce(F.sum("spend").over(nxt), ZERO_MONEY)
-        cols["spend_next2"] = F.coalesce(F.sum("spend").over(nxt2), ZERO_MONEY)
+        cols["spend_next"] = F.coalesce(F.sum("spend").over(nxt), zero_money())
+        cols["spend_next2"] = F.coalesce(F.sum("spend").over(nxt2), zero_money())
     return facts.withColumns(cols)
 
 
@@ -92,8 +93,8 @@ def user_month_next_selfjoin(facts: DataFrame) -> DataFrame:
         *facts.columns,
         F.coalesce("buys_next", F.lit(0)).cast("bigint").alias("buys_next"),
         F.coalesce("events_next", F.lit(0)).cast("bigint").alias("events_next"),
-        F.coalesce("spend_next", ZERO_MONEY).alias("spend_next"),
-        F.coalesce("spend_next2", ZERO_MONEY).alias("spend_next2"))
+        F.coalesce("spend_next", zero_money()).alias("spend_next"),
+        F.coalesce("spend_next2", zero_money()).alias("spend_next2"))
 
 
 def user_month_buys(sessions: DataFrame) -> DataFrame:
@@ -128,7 +129,7 @@ def user_year_spend(sessions: DataFrame, products: DataFrame, begin, end) -> Dat
     """Money per user-year of the buys strictly inside (begin, end)."""
     inside = filter_between(sessions.where(F.col("user_id").isNotNull()), begin, end)
     return deals(inside, products).groupBy("user_id", F.year("timestamp").alias("year")).agg(
-        F.coalesce(money_sum("price"), ZERO_MONEY).alias("spent_money"))
+        F.coalesce(money_sum("price"), zero_money()).alias("spent_money"))
 
 
 def spend_label(spend, spend_next, spend_next2, threshold: float = 100.0) -> F.Column:
