@@ -1,0 +1 @@
+"""Column expressions: calendar parts, cyclic encodings, guarded statistics, histograms."""

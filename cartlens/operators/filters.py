@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.functions.timefeat import _as_date, idx_to_date, month_range
+from cartlens.functions.timefeat import idx_to_date, month_range
 from cartlens.sources.schemas import BUY, VIEW
 
 PRICED_COLUMNS = ["session_id", "timestamp", "user_id", "product_id", "event_type",
@@ -37,10 +37,22 @@ def filter_event(df: DataFrame, event_type: str = BUY) -> DataFrame:
     return df.where(F.col("event_type") == event_type)
 
 
+PARTITION_COLUMN = "month_start"
+
+
+def _prune(df: DataFrame, lo, hi_inclusive) -> DataFrame:
+    """Mirror a time filter on the month partition column of a month-partitioned log."""
+    if PARTITION_COLUMN not in df.columns:
+        return df
+    lo_m = F.trunc(F.lit(str(lo)[:10]).cast("date"), "MM")
+    return df.where((F.col(PARTITION_COLUMN) >= lo_m)
+                    & (F.col(PARTITION_COLUMN) <= F.lit(str(hi_inclusive)[:10]).cast("date")))
+
+
 def filter_between(df: DataFrame, begin, end, ts: str = "timestamp") -> DataFrame:
     """P5: ``begin < ts < end``, both ends open as in the reference."""
-    return df.where((F.col(ts) > F.lit(str(begin)).cast("timestamp_ntz"))
-                    & (F.col(ts) < F.lit(str(end)).cast("timestamp_ntz")))
+    return _prune(df, begin, end).where((F.col(ts) > F.lit(str(begin)).cast("timestamp_ntz"))
+                                        & (F.col(ts) < F.lit(str(end)).cast("timestamp_ntz")))
 
 
 def month_bounds(year: int, month: int) -> tuple[str, str]:
@@ -51,8 +63,8 @@ def month_bounds(year: int, month: int) -> tuple[str, str]:
 def filter_month(df: DataFrame, year: int, month: int, ts: str = "timestamp") -> DataFrame:
     """Rows of one calendar month as a prunable half-open range."""
     lo, hi = month_bounds(year, month)
-    return df.where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz"))
-                    & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
+    return _prune(df, lo, lo).where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz"))
+                                    & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
 
 
 def month_window_filter(df: DataFrame, begin, end, extra_months: int = 0,
@@ -64,8 +76,9 @@ def month_window_filter(df: DataFrame, begin, end, extra_months: int = 0,
     """
     first, last = month_range(begin, end)
     lo, hi = idx_to_date(first), idx_to_date(last + 1 + extra_months)
-    return df.where((F.col(ts) >= F.lit(str(lo)).cast("timestamp_ntz"))
-                    & (F.col(ts) < F.lit(str(hi)).cast("timestamp_ntz")))
+    return _prune(df, lo, idx_to_date(last + extra_months)).where(
+        (F.col(ts) >= F.lit(str(lo)).cast("timestamp_ntz"))
+        & (F.col(ts) < F.lit(str(hi)).cast("timestamp_ntz")))
 
 
 def drop_missing(df: DataFrame, cols=("user_id", "product_id")) -> DataFrame:

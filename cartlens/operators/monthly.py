@@ -1,12 +1,9 @@
 """User-month aggregates and calendar-aware windows.
 
 Everything starts from ONE pre-aggregate per (user_id, month_idx) with
-``month_idx = 12*year + month - 1``: events, buys and money spent.  It is
-built from two branches of the session scan -- all rows (counts) and buys
-joined to products (money) -- so only buys pass through the product join,
-and duplicate product rows can inflate money (as in the reference) but never
-the event counts.  Partial aggregation happens before the shuffle, so a user
-with a huge log costs one row per (map task, month).
+``month_idx = 12*year + month - 1``: events, buys and money spent, built from
+a single scan of the log.  Partial aggregation happens before every shuffle,
+so a user with a huge log costs one row per (map task, month, product bought).
 
 "Next month" values come from RANGE frames over month_idx, never ``lead``:
 ``lead`` returns the next *present* month, not the next calendar month.
@@ -17,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.functions.stats import money, money_sum
+from cartlens.functions.stats import money_sum
 from cartlens.functions.timefeat import month_idx, month_of_idx, year_of_idx
 from cartlens.operators.filters import filter_between
 from cartlens.operators.joins import deals
@@ -27,33 +24,56 @@ def zero_money() -> F.Column:
     return F.lit(0).cast("decimal(38,6)")
 
 
+def product_prices(products: DataFrame) -> DataFrame:
+    """Exact price per product id; a duplicated id sums its prices, as a merge would."""
+    return products.groupBy("product_id").agg(money_sum("price").alias("_price"))
+
+
 def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
-                     spend_window: tuple | None = None) -> DataFrame:
+                     spend_window: tuple | None = None, net_price: bool = False) -> DataFrame:
     """Per (user_id, month_idx): ``events``, ``buys`` and (with products) ``spend``.
 
     ``spend`` is the exact sum of prices of the month's buys (0 if none or all
     prices unknown).  With ``spend_window=(begin, end)`` only buys strictly
     inside that open interval are priced (the v1/v2 jobs), and ``window_buys``
-    counts those buys.
+    counts those buys.  ``net_price=True`` charges ``price * (100 - discount) / 100``
+    instead of the list price (the reference ignored the discount; off by default).
+
+    One scan: rows are first reduced map-side to (user, month, product of a
+    priced buy) -- views collapse into one row per user-month -- then only those
+    reduced rows meet the product table, then a second aggregate folds the
+    products away.  A duplicated product id multiplies money (as the
+    reference's merge did) but never the counts.
     """
     users = sessions.where(F.col("user_id").isNotNull())
-    counts = users.select(
+    is_buy = F.col("event_type") == BUY
+    if spend_window is None:
+        priced_buy = is_buy
+    else:
+        b, e = spend_window
+        ts = F.col("timestamp")
+        priced_buy = is_buy & (ts > F.lit(str(b)).cast("timestamp_ntz")) & (
+            ts < F.lit(str(e)).cast("timestamp_ntz"))
+    keys = ["user_id", "month_idx", "product_id"] + (["_d"] if net_price else [])
+    keyed = users.select(
         "user_id", month_idx().alias("month_idx"),
-        F.lit(1).alias("_e"), (F.col("event_type") == BUY).cast("int").alias("_b"),
-        F.lit(None).cast("decimal(28,6)").alias("_p"), F.lit(0).alias("_wb"))
+        is_buy.cast("int").alias("_b"), priced_buy.cast("int").alias("_wb"),
+        F.when(priced_buy, F.col("product_id")).alias("product_id"),
+        F.when(priced_buy, F.col("offered_discount")).alias("_d"))
     if products is None:
-        rows = counts
-    else:
-        buys = users if spend_window is None else filter_between(users, *spend_window)
-        priced = deals(buys, products).select(
-            "user_id", month_idx().alias("month_idx"), F.lit(0).alias("_e"),
-            F.lit(0).alias("_b"), money("price").alias("_p"), F.lit(1).alias("_wb"))
-        rows = counts.unionByName(priced)
-    aggs = [F.sum("_e").cast("bigint").alias("events"), F.sum("_b").cast("bigint").alias("buys")]
-    if products is not None:
-        aggs += [F.coalesce(F.sum("_p"), zero_money()).alias("spend"),
-                 F.sum("_wb").cast("bigint").alias("window_buys")]
-    return rows.groupBy("user_id", "month_idx").agg(*aggs)
+        return keyed.groupBy("user_id", "month_idx").agg(
+            F.count(F.lit(1)).alias("events"), F.sum("_b").cast("bigint").alias("buys"))
+    pre = keyed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_e"), F.sum("_b").alias("_b"), F.sum("_wb").alias("_wb"))
+    priced = pre.join(product_prices(products), "product_id", "left")
+    # Rows keyed by a product id are exactly that product's priced buys, so _wb is their count.
+    money_in = F.col("_price") * F.col("_wb")
+    if net_price:
+        money_in = money_in * (100 - F.col("_d")).cast("decimal(10,0)") / 100
+    return priced.groupBy("user_id", "month_idx").agg(
+        F.sum("_e").cast("bigint").alias("events"), F.sum("_b").cast("bigint").alias("buys"),
+        F.coalesce(F.sum(money_in), zero_money()).cast("decimal(38,6)").alias("spend"),
+        F.sum("_wb").cast("bigint").alias("window_buys"))
 
 
 def with_calendar(df: DataFrame) -> DataFrame:

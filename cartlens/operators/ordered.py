@@ -99,7 +99,9 @@ def positions(df: DataFrame, group: str, order: list[str], out: str = "position"
             yield pdf
 
     local = ranged.mapInPandas(number, schema)
-    chunks = local.groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    # Chunk sizes come from the JVM side of the same range exchange, so the
+    # Python step runs once.
+    chunks = ranged.groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n"))
     carry = _chunk_offsets(chunks, group).where(F.col("_off") > 0).select(group, "_p", "_off")
     return (local.join(F.broadcast(carry), [group, "_p"], "left")
             .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))

@@ -35,7 +35,7 @@ V1_COLUMNS = ["year", "month", "user_id", "month_sin", "month_cos", "buying_sess
 
 def user_month_rows(sessions: DataFrame, products: DataFrame, begin, end,
                     threshold: float = 100.0, require_full_window: bool = False,
-                    keep_third: bool = False) -> DataFrame:
+                    keep_third: bool = False, net_price: bool = False) -> DataFrame:
     """C1 before the user id is dropped: one row per first-month buyer and month.
 
     Month m runs over the month starts in [begin, end].  The scan keeps only
@@ -44,7 +44,7 @@ def user_month_rows(sessions: DataFrame, products: DataFrame, begin, end,
     """
     first, last = month_range(begin, end)
     pruned = month_window_filter(sessions, begin, end, extra_months=2)
-    nxt = user_month_next(user_month_facts(pruned, products))
+    nxt = user_month_next(user_month_facts(pruned, products, net_price=net_price))
     rows = nxt.where(F.col("month_idx").between(first, last) & (F.col("buys") > 0))
     if require_full_window:
         last_seen = pruned.agg(F.max("timestamp")).first()[0]
@@ -68,7 +68,7 @@ def user_month_rows(sessions: DataFrame, products: DataFrame, begin, end,
 
 def training_set_v3(sessions: DataFrame, products: DataFrame, begin, end,
                     threshold: float = 100.0, require_full_window: bool = False,
-                    dedupe: bool = True) -> DataFrame:
+                    dedupe: bool = True, net_price: bool = False) -> DataFrame:
     """The final feature job.  Label last, as the model code expects.
 
     Duplicates are dropped after user and month are removed, so two users with
@@ -76,7 +76,8 @@ def training_set_v3(sessions: DataFrame, products: DataFrame, begin, end,
     ``year`` with sin/cos identifies the month, so one global dedupe equals the
     per-month dedupe).
     """
-    rows = user_month_rows(sessions, products, begin, end, threshold, require_full_window)
+    rows = user_month_rows(sessions, products, begin, end, threshold, require_full_window,
+                           net_price=net_price)
     out = rows.select(*V3_COLUMNS)
     return out.dropDuplicates() if dedupe else out
 

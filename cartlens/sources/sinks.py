@@ -17,6 +17,22 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+def write_sessions_by_month(sessions: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store a session log as Parquet partitioned by calendar month.
+
+    Month-window jobs (P5, P6, C1-C3) then read only the folders of their
+    months: their timestamp filters are mirrored on ``month_start`` by
+    ``read_sessions_by_month`` so Spark prunes partitions before the scan.
+    """
+    from pyspark.sql import functions as F
+    (sessions.withColumn("month_start", F.trunc(F.to_date("timestamp"), "MM"))
+     .write.mode(mode).partitionBy("month_start").parquet(path))
+
+
+def read_sessions_by_month(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def append_prediction_log(log: DataFrame, path: str) -> None:
     """Append one JSON object per prediction (the folder holds one file per write)."""
     log.select(*[f.name for f in PREDICTION_LOG.fields]).write.mode("append").json(path)

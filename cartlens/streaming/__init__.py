@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference computes nothing on a stream -- no watermark, stream window,
+state or late-data handling exists in it -- so no streaming operator is
+built.  Every operator of this package is a DataFrame -> DataFrame function,
+so the stateless ones (filters, projections, cyclic encodings, A/B arm) can
+be applied unchanged to a ``readStream`` DataFrame if that is ever needed.
+"""
