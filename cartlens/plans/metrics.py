@@ -41,25 +41,31 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "label",
-        partitions: int | None = None) -> DataFrame:
-    """M7: exact ROC AUC = P(score_pos > score_neg) + 0.5 * P(tie).
+        partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
+    """M7: exact ROC AUC = P(score_pos > score_neg) + 0.5 * P(tie), per ``by`` group.
 
-    Returns one row (auc, positives, negatives); auc is NULL if a class is absent.
+    Returns one row per group (``by`` columns, positives, negatives, auc); auc
+    is NULL if a class is absent.  Rows are reduced to one per (group,
+    distinct score), range-partitioned on (group, score) -- a large group is
+    split across partitions like any other key range -- and the running count
+    of lower negatives is rebuilt from per-partition sums.
     """
+    by = list(by or [])
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    per = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    per = df.groupBy(*by, F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    ranged = per.repartitionByRange(n, "s").withColumn("_p", F.spark_partition_id())
-    below = Window.partitionBy("_p").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = per.repartitionByRange(n, *by, "s").withColumn("_p", F.spark_partition_id())
+    below = Window.partitionBy("_p", *by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    parts = local.groupBy("_p").agg(
+    parts = local.groupBy("_p", *by).agg(
         F.sum(F.col("pos") * (F.col("_below") + 0.5 * F.col("neg"))).alias("_u"),
         F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
-    # At most ``n`` rows: the negatives of lower partitions shift every positive there.
-    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # At most (#partitions + #groups) rows: the negatives of a group's lower
+    # partitions shift every positive of that group in a later partition.
+    earlier = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_off", F.coalesce(F.sum("_neg").over(earlier), F.lit(0)))
-    return parts.agg(
+    return parts.groupBy(*by).agg(
         F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"),
         F.try_divide(F.sum(F.col("_u") + F.col("_pos") * F.col("_off")),
                      F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"))

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from cartlens.operators.filters import check_windows
 from cartlens.plans.features import V3_COLUMNS, training_set_v3, user_month_rows
-from cartlens.plans.metrics import accuracy, auc
+from cartlens.plans.metrics import auc
+from cartlens.session import cut_lineage
 
 FEATURES = [c for c in V3_COLUMNS if c != "label"]
 
@@ -103,21 +104,30 @@ def with_score(pred: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, data: DataFrame, name: str) -> DataFrame:
-    """Accuracy, AUC and number of predicted positives per split."""
+    """Accuracy, AUC and number of predicted positives per split.
+
+    Two passes over the scored rows: one aggregate for counts and accuracy,
+    one grouped AUC; the two small results are joined on ``split``.
+    """
     pred = with_score(model.transform(data))
-    acc = accuracy(pred, by=["split"]).withColumn(
-        "model", F.lit(name))
-    pos = pred.groupBy("split").agg(F.sum(F.col("prediction").cast("int")).alias("predicted_positive"))
-    aucs = None
-    for split in ("train", "val"):
-        a = auc(pred.where(F.col("split") == split)).select(F.lit(split).alias("split"), "auc")
-        aucs = a if aucs is None else aucs.unionByName(a)
-    return acc.join(pos, "split").join(aucs, "split").select(
-        "model", "split", "rows", "accuracy", "auc", "predicted_positive")
-
-
-def fit_and_score(data: DataFrame, kind: str, scaler: str | None = None, **params) -> DataFrame:
-    """M3-M5: fit on the train split, report both splits."""
+    hit = (F.col("label").cast("double") == F.col("prediction")).cast("int")
+    counts = pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(hit).alias("accuracy"),
+        F.sum(F.col("prediction").cast("int")).cast("bigint").alias("predicted_positive"))
+    aucs = auc(pred, by=["split"]).select("split", "auc")
+    return counts.join(aucs, "split").select(
+        F.lit(name).alias("model"), "split", "rows", "accuracy", "auc", "predicted_positive")
+
+
+def fit_and_score(data: DataFrame, kind: str, scaler: str | None = None,
+                  checkpoint: bool = True, **params) -> DataFrame:
+    """M3-M5: fit on the train split, report both splits.
+
+    The labelled data is checkpointed first (reliable storage), so fitting and
+    every evaluation pass read it instead of recomputing the feature job.
+    """
+    if checkpoint:
+        data = cut_lineage(data)
     model = build(kind, scaler, **params).fit(data.where(F.col("split") == "train"))
     return evaluate(model, data, kind if scaler in (None, "none") else f"{kind}+{scaler}")
 
@@ -140,11 +150,10 @@ def model_selection(data: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
     so every fit re-reads it instead of recomputing C1 (and survives a lost
     executor).
     """
-    from cartlens.session import cut_lineage
     data = cut_lineage(data)
     results = None
     for kind, scaler in grid:
-        r = fit_and_score(data, kind, scaler)
+        r = fit_and_score(data, kind, scaler, checkpoint=False)
         results = r if results is None else results.unionByName(r)
     return results
 
@@ -155,7 +164,7 @@ def spend_regression(sessions: DataFrame, products: DataFrame,
 
     Returns RMSE and R^2 per split (the served regressor of the scoring service).
     """
-    rows = regression_rows(sessions, products, windows)
+    rows = cut_lineage(regression_rows(sessions, products, windows))
     model = build_regression().fit(rows.where(F.col("split") == "train"))
     return regression_report(model.transform(rows))
 

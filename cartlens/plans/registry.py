@@ -26,6 +26,7 @@ from cartlens.plans import features as C
 from cartlens.plans import metrics as X
 from cartlens.plans import models as ML
 from cartlens.sources.adapters import Tables
+from cartlens.session import cut_lineage
 from cartlens.sources.readers import preview, profile
 
 # Fixed parameters of the registered queries (the [L] log spans 1995-01 .. 2001-11).
@@ -557,12 +558,7 @@ def _metric_accuracy(t):
 
 @query("metric_auc")
 def _metric_auc(t):
-    scored = _rule(_splits(t))
-    out = None
-    for split in ("train", "val"):
-        a = X.auc(scored.where(F.col("split") == split)).select(F.lit(split).alias("split"), "*")
-        out = a if out is None else out.unionByName(a)
-    return out
+    return X.auc(_rule(_splits(t)), by=["split"])
 
 
 @query("metric_confusion")
@@ -600,7 +596,7 @@ def _ab_assign(t):
 
 @query("ab_score")
 def _ab_score(t):
-    rows = ML.regression_rows(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL))
+    rows = cut_lineage(ML.regression_rows(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL)))
     train = rows.where(F.col("split") == "train")
     base = ML.build_regression().fit(train)
     from pyspark.ml import Pipeline
