@@ -168,11 +168,12 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
 def distinct_periods(df: DataFrame) -> DataFrame:
     """The distinct years, months and users as (kind, value) rows."""
     t = F.col("timestamp")
-    years = df.select(F.lit("year").alias("kind"), F.year(t).cast("bigint").alias("value"))
-    months = df.select(F.lit("month").alias("kind"), F.month(t).cast("bigint").alias("value"))
-    users = df.where(F.col("user_id").isNotNull()).select(
-        F.lit("user").alias("kind"), F.col("user_id").alias("value"))
-    return years.distinct().unionByName(months.distinct()).unionByName(users.distinct())
+    pairs = F.array(
+        F.struct(F.lit("year").alias("kind"), F.year(t).cast("bigint").alias("value")),
+        F.struct(F.lit("month").alias("kind"), F.month(t).cast("bigint").alias("value")),
+        F.struct(F.lit("user").alias("kind"), F.col("user_id").cast("bigint").alias("value")))
+    # One scan: every row yields its (kind, value) pairs, one distinct over all of them.
+    return (df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct())
 
 
 def data_extent(df: DataFrame) -> DataFrame:

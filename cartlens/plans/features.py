@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.timefeat import (
-    _as_date, cyclic_month, month_of_idx, month_range, year_of_idx,
+    _as_date, cyclic_month, idx_to_date, month_of_idx, month_range, year_of_idx,
 )
 from cartlens.operators.filters import month_window_filter
 from cartlens.operators.monthly import spend_label, user_month_facts, user_month_next
@@ -66,6 +66,29 @@ def user_month_rows(sessions: DataFrame, products: DataFrame, begin, end,
         *([F.col("spend_next2").cast("double").alias("spend_third")] if keep_third else []))
 
 
+def training_sets(sessions: DataFrame, products: DataFrame, windows: dict[str, tuple],
+                  threshold: float = 100.0, net_price: bool = False,
+                  dedupe: bool = True) -> DataFrame:
+    """C1 for several month windows in ONE plan, tagged with a ``split`` column.
+
+    One pruned scan over the hull of the windows (plus the two months every
+    label reads), one pre-aggregate, one range-frame window.  Each user-month
+    row is tagged with every window its month lies in (``explode`` keeps
+    overlapping windows correct), then duplicates are dropped per split --
+    the same rows as running ``training_set_v3`` once per window.
+    """
+    bounds = {name: month_range(*w) for name, w in windows.items()}
+    lo = min(b[0] for b in bounds.values())
+    hi = max(b[1] for b in bounds.values())
+    hull = (str(idx_to_date(lo)), str(idx_to_date(hi)))
+    rows = user_month_rows(sessions, products, *hull, threshold=threshold, net_price=net_price)
+    m = F.col("month_idx")
+    tags = F.array(*[F.when(m.between(a, b), F.lit(name)) for name, (a, b) in bounds.items()])
+    tagged = rows.withColumn("split", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+    out = tagged.select(*V3_COLUMNS, "split")
+    return out.dropDuplicates() if dedupe else out
+
+
 def training_set_v3(sessions: DataFrame, products: DataFrame, begin, end,
                     threshold: float = 100.0, require_full_window: bool = False,
                     dedupe: bool = True, net_price: bool = False) -> DataFrame:

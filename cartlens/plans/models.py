@@ -21,8 +21,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartlens.functions.timefeat import month_range
 from cartlens.operators.filters import check_windows
-from cartlens.plans.features import V3_COLUMNS, training_set_v3, user_month_rows
+from cartlens.plans.features import V3_COLUMNS, training_sets, user_month_rows
 from cartlens.plans.metrics import auc
 from cartlens.session import cut_lineage
 
@@ -39,9 +40,7 @@ def labelled_splits(sessions: DataFrame, products: DataFrame, windows: Windows =
                     allow_overlap: bool = False) -> DataFrame:
     """C1 of both windows with a ``split`` column; overlapping windows are rejected."""
     check_windows(windows.train, windows.val, allow_overlap=allow_overlap)
-    train = training_set_v3(sessions, products, *windows.train).withColumn("split", F.lit("train"))
-    val = training_set_v3(sessions, products, *windows.val).withColumn("split", F.lit("val"))
-    return train.unionByName(val)
+    return training_sets(sessions, products, {"train": windows.train, "val": windows.val})
 
 
 def assemble(df: DataFrame, features=FEATURES, out: str = "features") -> DataFrame:
@@ -187,11 +186,13 @@ def build_regression(features=FEATURES) -> Pipeline:
 def regression_rows(sessions: DataFrame, products: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """C1 rows (before dedupe, user kept) of both windows with the third-month spend."""
     check_windows(windows.train, windows.val)
-    out = None
-    for split, (b, e) in (("train", windows.train), ("val", windows.val)):
-        r = user_month_rows(sessions, products, b, e, keep_third=True).withColumn("split", F.lit(split))
-        out = r if out is None else out.unionByName(r)
-    return out
+    t0, t1 = month_range(*windows.train)
+    v0, v1 = month_range(*windows.val)
+    hull = (windows.train[0], windows.val[1]) if t0 <= v0 else (windows.val[0], windows.train[1])
+    rows = user_month_rows(sessions, products, *hull, keep_third=True)
+    m = F.col("month_idx")
+    split = F.when(m.between(t0, t1), F.lit("train")).when(m.between(v0, v1), F.lit("val"))
+    return rows.withColumn("split", split).where(F.col("split").isNotNull())
 
 
 def scale_features(df: DataFrame, features=FEATURES) -> DataFrame:

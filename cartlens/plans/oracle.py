@@ -318,15 +318,10 @@ def build() -> dict[str, str]:
     q["deals"] = _with(LN_CTE, P_CTE) + _present(
         """SELECT s.*, p.price FROM ln_sessions s LEFT JOIN products p ON s.product_id = p.product_id
            WHERE s.event_type = 'BUY_PRODUCT'""", ts, ("price",))
-    b, e = R.SPAN
-    q["left_join_keys"] = _with(L_CTE, P_CTE, PRICED_CTE, ev, bu, f"""sy AS (
-        SELECT s.user_id, CAST(year(s."timestamp") AS INTEGER) AS year,
-               coalesce(sum(CAST(p.price AS DECIMAL(28,6))), CAST(0 AS DECIMAL(38,6))) AS spent_money_year
-        FROM l_sessions s LEFT JOIN products p ON s.product_id = p.product_id
-        WHERE s.user_id IS NOT NULL AND s.event_type = 'BUY_PRODUCT'
-          AND s."timestamp" > TIMESTAMP '{b}' AND s."timestamp" < TIMESTAMP '{e}' GROUP BY 1, 2)""",
-        """tot AS (SELECT user_id, coalesce(sum(CAST(purchase AS DECIMAL(28,6))), CAST(0 AS DECIMAL(38,6))) AS total_spend
-                   FROM priced WHERE user_id IS NOT NULL GROUP BY 1)""") + _present(
+    q["left_join_keys"] = _with(*C1_CTES, ev, bu, """sy AS (
+        SELECT user_id, CAST(month_idx // 12 AS INTEGER) AS year, sum(spend) AS spent_money_year
+        FROM facts GROUP BY 1, 2)""",
+        """tot AS (SELECT user_id, sum(spend) AS total_spend FROM facts GROUP BY 1)""") + _present(
         """SELECT ev.user_id, ev.year, ev.month, ev.all_events_month, bu.buying_events_month,
                   sy.spent_money_year, tot.total_spend
            FROM ev LEFT JOIN bu ON ev.user_id = bu.user_id AND ev.year = bu.year AND ev.month = bu.month

@@ -182,9 +182,13 @@ def _purchase_value(t):
 
 @query("fill_zero")
 def _fill_zero(t):
-    s = t.line_sessions()
-    joined = J.left_join_keys(M.user_month_events(s), (M.user_month_buys(s), ["user_id", "year", "month"]))
-    return P.fill_zero(joined, ["buying_events_month"])
+    # One scan: buys are NULL for user-months without a buy, then filled with 0.
+    s = t.line_sessions().where(F.col("user_id").isNotNull())
+    per = s.groupBy("user_id", F.year("timestamp").alias("year"), F.month("timestamp").alias("month")).agg(
+        F.count(F.lit(1)).alias("all_events_month"),
+        F.sum(F.when(F.col("event_type") == "BUY_PRODUCT", F.lit(1))).cast("bigint").alias(
+            "buying_events_month"))
+    return P.fill_zero(per, ["buying_events_month"])
 
 
 @query("split_by_month")
@@ -230,13 +234,15 @@ def _deals(t):
 
 @query("left_join_keys")
 def _left_join_keys(t):
-    s, p = t.line_sessions(), t.products()
-    spend_year = M.user_year_spend(s, p, *SPAN).withColumnRenamed("spent_money", "spent_money_year")
-    total = U.user_total_spend(U.purchase_rows(s, p)).withColumnRenamed("total_sum", "total_spend")
-    return J.left_join_keys(M.user_month_events(s),
-                            (M.user_month_buys(s), ["user_id", "year", "month"]),
-                            (spend_year, ["user_id", "year"]),
-                            (total, ["user_id"]))
+    # One scan of the log: every aggregate derives from the user-month pre-aggregate.
+    facts = M.with_calendar(M.user_month_facts(t.line_sessions(), t.products()))
+    events = facts.select("user_id", "year", "month", F.col("events").alias("all_events_month"))
+    buys = facts.where(F.col("buys") > 0).select(
+        "user_id", "year", "month", F.col("buys").alias("buying_events_month"))
+    spend_year = facts.groupBy("user_id", "year").agg(F.sum("spend").alias("spent_money_year"))
+    total = facts.groupBy("user_id").agg(F.sum("spend").alias("total_spend"))
+    return J.left_join_keys(events, (buys, ["user_id", "year", "month"]),
+                            (spend_year, ["user_id", "year"]), (total, ["user_id"]))
 
 
 @query("user_month_next")
