@@ -15,12 +15,18 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from cartlens.session import target_partitions
 from pyspark.sql.types import LongType, StructField, StructType
 
 
+def _range_split(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    n = partitions or target_partitions(df.sparkSession)
+    return df.repartitionByRange(n, *keys)
+
+
 def _ranged(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return _range_split(df, keys, partitions).sortWithinPartitions(*keys)
 
 
 def _chunk_offsets(chunks: DataFrame, group: str) -> DataFrame:
@@ -77,7 +83,8 @@ def positions(df: DataFrame, group: str, order: list[str], out: str = "position"
     """
     keys = [group, *order]
     df = df.where(F.col(group).isNotNull())
-    ranged = _ranged(df, keys, partitions).withColumn("_p", F.spark_partition_id())
+    split = _range_split(df, keys, partitions)
+    ranged = split.sortWithinPartitions(*keys).withColumn("_p", F.spark_partition_id())
     schema = StructType(list(ranged.schema.fields) + [StructField("_local", LongType(), False)])
 
     def number(batches):
@@ -99,9 +106,10 @@ def positions(df: DataFrame, group: str, order: list[str], out: str = "position"
             yield pdf
 
     local = ranged.mapInPandas(number, schema)
-    # Chunk sizes come from the JVM side of the same range exchange, so the
-    # Python step runs once.
-    chunks = ranged.groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    # Chunk sizes come from the JVM side of the same range exchange (no local
+    # sort needed to count), so the Python step runs once.
+    chunks = (split.withColumn("_p", F.spark_partition_id())
+              .groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n")))
     carry = _chunk_offsets(chunks, group).where(F.col("_off") > 0).select(group, "_p", "_off")
     return (local.join(F.broadcast(carry), [group, "_p"], "left")
             .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlens.session import target_partitions
+
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction",
              by: list[str] | None = None) -> DataFrame:
@@ -52,7 +54,7 @@ def auc(df: DataFrame, score: str = "score", label: str = "label",
     """
     by = list(by or [])
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or target_partitions(spark)
     per = df.groupBy(*by, F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
     ranged = per.repartitionByRange(n, *by, "s").withColumn("_p", F.spark_partition_id())

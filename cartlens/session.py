@@ -36,6 +36,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def target_partitions(spark: SparkSession) -> int:
+    """Partition count for explicit range partitioning: the shuffle setting, or the
+    cluster's default parallelism when the setting is not a number (e.g. ``auto``)."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", None)
+    try:
+        return max(1, int(value))
+    except (TypeError, ValueError):
+        return max(1, spark.sparkContext.defaultParallelism)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext

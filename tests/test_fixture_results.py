@@ -86,3 +86,46 @@ def test_user_month_spine_keeps_users_without_buys(sessions):
     spine = J.user_month_spine(sessions, "2021-11-01", "2022-02-28")
     assert spine.count() == 4 * 4
     assert spine.where(F.col("user_id").isNull()).count() == 0
+
+
+def test_features_v2_year_wrap_by_hand(sessions, products):
+    # Window (2021-11-01, 2022-02-01): months Nov, Dec, Jan; the third month is January.
+    v2 = C.features_v2(sessions, products, "2021-11-01", "2022-02-01")
+    assert v2.columns == C.V2_COLUMNS
+    got = rows(v2, "year", "month", "buying_sessions", "label", "spent_money",
+               "spent_money_first_month", "spent_money_second_month", "buying_events_first_month",
+               "buying_events_second_month", "all_events_first_month", "all_events_second_month")
+    # 4 users x 3 months = 12 rows; users 104 and 105 are identical in December -> 11.
+    assert len(got) == 11
+    assert (2021, 11, 2, 1, 350.0, 250.0, 100.0, 1, 0, 3, 0) in got        # user 102
+    assert (2021, 12, 2, 1, 350.0, 250.0, 100.0, 0, 1, 0, 2) in got
+    assert (2022, 1, 1, 1, 600.0, 250.0, 100.0, 0, 0, 0, 0) in got
+    assert (2021, 12, 1, 0, 100.0, 100.0, 0.0, 0, 0, 0, 1) in got         # user 103
+    assert (2022, 1, 1, 0, -5.0, 0.0, 0.0, 0, 0, 0, 0) in got             # user 104
+    assert got.count((2021, 12, 0, 0, 0.0, 0.0, 0.0, 0, 0, 0, 0)) == 1    # 104 = 105, merged
+
+
+def test_features_v1_keeps_users(sessions, products):
+    v1 = C.features_v1(sessions, products, "2021-11-01", "2022-02-01")
+    assert v1.columns == C.V1_COLUMNS
+    assert v1.count() == 12
+    got = rows(v1.where("user_id = 102"), "month", "buying_sessions", "spent_money", "first_month",
+               "second_month", "buying_events_first_month", "buying_events_second_month")
+    assert got == [(1, 1, 600.0, 250.0, 100.0, 0, 0), (11, 2, 350.0, 250.0, 100.0, 1, 0),
+                   (12, 2, 350.0, 250.0, 100.0, 0, 1)]
+
+
+def test_purchase_prob_by_duration_bins(sessions):
+    got = rows(A.purchase_prob_by_duration(sessions, 10), "bin", "sessions", "purchase_prob")
+    assert got[0] == (0, 8, 0.625) and got[9] == (9, 1, 1.0)
+    assert all(r[1] == 0 and r[2] is None for r in got[1:9])
+
+
+def test_missing_fraction_and_periods(sessions):
+    mf = {r["column"]: (r.null_share, r.null_share_views, r.null_share_buys)
+          for r in A.missing_fraction(sessions).collect()}
+    assert mf["purchase_id"] == (7 / 13, 1.0, 0.0)
+    assert mf["user_id"][0] == 1 / 13
+    kinds = rows(A.distinct_periods(sessions))
+    assert ("year", 2021) in kinds and ("month", 2) in kinds and ("user", 105) in kinds
+    assert len([k for k in kinds if k[0] == "user"]) == 4
