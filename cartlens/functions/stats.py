@@ -48,32 +48,36 @@ def guarded_corr(x, y) -> Column:
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram over [min, max] as (bin, bin_lo, bin_hi, rows).
 
-    One aggregate pass finds the range (a single row is brought to the driver),
-    a second assigns ``least(floor((x - lo) * bins / (hi - lo)), bins - 1)`` and
-    counts with partial aggregation.  All ``bins`` rows are returned, empty
-    ones with 0, so the bins sum to the number of non-null values.  A
-    zero-width range gives a single bin.
+    The input is first reduced to one row per distinct value with its count
+    (partial aggregation) and that table is checkpointed, so the range pass
+    and the binning pass read it instead of recomputing the input twice.  A
+    single row (min, max) comes to the driver.  Each value goes to bin
+    ``least(floor((x - lo) * bins / (hi - lo)), bins - 1)`` (the last bin is
+    closed).  All ``bins`` rows are returned, empty ones with 0, so the bins
+    sum to the number of non-null values.  A zero-width range gives one bin.
     """
+    from cartlens.session import cut_lineage
     spark = df.sparkSession
     x = F.col(col).cast("double")
-    values = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    lo, hi = values.agg(F.min("x"), F.max("x")).first()
+    counts = cut_lineage(df.select(x.alias("x")).where(F.col("x").isNotNull())
+                         .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
+    lo, hi = counts.agg(F.min("x"), F.max("x")).first()
     if lo is None:
         return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, rows bigint")
     if hi == lo:
-        return values.agg(F.count(F.lit(1)).alias("rows")).select(
+        return counts.agg(F.sum("n").alias("rows")).select(
             F.lit(0).alias("bin"), F.lit(lo).alias("bin_lo"), F.lit(hi).alias("bin_hi"),
             F.col("rows"))
     span = F.lit(hi) - F.lit(lo)
-    counts = (values
+    binned = (counts
               .select(F.least(F.floor((F.col("x") - F.lit(lo)) * F.lit(bins) / span),
-                              F.lit(bins - 1)).cast("int").alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("rows")))
+                              F.lit(bins - 1)).cast("int").alias("bin"), "n")
+              .groupBy("bin").agg(F.sum("n").alias("rows")))
     width = (hi - lo) / bins
     edges = spark.range(bins).select(
         F.col("id").cast("int").alias("bin"),
         (F.lit(lo) + F.col("id") * F.lit(width)).alias("bin_lo"),
         F.when(F.col("id") == bins - 1, F.lit(hi))
         .otherwise(F.lit(lo) + (F.col("id") + 1) * F.lit(width)).alias("bin_hi"))
-    return (edges.join(counts, "bin", "left")
+    return (edges.join(binned, "bin", "left")
             .select("bin", "bin_lo", "bin_hi", F.coalesce("rows", F.lit(0)).alias("rows")))

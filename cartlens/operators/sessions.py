@@ -94,6 +94,14 @@ def purchase_prob_by_duration(df: DataFrame, bins: int = 10,
 
 
 def _rate_by_bins(per: DataFrame, x: str, y: str, bins: int) -> DataFrame:
+    """Equal-width bins of ``x`` with row count and mean ``y``.
+
+    Reduced to (x, rows, sum y) and checkpointed once, so the range pass and
+    the binning pass do not recompute the per-session aggregate.
+    """
+    from cartlens.session import cut_lineage
+    per = cut_lineage(per.groupBy(F.col(x).alias(x)).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(y).cast("double")).alias("_sy")))
     lo, hi = per.agg(F.min(x), F.max(x)).first()
     spark = per.sparkSession
     if lo is None:
@@ -108,7 +116,7 @@ def _rate_by_bins(per: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     nb = 1 if hi == lo else bins
     width = (hi - lo) / nb
     stats = per.groupBy(b.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("sessions"), F.avg(y).alias("purchase_prob"))
+        F.sum("_n").alias("sessions"), (F.sum("_sy") / F.sum("_n")).alias("purchase_prob"))
     edges = spark.range(nb).select(
         F.col("id").cast("int").alias("bin"),
         (F.lit(lo) + F.col("id") * F.lit(width)).alias("bin_lo"),

@@ -202,6 +202,7 @@ def scale_features(df: DataFrame, features=FEATURES) -> DataFrame:
     brought to the driver and applied as literals -- what ``StandardScaler``
     does, without a vector column.
     """
+    df = cut_lineage(df)  # read twice (statistics, then scaling): compute the input once
     stats = df.agg(*[F.avg(f).alias(f"m_{f}") for f in features],
                    *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).first()
     cols = []
