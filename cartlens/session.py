@@ -43,17 +43,29 @@ def target_partitions(spark: SparkSession) -> int:
     try:
         return max(1, int(value))
     except (TypeError, ValueError):
+        pass
+    try:
         return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return 200
+
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the reliable checkpoint folder, setting a local one only if unset.
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    ``spark.checkpoint.dir`` from the session wins.  Only when nothing is
+    configured (tests, local runs) a fresh local folder is created.  A Spark
+    Connect session has no SparkContext: the server's setting is used as is.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver-side context
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Local runs and tests only: a cluster names a shared folder in the conf.
         configured = tempfile.mkdtemp(prefix="cartlens-ckpt-")
