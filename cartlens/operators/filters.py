@@ -98,7 +98,11 @@ EVENT_CODES = {VIEW: 0, BUY: 1}
 def event_code(col: str = "event_type") -> Column:
     """VIEW_PRODUCT -> 0, BUY_PRODUCT -> 1, anything else -> NULL."""
     c = F.col(col)
-    return F.when(c == VIEW, F.lit(0)).when(c == BUY, F.lit(1)).cast("int")
+    expr = None
+    for name, code in EVENT_CODES.items():
+        expr = (F.when(c == name, F.lit(code)) if expr is None
+                else expr.when(c == name, F.lit(code)))
+    return expr.cast("int")
 
 
 def map_values(df: DataFrame, col: str = "event_type", out: str = "event_code") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,9 +178,19 @@ def regression_report(pred: DataFrame, label: str = "spend_third") -> DataFrame:
         (1 - F.try_divide(F.sum(err * err), sst)).alias("r2"))
 
 
-def build_regression(features=FEATURES) -> Pipeline:
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
-                            LinearRegression(labelCol="spend_third", maxIter=50)])
+def build_regression(kind: str = "linear", features=FEATURES, seed: int = 0) -> Pipeline:
+    """Regressors of the third-month spend.
+
+    ``linear`` is the served LinearRegression; ``forest`` stands in for the
+    RBF-kernel SVR, which has no Spark ML counterpart.
+    """
+    if kind == "linear":
+        est = LinearRegression(labelCol="spend_third", maxIter=50)
+    elif kind == "forest":
+        est = RandomForestRegressor(labelCol="spend_third", numTrees=20, maxDepth=6, seed=seed)
+    else:
+        raise ValueError(f"unknown regression kind {kind!r}")
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), est])
 
 
 def regression_rows(sessions: DataFrame, products: DataFrame, windows: Windows = Windows()) -> DataFrame:

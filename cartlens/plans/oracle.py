@@ -100,7 +100,6 @@ def _present(body: str, ts=(), dbl=(), date=()) -> str:
     return f"SELECT * EXCLUDE ({exclude}), {extra} FROM (\n{body}\n) q"
 
 
-SESSION_DBL = ()
 SESSION_TS = ("timestamp",)
 
 

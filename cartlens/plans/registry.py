@@ -604,15 +604,11 @@ def _ab_assign(t):
 def _ab_score(t):
     rows = cut_lineage(ML.regression_rows(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL)))
     train = rows.where(F.col("split") == "train")
-    base = ML.build_regression().fit(train)
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-    second = Pipeline(stages=[VectorAssembler(inputCols=ML.FEATURES, outputCol="features"),
-                              RandomForestRegressor(labelCol="spend_third", numTrees=20,
-                                                    maxDepth=6, seed=0)]).fit(train)
+    linear = ML.build_regression().fit(train)
+    nonlinear = ML.build_regression("forest").fit(train)
     req = B.assign_variant(rows.where(F.col("split") == "val"), AB_SALT, "xxhash")
-    scored = B.score(req, {"BaseModel": second, "SecondModel": base})
+    # The service's names are crossed: 'BaseModel' ran the non-linear model (B2).
+    scored = B.score(req, {"BaseModel": nonlinear, "SecondModel": linear})
     return scored.select("user_id", "year", "model_type", "prediction", "spend_third")
 
 
