@@ -19,12 +19,17 @@ def _c(col) -> Column:
 
 
 def parse_timestamp(col, fmt: str | None = None, strict: bool = False) -> Column:
-    """parse text to a wall-clock timestamp; ``strict=False`` gives NULL on bad input."""
+    """parse text to a wall-clock (zone-less) timestamp.
+
+    ``strict=False`` gives NULL on bad input: the zone-less parse only runs
+    where a lenient parse succeeded, so no session time zone is involved.
+    """
     col = _c(col)
+    ntz = F.to_timestamp_ntz(col, F.lit(fmt)) if fmt else F.to_timestamp_ntz(col)
     if strict:
-        return F.to_timestamp_ntz(col, F.lit(fmt)) if fmt else F.to_timestamp_ntz(col)
-    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz") if fmt else \
-        F.try_to_timestamp(col).cast("timestamp_ntz")
+        return ntz
+    ok = F.try_to_timestamp(col, F.lit(fmt)) if fmt else F.try_to_timestamp(col)
+    return F.when(ok.isNotNull(), ntz)
 
 
 def parse_date(col, fmt: str = "yyyy-MM-dd") -> Column:
@@ -98,6 +103,20 @@ def _as_date(value) -> _dt.date:
     return _dt.date.fromisoformat(text[:10])
 
 
+def ts_literal(value) -> str:
+    """A date or date-time parameter as an ISO string Spark can cast.
+
+    Accepts ``datetime``/``date`` objects and text such as ``2019.09.01`` or
+    ``2019/09/01 10:00`` (the reference wrote dates with dots).
+    """
+    if isinstance(value, _dt.datetime):
+        return value.isoformat(sep=" ")
+    if isinstance(value, _dt.date):
+        return value.isoformat()
+    text = str(value).strip()
+    return text[:10].replace(".", "-").replace("/", "-") + text[10:]
+
+
 def month_range(begin, end) -> tuple[int, int]:
     """month starts inside the closed range [begin, end] as (first, last) month_idx.
 

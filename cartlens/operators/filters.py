@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.functions.timefeat import idx_to_date, month_range
+from cartlens.functions.timefeat import idx_to_date, month_range, ts_literal
 from cartlens.sources.schemas import BUY, VIEW
 
 PRICED_COLUMNS = ["session_id", "timestamp", "user_id", "product_id", "event_type",
@@ -51,8 +51,9 @@ def _prune(df: DataFrame, lo, hi_inclusive) -> DataFrame:
 
 def filter_between(df: DataFrame, begin, end, ts: str = "timestamp") -> DataFrame:
     """P5: ``begin < ts < end``, both ends open as in the reference."""
-    return _prune(df, begin, end).where((F.col(ts) > F.lit(str(begin)).cast("timestamp_ntz"))
-                                        & (F.col(ts) < F.lit(str(end)).cast("timestamp_ntz")))
+    b, e = ts_literal(begin), ts_literal(end)
+    return _prune(df, b, e).where((F.col(ts) > F.lit(b).cast("timestamp_ntz"))
+                                  & (F.col(ts) < F.lit(e).cast("timestamp_ntz")))
 
 
 def month_bounds(year: int, month: int) -> tuple[str, str]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.functions.timefeat import day_range, month_range, month_start_of_idx
+from cartlens.functions.timefeat import day_range, month_range, month_start_of_idx, ts_literal
 from cartlens.operators.filters import filter_event
 from cartlens.sources.schemas import BUY
 
@@ -73,8 +73,8 @@ def missing_dates(sessions: DataFrame, begin, end, ts: str = "timestamp") -> Dat
     spark = sessions.sparkSession
     days = day_range(spark, begin, end)
     seen = (sessions.select(F.to_date(F.col(ts)).alias("date"))
-            .where(F.col("date").between(F.lit(str(begin)[:10].replace(".", "-")).cast("date"),
-                                         F.lit(str(end)[:10].replace(".", "-")).cast("date")))
+            .where(F.col("date").between(F.lit(ts_literal(begin)[:10]).cast("date"),
+                                         F.lit(ts_literal(end)[:10]).cast("date")))
             .distinct())
     return days.join(seen, "date", "left_anti")
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlens.functions.stats import money_sum
-from cartlens.functions.timefeat import month_idx, month_of_idx, year_of_idx
+from cartlens.functions.timefeat import month_idx, month_of_idx, ts_literal, year_of_idx
 from cartlens.operators.filters import filter_between
 from cartlens.operators.joins import deals
 from cartlens.sources.schemas import BUY
@@ -50,10 +50,10 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
     if spend_window is None:
         priced_buy = is_buy
     else:
-        b, e = spend_window
+        b, e = (ts_literal(v) for v in spend_window)
         ts = F.col("timestamp")
-        priced_buy = is_buy & (ts > F.lit(str(b)).cast("timestamp_ntz")) & (
-            ts < F.lit(str(e)).cast("timestamp_ntz"))
+        priced_buy = is_buy & (ts > F.lit(b).cast("timestamp_ntz")) & (
+            ts < F.lit(e).cast("timestamp_ntz"))
     keys = ["user_id", "month_idx", "product_id"] + (["_d"] if net_price else [])
     keyed = users.select(
         "user_id", month_idx().alias("month_idx"),

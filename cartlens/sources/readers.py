@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from cartlens.sources import schemas as S
 
+# ISO date-times with 'T' or a space, optional fraction of a second, or a bare date.
+TIMESTAMP_PATTERN = "yyyy-MM-dd[['T'][' ']HH:mm:ss[.SSSSSS]]"
+
 
 def _json(spark: SparkSession, path: str, schema, keep_corrupt: bool) -> DataFrame:
     schema = S.nullable(schema)
@@ -15,8 +18,8 @@ def _json(spark: SparkSession, path: str, schema, keep_corrupt: bool) -> DataFra
     reader = (spark.read.schema(schema)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", S.CORRUPT)
-              .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
-              .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+              .option("timestampNTZFormat", TIMESTAMP_PATTERN)
+              .option("timestampFormat", TIMESTAMP_PATTERN))
     return reader.json(path)
 
 
