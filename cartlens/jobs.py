@@ -1,12 +1,10 @@
 """The reference's entry points as Spark jobs over JSON-lines inputs.
 
-| reference script / cell            | here                  |
-|------------------------------------|-----------------------|
-| data_preprocessing.py prepare_data | ``prepare_data``      |
-| processed_data_ver2.py             | ``prepare_data_v2``   |
-| processed_data.py                  | ``prepare_data_v1``   |
-| models notebook (fit, score, save) | ``train_models``      |
-| microservice /predict + log        | ``serve_batch``       |
+* ``prepare_data``     - the final feature job (C1), optionally written as CSV;
+* ``prepare_data_v2``  - the second feature job (C2);
+* ``prepare_data_v1``  - the first feature job (C3);
+* ``train_models``     - fit, score and save the classifiers (M3-M9);
+* ``serve_batch``      - the scoring service as a batch: arm, predict, log (B1-B3).
 
 Each job reads the session and product logs with their declared schemas,
 builds one Spark plan and writes its result (CSV with header, Spark ML

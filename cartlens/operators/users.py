@@ -1,4 +1,4 @@
-"""Per-user features of the exploration notebook.
+"""Per-user features of the exploration.
 
 Input is the priced row set (sessions inner-joined to products, with
 ``purchase`` = price on buys, else 0), usually the training part only.
