@@ -122,3 +122,27 @@ def test_null_user_group_dropped(sessions, products):
     from cartlens.operators import users as U
     feats = U.user_features(U.purchase_rows(sessions, products))
     assert feats.where(F.col("user_id").isNull()).count() == 0
+
+
+def test_require_full_window_drops_months_without_m_plus_2(sessions, products):
+    from cartlens.functions.timefeat import month_of_idx
+    full = C.user_month_rows(sessions, products, "2021-11-01", "2022-01-31")
+    strict = C.user_month_rows(sessions, products, "2021-11-01", "2022-01-31",
+                               require_full_window=True)
+    # the log ends in 2022-02, so January (m+2 = March) is the only month without its whole window
+    assert sorted(r.m for r in full.select(month_of_idx("month_idx").alias("m")).collect()) == [1, 1, 11, 11, 12]
+    assert sorted(r.m for r in strict.select(month_of_idx("month_idx").alias("m")).collect()) == [11, 11, 12]
+
+
+def test_approx_distinct_close_to_exact(sessions):
+    from cartlens.operators import sessions as A
+    exact = A.distinct_counts(sessions).first()
+    approx = A.distinct_counts(sessions, approx=True).first()
+    assert tuple(exact) == (4, 9, 4) and tuple(approx) == tuple(exact)
+
+
+def test_duplicate_product_inflates_money_not_counts(spark):
+    data = [(1, dt.datetime(2021, 1, 5), 1, 1, B, 0, 1), (2, dt.datetime(2021, 1, 6), 1, 2, V, 0, None)]
+    dup = spark.createDataFrame([(1, 10.0), (1, 15.0), (2, 1.0)], S.PRODUCTS)
+    r = C.user_month_rows(_log(spark, data), dup, "2021-01-01", "2021-01-31").first()
+    assert (r.buying_events_month_first, r.all_events_month_first, r.spent_money_first_month) == (1, 2, 25.0)
