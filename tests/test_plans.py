@@ -82,3 +82,18 @@ def test_oracle_subset(spark, duck, name):
 
 def test_every_sql_entry_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+MODEL_BACKED = {"gnb_scores", "logreg_scores", "forest_scores", "model_selection",
+                "spend_regression", "ab_score"}
+
+
+def test_no_query_plans_a_cartesian_product_or_row_udf(spark):
+    for name, fn in queries().items():
+        if name in MODEL_BACKED:
+            continue
+        tree = _plan(fn(spark, SF)).split("\n\n(1)")[0]
+        assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree, name
+        assert "BatchEvalPython" not in tree and "ArrowEvalPython" not in tree, name
+        if name != "purchase_position":
+            assert "MapInPandas" not in tree, name
