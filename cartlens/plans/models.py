@@ -154,7 +154,12 @@ def model_selection(data: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
     for kind, scaler in grid:
         r = fit_and_score(data, kind, scaler, checkpoint=False)
         results = r if results is None else results.unionByName(r)
-    return results
+    results = cut_lineage(results)  # a few rows; read twice below, evaluated once
+    # The choice: the grid entry with the highest validation AUC (ties: model name).
+    best = (results.where(F.col("split") == "val").where(F.col("auc").isNotNull())
+            .orderBy(F.desc("auc"), "model").limit(1).select("model", F.lit(True).alias("chosen")))
+    return (results.join(F.broadcast(best), "model", "left")
+            .withColumn("chosen", F.coalesce("chosen", F.lit(False))))
 
 
 def spend_regression(sessions: DataFrame, products: DataFrame,

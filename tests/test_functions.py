@@ -86,3 +86,16 @@ def test_month_partitioned_layout_prunes(spark, sessions, tmp_path):
     c1b = C.training_set_v3(back, spark.createDataFrame(
         [(10, 100.0), (11, 250.0), (12, 600.0), (13, -5.0)], S.PRODUCTS), "2021-11-01", "2022-01-31")
     assert rows(c1a) == rows(c1b)
+
+
+def test_model_selection_marks_one_choice(spark):
+    from cartlens.sources.adapters import Tables
+    from cartlens.plans.registry import TRAIN, VAL
+    t = Tables(spark, "/root/testdata/sf0.001")
+    data = ML.labelled_splits(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL))
+    res = ML.model_selection(data, grid=(("logreg", "none"), ("gnb", "none"))).collect()
+    assert len(res) == 4
+    chosen = {r.model for r in res if r.chosen}
+    assert len(chosen) == 1
+    val = {r.model: r.auc for r in res if r.split == "val"}
+    assert val[chosen.pop()] == max(val.values())
