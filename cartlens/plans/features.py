@@ -118,8 +118,9 @@ def _v12_rows(sessions: DataFrame, products: DataFrame, begin, end,
               threshold: float) -> DataFrame:
     """Shared plan of C2/C3: one pre-aggregate, one per-user aggregate, one explode.
 
+    * scans: the window's calendar years (pruned) and the user column of the log;
     * spine: every user of the log x every month overlapping (begin, end);
-    * year-level counts (whole log) and window spend repeat on every row of
+    * year-level counts (whole years) and window spend repeat on every row of
       their year -- computed as per-user conditional sums for the few years
       the window touches, so no join is needed;
     * first/second-month counts sit only on the row of that month;
@@ -128,7 +129,14 @@ def _v12_rows(sessions: DataFrame, products: DataFrame, begin, end,
     first, last = open_window_months(begin, end)
     m0, m1, m2 = first, first + 1, first + 2
     years = sorted({m // 12 for m in range(first, last + 1)})
-    facts = user_month_facts(sessions, products, spend_window=(begin, end))
+    # Every value on a spine row comes from the calendar years the window
+    # touches (year counts cover whole years), so the main scan is pruned to
+    # them; only the user list needs the whole log, as one column.
+    ts = F.col("timestamp")
+    in_years = sessions.where(
+        (ts >= F.lit(f"{years[0]:04d}-01-01").cast("timestamp_ntz"))
+        & (ts < F.lit(f"{years[-1] + 1:04d}-01-01").cast("timestamp_ntz")))
+    facts = user_month_facts(in_years, products, spend_window=(begin, end))
     m, yr = F.col("month_idx"), year_of_idx("month_idx")
 
     def at(month, col):
@@ -142,6 +150,9 @@ def _v12_rows(sessions: DataFrame, products: DataFrame, begin, end,
         aggs += [F.sum(F.when(yr == y, F.col("buys"))).alias(f"yb{y}"),
                  F.sum(F.when(yr == y, F.col("spend"))).alias(f"ys{y}")]
     per_user = facts.groupBy("user_id").agg(*aggs)
+    users = sessions.where(F.col("user_id").isNotNull()).select("user_id").distinct()
+    # both sides are hash-partitioned by user_id: the join adds no exchange
+    per_user = users.join(per_user, "user_id", "left")
 
     spine = per_user.withColumn("month_idx", F.explode(F.sequence(F.lit(first), F.lit(last))))
     year = year_of_idx("month_idx")
