@@ -235,14 +235,18 @@ def _deals(t):
 @query("left_join_keys")
 def _left_join_keys(t):
     # One scan of the log: every aggregate derives from the user-month pre-aggregate.
-    facts = M.with_calendar(M.user_month_facts(t.line_sessions(), t.products()))
-    events = facts.select("user_id", "year", "month", F.col("events").alias("all_events_month"))
+    # The (user, year, month) join uses month_idx, the same key as one number, so both
+    # sides keep the pre-aggregate's partitioning and that join needs no exchange.
+    facts = M.user_month_facts(t.line_sessions(), t.products())
+    events = facts.select("user_id", "month_idx", F.col("events").alias("all_events_month"))
     buys = facts.where(F.col("buys") > 0).select(
-        "user_id", "year", "month", F.col("buys").alias("buying_events_month"))
-    spend_year = facts.groupBy("user_id", "year").agg(F.sum("spend").alias("spent_money_year"))
+        "user_id", "month_idx", F.col("buys").alias("buying_events_month"))
+    spend_year = M.with_calendar(facts).groupBy("user_id", "year").agg(
+        F.sum("spend").alias("spent_money_year"))
     total = facts.groupBy("user_id").agg(F.sum("spend").alias("total_spend"))
-    return J.left_join_keys(events, (buys, ["user_id", "year", "month"]),
-                            (spend_year, ["user_id", "year"]), (total, ["user_id"]))
+    monthly = M.with_calendar(J.left_join_keys(events, (buys, ["user_id", "month_idx"])))
+    return J.left_join_keys(monthly, (spend_year, ["user_id", "year"]),
+                            (total, ["user_id"])).drop("month_idx")
 
 
 @query("user_month_next")
