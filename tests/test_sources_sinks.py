@@ -54,7 +54,7 @@ def test_read_generic_jsonl(spark, tmp_path):
     assert RD.read_jsonl(spark, str(path)).count() == 2
 
 
-def test_csv_round_trip(spark, sessions, products, tmp_path):
+def test_csv_roundtrip(spark, sessions, products, tmp_path):
     from cartlens.plans.features import training_set_v3
     out = training_set_v3(sessions, products, "2021-11-01", "2022-01-31")
     path = str(tmp_path / "train_csv")
