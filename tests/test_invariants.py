@@ -82,3 +82,15 @@ def test_auc_equals_spark_evaluator_on_tie_free_scores(spark):
                                        metricName="areaUnderROC", numBins=0)
     ref = ev.evaluate(df.withColumn("label", F.col("label").cast("double")))
     assert mine == pytest.approx(ref, abs=1e-9)
+
+
+def test_one_plan_splits_equal_separate_windows(spark):
+    from cartlens.plans.features import training_set_v3, training_sets
+    t = Tables(spark, SF)
+    s, p = t.line_sessions(), t.products()
+    windows = {"a": ("1996-01-01", "1997-06-30"), "b": ("1997-09-01", "1998-12-31"),
+               "c": ("1997-01-01", "1997-12-31")}          # c overlaps a and b
+    together = training_sets(s, p, windows)
+    for name, (b, e) in windows.items():
+        one = rows(together.where(F.col("split") == name).drop("split"))
+        assert one == rows(training_set_v3(s, p, b, e)), name
