@@ -1,5 +1,6 @@
 """Command line for the feature, training and scoring jobs.
 
+    python -m cartlens explore      --sessions S --products P --out DIR
     python -m cartlens prepare-data --sessions S --products P --begin 2019.09.01 --end 2021.12.31 --out DIR
     python -m cartlens features-v2  --sessions S --products P --begin 2022-01-01 --end 2022-04-01 --out DIR
     python -m cartlens features-v1  --sessions S --products P [--begin ... --end ...] --out DIR
@@ -32,10 +33,13 @@ def _session():
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="cartlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("prepare-data", "features-v2", "features-v1", "train", "serve"):
+    for name in ("explore", "prepare-data", "features-v2", "features-v1", "train", "serve"):
         p = sub.add_parser(name)
         p.add_argument("--sessions", required=True)
         p.add_argument("--products", required=True)
+        if name == "explore":
+            p.add_argument("--out", required=True)
+            p.add_argument("--test-month", type=int, default=3)
         if name in ("prepare-data", "features-v2", "features-v1"):
             p.add_argument("--begin", required=name != "features-v1", default="2022-03-01")
             p.add_argument("--end", required=name != "features-v1", default="2022-05-01")
@@ -54,7 +58,9 @@ def main(argv=None) -> int:
             p.add_argument("--salt", type=int, default=0)
     args = ap.parse_args(argv)
     spark = _session()
-    if args.cmd == "prepare-data":
+    if args.cmd == "explore":
+        jobs.explore(spark, args.sessions, args.products, args.test_month, args.out)
+    elif args.cmd == "prepare-data":
         jobs.prepare_data(spark, args.sessions, args.products, args.begin, args.end, args.out)
     elif args.cmd == "features-v2":
         jobs.prepare_data_v2(spark, args.sessions, args.products, args.begin, args.end, args.out)

@@ -1,5 +1,6 @@
 """The reference's entry points as Spark jobs over JSON-lines inputs.
 
+* ``explore``          - the exploration tables (A1-A22, P15, J8), optionally as CSVs;
 * ``prepare_data``     - the final feature job (C1), optionally written as CSV;
 * ``prepare_data_v2``  - the second feature job (C2);
 * ``prepare_data_v1``  - the first feature job (C3);
@@ -37,6 +38,56 @@ def _maybe_write(df: DataFrame, out_csv: str | None) -> DataFrame:
     return df
 
 
+def explore(spark: SparkSession, sessions_path: str, products_path: str,
+            test_month: int = 3, out_dir: str | None = None) -> dict[str, DataFrame]:
+    """The exploration tables (the data behind each plot and printed figure).
+
+    Session-level tables use every row; discount and calendar tables use the
+    cleaned rows (no missing user or product); per-user features use the
+    training part (month != ``test_month``) joined to products.  With
+    ``out_dir`` every table is written as CSV under its name.
+    """
+    from cartlens.functions.stats import histogram
+    from cartlens.operators import filters as P
+    from cartlens.operators import joins as J
+    from cartlens.operators import sessions as A
+    from cartlens.operators import users as U
+    from cartlens.sources.readers import profile
+    sessions, products = load_inputs(spark, sessions_path, products_path)
+    clean = P.drop_missing(sessions)
+    priced = U.purchase_rows(sessions, products)
+    train = P.split_by_month(priced, test_month).where(F.col("split") == "train").drop("split")
+    extent = A.data_extent(sessions).first()
+    tables = {
+        "profile": profile(sessions),
+        "event_type_counts": A.event_type_counts(sessions),
+        "purchase_prob_by_views": A.purchase_prob_by_views(sessions),
+        "purchase_prob_by_duration": A.purchase_prob_by_duration(sessions),
+        "hist_session_products": A.hist_session_products(sessions),
+        "hist_duration": A.hist_duration(sessions),
+        "product_purchase_dist": A.product_purchase_dist(sessions),
+        "best_conversion": A.best_conversion(sessions),
+        "missing_fraction": A.missing_fraction(sessions),
+        "distinct_counts": A.distinct_counts(clean),
+        "discount_counts": A.discount_counts(clean),
+        "conversion_by_discount": A.conversion_by_discount(clean),
+        "hist_discount": A.hist_discount(clean),
+        "hist_user_discount": histogram(U.user_mean_discount(clean), "mean_discount", 10),
+        "price_quality": P.price_quality(products),
+        "user_features": U.user_features(train),
+        "hist_purchase": histogram(priced, "purchase", 10),
+        "hist_log_purchase": histogram(priced.withColumn("log_purchase", F.log1p("purchase")),
+                                       "log_purchase", 10),
+    }
+    if extent.first_ts is not None:
+        tables["missing_dates"] = J.missing_dates(sessions, extent.first_ts.date(),
+                                                  extent.last_ts.date())
+    if out_dir:
+        for name, df in tables.items():
+            SK.write_csv(df, f"{out_dir}/{name}")
+    return tables
+
+
 def prepare_data(spark: SparkSession, sessions_path: str, products_path: str, begin, end,
                  out_csv: str | None = None, **options) -> DataFrame:
     """C1 training set for the month starts in [begin, end] (label last)."""

@@ -68,3 +68,15 @@ def test_cli_prepare_data(spark, inputs, tmp_path):
     assert main(["prepare-data", "--sessions", inputs[0], "--products", inputs[1],
                  "--begin", "2021.11.01", "--end", "2022.01.31", "--out", out]) == 0
     assert spark.read.option("header", True).csv(out).count() == 5
+
+
+def test_explore_writes_every_table(spark, inputs, tmp_path):
+    out = str(tmp_path / "explore")
+    assert main(["explore", "--sessions", inputs[0], "--products", inputs[1], "--out", out]) == 0
+    tables = jobs.explore(spark, *inputs)
+    for name in tables:
+        assert (tmp_path / "explore" / name).exists(), name
+    probs = {r.n_products: r.purchase_prob for r in tables["purchase_prob_by_views"].collect()}
+    assert probs == {0: 0.0, 1: 0.8, 2: 0.5, 3: 1.0}
+    gaps = [str(r.date) for r in tables["missing_dates"].collect()]
+    assert "2021-11-05" not in gaps and "2021-11-06" in gaps
