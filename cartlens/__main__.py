@@ -40,6 +40,7 @@ def main(argv=None) -> int:
         if name == "explore":
             p.add_argument("--out", required=True)
             p.add_argument("--test-month", type=int, default=3)
+            p.add_argument("--stage-dir", help="parse the JSON once into Parquet here")
         if name in ("prepare-data", "features-v2", "features-v1"):
             p.add_argument("--begin", required=name != "features-v1", default="2022-03-01")
             p.add_argument("--end", required=name != "features-v1", default="2022-05-01")
@@ -59,7 +60,8 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = _session()
     if args.cmd == "explore":
-        jobs.explore(spark, args.sessions, args.products, args.test_month, args.out)
+        jobs.explore(spark, args.sessions, args.products, args.test_month, args.out,
+                     args.stage_dir)
     elif args.cmd == "prepare-data":
         jobs.prepare_data(spark, args.sessions, args.products, args.begin, args.end, args.out)
     elif args.cmd == "features-v2":

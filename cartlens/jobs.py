@@ -39,13 +39,17 @@ def _maybe_write(df: DataFrame, out_csv: str | None) -> DataFrame:
 
 
 def explore(spark: SparkSession, sessions_path: str, products_path: str,
-            test_month: int = 3, out_dir: str | None = None) -> dict[str, DataFrame]:
+            test_month: int = 3, out_dir: str | None = None,
+            stage_dir: str | None = None) -> dict[str, DataFrame]:
     """The exploration tables (the data behind each plot and printed figure).
 
     Session-level tables use every row; discount and calendar tables use the
     cleaned rows (no missing user or product); per-user features use the
     training part (month != ``test_month``) joined to products.  With
-    ``out_dir`` every table is written as CSV under its name.
+    ``out_dir`` every table is written as CSV under its name.  With
+    ``stage_dir`` (a shared folder) the JSON log is parsed once and stored as
+    month-partitioned Parquet, which every table then scans (columnar, pruned)
+    instead of parsing the JSON again.
     """
     from cartlens.functions.stats import histogram
     from cartlens.operators import filters as P
@@ -54,6 +58,9 @@ def explore(spark: SparkSession, sessions_path: str, products_path: str,
     from cartlens.operators import users as U
     from cartlens.sources.readers import profile
     sessions, products = load_inputs(spark, sessions_path, products_path)
+    if stage_dir:
+        SK.write_sessions_by_month(sessions, f"{stage_dir}/sessions")
+        sessions = SK.read_sessions_by_month(spark, f"{stage_dir}/sessions").drop("month_start")
     clean = P.drop_missing(sessions)
     priced = U.purchase_rows(sessions, products)
     train = P.split_by_month(priced, test_month).where(F.col("split") == "train").drop("split")
