@@ -160,9 +160,10 @@ def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, win
     base = SK.load_or_train(spark, f"{model_dir}/BaseModel", ML.build_regression("forest"), train_rows)
     second = SK.load_or_train(spark, f"{model_dir}/SecondModel", ML.build_regression("linear"),
                               train_rows)
-    requests = C.user_month_rows(sessions, products, *window, keep_third=True)
-    scored = cut_lineage(B.score(B.assign_variant(requests, salt),
-                                 {"BaseModel": base, "SecondModel": second}))
+    # each arm reads the requests: compute them once
+    requests = cut_lineage(B.assign_variant(
+        C.user_month_rows(sessions, products, *window, keep_third=True), salt))
+    scored = cut_lineage(B.score(requests, {"BaseModel": base, "SecondModel": second}))
     if log_path:
         SK.append_prediction_log(B.prediction_log(scored), log_path)
     return scored
