@@ -31,10 +31,19 @@ def _session():
 
 
 def main(argv=None) -> int:
-    ap = argparse.ArgumentParser(prog="cartlens")
+    ap = argparse.ArgumentParser(prog="cartlens",
+                                 description="Shop-session analytics jobs on Spark.")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("explore", "prepare-data", "features-v2", "features-v1", "train", "serve"):
-        p = sub.add_parser(name)
+    helps = {
+        "explore": "write every exploration table as CSV",
+        "prepare-data": "final feature job (training set, label last) as CSV",
+        "features-v2": "second feature job (user-month spine with label) as CSV",
+        "features-v1": "first feature job (user-month spine) as CSV",
+        "train": "fit and evaluate the classifiers on time-based windows",
+        "serve": "batch A/B scoring with a prediction log",
+    }
+    for name, text in helps.items():
+        p = sub.add_parser(name, help=text)
         p.add_argument("--sessions", required=True)
         p.add_argument("--products", required=True)
         if name == "explore":
