@@ -1,7 +1,8 @@
 """Spark plans against plain-Python brute force on random small logs.
 
 The brute force follows the reference's procedure literally: a loop over
-month starts with per-month filters and left merges for C1, and numpy's
+month starts with per-month filters and left merges for C1, the user-month
+spine with year counts, window spend and month counts for C2, and numpy's
 ``corrcoef`` / ``polyfit`` per user for the user features.
 """
 
@@ -127,3 +128,52 @@ def test_user_features_equal_numpy(spark, rows):
         if corr is not None:
             assert math.isclose(g[2], corr, abs_tol=1e-9)
         assert math.isclose(g[3], trend, abs_tol=1e-6)
+
+
+V2_BEGIN, V2_END = "2021-11-15", "2022-02-01"
+
+
+def brute_v2(log):
+    b = dt.datetime.fromisoformat(V2_BEGIN)
+    e = dt.datetime.fromisoformat(V2_END)
+    first = b.year * 12 + b.month - 1
+    last_day = e - dt.timedelta(days=1)
+    last = last_day.year * 12 + last_day.month - 1
+    m0, m1 = first, first + 1
+    rows = [r for r in log if r[2] is not None]
+    users = sorted({r[2] for r in rows})
+    out = set()
+    for u in users:
+        mine = [r for r in rows if r[2] == u]
+        deals = [r for r in mine if r[4] == S.BUY and b < r[1] < e]
+
+        def spend(pred):
+            return sum((Decimal(str(PRICES[r[3]])) for r in deals if pred(r) and r[3] in PRICES),
+                       Decimal(0))
+
+        s = [spend(lambda r, k=k: _midx(r[1]) == m0 + k) for k in range(3)]
+        wb0 = sum(1 for r in deals if _midx(r[1]) == m0)
+        label = 1 if wb0 > 0 and s[2] - (s[0] + s[1]) / 2 > 100 else 0
+        for m in range(first, last + 1):
+            year, month = m // 12, m % 12 + 1
+            ys = sum(1 for r in mine if r[4] == S.BUY and r[1].year == year)
+            spent = spend(lambda r: r[1].year == year)
+            buys = lambda k: sum(1 for r in mine if r[4] == S.BUY and _midx(r[1]) == k)
+            events = lambda k: sum(1 for r in mine if _midx(r[1]) == k)
+            out.add((year, month, round(math.sin(2 * math.pi * month / 12), 6),
+                     round(math.cos(2 * math.pi * month / 12), 6), ys, label, float(spent),
+                     float(s[0]), float(s[1]), buys(m0) if m == m0 else 0,
+                     buys(m1) if m == m1 else 0, events(m0) if m == m0 else 0,
+                     events(m1) if m == m1 else 0))
+    return sorted(out)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(row_st, min_size=1, max_size=60))
+def test_features_v2_equals_brute_force(spark, rows):
+    log = _log(rows)
+    sessions = spark.createDataFrame(log, S.nullable(S.SESSIONS))
+    products = spark.createDataFrame(list(PRICES.items()), S.PRODUCTS)
+    got = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                 for r in C.features_v2(sessions, products, V2_BEGIN, V2_END).collect())
+    assert got == brute_v2(log)
