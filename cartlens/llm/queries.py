@@ -6,19 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlens.llm import line_quality
+from cartlens.llm import (chat_trees, fm_dedup, hnsw_dedup, langid, line_quality, mixing, ngram_join, toxicity)
 from cartlens.llm.common import read_table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.query(read_table(spark, sf_dir, "documents"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(read_table(spark, sf_dir, "documents"))
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.query(read_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.query(read_table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.query(read_table(spark, sf_dir, "documents"))
+
+
+def op9_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_trees.query(spark, read_table(spark, sf_dir, "conversations"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw_dedup.query(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_line_quality": op4_line_quality,
-}
+    f.__name__: f for f in (op1_language_id, op2_mixing, op4_line_quality, op5_ngram_join, op6_toxicity,
+                            op7_substring_dedup, op9_chat_trees, op10_embedding_dedup)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op4_line_quality": line_quality.ORACLE,
+    "op9_chat_trees": chat_trees.ORACLE,
 }
