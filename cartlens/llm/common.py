@@ -90,7 +90,7 @@ def key_filter(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndar
     """
     at = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
     words = (keys.select(at.alias("at")).groupBy((F.col("at") / 64).cast("int").alias("word"))
-             .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits")))
+             .agg(F.expr("bit_or(shiftleft(1L, CAST(at % 64 AS INT)))").alias("bits")))
     out = np.zeros(bits // 64, np.uint64)
     table = words.toArrow()
     out[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)

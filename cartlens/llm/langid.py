@@ -19,7 +19,6 @@ an empty table gives an empty table; other columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +32,7 @@ LONGEST = 1 << 20        # characters handled at once; longer texts are counted
 UNKNOWN = "und"
 
 
-@cache
-def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+LETTERS = np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
@@ -45,7 +42,7 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     counts, seen = np.zeros(DIMS, np.int64), False
     for at in range(0, len(text), LONGEST):
         a = np.frombuffer(text[at:at + LONGEST].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        letter = _letters()[a]
+        letter = LETTERS[a]
         if not letter.any():
             continue
         seen = True
