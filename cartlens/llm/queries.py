@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlens.llm import (chat_trees, fm_dedup, hnsw_dedup, langid, line_quality, mixing, ngram_join, toxicity)
+from cartlens.llm import (chat_trees, fm_dedup, hnsw_dedup, langid, line_dedup, line_quality, mixing, ngram_join,
+                          toxicity)
 from cartlens.llm.common import read_table
 
 
@@ -34,6 +35,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.query(read_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.query(read_table(spark, sf_dir, "documents"))
+
+
 def op9_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_trees.query(spark, read_table(spark, sf_dir, "conversations"))
 
@@ -44,10 +49,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_mixing, op4_line_quality, op5_ngram_join, op6_toxicity,
-                            op7_substring_dedup, op9_chat_trees, op10_embedding_dedup)}
+                            op7_substring_dedup, op8_line_dedup, op9_chat_trees, op10_embedding_dedup)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op4_line_quality": line_quality.ORACLE,
+    "op8_line_dedup": line_dedup.ORACLE,
     "op9_chat_trees": chat_trees.ORACLE,
 }
