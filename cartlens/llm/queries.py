@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlens.llm import (chat_trees, fm_dedup, hnsw_dedup, langid, line_dedup, line_quality, mixing, ngram_join,
-                          toxicity)
+                          spm_sampling, toxicity)
 from cartlens.llm.common import read_table
 
 
@@ -19,6 +19,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(read_table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm_sampling.query(read_table(spark, sf_dir, "documents"))
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.query(read_table(spark, sf_dir, "documents"))
 
@@ -48,8 +52,8 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_mixing, op4_line_quality, op5_ngram_join, op6_toxicity,
-                            op7_substring_dedup, op8_line_dedup, op9_chat_trees, op10_embedding_dedup)}
+    f.__name__: f for f in (op1_language_id, op2_mixing, op3_sentencepiece, op4_line_quality, op5_ngram_join,
+                            op6_toxicity, op7_substring_dedup, op8_line_dedup, op9_chat_trees, op10_embedding_dedup)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested by brute force.
 ORACLE: dict[str, str] = {
