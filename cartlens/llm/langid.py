@@ -30,6 +30,7 @@ from cartlens.llm.common import held_out, texts_of
 DIMS = 1 << 14
 LONGEST = 1 << 20        # characters handled at once; longer texts are counted piece by piece
 UNKNOWN = "und"
+MOST_LANGS = 10_000
 
 
 LETTERS = np.array([chr(c).isalpha() for c in range(0x110000)])
@@ -101,9 +102,12 @@ def fit(rows: DataFrame, clusters: int = 3, sample_per_lang: int = 400, slack: f
     rows = rows.where("lang IS NOT NULL")
     df, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    sizes = rows.sparkSession.createDataFrame(sizes, "lang string, n long")
     share = F.least(F.lit(1.0), F.lit(float(sample_per_lang)) / F.col("n"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))      # one row per language
-    sample = (rows.join(sizes, "lang")
+    sample = (rows.join(F.broadcast(sizes), "lang")                # at most MOST_LANGS short rows
               .where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
               .select("lang", "text"))
 
