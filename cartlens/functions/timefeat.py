@@ -158,15 +158,7 @@ def now_formatted() -> Column:
     return F.date_format(F.current_timestamp(), PREDICTION_TIME_FORMAT)
 
 
-def arm_of(user="user_id", salt: int = 0, method: str = "xxhash") -> Column:
-    """stable 0/1 arm per user.
-
-    ``xxhash`` hashes (user, salt) with Spark's xxhash64; ``arith`` is a
-    multiplicative hash that any SQL engine can recompute (used by the oracle).
-    """
-    u = _c(user)
-    if method == "xxhash":
-        return F.pmod(F.xxhash64(u, F.lit(salt)), F.lit(2)).cast("int")
-    if method == "arith":
-        return F.pmod(F.pmod(u * 40503 + salt, F.lit(65521)), F.lit(2)).cast("int")
-    raise ValueError(f"unknown arm method {method!r}")
+def arm_of(user="user_id", salt: int = 0) -> Column:
+    """stable 0/1 arm per user: the parity of md5("salt:user") (a NULL user counts as '')."""
+    text = F.concat(F.lit(f"{salt}:"), F.coalesce(_c(user).cast("string"), F.lit("")))
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") % 2).cast("int")

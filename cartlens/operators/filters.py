@@ -40,7 +40,7 @@ def filter_event(df: DataFrame, event_type: str = BUY) -> DataFrame:
 PARTITION_COLUMN = "month_start"
 
 
-def _prune(df: DataFrame, lo, hi_inclusive) -> DataFrame:
+def prune_months(df: DataFrame, lo, hi_inclusive) -> DataFrame:
     """Mirror a time filter on the month partition column of a month-partitioned log."""
     if PARTITION_COLUMN not in df.columns:
         return df
@@ -52,7 +52,7 @@ def _prune(df: DataFrame, lo, hi_inclusive) -> DataFrame:
 def filter_between(df: DataFrame, begin, end, ts: str = "timestamp") -> DataFrame:
     """P5: ``begin < ts < end``, both ends open as in the reference."""
     b, e = ts_literal(begin), ts_literal(end)
-    return _prune(df, b, e).where((F.col(ts) > F.lit(b).cast("timestamp_ntz"))
+    return prune_months(df, b, e).where((F.col(ts) > F.lit(b).cast("timestamp_ntz"))
                                   & (F.col(ts) < F.lit(e).cast("timestamp_ntz")))
 
 
@@ -64,7 +64,7 @@ def month_bounds(year: int, month: int) -> tuple[str, str]:
 def filter_month(df: DataFrame, year: int, month: int, ts: str = "timestamp") -> DataFrame:
     """Rows of one calendar month as a prunable half-open range."""
     lo, hi = month_bounds(year, month)
-    return _prune(df, lo, lo).where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz"))
+    return prune_months(df, lo, lo).where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz"))
                                     & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
 
 
@@ -77,7 +77,7 @@ def month_window_filter(df: DataFrame, begin, end, extra_months: int = 0,
     """
     first, last = month_range(begin, end)
     lo, hi = idx_to_date(first), idx_to_date(last + 1 + extra_months)
-    return _prune(df, lo, idx_to_date(last + extra_months)).where(
+    return prune_months(df, lo, idx_to_date(last + extra_months)).where(
         (F.col(ts) >= F.lit(str(lo)).cast("timestamp_ntz"))
         & (F.col(ts) < F.lit(str(hi)).cast("timestamp_ntz")))
 

@@ -8,20 +8,33 @@ inputs bounded by parameters (calendar days) are hinted.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.timefeat import day_range, month_range, month_start_of_idx, ts_literal
-from cartlens.operators.filters import filter_event
+from cartlens.operators.filters import filter_event, prune_months
 from cartlens.sources.schemas import BUY
 
 
+NULL_SPREAD = 4096          # partitions at most that rows without a product id are spread over
+
+
 def with_price(sessions: DataFrame, products: DataFrame, how: str = "inner") -> DataFrame:
     """J1 (inner) / J2 (left): attach ``price`` on product_id.
 
-    Only product_id and price of the product table are read (column pruning).
+    Only product_id and price of the product table are read (column pruning).  In a left join
+    rows without a product id match nothing but still need a partition: a second key that is
+    random for them and 0 for all others spreads them, so no task gets all of them.
     """
-    return sessions.join(products.select("product_id", "price"), "product_id", how)
+    products = products.select("product_id", "price")
+    if how != "left":
+        return sessions.join(products, "product_id", how)
+    spread = F.when(F.col("product_id").isNull(), F.pmod(F.xxhash64("session_id", "timestamp"), F.lit(NULL_SPREAD)))
+    keyed = sessions.withColumn("_spread", F.coalesce(spread, F.lit(0).cast("bigint")))
+    return (keyed.join(products.withColumn("_spread", F.lit(0).cast("bigint")), ["product_id", "_spread"], "left")
+            .drop("_spread"))
 
 
 def deals(sessions: DataFrame, products: DataFrame) -> DataFrame:
@@ -29,18 +42,6 @@ def deals(sessions: DataFrame, products: DataFrame) -> DataFrame:
     return with_price(filter_event(sessions, BUY), products, "left")
 
 
-def priced_buys_and_views(sessions: DataFrame, products: DataFrame) -> DataFrame:
-    """All rows with ``price`` set on buys only.
-
-    Only buys need a price, so only they go through the product join; views
-    skip the exchange on product_id (they are ~93% of a real log).
-    """
-    buys = deals(sessions, products)
-    views = sessions.where(F.col("event_type") != BUY).withColumn(
-        "price", F.lit(None).cast("double"))
-    return buys.unionByName(views)
-
-
 def left_join_keys(driver: DataFrame, *others: tuple[DataFrame, list[str]]) -> DataFrame:
     """Left-join aggregates on their key lists onto a driving table."""
     out = driver
@@ -64,6 +65,16 @@ def user_month_spine(sessions: DataFrame, begin, end) -> DataFrame:
                         "month_idx")
 
 
+def _days_seen(sessions: DataFrame, begin, end, ts: str) -> DataFrame:
+    """The days of [begin, end] with an event: a pruned half-open range, then a distinct."""
+    lo = dt.date.fromisoformat(ts_literal(begin)[:10])
+    hi = dt.date.fromisoformat(ts_literal(end)[:10])
+    after = hi + dt.timedelta(days=1)
+    rows = prune_months(sessions, lo, hi).where(
+        (F.col(ts) >= F.lit(str(lo)).cast("timestamp_ntz")) & (F.col(ts) < F.lit(str(after)).cast("timestamp_ntz")))
+    return rows.select(F.to_date(F.col(ts)).alias("date")).distinct()
+
+
 def missing_dates(sessions: DataFrame, begin, end, ts: str = "timestamp") -> DataFrame:
     """Calendar days of [begin, end] with no event at all (left anti join).
 
@@ -72,18 +83,11 @@ def missing_dates(sessions: DataFrame, begin, end, ts: str = "timestamp") -> Dat
     """
     spark = sessions.sparkSession
     days = day_range(spark, begin, end)
-    seen = (sessions.select(F.to_date(F.col(ts)).alias("date"))
-            .where(F.col("date").between(F.lit(ts_literal(begin)[:10]).cast("date"),
-                                         F.lit(ts_literal(end)[:10]).cast("date")))
-            .distinct())
-    return days.join(seen, "date", "left_anti")
+    return days.join(_days_seen(sessions, begin, end, ts), "date", "left_anti")
 
 
 def date_difference(sessions: DataFrame, begin, end, ts: str = "timestamp") -> DataFrame:
     """The same gap list as ``missing_dates`` written as a set difference (EXCEPT)."""
     spark = sessions.sparkSession
     days = day_range(spark, begin, end)
-    # Distinct first: partial aggregation shrinks the log to its days before
-    # the anti join, instead of shuffling one column of every row.
-    seen = sessions.select(F.to_date(F.col(ts)).alias("date")).distinct()
-    return days.subtract(seen)
+    return days.subtract(_days_seen(sessions, begin, end, ts))

@@ -24,11 +24,6 @@ def zero_money() -> F.Column:
     return F.lit(0).cast("decimal(38,6)")
 
 
-def product_prices(products: DataFrame) -> DataFrame:
-    """Exact price per product id; a duplicated id sums its prices, as a merge would."""
-    return products.groupBy("product_id").agg(money_sum("price").alias("_price"))
-
-
 def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
                      spend_window: tuple | None = None, net_price: bool = False) -> DataFrame:
     """Per (user_id, month_idx): ``events``, ``buys`` and (with products) ``spend``.
@@ -40,9 +35,11 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
     instead of the list price (the reference ignored the discount; off by default).
 
     One scan: rows are first reduced map-side to (user, month, product of a
-    priced buy) -- views collapse into one row per user-month -- then only those
-    reduced rows meet the product table, then a second aggregate folds the
-    products away.  A duplicated product id multiplies money (as the
+    priced buy) -- views collapse into one row per user-month.  The reduced rows
+    give the counts; those with a product also meet the product table and give
+    the money; a second aggregate adds both up.  Rows without a product never
+    reach the exchange on product_id, and both its sides are plain rows, so a hot
+    product can be split.  A duplicated product id multiplies money (as the
     reference's merge did) but never the counts.
     """
     users = sessions.where(F.col("user_id").isNotNull())
@@ -64,15 +61,22 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
         return keyed.groupBy("user_id", "month_idx").agg(
             F.count(F.lit(1)).alias("events"), F.sum("_b").cast("bigint").alias("buys"))
     pre = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_e"), F.sum("_b").alias("_b"), F.sum("_wb").alias("_wb"))
-    priced = pre.join(product_prices(products), "product_id", "left")
+        F.count(F.lit(1)).alias("_e"), F.sum("_b").alias("_b"), F.sum("_wb").alias("_wb"),
+        F.count("product_id").alias("_p"))
+    # _p is an aggregate, so this filter stays above the exchange: one scan feeds both branches.
     # Rows keyed by a product id are exactly that product's priced buys, so _wb is their count.
+    priced = pre.where("_p > 0").join(products.select("product_id", F.col("price").cast("decimal(28,6)").alias("_price")),
+                                      "product_id")
     money_in = F.col("_price") * F.col("_wb")
     if net_price:
         money_in = money_in * (100 - F.col("_d")).cast("decimal(10,0)") / 100
-    return priced.groupBy("user_id", "month_idx").agg(
+    zero = F.lit(0).cast("bigint")
+    counts = pre.select("user_id", "month_idx", "_e", "_b", "_wb", F.lit(None).cast("decimal(38,6)").alias("_money"))
+    money = priced.select("user_id", "month_idx", zero.alias("_e"), zero.alias("_b"), zero.alias("_wb"),
+                          money_in.cast("decimal(38,6)").alias("_money"))
+    return counts.unionByName(money).groupBy("user_id", "month_idx").agg(
         F.sum("_e").cast("bigint").alias("events"), F.sum("_b").cast("bigint").alias("buys"),
-        F.coalesce(F.sum(money_in), zero_money()).cast("decimal(38,6)").alias("spend"),
+        F.coalesce(F.sum("_money"), zero_money()).cast("decimal(38,6)").alias("spend"),
         F.sum("_wb").cast("bigint").alias("window_buys"))
 
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.session import target_partitions
+from cartlens.session import cut_lineage, target_partitions
 from pyspark.sql.types import LongType, StructField, StructType
 
 
@@ -46,17 +46,20 @@ def trend_sums(df: DataFrame, group: str, order: list[str], value: str,
     keys = [group, *order]
     ranged = _ranged(df.select(*dict.fromkeys(keys + [value])), keys, partitions)
     rec = ranged.select(
-        group, F.col(value).cast("double").alias("_y"),
+        group, F.col(value).cast("decimal(22,8)").alias("_y"),
         F.spark_partition_id().alias("_p"),
         F.monotonically_increasing_id().alias("_id"))
+    # Record numbers grow with the partition, so the sums are exact decimals: nothing cancels
+    # when a group that starts late is moved back to position 0.
     rec = rec.withColumn("_li", F.col("_id") - F.shiftleft(F.col("_p").cast("long"), 33))
     chunks = rec.groupBy(group, "_p").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_sy"),
-        F.sum(F.col("_li") * F.col("_y")).alias("_sly"), F.min("_li").alias("_start"))
+        F.sum(F.col("_li").cast("decimal(13,0)") * F.col("_y")).alias("_sly"), F.min("_li").alias("_start"))
     chunks = _chunk_offsets(chunks, group)
     return chunks.groupBy(group).agg(
         F.sum("_n").alias("n"), F.sum("_sy").alias("sum_y"),
-        F.sum(F.col("_sly") - (F.col("_start") - F.col("_off")) * F.col("_sy")).alias("sum_xy"))
+        F.sum(F.col("_sly") - (F.col("_start") - F.col("_off")).cast("decimal(13,0)")
+              * F.col("_sy").cast("decimal(24,8)")).alias("sum_xy"))
 
 
 def slope_from_sums(n="n", sum_y="sum_y", sum_xy="sum_xy") -> F.Column:
@@ -64,8 +67,9 @@ def slope_from_sums(n="n", sum_y="sum_y", sum_xy="sum_xy") -> F.Column:
 
     With x = 0..n-1: Sxx - Sx^2/n = n(n^2-1)/12 and Sx/n = (n-1)/2.
     """
-    n, sy, sxy = F.col(n).cast("double"), F.col(sum_y), F.col(sum_xy)
-    num = sxy - (n - 1) / 2 * sy
+    count, sy, sxy = F.col(n).cast("decimal(13,0)"), F.col(sum_y).cast("decimal(24,8)"), F.col(sum_xy)
+    n = F.col(n).cast("double")
+    num = (2 * sxy - (count - 1) * sy).cast("double") / 2
     den = n * (n * n - 1) / 12
     return F.when(n < 2, F.lit(0.0)).otherwise(num / den)
 
@@ -76,15 +80,15 @@ def positions(df: DataFrame, group: str, order: list[str], out: str = "position"
 
     Rows equal in every key get consecutive positions in some order; such rows
     are indistinguishable, so the result is deterministic as a multiset.
-    The per-partition running count is an Arrow-batched ``mapInPandas``
-    (batches of one partition arrive in sorted order); only chunks that
-    continue a group from an earlier partition need an offset, and there are
-    at most #partitions of those, so that table is broadcast with a proven bound.
+    The sorted range split is checkpointed once with its partition numbers, and both the
+    numbering and the chunk sizes read that one copy, so they cannot disagree.  The
+    per-partition running count is an Arrow-batched ``mapInPandas`` (batches of one partition
+    arrive in sorted order); only chunks that continue a group from an earlier partition need
+    an offset, and there are at most #partitions of those, so that table is broadcast.
     """
     keys = [group, *order]
     df = df.where(F.col(group).isNotNull())
-    split = _range_split(df, keys, partitions)
-    ranged = split.sortWithinPartitions(*keys).withColumn("_p", F.spark_partition_id())
+    ranged = cut_lineage(_ranged(df, keys, partitions).withColumn("_p", F.spark_partition_id()))
     schema = StructType(list(ranged.schema.fields) + [StructField("_local", LongType(), False)])
 
     def number(batches):
@@ -106,10 +110,7 @@ def positions(df: DataFrame, group: str, order: list[str], out: str = "position"
             yield pdf
 
     local = ranged.mapInPandas(number, schema)
-    # Chunk sizes come from the JVM side of the same range exchange (no local
-    # sort needed to count), so the Python step runs once.
-    chunks = (split.withColumn("_p", F.spark_partition_id())
-              .groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n")))
+    chunks = ranged.groupBy(group, "_p").agg(F.count(F.lit(1)).alias("_n"))
     carry = _chunk_offsets(chunks, group).where(F.col("_off") > 0).select(group, "_p", "_off")
     return (local.join(F.broadcast(carry), [group, "_p"], "left")
             .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))

@@ -30,7 +30,7 @@ def discount_counts(df: DataFrame) -> DataFrame:
 
 
 def session_summary(df: DataFrame) -> DataFrame:
-    """A3 + A4 + A6 (+ J6) in one pass per session.
+    """A3 + A4 + A6 (+ J6) in one pass per session (rows without a session id belong to none).
 
     * ``n_products``: non-null product ids (buys count as well as views);
     * ``bought``: 1 if any BUY_PRODUCT (the reference's string minimum);
@@ -38,9 +38,9 @@ def session_summary(df: DataFrame) -> DataFrame:
     * ``seconds_mod_day``: the same modulo one day, which is what
       ``timedelta.seconds`` returned in the reference.
     """
-    per = df.groupBy("session_id").agg(
+    per = df.where("session_id IS NOT NULL").groupBy("session_id").agg(
         F.count("product_id").alias("n_products"),
-        F.max((F.col("event_type") == BUY).cast("int")).alias("bought"),
+        F.coalesce(F.max((F.col("event_type") == BUY).cast("int")), F.lit(0)).alias("bought"),
         F.min("timestamp").alias("first_ts"),
         F.max("timestamp").alias("last_ts"))
     total = F.timestamp_diff("SECOND", F.col("first_ts"), F.col("last_ts"))
@@ -52,13 +52,14 @@ def session_summary(df: DataFrame) -> DataFrame:
 
 def session_product_count(df: DataFrame) -> DataFrame:
     """A3."""
-    return df.groupBy("session_id").agg(F.count("product_id").alias("n_products"))
+    return (df.where("session_id IS NOT NULL").groupBy("session_id")
+            .agg(F.count("product_id").alias("n_products")))
 
 
 def session_outcome(df: DataFrame) -> DataFrame:
     """A4: 1 if the session holds any buy."""
-    return df.groupBy("session_id").agg(
-        F.max((F.col("event_type") == BUY).cast("int")).alias("bought"))
+    return df.where("session_id IS NOT NULL").groupBy("session_id").agg(
+        F.coalesce(F.max((F.col("event_type") == BUY).cast("int")), F.lit(0)).alias("bought"))
 
 
 def purchase_prob_by_views(df: DataFrame) -> DataFrame:
@@ -206,6 +207,6 @@ def hist_discount(df: DataFrame, bins: int = 20) -> DataFrame:
 
 
 def conversion_by_discount(df: DataFrame) -> DataFrame:
-    """Mean 0/1 event code per discount."""
-    return df.groupBy("offered_discount").agg(F.avg(event_code()).alias("conversion"),
+    """Mean 0/1 event code per discount (rows without a discount left out)."""
+    return df.where("offered_discount IS NOT NULL").groupBy("offered_discount").agg(F.avg(event_code()).alias("conversion"),
                                               F.count(F.lit(1)).alias("rows"))

@@ -18,10 +18,9 @@ from cartlens.functions.timefeat import arm_of, now_formatted
 ARMS = ("BaseModel", "SecondModel")
 
 
-def assign_variant(df: DataFrame, salt: int = 0, method: str = "xxhash",
-                   out: str = "model_type") -> DataFrame:
+def assign_variant(df: DataFrame, salt: int = 0, out: str = "model_type") -> DataFrame:
     """B1: a stable arm per user (rows that already name a model keep it)."""
-    arm = F.when(arm_of("user_id", salt, method) == 0, F.lit(ARMS[0])).otherwise(F.lit(ARMS[1]))
+    arm = F.when(arm_of("user_id", salt) == 0, F.lit(ARMS[0])).otherwise(F.lit(ARMS[1]))
     if out in df.columns:
         return df.withColumn("randomly_assigned", F.col(out).isNull()).withColumn(
             out, F.coalesce(F.col(out), arm))
@@ -29,13 +28,17 @@ def assign_variant(df: DataFrame, salt: int = 0, method: str = "xxhash",
 
 
 def score(df: DataFrame, models: dict[str, PipelineModel], arm_col: str = "model_type") -> DataFrame:
-    """B2: each arm's rows through that arm's model, then one union.
+    """B2: each row through its arm's model, then one union; no row is lost.
 
-    Narrow per-arm filters, no shuffle; each model sees only its own rows.
+    The first model of ``models`` takes the rows that name it; every other name, an unknown
+    one or NULL included, goes to the last model, as in the scoring service.  Narrow filters,
+    no shuffle; each model sees only its own rows.
     """
-    out = None
+    out, last = None, list(models)[-1]
+    named = F.coalesce(F.col(arm_col).isin([m for m in models if m != last]), F.lit(False))
     for name, model in models.items():
-        part = model.transform(df.where(F.col(arm_col) == name))
+        mine = F.col(arm_col) == name if name != last else ~named
+        part = model.transform(df.where(mine))
         keep = [c for c in df.columns] + ["prediction"]
         part = part.select(*keep)
         out = part if out is None else out.unionByName(part)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.timefeat import (
-    _as_date, cyclic_month, idx_to_date, month_of_idx, month_range, year_of_idx,
+    _as_date, cyclic_month, idx_to_date, month_of_idx, month_range, ts_literal, year_of_idx,
 )
 from cartlens.operators.filters import month_window_filter
 from cartlens.operators.monthly import spend_label, user_month_facts, user_month_next
@@ -106,11 +106,15 @@ def training_set_v3(sessions: DataFrame, products: DataFrame, begin, end,
 
 
 def open_window_months(begin, end) -> tuple[int, int]:
-    """Months that overlap the open interval (begin, end)."""
-    b, e = _as_date(begin), _as_date(end)
+    """Months that overlap the open interval (begin, end).
+
+    An end at midnight of the 1st leaves its month out; later on that day it does not.
+    """
+    b, e = _as_date(begin), _dt.datetime.fromisoformat(ts_literal(end))
     first = b.year * 12 + b.month - 1
-    last_day = e - _dt.timedelta(days=1) if e.day == 1 else e
-    last = last_day.year * 12 + last_day.month - 1
+    last = e.year * 12 + e.month - 1
+    if e == _dt.datetime(e.year, e.month, 1):
+        last -= 1
     return first, max(first, last)
 
 
@@ -132,10 +136,7 @@ def _v12_rows(sessions: DataFrame, products: DataFrame, begin, end,
     # Every value on a spine row comes from the calendar years the window
     # touches (year counts cover whole years), so the main scan is pruned to
     # them; only the user list needs the whole log, as one column.
-    ts = F.col("timestamp")
-    in_years = sessions.where(
-        (ts >= F.lit(f"{years[0]:04d}-01-01").cast("timestamp_ntz"))
-        & (ts < F.lit(f"{years[-1] + 1:04d}-01-01").cast("timestamp_ntz")))
+    in_years = month_window_filter(sessions, f"{years[0]:04d}-01-01", f"{years[-1]:04d}-12-01")
     facts = user_month_facts(in_years, products, spend_window=(begin, end))
     m, yr = F.col("month_idx"), year_of_idx("month_idx")
 

@@ -23,11 +23,21 @@ def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction"
 
 
 def baseline_accuracy(df: DataFrame, label: str = "label", by: list[str] | None = None) -> DataFrame:
-    """Positive share and the accuracy of always predicting the majority class."""
-    share = F.avg(F.col(label).cast("double"))
-    return df.groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("rows"), share.alias("positive_share"),
-        F.greatest(share, 1 - share).alias("baseline_accuracy"))
+    """Positive share and the accuracy of always predicting one class.
+
+    With a ``split`` column the class is the majority of the train split, so no other split
+    is looked at to choose it; without one it is the majority of the rows (ties: class 0).
+    """
+    by = list(by or [])
+    per = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(F.col(label).cast("double")).alias("positive_share"))
+    source = per.where(F.col("split") == "train") if "split" in by else per
+    chosen = source.agg(F.coalesce(F.max(F.col("positive_share") > 0.5), F.lit(False)).alias("_one"))
+    hit = F.when(F.col("_one"), F.col("positive_share")).otherwise(1 - F.col("positive_share"))
+    # One row with one flag: the broadcast is bounded.
+    return per.join(F.broadcast(chosen)).select(
+        *by, "rows", "positive_share", hit.alias("baseline_accuracy"),
+        F.when(F.col("_one"), F.col("rows")).otherwise(F.lit(0)).cast("bigint").alias("predicted_positive"))
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -43,20 +53,24 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "label",
-        partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
+        partitions: int | None = None, by: list[str] | None = None,
+        weight: str | None = None) -> DataFrame:
     """M7: exact ROC AUC = P(score_pos > score_neg) + 0.5 * P(tie), per ``by`` group.
 
     Returns one row per group (``by`` columns, positives, negatives, auc); auc
     is NULL if a class is absent.  Rows are reduced to one per (group,
     distinct score), range-partitioned on (group, score) -- a large group is
     split across partitions like any other key range -- and the running count
-    of lower negatives is rebuilt from per-partition sums.
+    of lower negatives is rebuilt from per-partition sums.  ``weight`` names a column with
+    the number of rows that each row stands for.
     """
     by = list(by or [])
     spark = df.sparkSession
     n = partitions or target_partitions(spark)
+    one = F.col(weight) if weight else F.lit(1).cast("bigint")
     per = df.groupBy(*by, F.col(score).cast("double").alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+        F.sum(F.when(F.col(label) == 1, one).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col(label) == 0, one).otherwise(0)).alias("neg"))
     ranged = per.repartitionByRange(n, *by, "s").withColumn("_p", F.spark_partition_id())
     below = Window.partitionBy("_p", *by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))

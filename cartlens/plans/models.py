@@ -32,11 +32,11 @@ FEATURES = [c for c in V3_COLUMNS if c != "label"]
 
 @dataclass(frozen=True)
 class Windows:
-    train: tuple = ("1996-01-01", "1999-10-31")
-    val: tuple = ("2000-01-01", "2000-12-31")
+    train: tuple
+    val: tuple
 
 
-def labelled_splits(sessions: DataFrame, products: DataFrame, windows: Windows = Windows(),
+def labelled_splits(sessions: DataFrame, products: DataFrame, windows: Windows,
                     allow_overlap: bool = False) -> DataFrame:
     """C1 of both windows with a ``split`` column; overlapping windows are rejected."""
     check_windows(windows.train, windows.val, allow_overlap=allow_overlap)
@@ -59,7 +59,7 @@ def class_stats(df: DataFrame, features=FEATURES, label: str = "label") -> DataF
     return df.groupBy(label).agg(*aggs)
 
 
-def _estimator(kind: str, seed: int = 0, trees: int = 20, depth: int = 8,
+def _estimator(kind: str, seed: int = 0, trees: int = 100, depth: int = 16,
                n_features: int = len(FEATURES)):
     if kind == "gnb":
         return NaiveBayes(modelType="gaussian")
@@ -102,18 +102,31 @@ def with_score(pred: DataFrame) -> DataFrame:
     return pred.withColumn("score", vector_to_array(F.col(col))[1])
 
 
+def scored_counts(model: PipelineModel, data: DataFrame) -> DataFrame:
+    """Rows per (split, score, prediction, label): all that the metrics need of the scored rows."""
+    pred = with_score(model.transform(data))
+    return pred.groupBy("split", "score", "prediction", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def confusion_by_split(model: PipelineModel, data: DataFrame, name: str) -> DataFrame:
+    """M8: rows per (split, label, prediction) of one model."""
+    return (scored_counts(model, data)
+            .groupBy("split", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+            .agg(F.sum("n").alias("rows")).select(F.lit(name).alias("model"), "split", "label", "prediction", "rows"))
+
+
 def evaluate(model: PipelineModel, data: DataFrame, name: str) -> DataFrame:
     """Accuracy, AUC and number of predicted positives per split.
 
-    Two passes over the scored rows: one aggregate for counts and accuracy,
-    one grouped AUC; the two small results are joined on ``split``.
+    Every row is scored once: the scored rows are reduced to counts per (split, score,
+    prediction, label), and accuracy, positives and AUC all follow from those.
     """
-    pred = with_score(model.transform(data))
-    hit = (F.col("label").cast("double") == F.col("prediction")).cast("int")
-    counts = pred.groupBy("split").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg(hit).alias("accuracy"),
-        F.sum(F.col("prediction").cast("int")).cast("bigint").alias("predicted_positive"))
-    aucs = auc(pred, by=["split"]).select("split", "auc")
+    reduced = cut_lineage(scored_counts(model, data))
+    hit = F.when(F.col("label").cast("double") == F.col("prediction"), F.col("n")).otherwise(0)
+    counts = reduced.groupBy("split").agg(
+        F.sum("n").alias("rows"), (F.sum(hit) / F.sum("n")).alias("accuracy"),
+        F.sum(F.when(F.col("prediction") == 1, F.col("n")).otherwise(0)).cast("bigint").alias("predicted_positive"))
+    aucs = auc(reduced, by=["split"], weight="n").select("split", "auc")
     return counts.join(aucs, "split").select(
         F.lit(name).alias("model"), "split", "rows", "accuracy", "auc", "predicted_positive")
 
@@ -137,9 +150,9 @@ def model_params(model: PipelineModel) -> list[tuple[str, str]]:
     return sorted((p.name, str(v)) for p, v in last.extractParamMap().items())
 
 
-DEFAULT_GRID = (("logreg", "none"), ("logreg", "standard"), ("logreg", "minmax"),
-                ("forest", "none"), ("svc", "standard"), ("svc", "minmax"),
-                ("mlp", "standard"), ("mlp", "minmax"))
+#: Every classifier with every preprocessing.
+DEFAULT_GRID = tuple((kind, scaler) for kind in ("logreg", "forest", "gbt", "svc", "mlp")
+                     for scaler in ("none", "standard", "minmax"))
 
 
 def model_selection(data: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
@@ -163,7 +176,7 @@ def model_selection(data: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
 
 
 def spend_regression(sessions: DataFrame, products: DataFrame,
-                     windows: Windows = Windows()) -> DataFrame:
+                     windows: Windows) -> DataFrame:
     """Linear regression of the third-month spend on the C1 features.
 
     Returns RMSE and R^2 per split (the served regressor of the scoring service).
@@ -174,16 +187,17 @@ def spend_regression(sessions: DataFrame, products: DataFrame,
 
 
 def regression_report(pred: DataFrame, label: str = "spend_third") -> DataFrame:
-    """RMSE and R^2 per split from one aggregate (SST = sum(y^2) - sum(y)^2 / n)."""
+    """RMSE and R^2 per split from one aggregate (SST = n * population variance)."""
     err = F.col("prediction") - F.col(label)
     n = F.count(F.lit(1))
-    sst = F.sum(F.col(label) * F.col(label)) - F.pow(F.sum(label), 2) / n
+    sst = F.var_pop(label) * n
     return pred.groupBy("split").agg(
         n.alias("rows"), F.sqrt(F.avg(err * err)).alias("rmse"),
         (1 - F.try_divide(F.sum(err * err), sst)).alias("r2"))
 
 
-def build_regression(kind: str = "linear", features=FEATURES, seed: int = 0) -> Pipeline:
+def build_regression(kind: str = "linear", features=FEATURES, seed: int = 0,
+                     trees: int = 100, depth: int = 16) -> Pipeline:
     """Regressors of the third-month spend.
 
     ``linear`` is the served LinearRegression; ``forest`` stands in for the
@@ -192,13 +206,13 @@ def build_regression(kind: str = "linear", features=FEATURES, seed: int = 0) ->
     if kind == "linear":
         est = LinearRegression(labelCol="spend_third", maxIter=50)
     elif kind == "forest":
-        est = RandomForestRegressor(labelCol="spend_third", numTrees=20, maxDepth=6, seed=seed)
+        est = RandomForestRegressor(labelCol="spend_third", numTrees=trees, maxDepth=depth, seed=seed)
     else:
         raise ValueError(f"unknown regression kind {kind!r}")
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), est])
 
 
-def regression_rows(sessions: DataFrame, products: DataFrame, windows: Windows = Windows()) -> DataFrame:
+def regression_rows(sessions: DataFrame, products: DataFrame, windows: Windows) -> DataFrame:
     """C1 rows (before dedupe, user kept) of both windows with the third-month spend."""
     check_windows(windows.train, windows.val)
     t0, t1 = month_range(*windows.train)

@@ -14,13 +14,29 @@ from __future__ import annotations
 
 import math
 
-from cartlens.functions.timefeat import month_range
 from cartlens.plans import registry as R
-from cartlens.plans.features import open_window_months
 
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
+def month_range(begin: str, end: str) -> tuple[int, int]:
+    """First and last month number (12 * year + month - 1) whose first day lies in [begin, end]."""
+    (y0, m0, d0), (y1, m1, _) = (map(int, x[:10].split("-")) for x in (begin, end))
+    return 12 * y0 + m0 - 1 + (d0 > 1), 12 * y1 + m1 - 1
+
+
+def open_window_months(begin: str, end: str) -> tuple[int, int]:
+    """Month numbers that overlap (begin, end); the registered windows end on a 1st at midnight or later days."""
+    (y0, m0, _), (y1, m1, d1) = (map(int, x[:10].split("-")) for x in (begin, end))
+    midnight = d1 == 1 and not x_time(end)
+    return 12 * y0 + m0 - 1, max(12 * y0 + m0 - 1, 12 * y1 + m1 - 1 - midnight)
+
+
+def x_time(text: str) -> bool:
+    """Whether a date-time text names a time of day other than midnight."""
+    return any(c in "123456789" for c in text[10:])
+
+
 def _k(period: float) -> str:
     return f"CAST('{repr(2.0 * math.pi / period)}' AS DOUBLE)"
 
@@ -30,10 +46,11 @@ E_CTE = """e_sessions AS (
          ts AS "timestamp",
          user_id,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id,
-         CASE WHEN event_type = 'purchase' THEN 'BUY_PRODUCT' ELSE 'VIEW_PRODUCT' END AS event_type,
+         CASE WHEN event_type = 'purchase' THEN 'BUY_PRODUCT' WHEN event_type IN ('view', 'click')
+              THEN 'VIEW_PRODUCT' ELSE upper(event_type) END AS event_type,
          CAST((CAST(json_extract_string(props, '$.k') AS BIGINT) % 5) * 5 AS INTEGER) AS offered_discount,
          CASE WHEN event_type = 'purchase' THEN event_id END AS purchase_id
-  FROM events WHERE event_type IN ('purchase', 'view', 'click'))"""
+  FROM events)"""
 
 
 def _l_cte(name: str, nulls: bool) -> str:
@@ -77,7 +94,7 @@ SS_CTE = """ss AS (
          CAST(max(CASE WHEN event_type = 'BUY_PRODUCT' THEN 1 ELSE 0 END) AS INTEGER) AS bought,
          (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) // 1000000 AS seconds_total,
          ((epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) // 1000000) % 86400 AS seconds_mod_day
-  FROM e_sessions GROUP BY session_id)"""
+  FROM e_sessions WHERE session_id IS NOT NULL GROUP BY session_id)"""
 
 
 def _with(*ctes: str) -> str:
@@ -482,10 +499,10 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
     q["purchase_position"] = _with(*tr, TREND_CTE) + _present(
         'SELECT user_id, "timestamp", session_id, product_id, purchase, position FROM nz', ts, ("purchase",))
     q["union_months"] = _with(*C1_CTES) + _present(
-        f"{_c1('1996-01-01', '1996-12-31')} UNION ALL {_c1('1997-01-01', '1997-12-31')}", dbl=V3_DBL)
+        " UNION ALL ".join(_c1(f"{y}-01-01", f"{y}-12-31") for y in range(1995, 2002)), dbl=V3_DBL)
     q["dedupe_features"] = _with(*C1_CTES) + _present(
-        f"""SELECT DISTINCT {V3} FROM ({_c1_rows('1996-01-01', '1996-12-31')}
-             UNION ALL {_c1_rows('1997-01-01', '1997-12-31')}) r""", dbl=V3_DBL)
+        f"SELECT DISTINCT {V3} FROM ({' UNION ALL '.join(_c1_rows(f'{y}-01-01', f'{y}-12-31') for y in range(1995, 2002))}) r",
+        dbl=V3_DBL)
     b, e = R.EVENTS_DAYS
     q["date_difference"] = _with(E_CTE) + f"""SELECT strftime(d, '%Y-%m-%d') AS date FROM (
         SELECT CAST(g.d AS DATE) AS d FROM generate_series(TIMESTAMP '{b}', TIMESTAMP '{e}', INTERVAL 1 DAY) g(d)
@@ -516,6 +533,14 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
                    sin(CAST(day("timestamp") AS DOUBLE) * {k31}) AS day_sin,
                    cos(CAST(day("timestamp") AS DOUBLE) * {k31}) AS day_cos FROM e_sessions""",
         ts, ("weekday_sin", "weekday_cos", "day_sin", "day_cos"))
+    q["parse_text_time"] = _with(E_CTE) + f"""SELECT session_id,
+        strftime(date_trunc('second', "timestamp"), {TS}) AS parsed,
+        strftime("timestamp", '%Y-%m-%d') AS parsed_date, CAST(NULL AS VARCHAR) AS not_a_time FROM e_sessions"""
+    lo, hi = month_range(*R.SPAN)
+    q["month_range"] = _with(L_CTE) + f"""SELECT strftime(make_date(g.m // 12, g.m % 12 + 1, 1), '%Y-%m-%d') AS month_start,
+        count(s.session_id) AS rows
+        FROM generate_series({lo}, {hi}) g(m) LEFT JOIN l_sessions s ON {MIDX.replace('"timestamp"', 's."timestamp"')} = g.m
+        GROUP BY g.m"""
     q["month_steps"] = _with(L_CTE) + """SELECT strftime(m, '%Y-%m-%d') AS month_start,
         strftime(m + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_month,
         strftime(m + INTERVAL 2 MONTH, '%Y-%m-%d') AS third_month
@@ -525,7 +550,8 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
     q["feature_label_rows"] = _with(*C1_CTES) + _present(_c1(*R.TRAIN), dbl=V3_DBL)
     q["baseline_accuracy"] = _with(*C1_CTES) + _present(
         f"""SELECT split, count(*) AS rows, avg(label) AS positive_share,
-                   greatest(avg(label), 1 - avg(label)) AS baseline_accuracy FROM ({_splits()}) s GROUP BY 1""",
+                   CASE WHEN (SELECT avg(label) > 0.5 FROM ({_c1(*R.TRAIN)}) m) THEN avg(label)
+                        ELSE 1 - avg(label) END AS baseline_accuracy FROM ({_splits()}) s GROUP BY 1""",
         dbl=("positive_share", "baseline_accuracy"))
     feats = [c.strip() for c in V3.split(",") if c.strip() != "label"]
     stats = ", ".join(f"avg({f}) AS mean_{f}, var_pop({f}) AS var_{f}" for f in feats)
@@ -549,14 +575,14 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
         LEFT JOIN (SELECT label, prediction, count(*) AS rows FROM scored WHERE split = 'val' GROUP BY 1, 2) c
           ON g.label = c.label AND g.prediction = c.prediction"""
     z = ", ".join(
-        f"round(CASE WHEN st.s_{f} IS NULL OR st.s_{f} = 0 THEN 0 ELSE (t.{f} - st.m_{f}) / st.s_{f} END, 4) AS z_{f}"
+        f"round(CASE WHEN st.s_{f} IS NULL OR st.s_{f} = 0 THEN 0 ELSE (t.{f} - st.m_{f}) / st.s_{f} END, 6) AS z_{f}"
         for f in feats)
     mstats = ", ".join(f"avg({f}) AS m_{f}, stddev_samp({f}) AS s_{f}" for f in feats)
     q["scale_features"] = _with(*C1_CTES, f"t AS ({_c1(*R.TRAIN)})", f"st AS (SELECT {mstats} FROM t)") + _present(
         f"SELECT {z}, t.label FROM t, st", dbl=tuple(f"z_{f}" for f in feats))
 
     # A/B
-    arm = "((user_id * 40503 + {salt}) % 65521) % 2".format(salt=R.AB_SALT)
+    arm = f"CAST('0x' || substr(md5('{R.AB_SALT}:' || user_id), 1, 8) AS BIGINT) % 2"
     q["ab_assign"] = _with(L_CTE) + f"""SELECT user_id,
         CASE WHEN {arm} = 0 THEN 'BaseModel' ELSE 'SecondModel' END AS model_type
         FROM (SELECT DISTINCT user_id FROM l_sessions WHERE user_id IS NOT NULL) u"""

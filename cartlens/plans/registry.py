@@ -469,19 +469,21 @@ def _purchase_position(t):
     return U.purchase_position(_train_part(t))
 
 
+def _yearly(t, dedupe: bool) -> list[DataFrame]:
+    """The feature job of every year of the log, computed in one pass over it."""
+    windows = {str(y): (f"{y}-01-01", f"{y}-12-31") for y in range(int(SPAN[0][:4]), int(SPAN[1][:4]) + 1)}
+    rows = cut_lineage(C.training_sets(t.line_sessions(), t.products(), windows, dedupe=dedupe))
+    return [rows.where(F.col("split") == y).drop("split") for y in windows]
+
+
 @query("union_months")
 def _union_months(t):
-    s, p = t.line_sessions(), t.products()
-    return M.union_months(C.training_set_v3(s, p, "1996-01-01", "1996-12-31"),
-                          C.training_set_v3(s, p, "1997-01-01", "1997-12-31"))
+    return M.union_months(*_yearly(t, dedupe=True))
 
 
 @query("dedupe_features")
 def _dedupe_features(t):
-    s, p = t.line_sessions(), t.products()
-    rows = M.union_months(C.training_set_v3(s, p, "1996-01-01", "1996-12-31", dedupe=False),
-                          C.training_set_v3(s, p, "1997-01-01", "1997-12-31", dedupe=False))
-    return M.dedupe(rows)
+    return M.dedupe(M.union_months(*_yearly(t, dedupe=False)))
 
 
 @query("date_difference")
@@ -523,6 +525,25 @@ def _cyclic_day(t):
                     dsin.alias("day_sin"), dcos.alias("day_cos"))
 
 
+@query("parse_text_time")
+def _parse_text_time(t):
+    """the text form of each event time, and of each day, parsed back."""
+    text = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+    return t.events_sessions().select(
+        "session_id", tf.parse_timestamp(text, "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+        tf.parse_date(F.date_format("timestamp", "yyyy-MM-dd")).alias("parsed_date"),
+        tf.parse_timestamp("event_type", "yyyy-MM-dd HH:mm:ss").alias("not_a_time"))
+
+
+@query("month_range")
+def _month_range(t):
+    """events per month start of the span (0 where a month has none)."""
+    seen = t.line_sessions().select(tf.month_idx().alias("month_idx")).groupBy("month_idx").agg(
+        F.count(F.lit(1)).alias("rows"))
+    return (tf.month_starts(t.spark, *SPAN).join(seen, "month_idx", "left")
+            .select("month_start", F.coalesce("rows", F.lit(0)).alias("rows")))
+
+
 @query("month_steps")
 def _month_steps(t):
     months = t.line_sessions().select(F.trunc(F.to_date("timestamp"), "MM").alias("month_start")).distinct()
@@ -538,7 +559,7 @@ def _feature_label_rows(t):
 
 @query("baseline_accuracy")
 def _baseline_accuracy(t):
-    return X.baseline_accuracy(_splits(t), by=["split"])
+    return X.baseline_accuracy(_splits(t), by=["split"]).drop("predicted_positive")
 
 
 @query("gnb_class_stats")
@@ -558,7 +579,7 @@ def _logreg_scores(t):
 
 @query("forest_scores")
 def _forest_scores(t):
-    return ML.fit_and_score(_splits(t), "forest", trees=20, depth=8, seed=0)
+    return ML.fit_and_score(_splits(t), "forest", trees=100, depth=16, seed=0)
 
 
 @query("metric_accuracy")
@@ -588,20 +609,19 @@ def _spend_regression(t):
 
 @query("scale_features")
 def _scale_features(t):
-    z = ML.scale_features(_splits(t).where(F.col("split") == "train"))
-    return z.select(*[F.round(c, 4).alias(c) if c.startswith("z_") else F.col(c) for c in z.columns])
+    return ML.scale_features(_splits(t).where(F.col("split") == "train"))
 
 
 # ---------------------------------------------------------------- A/B scoring
 def _requests(t) -> DataFrame:
     rows = ML.regression_rows(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL))
-    return B.assign_variant(rows.where(F.col("split") == "val"), AB_SALT, "arith")
+    return B.assign_variant(rows.where(F.col("split") == "val"), AB_SALT)
 
 
 @query("ab_assign")
 def _ab_assign(t):
     users = t.line_sessions().where(F.col("user_id").isNotNull()).select("user_id").distinct()
-    return B.assign_variant(users, AB_SALT, "arith").select("user_id", "model_type")
+    return B.assign_variant(users, AB_SALT).select("user_id", "model_type")
 
 
 @query("ab_score")
@@ -610,7 +630,7 @@ def _ab_score(t):
     train = rows.where(F.col("split") == "train")
     linear = ML.build_regression().fit(train)
     nonlinear = ML.build_regression("forest").fit(train)
-    req = B.assign_variant(rows.where(F.col("split") == "val"), AB_SALT, "xxhash")
+    req = B.assign_variant(rows.where(F.col("split") == "val"), AB_SALT)
     # The service's names are crossed: 'BaseModel' ran the non-linear model (B2).
     scored = B.score(req, {"BaseModel": nonlinear, "SecondModel": linear})
     return scored.select("user_id", "year", "model_type", "prediction", "spend_third")
@@ -659,9 +679,9 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "W1": ("purchase_position",), "W2": ("user_month_next",),
     "O1": ("duration_outcome",), "O2": ("preview_sessions",), "O3": ("best_conversion",),
     "U1": ("union_months",), "U2": ("dedupe_features",), "U3": ("date_difference",),
-    "F1": ("time_parts",), "F2": ("time_parts",), "F3": ("time_parts",), "F4": ("cyclic_hour",),
+    "F1": ("parse_text_time",), "F2": ("time_parts",), "F3": ("time_parts",), "F4": ("cyclic_hour",),
     "F5": ("cyclic_month",), "F6": ("cyclic_day",), "F7": ("hist_log_purchase",),
-    "F8": ("session_duration",), "F9": ("month_steps",), "F10": ("month_steps",),
+    "F8": ("session_duration",), "F9": ("month_steps",), "F10": ("month_range",),
     "F11": ("missing_dates",), "F13": ("ab_assign",),
     "M1": ("feature_label_rows",), "M2": ("baseline_accuracy",),
     "M3": ("gnb_class_stats", "gnb_scores"), "M4": ("logreg_scores",), "M5": ("forest_scores",),

@@ -69,7 +69,9 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs and tests only: a cluster names a shared folder in the conf.
+        # Local runs and tests only: on a cluster each node would write to its own disk.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         configured = tempfile.mkdtemp(prefix="cartlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

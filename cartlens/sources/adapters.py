@@ -11,7 +11,7 @@ The mappings (fixed values, mirrored by the oracle SQL in plans/oracle.py):
   timestamp         ts
   user_id           user_id
   product_id        props $.k
-  event_type        purchase -> BUY_PRODUCT; view, click -> VIEW_PRODUCT; other types dropped
+  event_type        purchase -> BUY_PRODUCT; view, click -> VIEW_PRODUCT; others upper-cased
   offered_discount  (k % 5) * 5
   purchase_id       event_id on buys, else NULL
 
@@ -50,15 +50,16 @@ PRODUCT_NULL_LINENUMBER = 7
 def sessions_from_events(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
     is_buy = F.col("event_type") == "purchase"
+    is_view = F.col("event_type").isin("view", "click")
     return (events
-            .where(F.col("event_type").isin("purchase", "view", "click"))
             .select(
                 (F.col("user_id") * SESSION_DAY_FACTOR
                  + F.unix_date(F.to_date("ts"))).cast("bigint").alias("session_id"),
                 F.col("ts").alias("timestamp"),
                 F.col("user_id").cast("bigint").alias("user_id"),
                 k.alias("product_id"),
-                F.when(is_buy, F.lit(BUY)).otherwise(F.lit(VIEW)).alias("event_type"),
+                F.when(is_buy, F.lit(BUY)).when(is_view, F.lit(VIEW))
+                .otherwise(F.upper("event_type")).alias("event_type"),
                 ((k % 5) * 5).cast("int").alias("offered_discount"),
                 F.when(is_buy, F.col("event_id")).cast("bigint").alias("purchase_id")))
 

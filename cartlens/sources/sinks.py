@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,7 @@ def write_sessions_by_month(sessions: DataFrame, path: str, mode: str = "overwri
 
 
 def read_sessions_by_month(spark: SparkSession, path: str) -> DataFrame:
+    """The log with its partition column, which every time filter is mirrored on."""
     return spark.read.parquet(path)
 
 
@@ -47,22 +50,21 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def _is_missing_path(err: Exception) -> bool:
-    text = str(err)
-    return any(k in text for k in ("does not exist", "PATH_NOT_FOUND", "FileNotFoundException"))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def load_or_train(spark: SparkSession, path: str, estimator: Pipeline,
-                  train: DataFrame) -> PipelineModel:
+                  train: DataFrame | Callable[[], DataFrame]) -> PipelineModel:
     """Load the model at ``path``; only if nothing is there, fit and store it.
 
-    A path that exists but does not load is an error, never a silent retrain.
+    A path that exists but does not load is an error, never a silent retrain.  ``train`` may
+    be a function, called only if the model has to be fitted.
     """
-    try:
+    if path_exists(spark, path):
         return PipelineModel.load(path)
-    except Exception as err:  # noqa: BLE001 - re-raised unless the path is simply absent
-        if not _is_missing_path(err):
-            raise
-    model = estimator.fit(train)
+    model = estimator.fit(train() if callable(train) else train)
     save_model(model, path)
     return model
