@@ -5,6 +5,7 @@
     python -m cartlens features-v2  --sessions S --products P --begin 2022-01-01 --end 2022-04-01 --out DIR
     python -m cartlens features-v1  --sessions S --products P [--begin ... --end ...] --out DIR
     python -m cartlens train --sessions S --products P --train B E --val B E [--model-dir DIR] [--out DIR]
+    python -m cartlens compare --log DIR
     python -m cartlens serve --sessions S --products P --window B E --train B E --model-dir DIR --log DIR
 
 The session comes from ``SparkSession.builder.getOrCreate()``: under
@@ -41,11 +42,16 @@ def main(argv=None) -> int:
         "features-v1": "first feature job (user-month spine) as CSV",
         "train": "fit and evaluate the classifiers on time-based windows",
         "serve": "batch A/B scoring with a prediction log",
+        "compare": "compare the two arms over the stored prediction log",
     }
     for name, text in helps.items():
         p = sub.add_parser(name, help=text)
+        if name == "compare":
+            p.add_argument("--log", required=True)
+            continue
         p.add_argument("--sessions", required=True)
         p.add_argument("--products", required=True)
+        p.add_argument("--format", choices=("json", "parquet"), default="json")
         if name == "explore":
             p.add_argument("--out", required=True)
             p.add_argument("--test-month", type=int, default=3)
@@ -70,24 +76,32 @@ def main(argv=None) -> int:
     spark = _session()
     if args.cmd == "explore":
         jobs.explore(spark, args.sessions, args.products, args.test_month, args.out,
-                     args.stage_dir)
+                     args.stage_dir, args.format)
     elif args.cmd == "prepare-data":
-        jobs.prepare_data(spark, args.sessions, args.products, args.begin, args.end, args.out)
+        jobs.prepare_data(spark, args.sessions, args.products, args.begin, args.end, args.out, args.format)
     elif args.cmd == "features-v2":
-        jobs.prepare_data_v2(spark, args.sessions, args.products, args.begin, args.end, args.out)
+        jobs.prepare_data_v2(spark, args.sessions, args.products, args.begin, args.end, args.out,
+                             args.format)
     elif args.cmd == "features-v1":
-        jobs.prepare_data_v1(spark, args.sessions, args.products, args.begin, args.end, args.out)
+        jobs.prepare_data_v1(spark, args.sessions, args.products, args.begin, args.end, args.out,
+                             args.format)
     elif args.cmd == "train":
+        details: dict = {}
         report = jobs.train_models(spark, args.sessions, args.products, tuple(args.train),
                                    tuple(args.val), model_dir=args.model_dir,
-                                   allow_overlap=args.allow_overlap)
+                                   allow_overlap=args.allow_overlap, fmt=args.format, details=details)
         if args.out:
             SK.write_csv(report, args.out)
         report.orderBy("model", "split").show(truncate=False)
+        for kind, found in details.items():
+            found["confusion"].orderBy("split", "label", "prediction").show()
+            print(kind, dict(found["params"]))
     elif args.cmd == "serve":
         scored = jobs.serve_batch(spark, args.sessions, args.products, tuple(args.window),
-                                  tuple(args.train), args.model_dir, args.log, args.salt)
+                                  tuple(args.train), args.model_dir, args.log, args.salt, args.format)
         scored.groupBy("model_type").count().show()
+    elif args.cmd == "compare":
+        jobs.compare_log(spark, args.log).show()
     return 0
 
 

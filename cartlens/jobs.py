@@ -5,7 +5,8 @@
 * ``prepare_data_v2``  - the second feature job (C2);
 * ``prepare_data_v1``  - the first feature job (C3);
 * ``train_models``     - fit, score and save the classifiers (M3-M9);
-* ``serve_batch``      - the scoring service as a batch: arm, predict, log (B1-B3).
+* ``serve_batch``      - the scoring service as a batch: arm, predict, log (B1-B3);
+* ``compare_log``      - the two arms compared over the stored log (B4).
 
 Each job reads the session and product logs with their declared schemas,
 builds one Spark plan and writes its result (CSV with header, Spark ML
@@ -17,19 +18,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlens.operators.filters import check_windows
 from cartlens.plans import abtest as B
 from cartlens.plans import features as C
 from cartlens.plans import models as ML
 from cartlens.session import cut_lineage
 from cartlens.sources import readers as RD
+from cartlens.sources import schemas as S
 from cartlens.sources import sinks as SK
 
 
-def load_inputs(spark: SparkSession, sessions_path: str,
-                products_path: str) -> tuple[DataFrame, DataFrame]:
-    sessions = RD.read_sessions(spark, sessions_path)
-    products = RD.read_products(spark, products_path)
-    return sessions, products
+def load_inputs(spark: SparkSession, sessions_path: str, products_path: str, fmt: str = "json",
+                rejects_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two inputs: JSON lines, or (``fmt="parquet"``) tables as ``explore`` stages them.
+
+    Month-partitioned Parquet keeps its partition column, so the jobs' time filters prune it.
+    Lines that are no JSON object are no rows; with ``rejects_path`` they are written there
+    (one JSON object with table and line each), where ``rejected_lines`` counts them.
+    """
+    if fmt == "parquet":
+        return SK.read_sessions_by_month(spark, sessions_path), spark.read.parquet(products_path)
+    if fmt != "json":
+        raise ValueError(f"unknown input format {fmt!r}")
+    sessions = RD.read_sessions(spark, sessions_path, keep_corrupt=True)
+    products = RD.read_products(spark, products_path, keep_corrupt=True)
+    bad = F.col(S.CORRUPT)
+    if rejects_path:
+        lines = [df.where(bad.isNotNull()).select(F.lit(name).alias("table"), bad.alias("line"))
+                 for name, df in (("sessions", sessions), ("products", products))]
+        lines[0].unionByName(lines[1]).write.mode("overwrite").json(rejects_path)
+    return tuple(df.where(bad.isNull()).drop(S.CORRUPT) for df in (sessions, products))
+
+
+def rejected_lines(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """Rejected lines per table."""
+    rows = spark.read.schema("table string, line string").json(rejects_path)
+    return rows.groupBy("table").agg(F.count("line").alias("lines"))
 
 
 def _maybe_write(df: DataFrame, out_csv: str | None) -> DataFrame:
@@ -40,7 +64,7 @@ def _maybe_write(df: DataFrame, out_csv: str | None) -> DataFrame:
 
 def explore(spark: SparkSession, sessions_path: str, products_path: str,
             test_month: int = 3, out_dir: str | None = None,
-            stage_dir: str | None = None) -> dict[str, DataFrame]:
+            stage_dir: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
     """The exploration tables (the data behind each plot and printed figure).
 
     Session-level tables use every row; discount and calendar tables use the
@@ -57,16 +81,17 @@ def explore(spark: SparkSession, sessions_path: str, products_path: str,
     from cartlens.operators import sessions as A
     from cartlens.operators import users as U
     from cartlens.sources.readers import profile
-    sessions, products = load_inputs(spark, sessions_path, products_path)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
     if stage_dir:
         SK.write_sessions_by_month(sessions, f"{stage_dir}/sessions")
-        sessions = SK.read_sessions_by_month(spark, f"{stage_dir}/sessions").drop("month_start")
+        products.write.mode("overwrite").parquet(f"{stage_dir}/products")
+        sessions, products = load_inputs(spark, f"{stage_dir}/sessions", f"{stage_dir}/products", "parquet")
     clean = P.drop_missing(sessions)
     priced = U.purchase_rows(sessions, products)
     train = P.split_by_month(priced, test_month).where(F.col("split") == "train").drop("split")
     extent = A.data_extent(sessions).first()
     tables = {
-        "profile": profile(sessions),
+        "profile": profile(sessions.drop("month_start")),
         "event_type_counts": A.event_type_counts(sessions),
         "purchase_prob_by_views": A.purchase_prob_by_views(sessions),
         "purchase_prob_by_duration": A.purchase_prob_by_duration(sessions),
@@ -96,37 +121,40 @@ def explore(spark: SparkSession, sessions_path: str, products_path: str,
 
 
 def prepare_data(spark: SparkSession, sessions_path: str, products_path: str, begin, end,
-                 out_csv: str | None = None, **options) -> DataFrame:
+                 out_csv: str | None = None, fmt: str = "json", **options) -> DataFrame:
     """C1 training set for the month starts in [begin, end] (label last)."""
-    sessions, products = load_inputs(spark, sessions_path, products_path)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
     return _maybe_write(C.training_set_v3(sessions, products, begin, end, **options), out_csv)
 
 
 def prepare_data_v2(spark: SparkSession, sessions_path: str, products_path: str, begin, end,
-                    out_csv: str | None = None) -> DataFrame:
+                    out_csv: str | None = None, fmt: str = "json") -> DataFrame:
     """User-month spine of the open window (begin, end) with label, deduplicated."""
-    sessions, products = load_inputs(spark, sessions_path, products_path)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
     return _maybe_write(C.features_v2(sessions, products, begin, end), out_csv)
 
 
 def prepare_data_v1(spark: SparkSession, sessions_path: str, products_path: str,
-                    begin="2022-03-01", end="2022-05-01", out_csv: str | None = None) -> DataFrame:
+                    begin="2022-03-01", end="2022-05-01", out_csv: str | None = None,
+                    fmt: str = "json") -> DataFrame:
     """The first feature job (its window was fixed to March-April 2022)."""
-    sessions, products = load_inputs(spark, sessions_path, products_path)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
     return _maybe_write(C.features_v1(sessions, products, begin, end), out_csv)
 
 
 def train_models(spark: SparkSession, sessions_path: str, products_path: str,
                  train: tuple, val: tuple, kinds=("gnb", "logreg", "forest"),
                  model_dir: str | None = None, allow_overlap: bool = False,
-                 trees: int = 100, depth: int = 16) -> DataFrame:
+                 trees: int = 100, depth: int = 16, fmt: str = "json",
+                 details: dict | None = None) -> DataFrame:
     """Fit each classifier on the training window, score both windows, optionally save.
 
     Returns (model, split, rows, accuracy, auc, predicted_positive) plus the
     majority-class baseline.  The forest uses the reference's 100 trees of
-    depth 16 unless told otherwise.
+    depth 16 unless told otherwise.  ``details``, if given, gets the parameters (M9) and the
+    confusion counts (M8) of each model: details[kind] = {"params": ..., "confusion": ...}.
     """
-    sessions, products = load_inputs(spark, sessions_path, products_path)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
     data = cut_lineage(ML.labelled_splits(sessions, products, ML.Windows(train, val),
                                           allow_overlap=allow_overlap))
     out = None
@@ -135,31 +163,40 @@ def train_models(spark: SparkSession, sessions_path: str, products_path: str,
         model = ML.build(kind, **params).fit(data.where(F.col("split") == "train"))
         if model_dir:
             SK.save_model(model, f"{model_dir}/{kind}")
+        if details is not None:
+            details[kind] = {"params": ML.model_params(model), "confusion": ML.confusion_by_split(model, data, kind)}
         r = ML.evaluate(model, data, kind)
         out = r if out is None else out.unionByName(r)
     from cartlens.plans.metrics import baseline_accuracy
     base = baseline_accuracy(data, by=["split"]).select(
         F.lit("majority").alias("model"), "split", "rows",
         F.col("baseline_accuracy").alias("accuracy"), F.lit(None).cast("double").alias("auc"),
-        F.lit(0).cast("bigint").alias("predicted_positive"))
+        "predicted_positive")
     return out.unionByName(base) if out is not None else base
 
 
 def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, window: tuple,
                 train_window: tuple, model_dir: str, log_path: str | None = None,
-                salt: int = 0) -> DataFrame:
+                salt: int = 0, fmt: str = "json", allow_overlap: bool = False) -> DataFrame:
     """The scoring service as a batch job.
 
     Requests are the user-months of ``window``; each user gets a stable arm;
     the arm's regressor (loaded from ``model_dir``, or trained on
     ``train_window`` and stored there if absent) predicts the third-month
-    spend; randomly assigned rows are appended to the JSON-lines log.
+    spend; randomly assigned rows are appended to the JSON-lines log.  The training rows are
+    built only if a model is missing, and the windows must not overlap.
     """
-    sessions, products = load_inputs(spark, sessions_path, products_path)
-    train_rows = cut_lineage(C.user_month_rows(sessions, products, *train_window, keep_third=True))
+    check_windows(train_window, window, allow_overlap=allow_overlap)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    built: list[DataFrame] = []
+
+    def train_rows() -> DataFrame:
+        if not built:
+            built.append(cut_lineage(C.user_month_rows(sessions, products, *train_window, keep_third=True)))
+        return built[0]
+
     base = SK.load_or_train(spark, f"{model_dir}/BaseModel", ML.build_regression("forest"), train_rows)
-    second = SK.load_or_train(spark, f"{model_dir}/SecondModel", ML.build_regression("linear"),
-                              train_rows)
+    second = SK.load_or_train(spark, f"{model_dir}/SecondModel", ML.build_regression("linear"), train_rows)
     # each arm reads the requests: compute them once
     requests = cut_lineage(B.assign_variant(
         C.user_month_rows(sessions, products, *window, keep_third=True), salt))
@@ -167,3 +204,8 @@ def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, win
     if log_path:
         SK.append_prediction_log(B.prediction_log(scored), log_path)
     return scored
+
+
+def compare_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """B4 over the stored prediction log: requests and mean prediction per arm."""
+    return B.compare_arms(SK.read_prediction_log(spark, log_path))

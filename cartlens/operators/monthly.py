@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cartlens.functions.stats import money_sum
 from cartlens.functions.timefeat import month_idx, month_of_idx, ts_literal, year_of_idx
 from cartlens.operators.filters import filter_between
-from cartlens.operators.joins import deals
+from cartlens.operators.joins import NULL_SPREAD, deals
 from cartlens.sources.schemas import BUY
 
 def zero_money() -> F.Column:
@@ -35,12 +35,12 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
     instead of the list price (the reference ignored the discount; off by default).
 
     One scan: rows are first reduced map-side to (user, month, product of a
-    priced buy) -- views collapse into one row per user-month.  The reduced rows
-    give the counts; those with a product also meet the product table and give
-    the money; a second aggregate adds both up.  Rows without a product never
-    reach the exchange on product_id, and both its sides are plain rows, so a hot
-    product can be split.  A duplicated product id multiplies money (as the
-    reference's merge did) but never the counts.
+    priced buy) -- views collapse into one row per user-month.  Each reduced row
+    becomes a count row and, with a product, a money row that meets the product
+    table; a second aggregate adds both up.  No NULL key reaches the exchange on
+    the product, count rows are spread evenly over it, and both its sides are
+    plain rows, so a hot product can be split.  A duplicated product id multiplies
+    money (as the reference's merge did) but never the counts.
     """
     users = sessions.where(F.col("user_id").isNotNull())
     is_buy = F.col("event_type") == BUY
@@ -61,22 +61,27 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
         return keyed.groupBy("user_id", "month_idx").agg(
             F.count(F.lit(1)).alias("events"), F.sum("_b").cast("bigint").alias("buys"))
     pre = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_e"), F.sum("_b").alias("_b"), F.sum("_wb").alias("_wb"),
-        F.count("product_id").alias("_p"))
-    # _p is an aggregate, so this filter stays above the exchange: one scan feeds both branches.
-    # Rows keyed by a product id are exactly that product's priced buys, so _wb is their count.
-    priced = pre.where("_p > 0").join(products.select("product_id", F.col("price").cast("decimal(28,6)").alias("_price")),
-                                      "product_id")
-    money_in = F.col("_price") * F.col("_wb")
+        F.count(F.lit(1)).alias("_e"), F.sum("_b").alias("_b"), F.sum("_wb").alias("_wb"))
+    # Each reduced row gives its counts and, with a product, its money.  Rows keyed by a product
+    # id are exactly that product's priced buys, so _wb is their count.  Count rows match no
+    # product: their key is a number that spreads them, told apart by _kind.
+    none = F.lit(0).cast("bigint")
+    counts = F.struct("user_id", "month_idx", "_e", "_b", "_wb",
+                      F.pmod(F.xxhash64("user_id", "month_idx"), F.lit(NULL_SPREAD)).alias("_key"),
+                      F.lit(1).alias("_kind"), none.alias("_n"), F.lit(None).cast("int").alias("_d"))
+    money = F.struct("user_id", "month_idx", none.alias("_e"), none.alias("_b"), none.alias("_wb"),
+                     F.col("product_id").cast("bigint").alias("_key"), F.lit(0).alias("_kind"), F.col("_wb").alias("_n"),
+                     (F.col("_d").cast("int") if net_price else F.lit(None).cast("int")).alias("_d"))
+    rows = pre.select(F.inline(F.when(F.col("product_id").isNull(), F.array(counts)).otherwise(F.array(counts, money))))
+    prices = products.select(F.col("product_id").cast("bigint").alias("_key"), F.lit(0).alias("_kind"),
+                             F.col("price").cast("decimal(28,6)").alias("_price"))
+    priced = rows.join(prices, ["_key", "_kind"], "left")
+    money_in = F.col("_price") * F.col("_n")
     if net_price:
         money_in = money_in * (100 - F.col("_d")).cast("decimal(10,0)") / 100
-    zero = F.lit(0).cast("bigint")
-    counts = pre.select("user_id", "month_idx", "_e", "_b", "_wb", F.lit(None).cast("decimal(38,6)").alias("_money"))
-    money = priced.select("user_id", "month_idx", zero.alias("_e"), zero.alias("_b"), zero.alias("_wb"),
-                          money_in.cast("decimal(38,6)").alias("_money"))
-    return counts.unionByName(money).groupBy("user_id", "month_idx").agg(
+    return priced.groupBy("user_id", "month_idx").agg(
         F.sum("_e").cast("bigint").alias("events"), F.sum("_b").cast("bigint").alias("buys"),
-        F.coalesce(F.sum("_money"), zero_money()).cast("decimal(38,6)").alias("spend"),
+        F.coalesce(F.sum(money_in), zero_money()).cast("decimal(38,6)").alias("spend"),
         F.sum("_wb").cast("bigint").alias("window_buys"))
 
 

@@ -44,10 +44,18 @@ def test_prediction_time_format(spark):
     dt.datetime.strptime(r, "%m/%d/%Y %H:%M:%S:%f")
 
 
-def test_arith_arm_matches_sql_formula(spark):
-    df = spark.createDataFrame([(u,) for u in (0, 1, 7, 102, 1499, 123456789)], "user_id long")
-    got = [r.a for r in df.select(tf.arm_of("user_id", 3, "arith").alias("a")).collect()]
-    assert got == [((u * 40503 + 3) % 65521) % 2 for u in (0, 1, 7, 102, 1499, 123456789)]
+def test_arm_is_the_parity_of_md5(spark):
+    import hashlib
+    users = [0, 1, 7, 102, 1499, 123456789, 2**62]
+    df = spark.createDataFrame([(u,) for u in users], "user_id long")
+    got = [r.a for r in df.select(tf.arm_of("user_id", 3).alias("a")).collect()]
+    assert got == [int(hashlib.md5(f"3:{u}".encode()).hexdigest()[:8], 16) % 2 for u in users]
+
+
+def test_arms_of_different_salts_are_independent(spark):
+    arms = spark.range(4000).select(*[tf.arm_of("id", s).alias(f"s{s}") for s in (0, 1, 2)])
+    same = arms.selectExpr("avg(int(s0 = s1)) a", "avg(int(s0 = s2)) b", "avg(s0) c").first()
+    assert all(0.45 < x < 0.55 for x in same)
 
 
 def test_assemble_vector_label_last(spark, sessions, products):

@@ -56,9 +56,11 @@ def test_train_models_reports_and_saves(spark, inputs, tmp_path):
 def test_serve_batch_loads_after_first_run(spark, inputs, tmp_path):
     args = (spark, *inputs, ("2021-11-01", "2022-01-31"), ("2021-11-01", "2022-01-31"),
             str(tmp_path / "models"), str(tmp_path / "log"))
-    first = jobs.serve_batch(*args).collect()
+    with pytest.raises(ValueError):              # the windows overlap
+        jobs.serve_batch(*args)
+    first = jobs.serve_batch(*args, allow_overlap=True).collect()
     assert len(first) == 5 and {r.model_type for r in first} <= {"BaseModel", "SecondModel"}
-    second = jobs.serve_batch(*args).collect()   # models now load from disk
+    second = jobs.serve_batch(*args, allow_overlap=True).collect()   # models now load from disk
     assert sorted(r.prediction for r in first) == sorted(r.prediction for r in second)
     assert SK.read_prediction_log(spark, str(tmp_path / "log")).count() == 10
 

@@ -33,8 +33,8 @@ def test_training_set_plan_has_no_cartesian_or_python(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
     assert ("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_returnflag:string,"
             "l_shipdate:timestamp_ntz>") in plan
-    # exchanges: pre-aggregate, product aggregate, user-month aggregate, window, dedupe
-    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 5
+    # exchanges: pre-aggregate, user-month aggregate, window, dedupe
+    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 4
 
 
 def test_filters_reach_the_scan(spark):

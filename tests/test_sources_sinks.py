@@ -51,7 +51,7 @@ def test_profile_and_preview(spark, sessions):
 def test_read_generic_jsonl(spark, tmp_path):
     path = tmp_path / "users.jsonl"
     _write_jsonl(path, [{"user_id": 1, "city": "A"}, {"user_id": 2, "city": "B"}])
-    assert RD.read_jsonl(spark, str(path)).count() == 2
+    assert RD.read_jsonl(spark, str(path), "user_id long, city string").count() == 2
 
 
 def test_csv_roundtrip(spark, sessions, products, tmp_path):
