@@ -66,30 +66,35 @@ def best_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
             .select("conv_id", "node_id", F.when(F.col("there"), F.col("parent_id")).alias("up"),
                     F.when(F.col("there"), 1).otherwise(0).cast("long").alias("hops"),
                     F.coalesce("score", F.lit(0.0)).alias("total")))
-    jumps = [staged(jump)]
+    live, done, jumps = staged(jump), [], []
     longest = node.count()               # no path is longer; more rounds would walk a cycle
-    while 1 << (len(jumps) - 1) <= longest:
-        a, b = jumps[-1], jumps[-1].select(
-            "conv_id", F.col("node_id").alias("up"), F.col("up").alias("up2"),
-            F.col("hops").alias("hops2"), F.col("total").alias("total2"))
-        # A node that has reached its root stays as it is (its root adds no hop and no score).
-        step = a.join(b, ["conv_id", "up"], "left").select(
-            "conv_id", "node_id", F.col("up2").alias("up"),
-            (F.col("hops") + F.coalesce("hops2", F.lit(0).cast("long"))).alias("hops"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"))
-        jumps.append(staged(step))
-        if not jumps[-1].where("up IS NOT NULL").limit(1).count():
+    while 1 << len(jumps) <= 2 * longest + 1:
+        done.append(live.where("up IS NULL"))            # these have reached their root
+        live = live.where("up IS NOT NULL")
+        if not live.limit(1).count():
             break
+        jumps.append(live)
+        ahead = live
+        for d in done:
+            ahead = ahead.unionByName(d)
+        ahead = ahead.select("conv_id", F.col("node_id").alias("up"), F.col("up").alias("up2"),
+                             F.col("hops").alias("hops2"), F.col("total").alias("total2"))
+        live = staged(live.join(ahead, ["conv_id", "up"]).select(
+            "conv_id", "node_id", F.col("up2").alias("up"), (F.col("hops") + F.col("hops2")).alias("hops"),
+            (F.col("total") + F.col("total2")).alias("total")))
+    reached = done[0]
+    for d in done[1:]:
+        reached = reached.unionByName(d)
     parents = node.select("conv_id", F.col("parent_id").alias("node_id")).where("node_id IS NOT NULL")
     order = Window.partitionBy("conv_id").orderBy(F.desc("total"), F.desc("hops"), "node_id")
-    leaves = (jumps[-1].where("up IS NULL").join(parents, ["conv_id", "node_id"], "left_anti")
+    leaves = (reached.join(parents, ["conv_id", "node_id"], "left_anti")
               .withColumn("branch_rank", F.row_number().over(order)))
     if branches is not None:
         leaves = leaves.where(F.col("branch_rank") <= branches)
     path = leaves.select("conv_id", F.col("node_id").alias("leaf_id"), "branch_rank",
                          F.col("total").alias("path_score"), F.col("hops").alias("position"), "node_id")
-    for k, j in enumerate(jumps[:-1]):
-        j = j.where("up IS NOT NULL").select("conv_id", "node_id", "up")
+    for k, j in enumerate(jumps):
+        j = j.select("conv_id", "node_id", "up")
         more = (path.join(j, ["conv_id", "node_id"])
                 .select("conv_id", "leaf_id", "branch_rank", "path_score",
                         (F.col("position") - F.lit(1 << k)).alias("position"), F.col("up").alias("node_id")))
