@@ -36,13 +36,16 @@ RESULTS = ("epoch", "block", "slot", "position")
 def tickets(weights: dict, resolution: int) -> dict:
     """Whole tickets in proportion to the weights, at least one each, ``resolution`` in all."""
     names = sorted(weights, key=lambda s: (s is not None, s))
-    total = sum(weights.values())
-    spare = resolution - len(names)
-    exact = {s: Fraction(weights[s]) / Fraction(total) * spare for s in names}
-    out = {s: 1 + int(exact[s]) for s in names}
-    left = resolution - sum(out.values())
-    for s in sorted(names, key=lambda s: (-(exact[s] - int(exact[s])), names.index(s)))[:left]:
+    total = sum(Fraction(w) for w in weights.values())
+    exact = {s: Fraction(weights[s]) / total * resolution for s in names}
+    out = {s: int(exact[s]) for s in names}
+    by_rest = sorted(names, key=lambda s: (-(exact[s] - out[s]), names.index(s)))
+    for s in by_rest[:resolution - sum(out.values())]:
         out[s] += 1
+    for s in names:
+        if out[s] == 0:                                  # taken from whoever has most
+            out[max(names, key=lambda x: (out[x], -names.index(x)))] -= 1
+            out[s] = 1
     return out
 
 
