@@ -61,8 +61,8 @@ def swapped_sentences(text: str | None, kind_of: dict[bytes, tuple[int, int]]) -
 
 
 def train(x: list[np.ndarray], y: np.ndarray, mentions: dict[tuple[int, int], int], terms=IDENTITY_TERMS,
-          n_features: int = 400, l2: float = 1e-5, counterfactual: float = 1.0, rounds: int = 400) -> dict:
-    """Weights by word hash: logistic loss + l2 + counterfactual penalty, by Adam on all rows."""
+          n_features: int = 400, ridge: float = 0.06, counterfactual: float = 1.0, rounds: int = 400) -> dict:
+    """Weights by word hash: logistic loss + ridge + counterfactual penalty, by Adam on all rows."""
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return {"words": np.empty(0, np.uint64), "weights": np.empty(0), "bias": share, "flat": True}
@@ -91,7 +91,7 @@ def train(x: list[np.ndarray], y: np.ndarray, mentions: dict[tuple[int, int], in
                 pair_n.append(n / (len(terms[k]) - 1))
     a, b, share = np.array(pair_a, int), np.array(pair_b, int), np.array(pair_n) / max(1, sum(mentions.values()))
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)       # both classes count alike
-    w, bias = np.zeros(len(words) + 1), len(words)
+    w, bias, l2 = np.zeros(len(words) + 1), len(words), ridge / len(y)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
         logit = np.bincount(row, weights=w[col], minlength=len(y)) + w[bias]
