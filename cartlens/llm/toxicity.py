@@ -61,7 +61,7 @@ def swapped_sentences(text: str | None, kind_of: dict[bytes, tuple[int, int]]) -
 
 
 def train(x: list[np.ndarray], y: np.ndarray, mentions: dict[tuple[int, int], int], terms=IDENTITY_TERMS,
-          n_features: int = 400, ridge: float = 0.06, counterfactual: float = 1.0, rounds: int = 400) -> dict:
+          n_features: int = 400, min_z: float = 4.0, ridge: float = 0.06, counterfactual: float = 1.0, rounds: int = 400) -> dict:
     """Weights by word hash: logistic loss + ridge + counterfactual penalty, by Adam on all rows."""
     if len(y) == 0 or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
@@ -73,9 +73,10 @@ def train(x: list[np.ndarray], y: np.ndarray, mentions: dict[tuple[int, int], in
     seen = np.bincount(inverse, minlength=len(all_words))
     p1, p0, p = (in1 + 0.5) / (n1 + 1), (seen - in1 + 0.5) / (n0 + 1), (seen + 1) / (len(y) + 2)
     z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    z[seen < 2] = 0
+    z[(seen < 2) | (z < min_z)] = 0          # words that either class could have by chance
     term_hash = {(k, i): word_hashes([t.encode()])[0] for k, kind in enumerate(terms) for i, t in enumerate(kind)}
-    chosen = np.sort(np.argsort(-z, kind="stable")[:n_features])
+    chosen = np.argsort(-z, kind="stable")[:n_features]
+    chosen = np.sort(chosen[z[chosen] > 0])
     words = np.union1d(all_words[chosen], np.array(list(term_hash.values()), np.uint64))
     at = np.searchsorted(words, all_words)
     known = (at < len(words)) & (words[np.minimum(at, len(words) - 1)] == all_words)
