@@ -2,9 +2,9 @@
 
 Equal vectors of one label first become one class with a count.  The classes of a label are
 dealt to shards of at most about ``shard_rows``; for every two shards of a label one task builds
-the graph of the first and asks it with the vectors of both.  A search keeps expanding while its
-best candidate is within the threshold or among the ``ef`` best seen, so a crowded neighbourhood
-is walked whole.  Each task audits its answers against brute force on evenly spaced vectors and
+the graph of the first and asks it with the vectors of both.  A search walks to the ``ef`` nearest and from those within the threshold
+goes on, front by front, through all neighbours within it, so a crowded neighbourhood is walked
+whole.  Each task audits its answers against brute force on evenly spaced vectors and
 doubles ``ef`` until the recall asked for is reached.  Cosines are computed in double precision.
 
 A task returns one row per class (links and the smallest class it is connected to), never pairs;
@@ -32,7 +32,7 @@ from cartlens.llm.common import components, mix64, staged
 class SmallWorld:
     """Hierarchical navigable small-world graph over unit vectors (rows of ``x``), by cosine."""
 
-    def __init__(self, x: np.ndarray, m: int = 12, ef_build: int = 48):
+    def __init__(self, x: np.ndarray, m: int = 12, ef_build: int = 32):
         self.x, self.m = x, m
         n = len(x)
         u = (mix64(np.arange(1, n + 1, dtype=np.uint64)) >> np.uint64(11)).astype(float) / 2.0 ** 53
@@ -42,24 +42,28 @@ class SmallWorld:
         self.entry = -1
         for i in range(n):
             self._insert(i, ef_build)
-
-    def _walk(self, q: np.ndarray, starts: list[tuple[float, int]], ef: int, level: int,
-              radius: float = 2.0) -> list[tuple[float, int]]:
-        """Best-first walk of one level: the ``ef`` nearest and all within ``radius`` that it meets."""
+        # Links of level 0 in both directions, for whole fronts at once: a node that its neighbours
+        # no longer point to is still found from the neighbours that it points to.
+        near = [self.links[0][i] for i in range(n)]
+        a = np.repeat(np.arange(n), [len(x) for x in near])
+        b = np.concatenate([*near, np.empty(0, np.int64)])
+        ends = np.unique(np.stack((np.append(a, b), np.append(b, a))), axis=1)
+        self.first, self.other = np.searchsorted(ends[0], np.arange(n + 1)), ends[1]
+
+    def _walk(self, q: np.ndarray, starts: list[tuple[float, int]], ef: int, level: int) -> list[tuple[float, int]]:
+        """Best-first walk of one level: the ``ef`` nearest that it meets, the nearest first."""
         self.stamp += 1
         links, x, seen, stamp = self.links[level], self.x, self.seen, self.stamp
-        todo, best, within = [], [], []
+        todo, best = [], []
         for s, i in starts:
             seen[i] = stamp
             heapq.heappush(todo, (-s, i))
             heapq.heappush(best, (s, i))
-            if s >= radius:
-                within.append((s, i))
         while len(best) > ef:
             heapq.heappop(best)
         while todo:
             s, i = heapq.heappop(todo)
-            if -s < radius and len(best) >= ef and -s < best[0][0]:
+            if len(best) >= ef and -s < best[0][0]:
                 break
             near = links[i]
             near = near[seen[near] != stamp]
@@ -68,15 +72,13 @@ class SmallWorld:
             seen[near] = stamp
             worst = best[0][0] if len(best) >= ef else -2.0
             for sim, j in zip((x[near] @ q).tolist(), near.tolist()):
-                if sim > worst or sim >= radius:
+                if sim > worst:
                     heapq.heappush(todo, (-sim, j))
-                    if sim >= radius:
-                        within.append((sim, j))
                     heapq.heappush(best, (sim, j))
                     if len(best) > ef:
                         heapq.heappop(best)
                     worst = best[0][0] if len(best) >= ef else -2.0
-        return within if radius <= 1 else sorted(best, reverse=True)
+        return sorted(best, reverse=True)
 
     def _choose(self, near: list[tuple[float, int]], most: int) -> np.ndarray:
         """Neighbours that are closer to the node than to a neighbour already chosen, then the nearest."""
@@ -129,14 +131,26 @@ class SmallWorld:
         at = [(float(self.x[self.entry] @ q), self.entry)]
         for lv in range(len(self.links) - 1, 0, -1):
             at = self._walk(q, at[:1], 1, lv)
-        at = self._walk(q, at[:1], ef, 0)                      # the nearest ones, then all around them
-        return np.array([i for _, i in self._walk(q, at[:ef], ef, 0, radius)], np.int64)
+        at = self._walk(q, at[:1], ef, 0)
+        # From the near ones found, front by front through all that are within the radius.
+        front = np.array([i for sim, i in at if sim >= radius], np.int64)
+        found = [front]
+        self.stamp += 1
+        self.seen[front] = self.stamp
+        while len(front):
+            lo, n = self.first[front], self.first[front + 1] - self.first[front]
+            near = self.other[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            near = np.unique(near[self.seen[near] != self.stamp])
+            self.seen[near] = self.stamp
+            front = near[self.x[near] @ q >= radius]
+            found.append(front)
+        return np.concatenate(found)
 
 
 def audited_search(index: np.ndarray, queries: np.ndarray, radius: float, recall: float,
                    audits: int = 64) -> list[np.ndarray]:
     """For each query the rows of ``index`` within ``radius``; beams widen until the audit passes."""
-    graph, ef = SmallWorld(index), 24
+    graph, ef = SmallWorld(index), 16
     sample = np.unique(np.linspace(0, len(queries) - 1, min(audits, len(queries))).astype(int))
     exact = queries[sample] @ index.T >= radius
     while ef < 2 * len(index):
@@ -147,7 +161,7 @@ def audited_search(index: np.ndarray, queries: np.ndarray, radius: float, recall
     return [graph.within(q, radius, ef) for q in queries]
 
 
-def _root(parent: np.ndarray, i: int) -> int:
+def _root(parent: list[int], i: int) -> int:
     while parent[i] != i:
         parent[i] = parent[parent[i]]
         i = parent[i]
@@ -159,7 +173,7 @@ def usable(embedding: Column) -> Column:
     return F.coalesce(fine & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.995,
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.999,
                     shard_rows: int = 16384) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): n_links, component_id, kept."""
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
@@ -182,7 +196,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
         rep, copies = group.column("rep").to_numpy(), group.column("copies").to_numpy()
         asks = group.column("asks").to_numpy()
         n = int((~asks).sum())
-        parent, links = np.arange(len(x)), np.zeros(len(x), np.int64)
+        parent, links = list(range(len(x))), np.zeros(len(x), np.int64)     # classes come in the order of their ids
         same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         first = 0 if same else n                  # two shards: the second asks the graph of the first
         if n and first < len(x):
@@ -191,10 +205,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
                 links[k] += copies[hits].sum()
                 if not same:
                     links[hits] += copies[k]
+                a = _root(parent, k)
                 for h in hits.tolist():
-                    a, b = _root(parent, k), _root(parent, h)
+                    b = _root(parent, h)
                     if a != b:
-                        parent[max(a, b, key=lambda z: rep[z])] = min(a, b, key=lambda z: rep[z])
+                        parent[max(a, b)] = a = min(a, b)
         root = rep[[_root(parent, k) for k in range(len(x))]]
         return pa.table({"rep": rep, "links": links, "root": root})
 
