@@ -18,7 +18,7 @@ the search samples from it without enumerating paths:
 No piece crosses the start of a space mark or a line feed, so the lattice is a chain of word
 lattices; each distinct word's sums are computed once and kept in a bounded cache.  Random
 numbers are hashes of (seed, row key, sample, place), so a row's samples do not depend on its
-neighbours, the partitioning or a retry.  Regions of mass below e**-60 are left out: they cannot
+neighbours, the partitioning or a retry.  Regions of mass below e**-38 are left out: they cannot
 be told from 0 next to 1 in double precision.
 
 Defined results: a null or empty text has one sample without pieces, log_prob 0, inclusion 1; a
@@ -47,9 +47,10 @@ RANK_OFFSET = 10.0
 FIRST_BYTE, FIRST_PIECE = 3, 259
 FALLBACK = 1 << 20                  # + code point: a character that has no piece
 LONG_WORD = 48                      # longer words are summed one by one
-LIGHT = -60.0                       # log mass of regions that are left out
-MAX_STATES = 1 << 21                # states in the cache (keys stay exact in double precision)
+LIGHT = -38.0                       # log mass of regions that are left out
+MAX_STATES = 1 << 22                # states in the cache (state + probability stays exact to 2**-30)
 WORDS_AT_ONCE = 300_000
+SLOT_BITS = 19
 _WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP, _SAMPLE, _PLACE = (np.uint64(x) for x in (0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03))
@@ -76,6 +77,10 @@ def _hash(text: str) -> int:
     return h
 
 
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes ^ (hashes >> np.uint64(32))) * _SAMPLE) >> np.uint64(64 - SLOT_BITS)
+
+
 def vocabulary(pieces: list[str], alpha: float = 1.0) -> dict:
     """Lookup tables of the pieces (sorted by hash), with their log weights."""
     ids = range(FIRST_PIECE, len(pieces))
@@ -83,7 +88,16 @@ def vocabulary(pieces: list[str], alpha: float = 1.0) -> dict:
     order = np.argsort(hashes)
     rank = np.arange(len(pieces) - FIRST_PIECE)
     weight = -alpha * np.log(rank + RANK_OFFSET)
-    return {"hash": hashes[order], "id": np.array(ids, np.int64)[order], "weight": weight[order],
+    hashes = hashes[order]
+    slots, where, left = np.full(1 << SLOT_BITS, -1, np.int32), _slot(hashes), np.arange(len(hashes))
+    probes = 0
+    while len(left):                    # open addressing: the first that comes takes the slot
+        at = ((where[left] + np.uint64(probes)) % np.uint64(len(slots))).astype(np.int64)
+        free = slots[at] < 0
+        slots[at[free][::-1]] = left[free][::-1]
+        left = left[slots[at] != left]
+        probes += 1
+    return {"slots": slots, "probes": probes, "hash": hashes, "id": np.array(ids, np.int64)[order], "weight": weight[order],
             "len": np.array([len(pieces[i]) for i in ids])[order], "longest": max(map(len, pieces[FIRST_PIECE:])),
             "byte": -alpha * math.log(len(pieces) + RANK_OFFSET),
             "of": {pieces[i]: (i, float(weight[i - FIRST_PIECE])) for i in ids}}
@@ -102,17 +116,21 @@ class Lattices:
         self.new: list[str] = []
         self.base, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.states = 0
-        self.key, self.lp = np.empty(0), np.empty(0)            # state + cumulated probability, log probability
-        self.step, self.piece = np.empty(0, np.int64), np.empty(0, np.int64)
+        # By edge: state + cumulated probability, log probability, characters, piece.
+        self.key, self.lp, self.step, self.piece = (np.empty(0, t) for t in (np.float64, np.float32, np.int8, np.int32))
 
     def numbers(self, words: list[str]) -> list[int]:
-        out, number, new = [], self.number, self.new
-        for w in words:
-            k = number.get(w)
-            if k is None:
-                k = number[w] = len(number)
-                new.append(w)
-            out.append(k)
+        number = self.number
+        out = list(map(number.get, words))
+        if None in out:
+            for i, k in enumerate(out):
+                if k is None:
+                    w = words[i]
+                    k = number.get(w)
+                    if k is None:
+                        k = number[w] = len(number)
+                        self.new.append(w)
+                    out[i] = k
         return out
 
     def settle(self) -> None:
@@ -146,18 +164,18 @@ class Lattices:
         for t in range(wide):
             h[:, t + 1] = h[:, t] * _BASE + (cp[:, t] + 1).astype(np.uint64)
         score = np.full((rows, wide, most), -np.inf)
-        piece = np.zeros((rows, wide, most), np.int64)
+        place = np.zeros((rows, wide, most), np.int32)
         for m in range(1, most + 1):
             sub = h[:, m:] - h[:, :-m] * self.powers[m]
-            k = np.minimum(np.searchsorted(v["hash"], sub), len(v["hash"]) - 1)
-            hit = (v["hash"][k] == sub) & (v["len"][k] == m) & inside[:, m - 1:]
+            k, hit = self._find(sub)
+            hit &= inside[:, m - 1:]
             score[:, m - 1:, m - 1] = np.where(hit, v["weight"][k], -np.inf)
-            piece[:, m - 1:, m - 1] = v["id"][k]
+            place[:, m - 1:, m - 1] = k
         alone = inside & np.isneginf(score[:, :, 0])               # no piece: the character's bytes
         if alone.any():
             c = cp[alone]
             score[alone, 0] = v["byte"] * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000))
-            piece[alone, 0] = FALLBACK + c
+            place[alone, 0] = -2 - c
         total = np.full((rows, wide + 1), -np.inf)
         total[:, 0] = 0.0
         for t in range(wide):
@@ -168,20 +186,41 @@ class Lattices:
             top[np.isneginf(top)] = 0.0
             with np.errstate(divide="ignore"):
                 total[:, t + 1] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-        with np.errstate(invalid="ignore"):
-            lp = score - total[:, 1:, None]
-        edge = ~np.isneginf(score) & inside[:, :, None]
-        lp[~edge] = -np.inf
-        cum = np.cumsum(np.exp(lp), axis=2)
+        r, t, m = np.nonzero(~np.isneginf(score) & inside[:, :, None])
+        lp = score[r, t, m] - total[r, t + 1]
+        k = place[r, t, m].astype(np.int64)
+        piece = np.where(k >= 0, v["id"][np.maximum(k, 0)], np.where(k > -130, FIRST_BYTE - 2 - k, FALLBACK - 2 - k))
         state = (np.cumsum(inside.ravel()) - 1).reshape(inside.shape) + self.states
         base[at] = state[:, 0]
         self.states += int(inside.sum())
-        cum = np.minimum(cum / np.where(inside, cum[:, :, -1], 1.0)[:, :, None], 1.0)
-        r, t, m = np.nonzero(edge)
-        key = state[r, t] + cum[r, t, m]
-        last = np.append((state[r, t][1:] != state[r, t][:-1]), True)
-        key[last] = state[r, t][last] + 1.0
-        return key, lp[r, t, m], (m + 1).astype(np.int64), piece[r, t, m]
+        state = state[r, t]
+        new = np.append(True, state[1:] != state[:-1])
+        # Whole numbers add up exactly, so a word's entries do not depend on the words around it.
+        p = np.cumsum((np.exp(lp) * 2.0 ** 40).astype(np.int64))
+        start = np.flatnonzero(new)
+        before = np.append(0, p)[start]
+        own = np.cumsum(new) - 1
+        last = np.append(start[1:], len(p)) - 1
+        key = state + np.minimum((p - before[own]) / (p[last] - before)[own], 1.0)
+        key[last] = state[last] + 1.0
+        return key, lp.astype(np.float32), (m + 1).astype(np.int8), piece.astype(np.int32)
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash in the vocabulary, and whether it is there."""
+        slots, known = self.v["slots"], self.v["hash"]
+        at = _slot(hashes).astype(np.int64)
+        k = slots[at]
+        hit = (known[k] == hashes) & (k >= 0)
+        open_ = np.flatnonzero((~hit & (k >= 0)).ravel())
+        flat_k, flat_hit, flat_at, flat_h = k.ravel(), hit.ravel(), at.ravel(), hashes.ravel()
+        for p in range(1, self.v["probes"]):
+            if not len(open_):
+                break
+            n = slots[(flat_at[open_] + p) % len(slots)]
+            good = (n >= 0) & (known[n] == flat_h[open_])
+            flat_k[open_[good]], flat_hit[open_[good]] = n[good], True
+            open_ = open_[(n >= 0) & ~good]
+        return flat_k.reshape(hashes.shape), flat_hit.reshape(hashes.shape)
 
     def _single(self, word: str, base: np.ndarray, at: int) -> tuple:
         of, longest = self.v["of"], self.v["longest"]
@@ -193,7 +232,7 @@ class Lattices:
                 got = of.get(word[t - m:t])
                 if got is None and m == 1:
                     c = ord(word[t - 1])
-                    got = (FALLBACK + c, self.v["byte"] * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)))
+                    got = (FIRST_BYTE + c if c < 0x80 else FALLBACK + c, self.v["byte"] * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)))
                 if got is not None:
                     edges.append((m, got[0], got[1] + total[t - m]))
             top = max(e[2] for e in edges)
@@ -204,16 +243,17 @@ class Lattices:
                 key.append(self.states + (1.0 if k + 1 == len(edges) else min(cum, 1.0)))
                 lps.append(s - total[t]), step.append(m), piece.append(i)
             self.states += 1
-        return np.array(key), np.array(lps), np.array(step, np.int64), np.array(piece, np.int64)
+        return np.array(key), np.array(lps, np.float32), np.array(step, np.int8), np.array(piece, np.int32)
 
-    def draw(self, words: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A sampled path of each word: edges (from the word's end to its start) and their counts."""
+    def draw(self, words: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A sampled path of each word: edges (from the word's end to its start), their counts and
+        the pieces in reading order."""
         order = np.argsort(words, kind="stable")
         w = words[order]
         state, left, salt = self.base[w] - 1, self.length[w].copy(), salt[order]
         live, steps, count = np.arange(len(w)), [], np.zeros(len(w), np.int64)
         while len(live):
-            u = (mix64(salt[live] + _times(_STEP, len(steps) + 1)) >> np.uint64(32)) / 4294967296.0
+            u = (mix64(salt[live] + _times(_STEP, len(steps) + 1)) >> np.uint64(34)) / 1073741824.0
             e = np.searchsorted(self.key, state[live] + left[live] + u, side="right")
             steps.append((live, e))
             rest = left[live] - self.step[e]
@@ -223,21 +263,31 @@ class Lattices:
         n = np.empty(len(w), np.int64)
         n[order] = count
         start = np.cumsum(n) - n
-        out = np.empty(int(n.sum()), np.int64)
+        out, read = np.empty(int(n.sum()), np.int64), np.empty(int(n.sum()), np.int32)
+        begin, end = start[order], (start + n)[order]
         for s, (k, e) in enumerate(steps):
-            out[start[order[k]] + s] = e
-        return out, n
+            out[begin[k] + s] = e
+            read[end[k] - 1 - s] = self.piece[e]
+        return out, n, read
 
     def edges_of(self, state: int) -> np.ndarray:
         lo = np.searchsorted(self.key, state, side="right")
         return np.arange(lo, np.searchsorted(self.key, state + 1.0, side="left") + 1)
 
 
-def _uniform(*parts: np.ndarray) -> np.ndarray:
-    x = np.uint64(0)
-    with np.errstate(over="ignore"):
-        for p in parts:
-            x = mix64(np.atleast_1d(np.asarray(p, np.uint64)) + x * _PLACE + _BASE)
+def _mixed(x: int) -> int:
+    """``mix64`` of one number."""
+    x ^= x >> 33
+    x = x * 0xFF51AFD7ED558CCD & 0xFFFFFFFFFFFFFFFF
+    x ^= x >> 33
+    x = x * 0xC4CEB9FE1A85EC53 & 0xFFFFFFFFFFFFFFFF
+    return x ^ (x >> 33)
+
+
+def _uniform(key: int, path: int, lo: int, n: int) -> np.ndarray:
+    """Numbers in (0, 1) for the choices lo, lo + 1, ... of a path."""
+    seed = _mixed(_mixed(int(key)) + path * int(_PLACE) & 0xFFFFFFFFFFFFFFFF)
+    x = mix64(np.arange(lo, lo + n, dtype=np.uint64) * _STEP + np.uint64(seed))
     return ((x >> np.uint64(11)).astype(float) + 0.5) / 9007199254740992.0
 
 
@@ -246,27 +296,36 @@ class _Text:
 
     def __init__(self, words: np.ndarray, key: np.uint64):
         self.words, self.key = words, key
-        self.paths: list[tuple[np.ndarray, np.ndarray, float, float]] = []     # edges, counts, log p, perturbed
+        # edges, counts by word, log p, perturbed score, pieces in reading order
+        self.paths: list[tuple[np.ndarray, np.ndarray, float, float, np.ndarray]] = []
         self.regions: list[tuple[float, int, int, tuple[int, ...]]] = []       # -maximum, path, choice, taken there
         self.next: tuple | None = None
 
-    def split(self, lat: Lattices, edges: np.ndarray, top: float, since: int, taken: tuple[int, ...]) -> None:
-        """Open the regions that leave the newest path at its choice ``since`` or later."""
-        lp = lat.lp[edges[:since + 4096]]
-        before = np.cumsum(lp) - lp
+    def split(self, lat: Lattices, edges: np.ndarray, top: float, since: int, taken: tuple[int, ...], most: int,
+              rest: float | None) -> None:
+        """Open the regions that leave the newest path at its choice ``since`` or later.
+
+        Of them only the ``most`` with the largest maxima can still be asked for.  ``rest`` is
+        the probability left at choice ``since`` when some edges are taken already.
+        """
+        for ahead in (512, len(edges)):
+            lp = lat.lp[edges[:since + ahead]].astype(float)
+            before = np.cumsum(lp) - lp
+            if before[-1] < LIGHT:
+                break
         stop = max(since + 1, int(np.searchsorted(-before, -LIGHT, side="right")))
-        lp, before = lp[since:stop].copy(), before[since:stop]
-        gone = np.exp(lp)
-        if len(gone):
-            gone[0] = sum(math.exp(lat.lp[e]) for e in (*taken, edges[since]))
-        with np.errstate(divide="ignore"):
-            mass = before + np.log(np.maximum(0.0, 1.0 - gone))
-            mass[gone > 1 - 1e-13] = -np.inf
-            noise = -np.log(_uniform(self.key, np.uint64(len(self.paths)), np.arange(since, since + len(lp), dtype=np.uint64)))
+        lp, before = lp[since:stop], before[since:stop]
+        with np.errstate(divide="ignore", over="ignore"):
+            mass = np.log(-np.expm1(lp))
+            if rest is not None and len(mass):
+                mass[0] = np.log(rest)
+            mass += before
+            noise = -np.log(_uniform(self.key, len(self.paths), since, len(lp)))
             best = -np.log(math.exp(-top) + np.exp(-mass) * noise)
-        for d in np.flatnonzero(best > -np.inf):
-            heapq.heappush(self.regions, (-float(best[d]), len(self.paths) - 1, since + int(d),
-                                          (*taken, int(edges[since])) if d == 0 else (int(edges[since + d]),)))
+        for d in np.argsort(-best, kind="stable")[:most].tolist():
+            if best[d] > -np.inf:
+                heapq.heappush(self.regions, (-float(best[d]), len(self.paths) - 1, since + d,
+                                              (*taken, int(edges[since])) if d == 0 else (int(edges[since + d]),)))
 
 
 def sample_paths(lat: Lattices, texts: list[np.ndarray], keys: np.ndarray, k: int) -> list[tuple[_Text, float]]:
@@ -288,54 +347,53 @@ def sample_paths(lat: Lattices, texts: list[np.ndarray], keys: np.ndarray, k: in
             break
         salt = [mix64(np.full(len(f), t.key) + _times(_SAMPLE, s + 1) + _PLACE * np.arange(w + 1, w + len(f) + 1, dtype=np.uint64))
                 for f, (t, w) in zip(fresh, asked)]
-        edges, counts = lat.draw(np.concatenate(fresh), np.concatenate(salt))
+        edges, counts, read = lat.draw(np.concatenate(fresh), np.concatenate(salt))
         word_end = np.cumsum([len(f) for f in fresh])
         edge_end = np.concatenate(([0], np.cumsum(counts)))[word_end]
-        lps = np.concatenate(([0.0], np.cumsum(lat.lp[edges])))
         w0 = e0 = 0
         for (t, w), w1, e1 in zip(asked, word_end, edge_end):
-            e, c, lp = edges[e0:e1], counts[w0:w1], float(lps[e1] - lps[e0])
+            e, c, ids = edges[e0:e1], counts[w0:w1], read[e0:e1]
             w0, e0 = w1, e1
             if s == 0:
-                top, since, taken = -math.log(-math.log(_uniform(t.key)[0])), 0, ()
+                top, since, taken, rest = -math.log(-math.log(_uniform(t.key, 0, 0, 1)[0])), 0, (), None
             else:
                 top, (_, path, since, taken) = -t.next[0], t.next
-                old, old_c = t.paths[path][:2]
+                old, old_c, _, _, old_ids = t.paths[path]
                 head = int(old_c[:w - 1].sum())                    # choices before the word that changes
                 mine = list(old[head:since])
                 word = t.words[w - 1]
                 left = int(lat.length[word] - lat.step[old[head:since]].sum())
-                u = _uniform(t.key, np.uint64(s + 1), np.arange(since, since + left, dtype=np.uint64))
+                u = _uniform(t.key, -1 - s, since, left)
                 for i in range(left):
                     if left <= 0:
                         break
                     options = lat.edges_of(int(lat.base[word]) + left - 1)
                     if i == 0:
                         options = options[~np.isin(options, taken)]
-                    p = np.cumsum(np.exp(lat.lp[options]))
-                    x = int(options[min(int(np.searchsorted(p, u[i] * p[-1], side="right")), len(options) - 1)])
+                    p = np.exp(lat.lp[options].astype(float))
+                    at = min(int(np.searchsorted(np.cumsum(p), u[i] * p.sum(), side="right")), len(options) - 1)
+                    x = int(options[at])
+                    if i == 0:
+                        rest = float(np.delete(p, at).sum())
                     mine.append(x)
                     left -= int(lat.step[x])
                 e = np.concatenate((old[:head], np.array(mine, np.int64), e))
                 c = np.concatenate((old_c[:w - 1], [len(mine)], c))
-                lp = lp + float(lat.lp[e[:head + len(mine)]].sum())
-            t.paths.append((e, c, lp, top))
+                ids = np.concatenate((old_ids[:head], lat.piece[np.array(mine[::-1], np.int64)], ids))
+            t.paths.append((e, c, float(lat.lp[e].sum(dtype=float)), top, ids))
             if len(e):
-                t.split(lat, e, top, since, taken)
+                t.split(lat, e, top, since, taken, k - s, rest)
     return [(t, -t.regions[0][0] if t.regions else -math.inf) for t in found]
 
 
-def _pieces(lat: Lattices, edges: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Piece ids in reading order: each word's choices run from its end to its start."""
-    end = np.cumsum(counts)
-    back = np.repeat(end + end - counts - 1, counts) - np.arange(len(edges))
-    ids = lat.piece[edges][back]
-    if len(ids) and ids.max() >= FALLBACK:
+def _ids(pieces: np.ndarray) -> np.ndarray:
+    """Piece ids; a character without a piece becomes its bytes."""
+    if (pieces >= FALLBACK).any():
         out: list[int] = []
-        for i in ids.tolist():
+        for i in pieces.tolist():
             out += [FIRST_BYTE + b for b in chr(i - FALLBACK).encode("utf-8", "surrogatepass")] if i >= FALLBACK else [i]
-        ids = np.array(out)
-    return ids.astype(np.uint16)
+        pieces = np.array(out)
+    return pieces.astype(np.uint16)
 
 
 def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0, seed: int = 42, key: str = "doc_id",
@@ -348,11 +406,11 @@ def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0,
                  ("sample", "tokens", "n_pieces", "log_prob", "perturbed", "inclusion"))
     names = [*keep, "sample", "tokens", "n_pieces", "log_prob", "perturbed", "inclusion"]
 
-    def rows(batch: pa.RecordBatch, at: list[int], found: list[tuple[_Text, float]], lat: Lattices) -> pa.RecordBatch:
+    def rows(batch: pa.RecordBatch, at: list[int], found: list[tuple[_Text, float]]) -> pa.RecordBatch:
         where, sample, tokens, n, lps, tops, inc = [], [], [], [], [], [], []
         for i, (t, kappa) in zip(at, found):
-            for s, (edges, counts, lp, top) in enumerate(t.paths):
-                ids = _pieces(lat, edges, counts)
+            for s, (_, _, lp, top, pieces) in enumerate(t.paths):
+                ids = _ids(pieces)
                 where.append(i), sample.append(s), tokens.append(ids.tobytes()), n.append(len(ids))
                 lps.append(lp), tops.append(top)
                 inc.append(1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(700.0, lp - kappa))))
@@ -375,7 +433,7 @@ def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0,
                 held += len(words)
                 if held >= WORDS_AT_ONCE or i + 1 == batch.num_rows:
                     lat.settle()
-                    yield rows(batch, at, sample_paths(lat, texts, salts[at], k), lat)
+                    yield rows(batch, at, sample_paths(lat, texts, salts[at], k))
                     texts, at, held = [], [], 0
                     if lat.states > MAX_STATES:
                         lat.clear()
