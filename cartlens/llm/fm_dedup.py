@@ -13,8 +13,8 @@ right to left, one backward-search step a word; the interval is cut back to widt
 before each step, so after it stands the interval of the window that starts there, and the
 smallest document of that interval is looked up.  Words are compared as text, not by hash.
 
-Runs of a minimizer with over ``hot_runs`` distinct runs go window by window to shards picked by
-the window's own hash, so a hot passage is spread however many documents quote it.
+Runs of a minimizer that over ``hot_docs`` documents have go window by window to shards picked
+by the window's own hash, so a hot passage is spread however many documents quote it.
 
 Defined results: a null text has no words (kept text empty); texts shorter than a window keep
 all; rows without an id are left out; rows that share a doc_id count as one place of occurrence
@@ -192,21 +192,35 @@ def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _split(batches: Iterator[pa.RecordBatch], width: int, shared: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a document (done if it has no shared run); kind 1: a run of it."""
+def _split(batches: Iterator[pa.RecordBatch], width: int, shared: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Kind 0: a document (done if it has no shared run); kind 1: a run of it; kind 2: a window
+    of a hot minimizer's run.  A run's words come once a task, copies have its hash only."""
     names = ["kind", "doc_id", "mini", "start", "n_words", "body", "sha"]
     types = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    sent: set[bytes] = set()
+
+    def run(kind: int, doc: int, mini: int, start: int, body: bytes) -> tuple:
+        sha = xxhash.xxh128_digest(body)
+        known = sha in sent
+        if not known:
+            if len(sent) > 2_000_000:
+                sent.clear()
+            sent.add(sha)
+        return kind, doc, mini, start, None, None if known else body, sha
+
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         rows: list[tuple] = []
         for doc, text in zip(ids.tolist(), texts_of(batch, "text")):
             words = split_words(text)
             first, end, mini = minimizer_runs(word_hashes(words), width)
-            use = np.flatnonzero(passes(shared, mini.view(np.int64))) if len(mini) else []
-            for k in use:
-                body = b" ".join(words[first[k]:end[k] + width - 1])
-                rows.append((1, doc, int(mini[k].view(np.int64)), int(first[k]), int(end[k] - first[k]), body,
-                             xxhash.xxh128_digest(body)))
+            mini = mini.view(np.int64)
+            use = np.flatnonzero(passes(shared, mini)) if len(mini) else []
+            for k, many in zip(use, passes(hot, mini[use]) if len(use) else ()):
+                if many:
+                    rows += [run(2, doc, int(mini[k]), j, b" ".join(words[j:j + width])) for j in range(int(first[k]), int(end[k]))]
+                else:
+                    rows.append(run(1, doc, int(mini[k]), int(first[k]), b" ".join(words[first[k]:end[k] + width - 1])))
             rows.append((0, doc, None, None, len(words), b" ".join(words) if len(use) else None,
                          None if len(use) else _sha(words).encode()))
             if len(rows) > 20_000:
@@ -255,45 +269,26 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"])
 
 
-def remove_repeats(docs: DataFrame, width: int = 50, shard_runs: int = 8000, hot_runs: int = 4000) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 50, shard_runs: int = 8000, hot_docs: int = 20_000) -> DataFrame:
     """One row per document: n_words, n_removed, kept_sha256, the removed ``spans`` (word places,
     end exclusive) and ``kept_text`` (null where nothing could be removed: the text as it is)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    met = (docs.mapInArrow(lambda it: _scan(it, width), "mini long, doc_id long")
-           .groupBy("mini").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi"))
+    met = staged(docs.mapInArrow(lambda it: _scan(it, width), "mini long, doc_id long").groupBy("mini")
+                 .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
+                 .where("lo <> hi").select("mini", "n"))
     shared = spark.sparkContext.broadcast(key_filter(met, "mini"))
-    parts = staged(docs.mapInArrow(lambda it: _split(it, width, shared.value),
+    hot = spark.sparkContext.broadcast(key_filter(met.where(F.col("n") > hot_docs), "mini"))
+    parts = staged(docs.mapInArrow(lambda it: _split(it, width, shared.value, hot.value),
                                    "kind byte, doc_id long, mini long, start long, n_words long, body binary, sha binary"))
-    runs = parts.where("kind = 1").select("mini", "doc_id", "start", "n_words", "body", "sha")
-    distinct = (runs.groupBy("mini", "sha").agg(F.min("doc_id").alias("doc"), F.first("body").alias("body"),
-                                                F.first("n_words").alias("windows")))
-    distinct = staged(distinct)
-    sizes = distinct.groupBy("mini").agg(F.count("*").alias("n"))
-    shards = max(1, -(-distinct.count() // shard_runs))
-    dealt = distinct.join(sizes, "mini")
-    cold = dealt.where(F.col("n") <= hot_runs).select(
-        F.pmod(F.xxhash64("mini", F.lit(3)), F.lit(shards)).alias("shard"), F.lit(0).alias("sub"), "sha",
-        F.lit(0).cast("long").alias("offset"), "doc", "body")
-    words = F.split(F.col("body").cast("string"), " ")
-    hot = (dealt.where(F.col("n") > hot_runs)
-           .select("sha", "doc", "n", "mini", words.alias("w"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1)).alias("offset"))
-           .select("sha", "offset", "doc", "n", "mini", F.array_join(F.slice("w", F.col("offset").cast("int") + 1, width), " ").alias("window"))
-           .select(F.pmod(F.xxhash64("mini", F.lit(3)), F.lit(shards)).alias("shard"),
-                   (1 + F.pmod(F.xxhash64("window"), F.ceil(F.col("n") / 200))).cast("int").alias("sub"),
-                   "sha", "offset", "doc", F.col("window").cast("binary").alias("body")))
-    dealt = cold.unionByName(hot).select("shard", "sub", F.concat("sha", F.col("offset").cast("string").cast("binary")).alias("tag"),
-                                         "sha", "offset", "doc", "body")
-
-    def search(group: pa.Table) -> pa.Table:
-        tags = pa.chunked_array([pa.array(range(group.num_rows), pa.int64())])
-        out = _shard(pa.table({"sha": tags, "body": group.column("body"), "doc": group.column("doc")}), width)
-        at = out.column("sha")
-        shift = group.column("offset").take(at).to_numpy()
-        return pa.table({"sha": group.column("sha").take(at), "lo": out.column("lo").to_numpy() + shift,
-                         "hi": out.column("hi").to_numpy() + shift, "least": out.column("least")})
-
-    found = dealt.groupBy("shard", "sub").applyInArrow(search, "sha binary, lo long, hi long, least long")
+    runs = parts.where("kind > 0").select("kind", "mini", "doc_id", "start", "body", "sha")
+    n = {r.kind: -(-r.n // shard_runs) for r in runs.groupBy("kind").agg(F.count("body").alias("n")).collect()}
+    shard = F.when(F.col("kind") == 1, F.pmod(F.xxhash64("mini", F.lit(3)), F.lit(n.get(1) or 1))).otherwise(
+        -1 - F.pmod(F.xxhash64("sha", F.lit(3)), F.lit(n.get(2) or 1)))
+    # One row per distinct run of a shard (equal windows share their minimizer, so their shard).
+    distinct = (runs.withColumn("shard", shard).groupBy("shard", "sha")
+                .agg(F.min("doc_id").alias("doc"), F.first("body", ignorenulls=True).alias("body")))
+    found = distinct.groupBy("shard").applyInArrow(lambda group: _shard(group, width), "sha binary, lo long, hi long, least long")
     spans = (runs.select("sha", "doc_id", "start").join(found, "sha").where("least < doc_id")
              .groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct(
                  (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + width - 1).alias("hi")))).alias("spans")))
