@@ -51,8 +51,11 @@ def _exact(rows):
     return {i: (len(sets[i]), root(i)) for i in sets}
 
 
-@pytest.mark.parametrize("hubs", [0, 2])
-def test_jaccard_components_equal_brute_force(spark, hubs):
+@pytest.mark.parametrize("hubs,crowded,block", [(0, 32, 512), (1, 3, 7), (3, 32, 512)])
+def test_jaccard_components_equal_brute_force(spark, monkeypatch, hubs, crowded, block):
+    monkeypatch.setattr(ngram_join, "CROWDED", crowded)
+    monkeypatch.setattr(ngram_join, "ROWS", block)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 64 if block < 512 else 4096)
     rows = _near_copies()
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, component_id int")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs, hub_rounds=hubs).collect()}
