@@ -21,6 +21,8 @@ BOILERPLATE = (
     "javascript", "lorem ipsum", "licensed under", "click here", "subscribe to", "sign up for",
     "back to top", "skip to content", "share this", "powered by", "copyright ©", "©",
 )
+# Scripts written without spaces: their lines have few words however much they say.
+UNSPACED = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]+"
 MENU = ("home", "menu", "login", "log in", "sign in", "register", "search", "next", "previous",
         "read more", "contact", "contact us", "about", "about us")
 
@@ -54,18 +56,24 @@ def repeated_words(windows: Column, width: int) -> Column:
 def line_fails(line: Column, n_symbols: Column, short_chars: int, min_open_words: int,
                max_symbol_share: float) -> Column:
     """The line rules: navigation, boilerplate, punctuation.  Empty lines never fail."""
+    phrases = F.lit("|".join(sorted(BOILERPLATE, key=len, reverse=True)))
+
     def of(raw: Column) -> Column:
         low = F.lower(raw)
+        size = F.greatest(F.length(raw), F.lit(short_chars))
         hits = [low.contains(x) for x in BOILERPLATE]
         boilerplate = hits[0]
         for h in hits[1:]:
             boilerplate = boilerplate | h
+        boilerplate = boilerplate & ((F.length(raw) <= short_chars)
+                                     | (F.regexp_count(low, phrases) * short_chars >= size))
         seps = F.lit(0)
         for s in SEPARATORS:
             seps = seps + (F.length(raw) - F.length(F.replace(raw, F.lit(s), F.lit("")))) / len(s)
-        navigation = (seps >= 2) | low.isin(*MENU)
-        unfinished = ~raw.rlike(r"[.!?:;…。！？\"'”’)\]]$") & (F.size(words_of(raw)) < min_open_words)
-        return (F.length(raw) <= short_chars) & (boilerplate | navigation | unfinished)
+        navigation = (seps * short_chars >= 2 * size) | low.isin(*MENU)
+        unfinished = (~raw.rlike(r"[.!?:;…。！？\"'”’)\]]$") & (F.size(words_of(raw)) < min_open_words)
+                      & (F.length(F.regexp_replace(raw, UNSPACED, "")) <= short_chars))
+        return boilerplate | navigation | unfinished
 
     def noisy(raw: Column) -> Column:
         symbols = F.length(F.regexp_replace(raw, r"[^#*$%&|<>]+", ""))
@@ -84,10 +92,12 @@ def clean_documents(docs: DataFrame, text: str = "text", min_words: int = 10,
                     max_loss: float = 0.5) -> DataFrame:
     """Every row of ``docs`` with its counts, its cleaned text and the verdict ``kept``.
 
-    A line fails if it is mostly symbols or, when at most ``short_chars`` long, holds a
-    boilerplate phrase, looks like navigation (two separators, a menu word) or is a fragment
-    of under ``min_open_words`` words without closing punctuation.  A document is kept if it
-    passes the base rules and loses at most ``max_loss`` of its words with its failed lines.
+    A line of any length fails if it is mostly symbols, holds a boilerplate phrase for every
+    ``short_chars`` characters, looks like navigation (two separators for every ``short_chars``
+    characters, a menu word) or is a fragment of under ``min_open_words`` words without closing
+    punctuation; a line of up to ``short_chars`` counts as that long.  More than ``short_chars``
+    letters of a script without spaces are no fragment.  A document is kept if it passes the
+    base rules and loses at most ``max_loss`` of its words with its failed lines.
     """
     own = [c for c in docs.columns if c.lower() not in RESULTS]
     src = F.coalesce(F.col(f"`{text}`"), F.lit(""))
