@@ -1,12 +1,14 @@
-"""Line dedup: a suffix array over line-ID sequences, built by distributed prefix doubling.
+"""Line dedup: a suffix array over line-ID sequences, built by distributed rounds of pairs.
 
 A document is the sequence of its lines that have a word.  Suffixes are ordered by their first
-1, 2, 4 ... lines; each round orders pairs of ranks (a suffix and the suffix that many lines
-on), until ``min_lines`` lines are ordered.  Suffixes that are alone with their prefix leave
-after every round.  Neighbours with equal ``min_lines``-line prefixes form the intervals of
-longest common prefix >= ``min_lines``: the repeated runs.  The first place of an interval (the
-smallest document, then line) stays and the run is deleted at all later places; overlapping and
-adjoining runs with one origin make up a maximal run.
+1, 2, 3 ... lines; each round orders pairs of ranks (a suffix and the suffix one line on), until
+``min_lines`` lines are ordered, so that every length of a run up to there is seen.  Suffixes
+that are alone with their prefix leave after every round.  Neighbours with equal prefixes form
+intervals of common prefixes: the repeated runs.  A run counts with ``min_lines`` lines, with
+``min_words`` words in fewer lines or, for ``whole_documents``, if it is the whole document that
+has it later.  The first place of an interval (the smallest document, then line) stays and the
+run is deleted at all later places; overlapping and adjoining runs with one origin make up a
+maximal run.
 
 Ranks are given to distinct pairs (counted map-side first, then dealt by range and numbered
 inside each range after the rows of the ranges before), so a line that a third of the corpus
@@ -21,22 +23,36 @@ through, and those named like a result column are replaced by it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlens.llm.common import staged
+from cartlens.llm.line_quality import let, words_of
 
 RESULTS = ("n_lines", "n_removed", "n_runs", "longest_run")
 PLACE = ["id", "th"]
 
 
-def line_places(docs: DataFrame) -> DataFrame:
-    """One row per line that has a word: place (id, th, line) and the line's hash."""
+def line_places(docs: DataFrame, min_lines: int, min_words: int, whole_documents: bool) -> DataFrame:
+    """One row per line that has a word: place (id, th, line), the line's hash and ``short``, the
+    numbers of lines under ``min_lines`` from there on that count if they are repeated."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    # Hashes first: then only numbers leave the array.
     kept = F.filter(lines, lambda x: x.rlike(r"[^ \t-\r]"))
-    return (docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"),
-                        F.posexplode(F.transform(kept, lambda x: F.xxhash64(x, F.lit(1)))).alias("line", "h")))
+
+    def short(all_lines: Column, i: Column) -> Column:
+        counts = []
+        for k in range(1, min_lines):
+            words = sum((F.get(all_lines, i + j)["n"] for j in range(k)), F.lit(0))     # null past the end
+            counts.append(F.when((words >= min_words) | (F.lit(whole_documents) & (i == 0) & (F.size(all_lines) == k)), k))
+        return F.filter(F.array(*counts).cast("array<int>"), lambda k: k.isNotNull())
+
+    # Hashes first: then only numbers leave the array.
+    numbers = F.transform(kept, lambda x: F.struct(F.xxhash64(x, F.lit(1)).alias("h"), F.size(words_of(x)).alias("n")))
+    places = let(numbers, lambda v: F.transform(v, lambda x, i: F.struct(x["h"].alias("h"), short(v, i).alias("short"))))
+    return (docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.posexplode(places).alias("line", "x"))
+            .select("id", "th", "line", "x.h", "x.short"))
 
 
 def _ranked(keys: DataFrame) -> DataFrame:
@@ -51,38 +67,40 @@ def _ranked(keys: DataFrame) -> DataFrame:
 
 
 def repeated_prefixes(places: DataFrame, length: int) -> DataFrame:
-    """Places whose next ``length`` lines also stand elsewhere: the interval's rank and first place."""
-    counted = places.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    now = staged(places.join(counted, "h", "left_semi").withColumnRenamed("h", "rank"))
-    now = now.withColumn("first", F.struct(*PLACE, "line"))
-    done = 1
-    while True:
-        step = min(done, length - done)
-        if step == 0 and done > 1:
-            return now
-        # Same doc, ``step`` lines on; missing: the run ends, or goes on like no other.
-        ahead = Window.partitionBy(*PLACE).orderBy("line").rangeBetween(step, step)
-        pairs = now.select(*PLACE, "line", F.col("rank").alias("r1"), F.first("rank").over(ahead).alias("r2")).where("r2 IS NOT NULL")
-        pairs = staged(pairs)
-        keys = (pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE, "line")).alias("first"))
-                .where("n > 1"))
-        now = staged(pairs.join(_ranked(keys), ["r1", "r2"]).select(*PLACE, "line", "rank", "first"))
-        done += step
-        if length == 1:
-            return now
-
-
-def remove_repeated_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
+    """Places whose next ``size`` lines also stand elsewhere, with their first place: ``size`` is
+    ``length`` or a number of lines in the place's ``short``."""
+    counted = places.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE, "line")).alias("first"))
+    now = staged(places.join(counted.where("n > 1").drop("n"), "h").withColumnRenamed("h", "rank"))
+    out = []
+    for done in range(1, length + 1):
+        if done > 1:
+            # Same doc, a line on; missing: the run ends, or goes on like no other.
+            ahead = Window.partitionBy(*PLACE).orderBy("line").rangeBetween(1, 1)
+            pairs = staged(now.select(*PLACE, "line", "short", F.col("rank").alias("r1"), F.first("rank").over(ahead).alias("r2"))
+                           .where("r2 IS NOT NULL"))
+            keys = (pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE, "line")).alias("first"))
+                    .where("n > 1"))
+            now = staged(pairs.join(_ranked(keys), ["r1", "r2"]).select(*PLACE, "line", "short", "rank", "first"))
+        found = now if done == length else now.where(F.array_contains("short", done))
+        out.append(found.select(*PLACE, "line", "first", F.lit(done).alias("size")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def remove_repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 50,
+                         whole_documents: bool = False) -> DataFrame:
     """Rows of ``docs`` (doc_id, text, ...) with later copies of line runs cut out of ``text``."""
     own = [c for c in docs.columns if c.lower() not in RESULTS]
     docs = docs.select(*[F.col(f"`{c}`") for c in own])
-    later = repeated_prefixes(line_places(docs), min_lines).where(F.col("first") != F.struct(*PLACE, "line"))
+    places = line_places(docs, min_lines, min_words, whole_documents)
+    later = repeated_prefixes(places, min_lines).where(F.col("first") != F.struct(*PLACE, "line"))
+    # The longest of a place's runs; the shorter ones are parts of it.
+    later = later.groupBy(*PLACE, "line").agg(F.max(F.struct("size", "first")).alias("x")).select(*PLACE, "line", "x.*")
     # Consecutive places copied from consecutive lines of one document are one maximal run.
     w = Window.partitionBy(*PLACE).orderBy("line")
     same = ((F.lag("line").over(w) == F.col("line") - 1) & F.lag("first.id").over(w).eqNullSafe(F.col("first.id"))
             & F.lag("first.th").over(w).eqNullSafe(F.col("first.th")) & (F.lag("first.line").over(w) == F.col("first.line") - 1))
     runs = (later.withColumn("run", F.sum(F.when(same, 0).otherwise(1)).over(w))
-            .groupBy(*PLACE, "run").agg(F.min("line").alias("lo"), (F.max("line") + min_lines).alias("hi"))
+            .groupBy(*PLACE, "run").agg(F.min("line").alias("lo"), F.max(F.col("line") + F.col("size")).alias("hi"))
             .groupBy(*PLACE).agg(F.collect_list(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("gone"),
                                  F.count("*").alias("n_runs"), F.max(F.col("hi") - F.col("lo")).cast("long").alias("longest_run"))
             .select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.array_distinct(F.flatten("gone")).alias("__gone"),
@@ -105,7 +123,7 @@ def remove_repeated_runs(docs: DataFrame, min_lines: int = 3) -> DataFrame:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return remove_repeated_runs(docs.select("doc_id", "text")).select(
+    return remove_repeated_runs(docs.select("doc_id", "text"), whole_documents=True).select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

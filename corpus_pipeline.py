@@ -40,7 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mine = _apart(docs, ["doc_id", "text"])
-    cut = line_dedup.remove_repeated_runs(mine).where("n_lines = 0 OR n_removed < n_lines")
+    cut = line_dedup.remove_repeated_runs(mine, whole_documents=True).where("n_lines = 0 OR n_removed < n_lines")
     out = cut.select(*mine.columns).toDF(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
