@@ -4,8 +4,10 @@ Equal vectors of one label first become one class with a count.  The classes of
 dealt to shards of at most about ``shard_rows``; for every two shards of a label one task builds
 the graph of the first and asks it with the vectors of both.  A search walks to the ``ef`` nearest and from those within the threshold
 goes on, front by front, through all neighbours within it, so a crowded neighbourhood is walked
-whole.  Each task audits its answers against brute force on evenly spaced vectors and
-doubles ``ef`` until the recall asked for is reached.  Cosines are computed in double precision.
+whole.  Each task audits its answers against brute force on vectors that have a neighbour other
+than themselves and doubles ``ef`` until the recall asked for, averaged by vector, is reached; if
+the widest beam fails, or a recall of 1 is asked for, or too few vectors with a neighbour are found,
+the search is exact.  Cosines are computed in double precision.
 
 A task returns one row per class (links and the smallest class it is connected to), never pairs;
 the connected classes of all tasks meet in ``components``.
@@ -19,6 +21,7 @@ another; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from math import log
 
 import numpy as np
@@ -50,10 +53,14 @@ class SmallWorld:
         ends = np.unique(np.stack((np.append(a, b), np.append(b, a))), axis=1)
         self.first, self.other = np.searchsorted(ends[0], np.arange(n + 1)), ends[1]
 
-    def _walk(self, q: np.ndarray, starts: list[tuple[float, int]], ef: int, level: int) -> list[tuple[float, int]]:
+    def _both(self, i: int) -> np.ndarray:
+        return self.other[self.first[i]:self.first[i + 1]]
+
+    def _walk(self, q: np.ndarray, starts: list[tuple[float, int]], ef: int, level: int,
+              links=None) -> list[tuple[float, int]]:
         """Best-first walk of one level: the ``ef`` nearest that it meets, the nearest first."""
         self.stamp += 1
-        links, x, seen, stamp = self.links[level], self.x, self.seen, self.stamp
+        links, x, seen, stamp = links or self.links[level].__getitem__, self.x, self.seen, self.stamp
         todo, best = [], []
         for s, i in starts:
             seen[i] = stamp
@@ -65,7 +72,7 @@ class SmallWorld:
             s, i = heapq.heappop(todo)
             if len(best) >= ef and -s < best[0][0]:
                 break
-            near = links[i]
+            near = links(i)
             near = near[seen[near] != stamp]
             if not len(near):
                 continue
@@ -131,7 +138,7 @@ class SmallWorld:
         at = [(float(self.x[self.entry] @ q), self.entry)]
         for lv in range(len(self.links) - 1, 0, -1):
             at = self._walk(q, at[:1], 1, lv)
-        at = self._walk(q, at[:1], ef, 0)
+        at = self._walk(q, at[:1], ef, 0, self._both)
         # From the near ones found, front by front through all that are within the radius.
         front = np.array([i for sim, i in at if sim >= radius], np.int64)
         found = [front]
@@ -147,18 +154,42 @@ class SmallWorld:
         return np.concatenate(found)
 
 
+def exact_search(index: np.ndarray, queries: np.ndarray, radius: float, block: int = 256) -> Iterator[np.ndarray]:
+    for lo in range(0, len(queries), block):
+        for row in queries[lo:lo + block] @ index.T >= radius:
+            yield np.flatnonzero(row)
+
+
 def audited_search(index: np.ndarray, queries: np.ndarray, radius: float, recall: float,
-                   audits: int = 64) -> list[np.ndarray]:
-    """For each query the rows of ``index`` within ``radius``; beams widen until the audit passes."""
-    graph, ef = SmallWorld(index), 16
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(audits, len(queries))).astype(int))
-    exact = queries[sample] @ index.T >= radius
-    while ef < 2 * len(index):
-        found = sum(int(exact[k, graph.within(queries[s], radius, ef)].sum()) for k, s in enumerate(sample))
-        if found >= recall * exact.sum():
-            break
-        ef *= 2
-    return [graph.within(q, radius, ef) for q in queries]
+                   audits: int = 64, same: bool = False) -> Iterator[np.ndarray]:
+    """For each query the rows of ``index`` within ``radius``; beams widen until the audit passes.
+
+    The audit takes queries, spread evenly, until ``audits`` of them have a true neighbour (for
+    ``same``, queries that are the index, other than themselves); if the queries run out first,
+    all of them have been searched exactly.
+    """
+    if recall >= 1:
+        return exact_search(index, queries, radius)
+    order = np.argsort((np.arange(len(queries)) * 0.6180339887498949) % 1, kind="stable")
+    known, sample = {}, []
+    for k, hits in zip(order.tolist(), exact_search(index, queries[order], radius)):
+        known[k] = hits
+        if len(hits) > (same and k in hits):
+            sample.append(k)
+            if len(sample) == audits:
+                break
+    if len(known) < len(queries):
+        graph, ef = SmallWorld(index), 16
+        while ef < 2 * len(index):
+            shares = []
+            for k in sample:
+                true = known[k][known[k] != k] if same else known[k]
+                shares.append(np.isin(true, graph.within(queries[k], radius, ef)).mean())
+            if np.mean(shares) >= recall:
+                return (known[k] if k in known else graph.within(q, radius, ef) for k, q in enumerate(queries))
+            ef *= 2
+        return exact_search(index, queries, radius)
+    return (known[k] for k in range(len(queries)))
 
 
 def _root(parent: list[int], i: int) -> int:
@@ -200,7 +231,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
         same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
         first = 0 if same else n                  # two shards: the second asks the graph of the first
         if n and first < len(x):
-            for k, hits in enumerate(audited_search(x[:n], x[first:], threshold, recall), first):
+            for k, hits in enumerate(audited_search(x[:n], x[first:], threshold, recall, same=same), first):
                 hits = hits[hits != k] if same else hits
                 links[k] += copies[hits].sum()
                 if not same:
