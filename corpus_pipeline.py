@@ -7,7 +7,8 @@ next stage's documents.  Between stages the documents are written as Parquet and
 2. line_dedup: later copies of repeated line runs go; documents of which nothing is left go.
 3. ngram_join: of each group of near-duplicates the document with the smallest id stays.
 4. mixing: the documents in the order of the mix; smaller sources come again until every
-   source has been read whole, so rows repeat in proportion to the target weights.
+   source has been read whole, so rows repeat in proportion to the target weights.  Files keep no
+   order, so only the repeats reach the next stage; ``run`` writes the positions if asked to.
 5. sentencepiece: sampled segmentations with their inclusion scores.
 
 Rows that share a doc_id are one document; documents without an id pass stages 1, 2, 4 and 5 on
@@ -73,9 +74,13 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, positions: str | None = None) -> DataFrame:
+    """The result of all stages; the places of the mix (doc_id, source, epoch, block, slot,
+    position: one row per row that the stage returns) go to the Parquet path ``positions``."""
     docs = read_table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
+    for k, (name, stage) in enumerate(STAGES):
+        if positions is not None and name == "mixing":
+            mixing.query(docs).write.parquet(positions)
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = staged(docs)
