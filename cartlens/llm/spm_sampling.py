@@ -33,6 +33,7 @@ import heapq
 import math
 import re
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -397,14 +398,16 @@ def _ids(pieces: np.ndarray) -> np.ndarray:
 
 
 def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0, seed: int = 42, key: str = "doc_id",
-           text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+           text: str = "text", keep: tuple[str, ...] = (), read_back: bool = False) -> DataFrame:
     """Up to ``k`` sampled segmentations a row: key, sample, tokens, n_pieces, log_prob,
-    perturbed and inclusion; ``tokens`` are 16-bit little-endian piece ids."""
+    perturbed and inclusion; ``tokens`` are 16-bit little-endian piece ids.  ``read_back`` decodes
+    them where they are made and adds decoded_sha256, the digest of that text."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(vocabulary(load_pieces(model), alpha))
-    keep = tuple(c for c in dict.fromkeys((key, *keep)) if c.lower() not in
-                 ("sample", "tokens", "n_pieces", "log_prob", "perturbed", "inclusion"))
-    names = [*keep, "sample", "tokens", "n_pieces", "log_prob", "perturbed", "inclusion"]
+    back = spark.sparkContext.broadcast(piece_bytes(model)) if read_back else None
+    results = ["sample", "tokens", "n_pieces", "log_prob", "perturbed", "inclusion", *["decoded_sha256"] * read_back]
+    keep = tuple(c for c in dict.fromkeys((key, *keep)) if c.lower() not in results)
+    names = [*keep, *results]
 
     def rows(batch: pa.RecordBatch, at: list[int], found: list[tuple[_Text, float]]) -> pa.RecordBatch:
         where, sample, tokens, n, lps, tops, inc = [], [], [], [], [], [], []
@@ -415,8 +418,11 @@ def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0,
                 lps.append(lp), tops.append(top)
                 inc.append(1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(700.0, lp - kappa))))
         cols = [batch.column(c).take(pa.array(where)) for c in keep]
+        digests = [] if back is None else [
+            pa.array([sha256(decode_ids(x, back.value).encode("utf-8", "surrogatepass")).hexdigest() for x in tokens], pa.string())]
         return pa.RecordBatch.from_arrays([*cols, pa.array(sample, pa.int32()), pa.array(tokens, pa.binary()), pa.array(n, pa.int32()),
-                                           pa.array(lps, pa.float64()), pa.array(tops, pa.float64()), pa.array(inc, pa.float64())], names=names)
+                                           pa.array(lps, pa.float64()), pa.array(tops, pa.float64()), pa.array(inc, pa.float64()),
+                                           *digests], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = Lattices(sent.value)
@@ -442,7 +448,8 @@ def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0,
     kind = docs.schema[key].dataType.typeName()
     number = F.col(key).cast("long") if kind in ("long", "integer", "short", "byte") else F.xxhash64(F.col(key))
     return docs.select(*keep, number.alias("__key"), F.col(text).alias("__text")).mapInArrow(
-        run, f"{fields}, sample int, tokens binary, n_pieces int, log_prob double, perturbed double, inclusion double")
+        run, f"{fields}, sample int, tokens binary, n_pieces int, log_prob double, perturbed double, inclusion double"
+        + ", decoded_sha256 string" * read_back)
 
 
 def decode_ids(tokens: bytes | None, pieces: list[bytes]) -> str:
@@ -471,6 +478,7 @@ def decode(encoded: DataFrame, model: str = MODEL, tokens: str = "tokens") -> Da
     return encoded.select(*own).mapInArrow(run, f"{fields}, decoded string")
 
 
-def query(docs: DataFrame) -> DataFrame:
-    return encode(docs.select("doc_id", "text")).select(
-        "doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", F.sha2("tokens", 256).alias("tokens_sha256"))
+def query(docs: DataFrame, k: int = 4) -> DataFrame:
+    return encode(docs.select("doc_id", "text"), k, read_back=True).select(
+        "doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", F.sha2("tokens", 256).alias("tokens_sha256"),
+        "decoded_sha256")
