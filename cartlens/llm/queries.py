@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlens.llm import (chat_trees, fm_dedup, hnsw_dedup, langid, line_dedup, line_quality, mixing, ngram_join,
-                          periodic_runs, spm_sampling, toxicity)
+                          periodic_runs, spm_sampling, toxicity, warc_zip)
 from cartlens.llm.common import read_table
 
 
@@ -55,14 +55,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.query(read_table(spark, sf_dir, "documents"))
 
 
+def op13_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.query(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_mixing, op3_sentencepiece, op4_line_quality, op5_ngram_join,
                             op6_toxicity, op7_substring_dedup, op8_line_dedup, op9_chat_trees, op10_embedding_dedup,
-                            op12_periodic_runs)}
+                            op12_periodic_runs, op13_warc_zip)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op4_line_quality": line_quality.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
     "op9_chat_trees": chat_trees.ORACLE,
+    "op13_warc_zip": warc_zip.ORACLE,
 }
