@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlens.llm import (chat_trees, fm_dedup, hnsw_dedup, langid, line_dedup, line_quality, mixing, ngram_join,
-                          periodic_runs, spm_sampling, toxicity, warc_zip)
+from cartlens.llm import (chat_trees, collocations, fm_dedup, hnsw_dedup, langid, line_dedup, line_quality, mixing,
+                          ngram_join, periodic_runs, spm_sampling, toxicity, warc_zip)
 from cartlens.llm.common import read_table
 
 
@@ -51,6 +51,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw_dedup.query(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.query(read_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.query(read_table(spark, sf_dir, "documents"))
 
@@ -62,12 +66,13 @@ def op13_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_mixing, op3_sentencepiece, op4_line_quality, op5_ngram_join,
                             op6_toxicity, op7_substring_dedup, op8_line_dedup, op9_chat_trees, op10_embedding_dedup,
-                            op12_periodic_runs, op13_warc_zip)}
+                            op11_collocations, op12_periodic_runs, op13_warc_zip)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op4_line_quality": line_quality.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
     "op9_chat_trees": chat_trees.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op13_warc_zip": warc_zip.ORACLE,
 }
