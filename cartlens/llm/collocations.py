@@ -277,10 +277,10 @@ WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
                   unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
            FROM documents WHERE text IS NOT NULL),
      q AS (SELECT lang, row_number() OVER () AS pid, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
-     w AS (SELECT lang, pid, unnest(ws) AS w1, unnest(range(1, len(ws) + 1)) AS at, ws FROM q),
-     g AS (SELECT lang, unnest([w1, CASE WHEN at + 1 <= len(ws) THEN array_to_string(ws[at:at + 1], ' ') END,
-                                CASE WHEN at + 2 <= len(ws) THEN array_to_string(ws[at:at + 2], ' ') END,
-                                CASE WHEN at + 3 <= len(ws) THEN array_to_string(ws[at:at + 3], ' ') END]) AS phrase FROM w),
+     w AS (SELECT lang, pid, unnest(ws) AS w1, unnest(range(1, len(ws) + 1)) AS o, ws FROM q),
+     g AS (SELECT lang, unnest([w1, CASE WHEN o + 1 <= len(ws) THEN array_to_string(ws[o:o + 1], ' ') END,
+                                CASE WHEN o + 2 <= len(ws) THEN array_to_string(ws[o:o + 2], ' ') END,
+                                CASE WHEN o + 3 <= len(ws) THEN array_to_string(ws[o:o + 3], ' ') END]) AS phrase FROM w),
      f AS (SELECT lang, phrase, string_split(phrase, ' ') AS ws, count(*)::HUGEINT AS f FROM g WHERE phrase IS NOT NULL
            GROUP BY lang, phrase HAVING count(*) >= 30),
      t AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
