@@ -1,16 +1,18 @@
 """Phrase collocations: counts of word sequences by direct-address tiles over frequency-ranked ids.
 
 Texts are coded once, in blocks of whole documents, as numbers of the block's own distinct words.
-Per level the distinct units of all blocks are counted together, those found ``min_count`` times or
-more get ids in order of frequency over the whole corpus, and each block gets the ids of its own
-units back, so no task and no broadcast holds the vocabulary.
+Per level the distinct units of all blocks meet in buckets by their hash: a bucket adds up the
+counts, ranks the units found ``min_count`` times or more by frequency (the r-th of bucket b of B
+gets id r B + b, so small ids are the frequent ones over the whole corpus) and returns to each block
+the ids of the block's own units.  No task and no broadcast holds the vocabulary; blocks and buckets
+are of bounded size, a unit is at most one entry a block, and arrays, not rows, are shuffled.
 
 A block then counts neighbouring units.  The id square is dealt into tiles of ``TILE`` ids a side;
 since ids go by frequency, few tiles near the origin hold most pairs.  Where a block fills a tile
 densely, pairs address the cells of a numpy array and one ``bincount`` counts them; the rest is
-sorted as coordinates (COO) and counted by runs.  The counts of all blocks are added by Spark.
-Frequent pairs are ranked again and become the units of the next level: neighbouring units of w
-words share w - 1 words, so their pairs are the phrases of w + 1 words.
+sorted as coordinates (COO) and counted by runs.  Frequent pairs are ranked again and become the
+units of the next level: neighbouring units of w words share w - 1 words, so their pairs are the
+phrases of w + 1 words.
 
 A phrase's best cut is the one with the lowest score; all arithmetic is whole numbers or decimals.
 
@@ -25,33 +27,54 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import staged, texts_of
+from cartlens.llm.common import mix64, staged, texts_of
 from cartlens.session import target_partitions
 
 TILE = 512                              # ids a side of a tile
 DENSE = TILE * TILE // 16               # pairs of a block from which a tile is counted by address
-ROWS = 1 << 16
+BUCKET = 1 << 20                        # entries that a bucket is meant to hold
+BLOCK_WORDS = 1 << 21
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
-WORD_ROWS = "block long, seq binary, lid int, lang string, word binary, n long"
-PAIR_ROWS = "block long, seq binary, lid int, i long, j long, n long"
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+# What a level's blocks write: the coded sequence, or the distinct units with their counts.
+WORD_BLOCKS = "block long, seq binary, lang string, words binary, lid binary, n binary, size long, total long"
+PAIR_BLOCKS = "block long, seq binary, i binary, j binary, n binary, size long"
+WORD_ENTRIES = "bucket long, block long, lang string, words binary, lid binary, n binary"
+PAIR_ENTRIES = "bucket long, block long, i binary, j binary, lid binary, n binary"
+# What a bucket returns: a frequent unit with its id, or a block's numbers and their ids.
+WORD_IDS = "id long, lang string, word binary, f long, block long, lid binary, ids binary"
+PAIR_IDS = "id long, i long, j long, f long, block long, lid binary, ids binary"
+_ARROW = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
 
 
 def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(c.split()[0], _ARROW[c.split()[1]]) for c in ddl.split(", ")])
 
 
-def _batches(schema: pa.Schema, columns: dict) -> Iterator[pa.RecordBatch]:
-    """Columns in slices of ``ROWS`` rows; what is not given is null."""
+def _batch(ddl: str, **columns) -> pa.RecordBatch:
+    """Columns of equal length; what is not given is null."""
     size = len(next(iter(columns.values())))
-    for at in range(0, size, ROWS):
-        n = min(ROWS, size - at)
-        yield pa.RecordBatch.from_arrays([pa.array(columns[f.name][at:at + n], f.type) if f.name in columns else pa.nulls(n, f.type)
-                                          for f in schema], schema=schema)
+    schema = _schema(ddl)
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type)
+                                       for f in schema], schema=schema)
+
+
+def pack(numbers: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers in 32 bits where they fit; rising ones as differences, which compress well."""
+    if rising:
+        numbers = np.diff(numbers, prepend=0)
+    small = not len(numbers) or (numbers.max() < 2**31 and numbers.min() >= -2**31)
+    return numbers.astype(np.int32).tobytes() if small else b"w" + numbers.astype(np.int64).tobytes()
+
+
+def unpack(raw: bytes, rising: bool = False) -> np.ndarray:
+    wide = len(raw) % 4
+    numbers = np.frombuffer(raw, np.int64 if wide else np.int32, offset=1 if wide else 0).astype(np.int64)
+    return np.cumsum(numbers) if rising else numbers
 
 
 # -- level 1: words -----------------------------------------------------------------
@@ -77,7 +100,7 @@ def pieces(text: str | None) -> Iterator[list[bytes]]:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
-    schema, place, blocks = _schema(WORD_ROWS), TaskContext.get().partitionId(), 0
+    place, blocks = TaskContext.get().partitionId(), 0
 
     def new():
         return [], {}, array("i")
@@ -85,12 +108,13 @@ def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
     def flush() -> Iterator[pa.RecordBatch]:
         block = (place << 31) + blocks
         seq = np.frombuffer(seq_, np.int32)
-        yield from _batches(schema, {"block": [block], "seq": [seq.tobytes()]})
-        langs = np.empty(len(taken), object)
+        yield _batch(WORD_BLOCKS, block=[block], seq=[seq.tobytes()])
+        counts = np.bincount(seq[seq >= 0], minlength=len(taken))
         for lang, numbers in by_lang.items():
-            langs[list(numbers.values())] = lang
-        yield from _batches(schema, {"block": np.full(len(taken), block), "lid": np.arange(len(taken), dtype=np.int32), "lang": langs,
-                                     "word": taken, "n": np.bincount(seq[seq >= 0], minlength=len(taken))})
+            if numbers:
+                lid = np.fromiter(numbers.values(), np.int64, len(numbers))
+                yield _batch(WORD_BLOCKS, block=[block], lang=[lang], words=[b" ".join(numbers)], lid=[pack(lid, True)],
+                             n=[pack(counts[lid])], size=[len(lid)], total=[int(counts[lid].sum())])
 
     taken, by_lang, seq_ = new()
     for batch in batches:
@@ -99,7 +123,7 @@ def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
             for words in pieces(text):
                 seq_.extend(map(number, words))
                 seq_.append(-1)
-            if len(seq_) >= block_words:
+            if len(seq_) >= block_words or len(taken) >= block_words // 4:
                 yield from flush()
                 blocks += 1
                 taken, by_lang, seq_ = new()
@@ -107,6 +131,59 @@ def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
         yield from flush()
 
 
+def _deal_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, lang, words, lid, n in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "words", "lid", "n"))):
+            words = words.split(b" ")
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) ^ np.uint64(xxhash.xxh64_intdigest(lang or ""))
+            lid, n = unpack(lid, True), unpack(n)
+            for bucket, mine in _dealt(hashes, buckets):
+                yield _batch(WORD_ENTRIES, bucket=[bucket], block=[block], lang=[lang], words=[b" ".join([words[k] for k in mine.tolist()])],
+                             lid=[pack(lid[mine], True)], n=[pack(n[mine])])
+
+
+def _dealt(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Entries of each bucket, in their order."""
+    which = (mix64(hashes) % np.uint64(buckets)).astype(np.int64)
+    by = np.argsort(which, kind="stable")
+    first = np.flatnonzero(np.append(True, which[by][1:] != which[by][:-1])) if len(by) else np.empty(0, np.int64)
+    for lo, hi in zip(first, np.append(first[1:], len(by))):
+        yield int(which[by[lo]]), by[lo:hi]
+
+
+def _ids(f: np.ndarray, bucket: int, buckets: int, min_count: int) -> np.ndarray:
+    """Ids of the frequent units of a bucket by falling count, -1 for the others."""
+    ids = np.full(len(f), -1, np.int64)
+    often = np.flatnonzero(f >= min_count)
+    ids[often[np.argsort(-f[often], kind="stable")]] = np.arange(len(often)) * buckets + bucket
+    return ids
+
+
+def _returned(ddl: str, blocks: list[int], lids: list[np.ndarray], unit: list[np.ndarray], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for block, lid, u in zip(blocks, lids, unit):
+        mine = ids[u]
+        if (mine >= 0).any():
+            yield _batch(ddl, block=[block], lid=[pack(lid[mine >= 0], True)], ids=[pack(mine[mine >= 0])])
+
+
+def _word_bucket(group: pa.Table, buckets: int, min_count: int) -> pa.Table:
+    blocks, lids, unit, counts, names, by_lang = [], [], [], [], [], {}
+    for block, lang, words, lid, n in zip(*(group.column(c).to_pylist() for c in ("block", "lang", "words", "lid", "n"))):
+        number = by_lang.setdefault(lang, _Numbers(names)).__getitem__
+        blocks.append(block), lids.append(unpack(lid, True)), counts.append(unpack(n))
+        unit.append(np.array(list(map(number, words.split(b" "))), np.int64))
+    f = np.zeros(len(names), np.int64)
+    for u, n in zip(unit, counts):
+        f[u] += n                                       # a block has each word of a lang once
+    ids = _ids(f, group.column("bucket")[0].as_py(), buckets, min_count)
+    langs = np.empty(len(names), object)
+    for lang, numbers in by_lang.items():
+        langs[list(numbers.values())] = lang
+    often = np.flatnonzero(ids >= 0)
+    found = _batch(WORD_IDS, id=ids[often], lang=langs[often], word=[names[k] for k in often.tolist()], f=f[often])
+    return pa.Table.from_batches([found, *_returned(WORD_IDS, blocks, lids, unit, ids)], _schema(WORD_IDS))
+
+
 # -- tiles ----------------------------------------------------------------------------
 
 def count_pairs(left: np.ndarray, right: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tuple[np.ndarray, ...]:
@@ -143,58 +220,75 @@ def count_pairs(left: np.ndarray, right: np.ndarray, tile: int = TILE, dense: in
 
 def _pairs(seqs: pa.Table, ids: pa.Table) -> pa.Table:
     """One block: its sequence with corpus-wide ids, the pairs of neighbours counted and numbered."""
-    schema, batches = _schema(PAIR_ROWS), []
-    lid, wide = ids.column("lid").to_numpy(), ids.column("id").to_numpy()
+    batches = []
+    known = [(unpack(a, True), unpack(b)) for a, b in zip(ids.column("lid").to_pylist(), ids.column("ids").to_pylist())]
     for block, raw in zip(seqs.column("of").to_pylist(), seqs.column("seq")):
-        seq = np.frombuffer(raw.as_py(), np.int32)
+        seq = np.frombuffer(raw.as_buffer(), np.int32)
         names = np.full(int(seq.max(initial=0)) + 2, -1, np.int64)    # the last one stands for -1
-        names[lid] = wide
+        for lid, wide in known:
+            names[lid] = wide
         units = names[seq]
         at = np.flatnonzero((units[:-1] >= 0) & (units[1:] >= 0))
         if not len(at):
             continue
         i, j, n, number = count_pairs(units[at], units[at + 1])
+        order = np.lexsort((j, i))                      # rising first ids and numbers compress well
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
         out = np.full(len(seq) - 1, -1, np.int32)
-        out[at] = number
-        batches += _batches(schema, {"block": [block], "seq": [out.tobytes()]})
-        batches += _batches(schema, {"block": np.full(len(n), block), "lid": np.arange(len(n), dtype=np.int32), "i": i, "j": j, "n": n})
-    return pa.Table.from_batches(batches, schema)
-
+        out[at] = place[number]
+        batches += [_batch(PAIR_BLOCKS, block=[block], seq=[out.tobytes()]),
+                    _batch(PAIR_BLOCKS, block=[block], i=[pack(i[order], True)], j=[pack(j[order])], n=[pack(n[order])], size=[len(n)])]
+    return pa.Table.from_batches(batches, _schema(PAIR_BLOCKS))
 
-# -- levels -----------------------------------------------------------------------------
 
-def _ranked(counts: DataFrame, tie: list[str]) -> DataFrame:
-    """Ids 0, 1, ... in order of falling count: a range split sorted in place, then offsets.
+def _deal_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, i, j, n in zip(*(batch.column(c).to_pylist() for c in ("block", "i", "j", "n"))):
+            i, j, n = unpack(i, True), unpack(j), unpack(n)
+            for bucket, mine in _dealt(mix64(i.view(np.uint64)) + j.view(np.uint64), buckets):
+                yield _batch(PAIR_ENTRIES, bucket=[bucket], block=[block], i=[pack(i[mine], True)], j=[pack(j[mine])],
+                             lid=[pack(mine, True)], n=[pack(n[mine])])
+
+
+def _pair_bucket(group: pa.Table, buckets: int, min_count: int) -> pa.Table:
+    blocks = group.column("block").to_pylist()
+    i, lids = ([unpack(x, True) for x in group.column(c).to_pylist()] for c in ("i", "lid"))
+    j, n = (np.concatenate([unpack(x) for x in group.column(c).to_pylist()]) for c in ("j", "n"))
+    ends = np.cumsum([len(x) for x in i])
+    i = np.concatenate(i)
+    order = np.lexsort((j, i))
+    si, sj = i[order], j[order]
+    first = np.flatnonzero(np.append(True, (si[1:] != si[:-1]) | (sj[1:] != sj[:-1])))
+    f = np.add.reduceat(n[order], first)
+    ids = _ids(f, group.column("bucket")[0].as_py(), buckets, min_count)
+    unit = np.empty(len(order), np.int64)
+    unit[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+    often = np.flatnonzero(ids >= 0)
+    found = _batch(PAIR_IDS, id=ids[often], i=si[first[often]], j=sj[first[often]], f=f[often])
+    return pa.Table.from_batches([found, *_returned(PAIR_IDS, blocks, lids, np.split(unit, ends[:-1]), ids)], _schema(PAIR_IDS))
 
-    The offsets are one number a partition.
-    """
-    spark = counts.sparkSession
-    order = [F.desc("f"), *tie]
-    parts = staged(counts.repartitionByRange(target_partitions(spark), *order).sortWithinPartitions(*order)
-                   .withColumn("__p", F.spark_partition_id())
-                   .withColumn("__k", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("long"), 33)))
-    sizes = {r["__p"]: r["n"] for r in parts.groupBy("__p").agg(F.count("*").alias("n")).collect()}
-    offsets, total = [], 0
-    for p in sorted(sizes):
-        offsets.append((p, total))
-        total += sizes[p]
-    table = spark.createDataFrame(offsets, "__p int, __o long")
-    return (parts.join(F.broadcast(table), "__p").withColumn("id", F.col("__o") + F.col("__k")).drop("__p", "__k", "__o"))
 
+# -- levels -----------------------------------------------------------------------------
 
-def _next_level(rows: DataFrame, ranked: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the next level: the blocks get the ids of their units and count neighbours."""
-    mine = rows.where("lid IS NOT NULL").select("block", "lid", *keys).join(ranked.select(*keys, "id"), keys).select("block", "lid", "id")
-    seqs = rows.where("lid IS NULL").select(F.col("block").alias("of"), "seq")
-    return staged(seqs.groupBy("of").cogroup(mine.groupBy("block")).applyInArrow(_pairs, PAIR_ROWS))
+def _ranked(rows: DataFrame, min_count: int, words: bool) -> DataFrame:
+    """The units of all blocks counted and ranked in buckets (``WORD_IDS`` or ``PAIR_IDS``)."""
+    units = rows.where("size IS NOT NULL").drop("seq")
+    buckets = max(1, -(-(units.agg(F.sum("size")).first()[0] or 0) // BUCKET))
+    deal, count = (_deal_words, _word_bucket) if words else (_deal_pairs, _pair_bucket)
+    entries = units.mapInArrow(lambda it: deal(it, buckets), WORD_ENTRIES if words else PAIR_ENTRIES)
+    return staged(entries.groupBy("bucket").applyInArrow(lambda group: count(group, buckets, min_count), WORD_IDS if words else PAIR_IDS))
 
 
-def _counted(rows: DataFrame, keys: list[str], min_count: int) -> DataFrame:
-    return rows.where("lid IS NOT NULL").groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+def _next_level(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The blocks get the ids of their units and count neighbours (``PAIR_BLOCKS``)."""
+    seqs = rows.where("size IS NULL").select(F.col("block").alias("of"), "seq")
+    ids = ranked.where("block IS NOT NULL").select("block", "lid", "ids")
+    return staged(seqs.groupBy("of").cogroup(ids.groupBy("block")).applyInArrow(_pairs, PAIR_BLOCKS))
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 4, min_count: int = 30,
-                  block_words: int = 1 << 21) -> tuple[list[DataFrame], DataFrame]:
+                  block_words: int = BLOCK_WORDS) -> tuple[list[DataFrame], DataFrame]:
     """Tables of the phrases of 1, 2, ... ``max_words`` words with ``min_count`` occurrences, and
     the number of words of each lang (lang, n).
 
@@ -203,18 +297,18 @@ def phrase_counts(docs: DataFrame, max_words: int = 4, min_count: int = 30,
     its first and last words but one.
     """
     source = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    rows = staged(source.mapInArrow(lambda it: _encode(it, block_words), WORD_ROWS))
-    totals = rows.where("lid IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    keys = ["lang", "word"]
-    ranked = _ranked(_counted(rows, keys, min_count), keys)
+    rows = staged(source.mapInArrow(lambda it: _encode(it, block_words), WORD_BLOCKS))
+    totals = rows.where("size IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("n"))
+    ranked = _ranked(rows, min_count, words=True)
     word, f = F.col("word").cast("string"), F.array("f")
-    levels = [staged(ranked.select("id", "lang", word.alias("phrase"), "f", f.alias("before"), f.alias("after"), word.alias("last")))]
-    for size in range(2, max_words + 1):
-        rows, keys = _next_level(rows, ranked, keys), ["i", "j"]
-        ranked = _ranked(_counted(rows, keys, min_count), keys)
+    levels = [staged(ranked.where("id IS NOT NULL").select("id", "lang", word.alias("phrase"), "f", f.alias("before"), f.alias("after"),
+                                                           word.alias("last")))]
+    for _ in range(2, max_words + 1):
+        rows = _next_level(rows, ranked)
+        ranked = _ranked(rows, min_count, words=False)
         left = levels[-1].select(F.col("id").alias("i"), "lang", F.col("phrase").alias("head"), "before")
         right = levels[-1].select(F.col("id").alias("j"), "after", "last")
-        levels.append(staged(ranked.join(left, "i").join(right, "j").select(
+        levels.append(staged(ranked.where("id IS NOT NULL").select("id", "i", "j", "f").join(left, "i").join(right, "j").select(
             "id", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "f",
             F.concat("before", F.array("f")).alias("before"), F.concat("after", F.array("f")).alias("after"), "last", "i", "j")))
     return levels, totals
@@ -249,7 +343,7 @@ def candidates(levels: list[DataFrame], cover_percent: int = 80) -> DataFrame:
 
 
 def collocations(docs: DataFrame, max_words: int = 4, min_count: int = 30, cover_percent: int = 80, top: int = 2000,
-                 block_words: int = 1 << 21) -> DataFrame:
+                 block_words: int = BLOCK_WORDS) -> DataFrame:
     """Each lang's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score.
 
     A hot lang is first cut to ``top`` rows in each of many salted groups, so its last sort is
