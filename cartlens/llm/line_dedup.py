@@ -135,14 +135,22 @@ lines AS (
 content AS (
   SELECT doc_id, line, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+sized AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM content),
+ahead AS (
+  SELECT doc_id, i, n, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c,
+         words AS w1, words + lead(words) OVER w AS w2
+  FROM sized WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 windows AS (
-  SELECT doc_id, i, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c
-  FROM content WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT doc_id, i, 1 AS k, a, NULL AS b, NULL AS c, w1 >= 50 OR (i = 1 AND n = 1) AS counts FROM ahead
+  UNION ALL SELECT doc_id, i, 2, a, b, NULL, w2 >= 50 OR (i = 1 AND n = 2) FROM ahead WHERE b IS NOT NULL
+  UNION ALL SELECT doc_id, i, 3, a, b, c, true FROM ahead WHERE c IS NOT NULL),
 later AS (
-  SELECT doc_id, i FROM windows WHERE c IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) > 1),
+  SELECT doc_id, i, k FROM (
+    SELECT *, row_number() OVER (PARTITION BY k, a, b, c ORDER BY doc_id, i) AS copy FROM windows)
+  WHERE copy > 1 AND counts),
 gone AS (
-  SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM later),
+  SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS i FROM later),
 counts AS (
   SELECT c.doc_id, count(*) AS n_lines, count(g.i) AS n_removed
   FROM content c LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.i = c.i GROUP BY c.doc_id),

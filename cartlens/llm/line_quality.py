@@ -154,17 +154,22 @@ lines AS (
   SELECT doc_id, t, unnest(l) AS line FROM base),
 trimmed AS (
   SELECT doc_id, t, line, trim(line, ' ') AS raw, lower(trim(line, ' ')) AS low FROM lines),
+measured AS (
+  SELECT *, greatest(length(raw), 300) AS size,
+         len(regexp_extract_all(low, '{"|".join(sorted(BOILERPLATE, key=len, reverse=True))}')) AS phrases,
+         {" + ".join(f"(length(raw) - length(replace(raw, '{s}', ''))) / {len(s)}" for s in SEPARATORS)} AS seps,
+         length(regexp_replace(raw, '[^\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}]+', '', 'g')) AS unspaced
+  FROM trimmed),
 judged AS (
   SELECT doc_id, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS content,
     raw <> '' AND (
       length(regexp_replace(raw, '[^#*$%&|<>]+', '', 'g')) > 0.25 * length(raw)
-      OR (length(raw) <= 300 AND (
-        {" OR ".join(f"contains(low, '{x}')" for x in BOILERPLATE)}
-        OR {" + ".join(f"(length(raw) - length(replace(raw, '{s}', ''))) / {len(s)}" for s in SEPARATORS)} >= 2
-        OR low IN ({_sql_list(MENU)})
-        OR (NOT regexp_matches(raw, '[.!?:;…。！？"''”’)\]]$')
-            AND len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) < 5)))) AS bad
-  FROM trimmed),
+      OR (phrases > 0 AND (length(raw) <= 300 OR phrases * 300 >= size))
+      OR seps * 300 >= 2 * size
+      OR low IN ({_sql_list(MENU)})
+      OR (NOT regexp_matches(raw, '[.!?:;…。！？"''”’)\]]$')
+          AND len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) < 5 AND unspaced <= 300)) AS bad
+  FROM measured),
 by_doc AS (
   SELECT doc_id, count(*) FILTER (content) - count(DISTINCT line) FILTER (content) AS n_dup_lines,
          count(*) FILTER (bad) AS n_lines_removed,
