@@ -63,17 +63,28 @@ def _batch(ddl: str, **columns) -> pa.RecordBatch:
                                        for f in schema], schema=schema)
 
 
+def squeeze(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+
+
 def pack(numbers: np.ndarray, rising: bool = False) -> bytes:
-    """Whole numbers in 32 bits where they fit; rising ones as differences, which compress well."""
+    """Whole numbers, 32 bits wide where they fit, their bytes dealt into planes and compressed;
+    rising ones as differences."""
     if rising:
         numbers = np.diff(numbers, prepend=0)
     small = not len(numbers) or (numbers.max() < 2**31 and numbers.min() >= -2**31)
-    return numbers.astype(np.int32).tobytes() if small else b"w" + numbers.astype(np.int64).tobytes()
+    numbers = np.ascontiguousarray(numbers, np.int32 if small else np.int64)
+    return (b"n" if small else b"w") + squeeze(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes())
 
 
 def unpack(raw: bytes, rising: bool = False) -> np.ndarray:
-    wide = len(raw) % 4
-    numbers = np.frombuffer(raw, np.int64 if wide else np.int32, offset=1 if wide else 0).astype(np.int64)
+    kind = np.dtype(np.int64 if raw[:1] == b"w" else np.int32)
+    planes = np.frombuffer(unsqueeze(raw[1:]), np.uint8).reshape(kind.itemsize, -1)
+    numbers = np.ascontiguousarray(planes.T).reshape(-1).view(kind).astype(np.int64)
     return np.cumsum(numbers) if rising else numbers
 
 
@@ -108,12 +119,12 @@ def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
     def flush() -> Iterator[pa.RecordBatch]:
         block = (place << 31) + blocks
         seq = np.frombuffer(seq_, np.int32)
-        yield _batch(WORD_BLOCKS, block=[block], seq=[seq.tobytes()])
+        yield _batch(WORD_BLOCKS, block=[block], seq=[pack(seq)])
         counts = np.bincount(seq[seq >= 0], minlength=len(taken))
         for lang, numbers in by_lang.items():
             if numbers:
                 lid = np.fromiter(numbers.values(), np.int64, len(numbers))
-                yield _batch(WORD_BLOCKS, block=[block], lang=[lang], words=[b" ".join(numbers)], lid=[pack(lid, True)],
+                yield _batch(WORD_BLOCKS, block=[block], lang=[lang], words=[squeeze(b" ".join(numbers))], lid=[pack(lid, True)],
                              n=[pack(counts[lid])], size=[len(lid)], total=[int(counts[lid].sum())])
 
     taken, by_lang, seq_ = new()
@@ -134,11 +145,11 @@ def _encode(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.
 def _deal_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, lang, words, lid, n in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "words", "lid", "n"))):
-            words = words.split(b" ")
+            words = unsqueeze(words).split(b" ")
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) ^ np.uint64(xxhash.xxh64_intdigest(lang or ""))
             lid, n = unpack(lid, True), unpack(n)
             for bucket, mine in _dealt(hashes, buckets):
-                yield _batch(WORD_ENTRIES, bucket=[bucket], block=[block], lang=[lang], words=[b" ".join([words[k] for k in mine.tolist()])],
+                yield _batch(WORD_ENTRIES, bucket=[bucket], block=[block], lang=[lang], words=[squeeze(b" ".join([words[k] for k in mine.tolist()]))],
                              lid=[pack(lid[mine], True)], n=[pack(n[mine])])
 
 
@@ -171,7 +182,7 @@ def _word_bucket(group: pa.Table, buckets: int, min_count: int) -> pa.Table:
     for block, lang, words, lid, n in zip(*(group.column(c).to_pylist() for c in ("block", "lang", "words", "lid", "n"))):
         number = by_lang.setdefault(lang, _Numbers(names)).__getitem__
         blocks.append(block), lids.append(unpack(lid, True)), counts.append(unpack(n))
-        unit.append(np.array(list(map(number, words.split(b" "))), np.int64))
+        unit.append(np.array(list(map(number, unsqueeze(words).split(b" "))), np.int64))
     f = np.zeros(len(names), np.int64)
     for u, n in zip(unit, counts):
         f[u] += n                                       # a block has each word of a lang once
@@ -223,7 +234,7 @@ def _pairs(seqs: pa.Table, ids: pa.Table) -> pa.Table:
     batches = []
     known = [(unpack(a, True), unpack(b)) for a, b in zip(ids.column("lid").to_pylist(), ids.column("ids").to_pylist())]
     for block, raw in zip(seqs.column("of").to_pylist(), seqs.column("seq")):
-        seq = np.frombuffer(raw.as_buffer(), np.int32)
+        seq = unpack(raw.as_py())
         names = np.full(int(seq.max(initial=0)) + 2, -1, np.int64)    # the last one stands for -1
         for lid, wide in known:
             names[lid] = wide
@@ -235,9 +246,9 @@ def _pairs(seqs: pa.Table, ids: pa.Table) -> pa.Table:
         order = np.lexsort((j, i))                      # rising first ids and numbers compress well
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        out = np.full(len(seq) - 1, -1, np.int32)
+        out = np.full(len(seq) - 1, -1, np.int64)
         out[at] = place[number]
-        batches += [_batch(PAIR_BLOCKS, block=[block], seq=[out.tobytes()]),
+        batches += [_batch(PAIR_BLOCKS, block=[block], seq=[pack(out)]),
                     _batch(PAIR_BLOCKS, block=[block], i=[pack(i[order], True)], j=[pack(j[order])], n=[pack(n[order])], size=[len(n)])]
     return pa.Table.from_batches(batches, _schema(PAIR_BLOCKS))
 
