@@ -5,9 +5,12 @@
     python -m cartlens features-v2  --sessions S --products P --begin 2022-01-01 --end 2022-04-01 --out DIR
     python -m cartlens features-v1  --sessions S --products P [--begin ... --end ...] --out DIR
     python -m cartlens train --sessions S --products P --train B E --val B E [--model-dir DIR] [--out DIR]
-    python -m cartlens compare --log DIR
+    python -m cartlens compare --log DIR [--sessions S --products P] [--out DIR]
     python -m cartlens serve --sessions S --products P --window B E --train B E --model-dir DIR --log DIR
 
+Lines that are no JSON objects are counted on standard error; ``--rejects DIR`` keeps them and
+more than ``--max-reject-share`` of an input's lines end the job with status 2.
+
 The session comes from ``SparkSession.builder.getOrCreate()``: under
 ``spark-submit`` the cluster's settings apply; run directly it is local.
 """
@@ -46,12 +49,14 @@ def main(argv=None) -> int:
     }
     for name, text in helps.items():
         p = sub.add_parser(name, help=text)
+        p.add_argument("--sessions", required=name != "compare")
+        p.add_argument("--products", required=name != "compare")
+        p.add_argument("--format", choices=("json", "parquet"), default="json")
+        p.add_argument("--rejects", help="write lines that are no JSON objects here")
+        p.add_argument("--max-reject-share", type=float, default=0.01, help="refuse inputs with a larger share of such lines")
         if name == "compare":
             p.add_argument("--log", required=True)
-            continue
-        p.add_argument("--sessions", required=True)
-        p.add_argument("--products", required=True)
-        p.add_argument("--format", choices=("json", "parquet"), default="json")
+            p.add_argument("--out")
         if name == "explore":
             p.add_argument("--out", required=True)
             p.add_argument("--test-month", type=int, default=3)
@@ -74,22 +79,40 @@ def main(argv=None) -> int:
             p.add_argument("--salt", type=int, default=0)
     args = ap.parse_args(argv)
     spark = _session()
+    found: list[dict] = []
+    inputs = {"rejects_path": args.rejects, "max_reject_share": args.max_reject_share, "report": found}
+    try:
+        _run(spark, args, inputs)
+    except jobs.TooManyRejects as err:
+        print(f"refused: {err}", file=sys.stderr)
+        return 2
+    finally:
+        for counts in found:
+            lost = {k: v for k, v in counts.items() if k.startswith("unparsed_") and v}
+            print(f"{counts['table']}: {counts['lines']} lines, {counts['corrupt_lines']} rejected", *[f"{k}={v}" for k, v in lost.items()],
+                  file=sys.stderr)
+    return 0
+
+
+def _run(spark, args, inputs: dict) -> None:
     if args.cmd == "explore":
         jobs.explore(spark, args.sessions, args.products, args.test_month, args.out,
-                     args.stage_dir, args.format)
+                     args.stage_dir, args.format, inputs=inputs)
     elif args.cmd == "prepare-data":
-        jobs.prepare_data(spark, args.sessions, args.products, args.begin, args.end, args.out, args.format)
+        jobs.prepare_data(spark, args.sessions, args.products, args.begin, args.end, args.out, args.format,
+                          inputs=inputs)
     elif args.cmd == "features-v2":
         jobs.prepare_data_v2(spark, args.sessions, args.products, args.begin, args.end, args.out,
-                             args.format)
+                             args.format, inputs=inputs)
     elif args.cmd == "features-v1":
         jobs.prepare_data_v1(spark, args.sessions, args.products, args.begin, args.end, args.out,
-                             args.format)
+                             args.format, inputs=inputs)
     elif args.cmd == "train":
         details: dict = {}
         report = jobs.train_models(spark, args.sessions, args.products, tuple(args.train),
                                    tuple(args.val), model_dir=args.model_dir,
-                                   allow_overlap=args.allow_overlap, fmt=args.format, details=details)
+                                   allow_overlap=args.allow_overlap, fmt=args.format, details=details,
+                                   inputs=inputs)
         if args.out:
             SK.write_csv(report, args.out)
         report.orderBy("model", "split").show(truncate=False)
@@ -98,11 +121,14 @@ def main(argv=None) -> int:
             print(kind, dict(found["params"]))
     elif args.cmd == "serve":
         scored = jobs.serve_batch(spark, args.sessions, args.products, tuple(args.window),
-                                  tuple(args.train), args.model_dir, args.log, args.salt, args.format)
+                                  tuple(args.train), args.model_dir, args.log, args.salt, args.format,
+                                  inputs=inputs)
         scored.groupBy("model_type").count().show()
     elif args.cmd == "compare":
-        jobs.compare_log(spark, args.log).show()
-    return 0
+        out = jobs.compare_log(spark, args.log, args.sessions, args.products, args.format, inputs=inputs)
+        if args.out:
+            SK.write_csv(out, args.out)
+        out.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@
 * ``serve_batch``      - the scoring service as a batch: arm, predict, log (B1-B3);
 * ``compare_log``      - the two arms compared over the stored log (B4).
 
+Every job takes ``inputs``, options of ``load_inputs`` for lines and values that do not parse.
 Each job reads the session and product logs with their declared schemas,
 builds one Spark plan and writes its result (CSV with header, Spark ML
 models, JSON-lines prediction log).
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlens.operators import monthly as M
 from cartlens.operators.filters import check_windows
 from cartlens.plans import abtest as B
 from cartlens.plans import features as C
@@ -28,13 +30,20 @@ from cartlens.sources import schemas as S
 from cartlens.sources import sinks as SK
 
 
+class TooManyRejects(ValueError):
+    """More lines of an input are no rows than the caller allows."""
+
+
 def load_inputs(spark: SparkSession, sessions_path: str, products_path: str, fmt: str = "json",
-                rejects_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+                rejects_path: str | None = None, max_reject_share: float = 0.01,
+                report: list[dict] | None = None) -> tuple[DataFrame, DataFrame]:
     """The two inputs: JSON lines, or (``fmt="parquet"``) tables as ``explore`` stages them.
 
     Month-partitioned Parquet keeps its partition column, so the jobs' time filters prune it.
-    Lines that are no JSON object are no rows; with ``rejects_path`` they are written there
-    (one JSON object with table and line each), where ``rejected_lines`` counts them.
+    Lines that are no JSON object are no rows.  They are counted before anything else is done,
+    together with the values of each column that do not parse; ``report`` gets one dict a table.
+    More than ``max_reject_share`` of a table's lines raise ``TooManyRejects``.  With
+    ``rejects_path`` the lines are written there (one JSON object with table and line each).
     """
     if fmt == "parquet":
         return SK.read_sessions_by_month(spark, sessions_path), spark.read.parquet(products_path)
@@ -47,6 +56,13 @@ def load_inputs(spark: SparkSession, sessions_path: str, products_path: str, fmt
         lines = [df.where(bad.isNotNull()).select(F.lit(name).alias("table"), bad.alias("line"))
                  for name, df in (("sessions", sessions), ("products", products))]
         lines[0].unionByName(lines[1]).write.mode("overwrite").json(rejects_path)
+    for name, path, schema in (("sessions", sessions_path, S.SESSIONS), ("products", products_path, S.PRODUCTS)):
+        counts = {"table": name, **RD.parse_report(spark, path, schema).first().asDict()}
+        if report is not None:
+            report.append(counts)
+        if counts["corrupt_lines"] > max_reject_share * counts["lines"]:
+            raise TooManyRejects(f"{counts['corrupt_lines']} of {counts['lines']} lines of the {name} are no JSON objects "
+                                 f"(at most a share of {max_reject_share} is allowed)")
     return tuple(df.where(bad.isNull()).drop(S.CORRUPT) for df in (sessions, products))
 
 
@@ -64,7 +80,8 @@ def _maybe_write(df: DataFrame, out_csv: str | None) -> DataFrame:
 
 def explore(spark: SparkSession, sessions_path: str, products_path: str,
             test_month: int = 3, out_dir: str | None = None,
-            stage_dir: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
+            stage_dir: str | None = None, fmt: str = "json",
+            inputs: dict | None = None) -> dict[str, DataFrame]:
     """The exploration tables (the data behind each plot and printed figure).
 
     Session-level tables use every row; discount and calendar tables use the
@@ -81,7 +98,7 @@ def explore(spark: SparkSession, sessions_path: str, products_path: str,
     from cartlens.operators import sessions as A
     from cartlens.operators import users as U
     from cartlens.sources.readers import profile
-    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
     if stage_dir:
         SK.write_sessions_by_month(sessions, f"{stage_dir}/sessions")
         products.write.mode("overwrite").parquet(f"{stage_dir}/products")
@@ -121,24 +138,24 @@ def explore(spark: SparkSession, sessions_path: str, products_path: str,
 
 
 def prepare_data(spark: SparkSession, sessions_path: str, products_path: str, begin, end,
-                 out_csv: str | None = None, fmt: str = "json", **options) -> DataFrame:
+                 out_csv: str | None = None, fmt: str = "json", inputs: dict | None = None, **options) -> DataFrame:
     """C1 training set for the month starts in [begin, end] (label last)."""
-    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
     return _maybe_write(C.training_set_v3(sessions, products, begin, end, **options), out_csv)
 
 
 def prepare_data_v2(spark: SparkSession, sessions_path: str, products_path: str, begin, end,
-                    out_csv: str | None = None, fmt: str = "json") -> DataFrame:
+                    out_csv: str | None = None, fmt: str = "json", inputs: dict | None = None) -> DataFrame:
     """User-month spine of the open window (begin, end) with label, deduplicated."""
-    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
     return _maybe_write(C.features_v2(sessions, products, begin, end), out_csv)
 
 
 def prepare_data_v1(spark: SparkSession, sessions_path: str, products_path: str,
                     begin="2022-03-01", end="2022-05-01", out_csv: str | None = None,
-                    fmt: str = "json") -> DataFrame:
+                    fmt: str = "json", inputs: dict | None = None) -> DataFrame:
     """The first feature job (its window was fixed to March-April 2022)."""
-    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
     return _maybe_write(C.features_v1(sessions, products, begin, end), out_csv)
 
 
@@ -146,7 +163,7 @@ def train_models(spark: SparkSession, sessions_path: str, products_path: str,
                  train: tuple, val: tuple, kinds=("gnb", "logreg", "forest"),
                  model_dir: str | None = None, allow_overlap: bool = False,
                  trees: int = 100, depth: int = 16, fmt: str = "json",
-                 details: dict | None = None) -> DataFrame:
+                 details: dict | None = None, inputs: dict | None = None) -> DataFrame:
     """Fit each classifier on the training window, score both windows, optionally save.
 
     Returns (model, split, rows, accuracy, auc, predicted_positive) plus the
@@ -154,7 +171,7 @@ def train_models(spark: SparkSession, sessions_path: str, products_path: str,
     depth 16 unless told otherwise.  ``details``, if given, gets the parameters (M9) and the
     confusion counts (M8) of each model: details[kind] = {"params": ..., "confusion": ...}.
     """
-    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
     data = cut_lineage(ML.labelled_splits(sessions, products, ML.Windows(train, val),
                                           allow_overlap=allow_overlap))
     out = None
@@ -177,7 +194,8 @@ def train_models(spark: SparkSession, sessions_path: str, products_path: str,
 
 def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, window: tuple,
                 train_window: tuple, model_dir: str, log_path: str | None = None,
-                salt: int = 0, fmt: str = "json", allow_overlap: bool = False) -> DataFrame:
+                salt: int = 0, fmt: str = "json", allow_overlap: bool = False,
+                inputs: dict | None = None) -> DataFrame:
     """The scoring service as a batch job.
 
     Requests are the user-months of ``window``; each user gets a stable arm;
@@ -187,7 +205,7 @@ def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, win
     built only if a model is missing, and the windows must not overlap.
     """
     check_windows(train_window, window, allow_overlap=allow_overlap)
-    sessions, products = load_inputs(spark, sessions_path, products_path, fmt)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
     built: list[DataFrame] = []
 
     def train_rows() -> DataFrame:
@@ -195,7 +213,7 @@ def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, win
             built.append(cut_lineage(C.user_month_rows(sessions, products, *train_window, keep_third=True)))
         return built[0]
 
-    base = SK.load_or_train(spark, f"{model_dir}/BaseModel", ML.build_regression("forest"), train_rows)
+    base = SK.load_or_train(spark, f"{model_dir}/BaseModel", ML.build_regression("svr"), train_rows)
     second = SK.load_or_train(spark, f"{model_dir}/SecondModel", ML.build_regression("linear"), train_rows)
     # each arm reads the requests: compute them once
     requests = cut_lineage(B.assign_variant(
@@ -206,6 +224,17 @@ def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, win
     return scored
 
 
-def compare_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """B4 over the stored prediction log: requests and mean prediction per arm."""
-    return B.compare_arms(SK.read_prediction_log(spark, log_path))
+def compare_log(spark: SparkSession, log_path: str, sessions_path: str | None = None, products_path: str | None = None,
+                fmt: str = "json", replicates: int = 200, seed: int = 0, inputs: dict | None = None) -> DataFrame:
+    """B4 over the stored prediction log.
+
+    With the session and product logs every prediction meets the user's later third-month spend
+    (as-of join): requests, matched and still pending ones, errors and a bootstrap interval per
+    arm.  Without them there is no actual value: requests and mean prediction only.
+    """
+    log = SK.read_prediction_log(spark, log_path)
+    if sessions_path is None or products_path is None:
+        return B.compare_arms(log)
+    sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
+    nexts = M.user_month_next(M.user_month_facts(sessions, products))
+    return B.compare_log(B.with_actual(log, nexts, B.last_month(sessions)), replicates, seed)

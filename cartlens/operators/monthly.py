@@ -1,9 +1,9 @@
 """User-month aggregates and calendar-aware windows.
 
-Everything starts from ONE pre-aggregate per (user_id, month_idx) with
-``month_idx = 12*year + month - 1``: events, buys and money spent, built from
-a single scan of the log.  Partial aggregation happens before every shuffle,
-so a user with a huge log costs one row per (map task, month, product bought).
+Everything starts from ONE aggregate per (user_id, month_idx) with
+``month_idx = 12*year + month - 1``: events, buys and money spent.  Partial
+aggregation happens before its shuffle, so a user with a huge log costs one
+row per (map task, month).
 
 "Next month" values come from RANGE frames over month_idx, never ``lead``:
 ``lead`` returns the next *present* month, not the next calendar month.
@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.functions.stats import money_sum
 from cartlens.functions.timefeat import month_idx, month_of_idx, ts_literal, year_of_idx
-from cartlens.operators.filters import filter_between
-from cartlens.operators.joins import NULL_SPREAD, deals
+from cartlens.operators.filters import filter_between, filter_event
+from cartlens.operators.joins import fits_broadcast
 from cartlens.sources.schemas import BUY
 
 def zero_money() -> F.Column:
@@ -34,13 +33,13 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
     counts those buys.  ``net_price=True`` charges ``price * (100 - discount) / 100``
     instead of the list price (the reference ignored the discount; off by default).
 
-    One scan: rows are first reduced map-side to (user, month, product of a
-    priced buy) -- views collapse into one row per user-month.  Each reduced row
-    becomes a count row and, with a product, a money row that meets the product
-    table; a second aggregate adds both up.  No NULL key reaches the exchange on
-    the product, count rows are spread evenly over it, and both its sides are
-    plain rows, so a hot product can be split.  A duplicated product id multiplies
-    money (as the reference's merge did) but never the counts.
+    Counts never meet the product table.  A product table that is small by Spark's own statistics
+    (checked against the broadcast threshold, prices of equal ids added up first) is broadcast, and
+    one aggregate does the rest.  A larger one meets only the priced buys, projected to three
+    columns, in a join of two plain sides, so a hot product can be split; the log is then read
+    once more for the counts, which collapse map-side into one row per user-month and task, and a
+    union feeds both into the one user-month aggregate.  A duplicated product id multiplies money
+    (as the reference's merge did) but never the counts.
     """
     users = sessions.where(F.col("user_id").isNotNull())
     is_buy = F.col("event_type") == BUY
@@ -51,37 +50,30 @@ def user_month_facts(sessions: DataFrame, products: DataFrame | None = None,
         ts = F.col("timestamp")
         priced_buy = is_buy & (ts > F.lit(b).cast("timestamp_ntz")) & (
             ts < F.lit(e).cast("timestamp_ntz"))
-    keys = ["user_id", "month_idx", "product_id"] + (["_d"] if net_price else [])
-    keyed = users.select(
-        "user_id", month_idx().alias("month_idx"),
-        is_buy.cast("int").alias("_b"), priced_buy.cast("int").alias("_wb"),
-        F.when(priced_buy, F.col("product_id")).alias("product_id"),
-        F.when(priced_buy, F.col("offered_discount")).alias("_d"))
+    at = month_idx().alias("month_idx")
+    counted = users.select("user_id", at, is_buy.cast("int").alias("_b"), priced_buy.cast("int").alias("_wb"))
     if products is None:
-        return keyed.groupBy("user_id", "month_idx").agg(
+        return counted.groupBy("user_id", "month_idx").agg(
             F.count(F.lit(1)).alias("events"), F.sum("_b").cast("bigint").alias("buys"))
-    pre = keyed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_e"), F.sum("_b").alias("_b"), F.sum("_wb").alias("_wb"))
-    # Each reduced row gives its counts and, with a product, its money.  Rows keyed by a product
-    # id are exactly that product's priced buys, so _wb is their count.  Count rows match no
-    # product: their key is a number that spreads them, told apart by _kind.
-    none = F.lit(0).cast("bigint")
-    counts = F.struct("user_id", "month_idx", "_e", "_b", "_wb",
-                      F.pmod(F.xxhash64("user_id", "month_idx"), F.lit(NULL_SPREAD)).alias("_key"),
-                      F.lit(1).alias("_kind"), none.alias("_n"), F.lit(None).cast("int").alias("_d"))
-    money = F.struct("user_id", "month_idx", none.alias("_e"), none.alias("_b"), none.alias("_wb"),
-                     F.col("product_id").cast("bigint").alias("_key"), F.lit(0).alias("_kind"), F.col("_wb").alias("_n"),
-                     (F.col("_d").cast("int") if net_price else F.lit(None).cast("int")).alias("_d"))
-    rows = pre.select(F.inline(F.when(F.col("product_id").isNull(), F.array(counts)).otherwise(F.array(counts, money))))
-    prices = products.select(F.col("product_id").cast("bigint").alias("_key"), F.lit(0).alias("_kind"),
-                             F.col("price").cast("decimal(28,6)").alias("_price"))
-    priced = rows.join(prices, ["_key", "_kind"], "left")
-    money_in = F.col("_price") * F.col("_n")
+    price = F.col("price").cast("decimal(28,6)")
+    paid = F.col("_price")
     if net_price:
-        money_in = money_in * (100 - F.col("_d")).cast("decimal(10,0)") / 100
-    return priced.groupBy("user_id", "month_idx").agg(
+        paid = paid * (100 - F.col("offered_discount")).cast("decimal(10,0)") / 100
+    paid = paid.cast("decimal(28,6)" if not net_price else "decimal(38,10)").alias("_paid")
+    if fits_broadcast(products):
+        prices = products.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.sum(price).cast("decimal(28,6)").alias("_price"))
+        rows = users.select("user_id", at, is_buy.cast("int").alias("_b"), priced_buy.cast("int").alias("_wb"),
+                            F.when(priced_buy, F.col("product_id")).alias("product_id"), "offered_discount")
+        rows = rows.join(F.broadcast(prices), "product_id", "left").select(
+            "user_id", "month_idx", F.lit(1).alias("_e"), F.col("_b"), "_wb", paid)
+    else:
+        bought = users.where(priced_buy & F.col("product_id").isNotNull()).select(
+            "user_id", at, "product_id", *(["offered_discount"] if net_price else []))
+        money = bought.join(products.select("product_id", price.alias("_price")), "product_id").select("user_id", "month_idx", paid)
+        rows = counted.withColumn("_e", F.lit(1)).unionByName(money, allowMissingColumns=True)
+    return rows.groupBy("user_id", "month_idx").agg(
         F.sum("_e").cast("bigint").alias("events"), F.sum("_b").cast("bigint").alias("buys"),
-        F.coalesce(F.sum(money_in), zero_money()).cast("decimal(38,6)").alias("spend"),
+        F.coalesce(F.sum("_paid"), zero_money()).cast("decimal(38,6)").alias("spend"),
         F.sum("_wb").cast("bigint").alias("window_buys"))
 
 
@@ -157,8 +149,15 @@ def user_month_spend(sessions: DataFrame, products: DataFrame) -> DataFrame:
 def user_year_spend(sessions: DataFrame, products: DataFrame, begin, end) -> DataFrame:
     """Money per user-year of the buys strictly inside (begin, end)."""
     inside = filter_between(sessions.where(F.col("user_id").isNotNull()), begin, end)
-    return deals(inside, products).groupBy("user_id", F.year("timestamp").alias("year")).agg(
-        F.coalesce(money_sum("price"), zero_money()).alias("spent_money"))
+    bought = filter_event(inside, BUY).groupBy("user_id", F.year("timestamp").alias("year"), "product_id").agg(
+        F.count(F.lit(1)).alias("_n"))
+    # Rows without a product cost nothing but keep their user-year: they skip the join.
+    price = products.select("product_id", F.col("price").cast("decimal(28,6)").alias("_price"))
+    priced = bought.where(F.col("product_id").isNotNull()).join(price, "product_id", "left").select(
+        "user_id", "year", (F.col("_price") * F.col("_n")).alias("_paid"))
+    none = bought.where(F.col("product_id").isNull()).select("user_id", "year", F.lit(None).cast("decimal(38,6)").alias("_paid"))
+    return priced.unionByName(none).groupBy("user_id", "year").agg(
+        F.coalesce(F.sum("_paid"), zero_money()).cast("decimal(38,6)").alias("spent_money"))
 
 
 def spend_label(spend, spend_next, spend_next2, threshold: float = 100.0) -> F.Column:

@@ -12,6 +12,8 @@ at most (#groups + #partitions) rows and carries every cross-partition fact.
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +76,78 @@ def slope_from_sums(n="n", sum_y="sum_y", sum_xy="sum_xy") -> F.Column:
     return F.when(n < 2, F.lit(0.0)).otherwise(num / den)
 
 
+CHUNK_ROWS = 64      # places in a chunk and their powers stay small, so its moments move exactly
+
+
+def centred_moments(df: DataFrame, group: str, order: list[str], value: str, degree: int,
+                    partitions: int | None = None) -> DataFrame:
+    """Per group: ``n`` and ``u0`` .. ``u<degree>`` = sum((pos - (n - 1) / 2)^k * y), pos = 0..n-1 in ``order``.
+
+    Rows are range-split as in ``trend_sums`` and cut into chunks of ``CHUNK_ROWS`` record
+    numbers.  The moments about the group's first row in a chunk are exact decimal sums; they are
+    then moved, by the binomial formula, first to the start of the group's part of the partition,
+    then to the group's middle.
+    Windows see chunks of one (group, partition), then one row a (group, partition).
+    """
+    size = CHUNK_ROWS
+    keys = [group, *order]
+    ranged = _ranged(df.select(*dict.fromkeys(keys + [value])), keys, partitions)
+    rec = ranged.select(group, F.col(value).cast("decimal(18,6)").alias("_y"), F.spark_partition_id().alias("_p"),
+                        F.monotonically_increasing_id().alias("_id"))
+    at = F.col("_id") - F.shiftleft(F.col("_p").cast("long"), 33)
+    rec = rec.withColumns({"_q": (at / size).cast("long"), "_lo": at % size})
+    power, sums = F.lit(1).cast("long"), []
+    for k in range(degree + 1):
+        sums.append(F.sum(power.cast("decimal(10,0)") * F.col("_y")).cast("decimal(28,6)").alias(f"_m{k}"))
+        power = power * F.col("_lo")
+    chunks = rec.groupBy(group, "_p", "_q").agg(F.count(F.lit(1)).alias("_n"), F.min("_lo").alias("_start"), *sums)
+
+    def moved(shift, prefix: str, out: str):
+        """Moments about another place: sum((x + shift)^k y)."""
+        return [sum((F.lit(float(math.comb(k, i))) * F.pow(shift, F.lit(k - i)) * F.col(f"{prefix}{i}") for i in range(k + 1)),
+                    F.lit(0.0)).alias(f"{out}{k}") for k in range(degree + 1)]
+
+    def about_start(k: int):
+        terms, back = F.lit(0).cast("decimal(38,6)"), F.lit(1).cast("long")
+        for i in range(k, -1, -1):
+            terms = terms + (math.comb(k, i) * back).cast("decimal(11,0)") * F.col(f"_m{i}")
+            back = back * -F.col("_start")
+        return terms.cast("double").alias(f"_c{k}")
+
+    chunks = chunks.select(group, "_p", "_q", "_n", *[about_start(k) for k in range(degree + 1)])
+    earlier = Window.partitionBy(group, "_p").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("double"))
+    parts = chunks.select(group, "_p", "_n", *moved(F.col("_s"), "_c", "_t")).groupBy(group, "_p").agg(
+        F.sum("_n").alias("_n"), *[F.sum(f"_t{k}").alias(f"_t{k}") for k in range(degree + 1)])
+    parts = _chunk_offsets(parts, group).withColumn("n", F.sum("_n").over(Window.partitionBy(group)))
+    middle = (F.col("_off") - (F.col("n") - 1) / 2).cast("double")
+    parts = parts.withColumn("_s", middle).select(group, "n", *moved(F.col("_s"), "_t", "_u"))
+    return parts.groupBy(group).agg(F.max("n").alias("n"), *[F.sum(f"_u{k}").alias(f"u{k}") for k in range(degree + 1)])
+
+
+def linear_coefficient(degree: int) -> F.Column:
+    """Coefficient of x in the least-squares polynomial of ``degree`` over x = 0..n-1.
+
+    The fit is a sum over the orthogonal (Gram) polynomials of the n places about their middle,
+    p[j+1] = u p[j] - b[j] p[j-1] with b[j] = j^2 (n^2 - j^2) / (4 (4 j^2 - 1)), so no system is
+    solved; the wanted number is the fit's derivative at the first place.  A series too short for
+    the degree gets the highest one that it determines; fewer than 2 points give 0.
+    """
+    n = F.col("n").cast("double")
+    first = -(n - 1) / 2
+    p = [[F.lit(1.0)], [F.lit(0.0), F.lit(1.0)]]
+    norm, total = n, F.lit(0.0)
+    for j in range(1, degree + 1):
+        b = F.lit(float(j * j)) * (n * n - j * j) / (4.0 * (4 * j * j - 1))
+        norm = norm * b
+        slope = sum((k * c * F.pow(first, F.lit(k - 1)) for k, c in enumerate(p[j]) if k), F.lit(0.0))
+        weight = sum((c * F.col(f"u{k}") for k, c in enumerate(p[j])), F.lit(0.0))
+        total = total + F.when(n > j, slope * F.try_divide(weight, norm)).otherwise(F.lit(0.0))
+        before = p[j - 1] + [F.lit(0.0)] * 2
+        p.append([up - b * low for up, low in zip([F.lit(0.0), *p[j]], before)])
+    return total
+
+
 def positions(df: DataFrame, group: str, order: list[str], out: str = "position",
               partitions: int | None = None) -> DataFrame:
     """0-based position of each row inside its group under ``order``.

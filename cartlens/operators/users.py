@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cartlens.functions.stats import guarded_corr, money_sum
 from cartlens.operators.filters import purchase_value
 from cartlens.operators.joins import with_price
-from cartlens.operators.ordered import positions, slope_from_sums, trend_sums
+from cartlens.operators.ordered import centred_moments, linear_coefficient, positions, slope_from_sums, trend_sums
 
 # Total order of a user's purchases (the reference relied on file order).
 TREND_ORDER = ["timestamp", "session_id", "product_id"]
@@ -47,18 +47,24 @@ def user_corr_discount(df: DataFrame) -> DataFrame:
         guarded_corr("purchase", "offered_discount").alias("corr_purchase_discount"))
 
 
-def user_spending_trend(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def user_spending_trend(df: DataFrame, partitions: int | None = None, order: int = 1) -> DataFrame:
     """Slope of the user's non-zero purchases against their position 0..n-1.
 
-    Fewer than two non-zero purchases -> 0.  Only users with at least one
-    non-zero purchase appear; ``user_features`` gives the rest 0.
+    With ``order`` above 1 (up to 5) a polynomial of that order is fitted and the coefficient of
+    its linear term returned, as the reference's function does.  Fewer than two non-zero purchases
+    -> 0.  Only users with at least one non-zero purchase appear; ``user_features`` gives the rest 0.
     """
+    if not 1 <= order <= 5:
+        raise ValueError("the order of a trend is 1 to 5")
     nz = _users(df).where(F.col("purchase").isNotNull() & (F.col("purchase") != 0))
+    if order > 1:
+        moments = centred_moments(nz, "user_id", TREND_ORDER + ["purchase"], "purchase", order, partitions)
+        return moments.select("user_id", linear_coefficient(order).alias("spending_trend"))
     sums = trend_sums(nz, "user_id", TREND_ORDER + ["purchase"], "purchase", partitions)
     return sums.select("user_id", slope_from_sums().alias("spending_trend"))
 
 
-def user_features(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def user_features(df: DataFrame, partitions: int | None = None, trend_order: int = 1) -> DataFrame:
     """Total, mean discount, correlation and trend per user in one frame.
 
     A18-A20 come from ONE aggregate over the user key; the trend is left-joined
@@ -71,7 +77,7 @@ def user_features(df: DataFrame, partitions: int | None = None) -> DataFrame:
         F.avg("offered_discount").alias("mean_discount"),
         guarded_corr(F.when(pair_ok, F.col("purchase")),
                      F.when(pair_ok, F.col("offered_discount"))).alias("corr_purchase_discount"))
-    trend = user_spending_trend(users, partitions)
+    trend = user_spending_trend(users, partitions, trend_order)
     return (base.join(trend, "user_id", "left")
             .withColumn("spending_trend", F.coalesce("spending_trend", F.lit(0.0))))
 

@@ -43,13 +43,16 @@ def baseline_accuracy(df: DataFrame, label: str = "label", by: list[str] | None
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction",
               classes=(0, 1)) -> DataFrame:
-    """M8: counts per (label, prediction) over the full class grid (missing cells = 0)."""
+    """M8: counts per (label, prediction) over the full class grid (missing cells = 0).
+
+    Labels or predictions outside ``classes``, NULL among them, get cells of their own.
+    """
     spark = df.sparkSession
     grid = spark.createDataFrame([(a, b) for a in classes for b in classes], "label int, prediction int")
     counts = df.groupBy(F.col(label).cast("int").alias("label"),
                         F.col(prediction).cast("int").alias("prediction")).agg(
         F.count(F.lit(1)).alias("rows"))
-    return grid.join(counts, ["label", "prediction"], "left").select(
+    return grid.join(counts, ["label", "prediction"], "full").select(
         "label", "prediction", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 

@@ -13,11 +13,11 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
-    NaiveBayes, RandomForestClassifier,
+    NaiveBayes, NaiveBayesModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,7 @@ from cartlens.functions.timefeat import month_range
 from cartlens.operators.filters import check_windows
 from cartlens.plans.features import V3_COLUMNS, training_sets, user_month_rows
 from cartlens.plans.metrics import auc
+from cartlens.plans.svr import KernelSVR
 from cartlens.session import cut_lineage
 
 FEATURES = [c for c in V3_COLUMNS if c != "label"]
@@ -65,6 +66,8 @@ def _estimator(kind: str, seed: int = 0, trees: int = 100, depth: int = 16,
         return NaiveBayes(modelType="gaussian")
     if kind == "logreg":
         return LogisticRegression(maxIter=50)
+    if kind == "logit":                                 # the same model by its likelihood's exact maximum
+        return GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, tol=1e-10)
     if kind == "forest":
         return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
     if kind == "gbt":
@@ -96,15 +99,24 @@ def build(kind: str, scaler: str | None = None, features=FEATURES, **params) ->
     return Pipeline(stages=stages)
 
 
-def with_score(pred: DataFrame) -> DataFrame:
-    """Positive-class score: probability[1] if the model has one, else rawPrediction[1]."""
+def with_score(pred: DataFrame, margin: bool = False) -> DataFrame:
+    """Positive-class score: probability[1] if the model has one, else rawPrediction[1].
+
+    With ``margin`` it is the difference of the raw predictions, which orders rows whose
+    probabilities are all 0 or 1 in doubles (naive Bayes).
+    """
+    if "rawPrediction" not in pred.columns:             # a generalized linear model predicts the probability
+        return pred.withColumn("score", F.col("prediction")).withColumn("prediction", (F.col("score") > 0.5).cast("double"))
+    if margin:
+        raw = vector_to_array(F.col("rawPrediction"))
+        return pred.withColumn("score", raw[1] - raw[0])
     col = "probability" if "probability" in pred.columns else "rawPrediction"
     return pred.withColumn("score", vector_to_array(F.col(col))[1])
 
 
 def scored_counts(model: PipelineModel, data: DataFrame) -> DataFrame:
     """Rows per (split, score, prediction, label): all that the metrics need of the scored rows."""
-    pred = with_score(model.transform(data))
+    pred = with_score(model.transform(data), margin=isinstance(model.stages[-1], NaiveBayesModel))
     return pred.groupBy("split", "score", "prediction", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -176,13 +188,13 @@ def model_selection(data: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
 
 
 def spend_regression(sessions: DataFrame, products: DataFrame,
-                     windows: Windows) -> DataFrame:
-    """Linear regression of the third-month spend on the C1 features.
+                     windows: Windows, kind: str = "linear") -> DataFrame:
+    """Regression of the third-month spend on the C1 features (``kind`` as in ``build_regression``).
 
-    Returns RMSE and R^2 per split (the served regressor of the scoring service).
+    Returns RMSE and R^2 per split (the served regressors of the scoring service).
     """
     rows = cut_lineage(regression_rows(sessions, products, windows))
-    model = build_regression().fit(rows.where(F.col("split") == "train"))
+    model = build_regression(kind).fit(rows.where(F.col("split") == "train"))
     return regression_report(model.transform(rows))
 
 
@@ -200,11 +212,12 @@ def build_regression(kind: str = "linear", features=FEATURES, seed: int = 0,
                      trees: int = 100, depth: int = 16) -> Pipeline:
     """Regressors of the third-month spend.
 
-    ``linear`` is the served LinearRegression; ``forest`` stands in for the
-    RBF-kernel SVR, which has no Spark ML counterpart.
+    ``linear`` and ``svr`` (RBF kernel, C = 10000) are the served ones; ``forest`` is offered besides.
     """
     if kind == "linear":
         est = LinearRegression(labelCol="spend_third", maxIter=50)
+    elif kind == "svr":
+        est = KernelSVR(labelCol="spend_third", C=10000.0, seed=seed)
     elif kind == "forest":
         est = RandomForestRegressor(labelCol="spend_third", numTrees=trees, maxDepth=depth, seed=seed)
     else:

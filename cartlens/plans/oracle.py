@@ -6,8 +6,10 @@ partitioning, the AUC uses one global running sum.  Each statement ends in the
 same presentation as ``registry.present``: timestamps as text, doubles and
 money rounded to 6 places (``+ 0.0`` turns DuckDB's -0.0 into 0.0).
 
-Queries backed by fitted models (gnb/logreg/forest scores, model selection,
-spend regression, A/B scoring) have no entry: their check is rows-only.
+Models that are the maximum of a closed or convex form are fitted anew in SQL: naive Bayes from
+class statistics, the linear regression by its normal equations, the logistic regression by
+Newton's method.  Queries backed by other fitted models (forests, kernel regression, model
+search) have no entry: their check is rows-only.
 """
 
 from __future__ import annotations
@@ -240,6 +242,18 @@ tr AS (SELECT user_id, CASE WHEN count(*) < 2 THEN CAST(0 AS DOUBLE)
                             ELSE regr_slope(purchase, position) END AS spending_trend
        FROM nz GROUP BY user_id)"""
 
+# Normal equations in powers of the centred position: odd and even powers part, so each is at most 2 x 2.
+MOMENT_CTE = """mo AS (
+  SELECT user_id, count(*) AS n, -(count(*) - 1) / 2.0 AS first,
+         sum(u ** 2) AS s2, sum(u ** 4) AS s4, sum(u ** 6) AS s6,
+         sum(y) AS y0, sum(u * y) AS y1, sum(u ** 2 * y) AS y2, sum(u ** 3 * y) AS y3
+  FROM (SELECT user_id, CAST(purchase AS DOUBLE) AS y,
+               position - (count(*) OVER (PARTITION BY user_id) - 1) / CAST(2 AS DOUBLE) AS u FROM nz) c
+  GROUP BY user_id),
+co AS (
+  SELECT *, CASE WHEN n > 2 THEN (n * y2 - s2 * y0) / (n * s4 - s2 * s2) ELSE 0 END AS b2,
+         CASE WHEN n > 3 THEN (s2 * y3 - s4 * y1) / (s2 * s6 - s4 * s4) ELSE 0 END AS b3 FROM mo)"""
+
 RULE = ("CASE WHEN spent_money_second_month - spent_money_first_month > 0 THEN 1 ELSE 0 END")
 
 
@@ -252,6 +266,69 @@ def _auc(src: str) -> str:
 FROM {src}"""
 
 
+def _solve(src: str, n: int, name: str) -> list[str]:
+    """CTEs that solve a symmetric system by Cholesky steps: ``src`` has one row with the lower
+    triangle a_i_j and the right side r_i; the last CTE, ``name``, adds the solution x_i."""
+    out, prev = [], src
+
+    def step(columns: str, last: bool = False) -> None:
+        nonlocal prev
+        now = name if last else f"{name}_{len(out)}"
+        out.append(f"{now} AS MATERIALIZED (SELECT *, {columns} FROM {prev})")
+        prev = now
+
+    for k in range(n):
+        step(f"sqrt(a_{k}_{k}" + "".join(f" - l_{k}_{j} * l_{k}_{j}" for j in range(k)) + f") AS l_{k}_{k}")
+        step(", ".join([f"(a_{i}_{k}" + "".join(f" - l_{i}_{j} * l_{k}_{j}" for j in range(k)) + f") / l_{k}_{k} AS l_{i}_{k}"
+                        for i in range(k + 1, n)]
+                       + [f"(r_{k}" + "".join(f" - l_{k}_{j} * y_{j}" for j in range(k)) + f") / l_{k}_{k} AS y_{k}"]))
+    for k in reversed(range(n)):
+        step(f"(y_{k}" + "".join(f" - l_{i}_{k} * x_{i}" for i in range(k + 1, n)) + f") / l_{k}_{k} AS x_{k}", last=k == 0)
+    return out
+
+
+def _standard(src: str, feats: list[str], keep: str) -> list[str]:
+    """CTEs with the features of ``src`` as z_0, z_1, ... by mean and deviation of its train part."""
+    stats = ", ".join(f"avg({f}) AS m_{k}, stddev_pop({f}) AS d_{k}" for k, f in enumerate(feats))
+    z = ", ".join(f"(CAST({f} AS DOUBLE) - m_{k}) / d_{k} AS z_{k}" for k, f in enumerate(feats))
+    return [f"zs AS MATERIALIZED (SELECT {stats} FROM {src} WHERE split = 'train')",
+            f"z AS MATERIALIZED (SELECT {keep}, split, {z}, CAST(1 AS DOUBLE) AS z_{len(feats)} FROM {src}, zs)"]
+
+
+def _newton(feats: int, rounds: int) -> list[str]:
+    """CTEs of Newton's method for a logistic regression on ``z``; the last one is ``beta``."""
+    n = feats + 1
+    out = ["beta_0 AS MATERIALIZED (SELECT " + ", ".join(f"CAST(0 AS DOUBLE) AS x_{k}" for k in range(n)) + ")"]
+    eta = " + ".join(f"x_{k} * z_{k}" for k in range(n))
+    tri = [(i, j) for i in range(n) for j in range(i + 1)]
+    for t in range(rounds):
+        sums = ", ".join([f"sum(p * (1 - p) * z_{i} * z_{j}) AS a_{i}_{j}" for i, j in tri]
+                         + [f"sum((label - p) * z_{k}) AS r_{k}" for k in range(n)]
+                         + [f"any_value(x_{k}) AS o_{k}" for k in range(n)])
+        out.append(f"g_{t} AS MATERIALIZED (SELECT {sums} FROM (SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM z, beta_{t} WHERE split = 'train') q)")
+        out += _solve(f"g_{t}", n, f"s_{t}")
+        last = "beta" if t + 1 == rounds else f"beta_{t + 1}"
+        out.append(f"{last} AS MATERIALIZED (SELECT " + ", ".join(f"o_{k} + x_{k} AS x_{k}" for k in range(n)) + f" FROM s_{t})")
+    return out
+
+
+def _model_report(name: str) -> str:
+    """The report of a classifier from ``scored`` (split, label, score, prediction)."""
+    return f"""SELECT '{name}' AS model, c.split, rows, accuracy, auc, predicted_positive
+        FROM (SELECT split, count(*) AS rows, avg(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS accuracy,
+                     count(*) FILTER (WHERE prediction = 1) AS predicted_positive FROM scored GROUP BY 1) c
+        JOIN (SELECT 'train' AS split, * FROM ({_auc('st')}) a UNION ALL SELECT 'val', * FROM ({_auc('sv')}) b) u
+          ON u.split = c.split"""
+
+
+SCORED_PARTS = ("st AS (SELECT * FROM scored WHERE split = 'train')", "sv AS (SELECT * FROM scored WHERE split = 'val')")
+
+
+def _poisson_limits(draws: int) -> list[int]:
+    """Poisson(1) distribution function at 0, 1, ... in 32-bit units."""
+    return [math.floor(sum(math.exp(-1.0) / math.factorial(i) for i in range(k + 1)) * 2**32) for k in range(draws)]
+
+
 def _dow(ts: str) -> str:
     return f"CAST(dayofweek({ts}) AS INTEGER)"
 
@@ -447,6 +524,10 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
         dbl=("corr_purchase_discount",))
     q["user_spending_trend"] = _with(*tr, TREND_CTE) + _present(
         "SELECT user_id, spending_trend FROM tr", dbl=("spending_trend",))
+    for order, b1, cubic in ((2, "y1 / s2", "0"), (3, "(y1 - s4 * b3) / s2", "3 * b3 * first * first")):
+        q[f"user_trend_order{order}"] = _with(*tr, TREND_CTE, MOMENT_CTE) + _present(
+            f"""SELECT user_id, round(CASE WHEN n < 2 THEN CAST(0 AS DOUBLE) ELSE {b1} + 2 * b2 * first + {cubic} END, 9)
+                AS spending_trend FROM co""", dbl=("spending_trend",))
     q["user_month_buys"] = _with(L_CTE, bu) + "SELECT * FROM bu"
     q["user_month_events"] = _with(L_CTE, ev) + "SELECT * FROM ev"
     q["user_year_activity"] = _with(L_CTE) + """SELECT user_id, CAST(year("timestamp") AS INTEGER) AS year,
@@ -558,6 +639,36 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
     q["gnb_class_stats"] = _with(*C1_CTES) + _present(
         f"SELECT label, count(*) AS rows, {stats} FROM ({_c1(*R.TRAIN)}) t GROUP BY label",
         dbl=tuple(f"{p}_{f}" for f in feats for p in ("mean", "var")))
+    def gauss(c: int) -> str:
+        return f"ln(n_{c} / CAST(n_0 + n_1 AS DOUBLE))" + "".join(
+            f" - 0.5 * (ln(2 * pi() * (v{c}_{f} + eps)) + ({f} - m{c}_{f}) ** 2 / (v{c}_{f} + eps))" for f in feats)
+
+    per_class = ", ".join(
+        f"avg({f}) FILTER (WHERE label = {c}) AS m{c}_{f}, avg(CAST({f} AS DOUBLE) * {f}) FILTER (WHERE label = {c}) - "
+        f"(avg({f}) FILTER (WHERE label = {c})) ** 2 AS v{c}_{f}" for c in (0, 1) for f in feats)
+    floor = ", ".join(f"avg(CAST({f} AS DOUBLE) * {f}) - avg({f}) ** 2" for f in feats)
+    q["gnb_scores"] = _with(*C1_CTES, f"rows_ AS MATERIALIZED ({_splits()})", f"""cs AS MATERIALIZED (
+        SELECT count(*) FILTER (WHERE label = 0) AS n_0, count(*) FILTER (WHERE label = 1) AS n_1,
+               1e-9 * greatest({floor}) AS eps, {per_class} FROM rows_ WHERE split = 'train')""",
+        f"raw AS (SELECT split, label, {gauss(1)} AS r1, {gauss(0)} AS r0 FROM rows_, cs)",
+        "scored AS MATERIALIZED (SELECT split, label, r1 - r0 AS score, CASE WHEN r1 > r0 THEN 1 ELSE 0 END AS prediction FROM raw)",
+        *SCORED_PARTS) + _present(_model_report("gnb"), dbl=("accuracy", "auc"))
+    eta = " + ".join(f"x_{k} * z_{k}" for k in range(len(feats) + 1))
+    q["logit_scores"] = _with(*C1_CTES, f"rows_ AS MATERIALIZED ({_splits()})", *_standard("rows_", feats, "label"),
+                              *_newton(len(feats), 7), f"""scored AS MATERIALIZED (
+        SELECT split, label, {eta} AS score, CASE WHEN {eta} > 0 THEN 1 ELSE 0 END AS prediction FROM z, beta)""",
+        *SCORED_PARTS) + _present(_model_report("logit"), dbl=("accuracy", "auc"))
+    n = len(feats)
+    sums = ", ".join([f"sum(z_{i} * z_{j}) AS a_{i}_{j}" for i in range(n) for j in range(i + 1)]
+                     + [f"sum(z_{k} * (spend_third - m)) AS r_{k}" for k in range(n)] + ["any_value(m) AS m"])
+    value = " + ".join(["m", *(f"x_{k} * z_{k}" for k in range(n))])
+    q["spend_regression"] = _with(*C1_CTES, f"""rows_ AS MATERIALIZED (
+        SELECT *, 'train' AS split FROM ({_c1_rows(*R.TRAIN)}) t UNION ALL SELECT *, 'val' AS split FROM ({_c1_rows(*R.VAL)}) v)""",
+        *_standard("rows_", feats, "spend_third"), f"""g AS MATERIALIZED (
+        SELECT {sums} FROM z, (SELECT avg(spend_third) AS m FROM z WHERE split = 'train') k WHERE split = 'train')""",
+        *_solve("g", n, "sol"), f"pr AS (SELECT split, spend_third, {value} - spend_third AS e FROM z, sol)") + _present(
+        """SELECT split, count(*) AS rows, sqrt(avg(e * e)) AS rmse,
+                  1 - sum(e * e) / (var_pop(spend_third) * count(*)) AS r2 FROM pr GROUP BY 1""", dbl=("rmse", "r2"))
     rule = f"""SELECT *, spent_money_second_month - spent_money_first_month AS score, {RULE} AS prediction
                FROM ({_splits()}) s"""
     q["metric_accuracy"] = _with(*C1_CTES, f"scored AS ({rule})") + _present(
@@ -594,6 +705,36 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
         _present("""SELECT model_type, count(*) AS requests, avg(prediction) AS mean_prediction,
                            avg(abs(prediction - spend_third)) AS mae FROM pr GROUP BY 1""",
                  dbl=("mean_prediction", "mae"))
+    limits = ", ".join(str(x) for x in _poisson_limits(12))
+    q["ab_log_compare"] = _with(*C1_CTES, f"""log AS (
+        SELECT user_id, CASE WHEN {arm} = 0 THEN 'BaseModel' ELSE 'SecondModel' END AS model_type,
+               CASE WHEN {arm} = 0 THEN spent_money_second_month
+                    ELSE (spent_money_first_month + spent_money_second_month) / 2 END AS prediction,
+               CAST(month_idx + 2 + CASE WHEN user_id % 5 = 0 THEN 2 ELSE 0 END AS INTEGER) AS am
+        FROM ({_c1_rows(*R.VAL)}) r)""", f"""third AS (
+        SELECT a.user_id, a.month_idx, coalesce(n2.spend, 0) AS spend FROM facts a
+        LEFT JOIN facts n2 ON n2.user_id = a.user_id AND n2.month_idx = a.month_idx + 2 WHERE a.buys > 0)""", f"""met AS (
+        SELECT log.*, t.month_idx + 2 > (SELECT max({MIDX}) FROM l_sessions) AS late, t.spend
+        FROM log ASOF LEFT JOIN third t ON t.user_id = log.user_id AND log.am - 2 >= t.month_idx)""", """er AS (
+        SELECT model_type, prediction, coalesce(late, false) AS pending,
+               CAST(round(prediction * 1000000) AS BIGINT)
+                 - CASE WHEN late THEN NULL ELSE CAST(spend * 1000000 AS BIGINT) END AS e,
+               concat_ws('|', user_id, strftime(make_date(am // 12, am % 12 + 1, 5), '%m/%d/%Y') || ' 00:00:00:000000',
+                         model_type, CAST(round(prediction * 1000000) AS BIGINT)) AS key FROM met)""", """dg AS (
+        SELECT model_type, abs(e) AS e, b, md5('0:' || b || ':' || key) AS h
+        FROM er, generate_series(0, 49) g(b) WHERE e IS NOT NULL)""", f"""wt AS (
+        SELECT model_type, b, k, e, len(list_filter([{limits}], lambda x:
+               x <= CAST('0x' || substr(h, CAST(8 * k + 1 AS INTEGER), 8) AS BIGINT))) AS w
+        FROM dg, generate_series(0, 3) s(k))""", """rp AS (
+        SELECT model_type, sum(CAST(w * e AS HUGEINT)) / CAST(sum(w) AS DOUBLE) / 1000000 AS mean
+        FROM wt GROUP BY model_type, b, k HAVING sum(w) > 0)""", """sp AS (
+        SELECT model_type, list_sort(list(mean)) AS m FROM rp GROUP BY 1)""") + _present(
+        """SELECT er.model_type, count(*) AS requests, count(e) AS matched, count(*) FILTER (WHERE pending) AS pending,
+                  avg(prediction) AS mean_prediction, avg(CAST(e AS DOUBLE)) / 1000000 AS mean_error,
+                  avg(CAST(abs(e) AS DOUBLE)) / 1000000 AS mae,
+                  any_value(m[6]) AS mae_low, any_value(m[195]) AS mae_high
+           FROM er LEFT JOIN sp ON sp.model_type = er.model_type GROUP BY er.model_type""",
+        dbl=("mean_prediction", "mean_error", "mae", "mae_low", "mae_high"))
     return q
 
 

@@ -25,6 +25,7 @@ from cartlens.plans import abtest as B
 from cartlens.plans import features as C
 from cartlens.plans import metrics as X
 from cartlens.plans import models as ML
+from cartlens.plans import search as SE
 from cartlens.sources.adapters import Tables
 from cartlens.session import cut_lineage
 from cartlens.sources.readers import preview, profile
@@ -234,19 +235,9 @@ def _deals(t):
 
 @query("left_join_keys")
 def _left_join_keys(t):
-    # One scan of the log: every aggregate derives from the user-month pre-aggregate.
-    # The (user, year, month) join uses month_idx, the same key as one number, so both
-    # sides keep the pre-aggregate's partitioning and that join needs no exchange.
+    # Every attached aggregate derives from the user-month table, which one exchange on the user deals out.
     facts = M.user_month_facts(t.line_sessions(), t.products())
-    events = facts.select("user_id", "month_idx", F.col("events").alias("all_events_month"))
-    buys = facts.where(F.col("buys") > 0).select(
-        "user_id", "month_idx", F.col("buys").alias("buying_events_month"))
-    spend_year = M.with_calendar(facts).groupBy("user_id", "year").agg(
-        F.sum("spend").alias("spent_money_year"))
-    total = facts.groupBy("user_id").agg(F.sum("spend").alias("total_spend"))
-    monthly = M.with_calendar(J.left_join_keys(events, (buys, ["user_id", "month_idx"])))
-    return J.left_join_keys(monthly, (spend_year, ["user_id", "year"]),
-                            (total, ["user_id"])).drop("month_idx")
+    return J.with_user_totals(M.with_calendar(facts))
 
 
 @query("user_month_next")
@@ -406,6 +397,20 @@ def _user_spending_trend(t):
     return U.user_spending_trend(_train_part(t))
 
 
+@query("user_trend_order2")
+def _user_trend_order2(t):
+    # Money over small whole numbers often ends in a 5 at the seventh place: round the last bits off first.
+    trend = U.user_spending_trend(_train_part(t), order=2)
+    return trend.withColumn("spending_trend", F.round("spending_trend", 9))
+
+
+@query("user_trend_order3")
+def _user_trend_order3(t):
+    # Money over small whole numbers often ends in a 5 at the seventh place: round the last bits off first.
+    trend = U.user_spending_trend(_train_part(t), order=3)
+    return trend.withColumn("spending_trend", F.round("spending_trend", 9))
+
+
 @query("user_month_buys")
 def _user_month_buys(t):
     return M.user_month_buys(t.line_sessions())
@@ -577,6 +582,11 @@ def _logreg_scores(t):
     return ML.fit_and_score(_splits(t), "logreg")
 
 
+@query("logit_scores")
+def _logit_scores(t):
+    return ML.fit_and_score(_splits(t), "logit")
+
+
 @query("forest_scores")
 def _forest_scores(t):
     return ML.fit_and_score(_splits(t), "forest", trees=100, depth=16, seed=0)
@@ -602,11 +612,21 @@ def _model_selection(t):
     return ML.model_selection(_splits(t))
 
 
+@query("model_search")
+def _model_search(t):
+    return SE.report(t.spark, SE.search(_splits(t), trials=10, seed=0))
+
+
 @query("spend_regression")
 def _spend_regression(t):
     return ML.spend_regression(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL))
 
 
+@query("svr_scores")
+def _svr_scores(t):
+    return ML.spend_regression(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL), kind="svr")
+
+
 @query("scale_features")
 def _scale_features(t):
     return ML.scale_features(_splits(t).where(F.col("split") == "train"))
@@ -629,7 +649,7 @@ def _ab_score(t):
     rows = cut_lineage(ML.regression_rows(t.line_sessions(), t.products(), ML.Windows(TRAIN, VAL)))
     train = rows.where(F.col("split") == "train")
     linear = ML.build_regression().fit(train)
-    nonlinear = ML.build_regression("forest").fit(train)
+    nonlinear = ML.build_regression("svr").fit(train)
     req = B.assign_variant(rows.where(F.col("split") == "val"), AB_SALT)
     # The service's names are crossed: 'BaseModel' ran the non-linear model (B2).
     scored = B.score(req, {"BaseModel": nonlinear, "SecondModel": linear})
@@ -644,6 +664,21 @@ def _ab_compare(t):
     return B.compare_arms(req.withColumn("prediction", pred), actual="spend_third")
 
 
+@query("ab_log_compare")
+def _ab_log_compare(t):
+    # The log of the rule scores: written on the 5th of the month after the two feature months, by
+    # every fifth user two months later still.
+    req = _requests(t)
+    pred = F.when(F.col("model_type") == "BaseModel", F.col("spent_money_second_month")).otherwise(
+        (F.col("spent_money_first_month") + F.col("spent_money_second_month")) / 2)
+    month = F.col("month_idx") + 2 + F.when(F.col("user_id") % 5 == 0, 2).otherwise(0)
+    time = F.date_format(F.date_add(tf.month_start_of_idx(month), 4), tf.PREDICTION_TIME_FORMAT)
+    log = req.select(time.alias("prediction_time"), "model_type", pred.alias("prediction"), "user_id")
+    sessions = t.line_sessions()
+    nexts = M.user_month_next(M.user_month_facts(sessions, t.products()))
+    return B.compare_log(B.with_actual(log, nexts, B.last_month(sessions)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _q(fn) for name, fn in QUERIES.items()}
 
@@ -671,7 +706,7 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
             "hist_purchase"),
     "A16": ("hist_log_purchase",), "A17": ("conversion_by_discount",),
     "A18": ("user_mean_discount",), "A19": ("user_total_spend",), "A20": ("user_corr_discount",),
-    "A21": ("user_spending_trend",), "A22": ("user_features",), "A23": ("user_month_buys",),
+    "A21": ("user_spending_trend", "user_trend_order2", "user_trend_order3"), "A22": ("user_features",), "A23": ("user_month_buys",),
     "A24": ("user_month_events",), "A25": ("user_year_activity",), "A26": ("user_month_spend",),
     "A27": ("user_year_spend",), "A28": ("two_month_average",), "A29": ("spend_more_label",),
     "A30": ("class_balance",),
@@ -684,10 +719,10 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "F8": ("session_duration",), "F9": ("month_steps",), "F10": ("month_range",),
     "F11": ("missing_dates",), "F13": ("ab_assign",),
     "M1": ("feature_label_rows",), "M2": ("baseline_accuracy",),
-    "M3": ("gnb_class_stats", "gnb_scores"), "M4": ("logreg_scores",), "M5": ("forest_scores",),
+    "M3": ("gnb_class_stats", "gnb_scores"), "M4": ("logreg_scores", "logit_scores"), "M5": ("forest_scores",),
     "M6": ("metric_accuracy",), "M7": ("metric_auc",), "M8": ("metric_confusion",),
-    "M10": ("model_selection",), "M11": ("spend_regression",), "M12": ("scale_features",),
-    "B1": ("ab_assign",), "B2": ("ab_score",), "B4": ("ab_compare",),
+    "M10": ("model_selection", "model_search"), "M11": ("spend_regression", "svr_scores"), "M12": ("scale_features",),
+    "B1": ("ab_assign",), "B2": ("ab_score",), "B4": ("ab_compare", "ab_log_compare"),
 }
 
 # Operators the survey checks with pytest only ([F] T): id -> test module::function.

@@ -90,3 +90,48 @@ def test_explore_from_staged_parquet_equals_json(spark, inputs, tmp_path):
     for name in ("purchase_prob_by_views", "user_features", "missing_fraction", "missing_dates"):
         # float aggregates may differ in the last bit with another row order
         assert rows(direct[name]) == rows(staged[name]), name
+
+
+def test_every_job_counts_rejected_lines_and_refuses_too_many(spark, inputs, tmp_path, capsys):
+    text = open(inputs[0]).read()
+    bad = tmp_path / "bad.jsonl"
+    bad.write_text(text + '{"session_id": 1, "user_id": "x7", "timestamp": "soon"}\n{broken\n')
+    args = ["--sessions", str(bad), "--products", inputs[1]]
+    window = ["--begin", "2021.11.01", "--end", "2022.01.31", "--out", str(tmp_path / "o")]
+    assert main(["prepare-data", *args, *window]) == 2
+    assert not (tmp_path / "o").exists() and "refused: 1 of" in capsys.readouterr().err
+    assert main(["prepare-data", *args, *window, "--max-reject-share", "0.5", "--rejects", str(tmp_path / "r")]) == 0
+    err = capsys.readouterr().err
+    assert "1 rejected" in err and "unparsed_user_id=1" in err and "unparsed_timestamp=1" in err
+    assert {r.table: r.lines for r in jobs.rejected_lines(spark, str(tmp_path / "r")).collect()} == {"sessions": 1}
+    report: list = []
+    allow = {"max_reject_share": 0.5, "report": report}
+    jobs.prepare_data_v2(spark, str(bad), inputs[1], "2021.11.01", "2022.02.01", inputs=allow)
+    jobs.prepare_data_v1(spark, str(bad), inputs[1], "2021-11-01", "2022-02-01", inputs=allow)
+    jobs.explore(spark, str(bad), inputs[1], inputs=allow)
+    assert [r["corrupt_lines"] for r in report if r["table"] == "sessions"] == [1, 1, 1]
+    windows = (("2021-11-01", "2021-11-30"), ("2022-03-01", "2022-03-31"))
+    for job in (lambda **k: jobs.train_models(spark, str(bad), inputs[1], *windows, kinds=("gnb",), **k),
+                lambda **k: jobs.serve_batch(spark, str(bad), inputs[1], windows[1], windows[0], str(tmp_path / "m"), **k),
+                lambda **k: jobs.explore(spark, str(bad), inputs[1], **k)):
+        with pytest.raises(jobs.TooManyRejects):
+            job()
+
+
+def test_cli_compare_against_later_spend(spark, inputs, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    rows_ = [("01/05/2022 00:00:00:000000", "BaseModel", 500.0, 102), ("01/20/2022 10:00:00:000001", "SecondModel", 90.0, 103),
+             ("03/01/2022 00:00:00:000000", "BaseModel", 1.0, 104), ("not a time", "BaseModel", 2.0, 102), ("01/05/2022 00:00:00:000000", None, 3.0, None)]
+    with open(log / "a.json", "w") as fh:
+        for t, m, p, u in rows_:
+            fh.write(json.dumps({"prediction_time": t, "model_type": m, "prediction": p, "user_id": u}) + "\n")
+    got = {r.model_type: r for r in jobs.compare_log(spark, str(log), *inputs, replicates=8).collect()}
+    # user 102 bought 250 in November and 600 in January; 103 bought in November only; 104's third month is to come
+    assert (got["BaseModel"].requests, got["BaseModel"].matched, got["BaseModel"].pending) == (3, 1, 1)
+    assert got["BaseModel"].mae == 100.0 and got["BaseModel"].mean_error == -100.0 and got["BaseModel"].mae_low == 100.0
+    assert (got["SecondModel"].matched, got["SecondModel"].mae) == (1, 90.0)
+    assert (got[None].requests, got[None].matched) == (1, 0)
+    assert main(["compare", "--log", str(log), "--sessions", inputs[0], "--products", inputs[1], "--out", str(tmp_path / "c")]) == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 3
+    assert main(["compare", "--log", str(log)]) == 0

@@ -33,7 +33,7 @@ def test_training_set_plan_has_no_cartesian_or_python(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in plan
     assert ("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_returnflag:string,"
             "l_shipdate:timestamp_ntz>") in plan
-    # exchanges: pre-aggregate, user-month aggregate, window, dedupe
+    # exchanges: prices (small), user-month aggregate, window, dedupe
     assert tree.count("Exchange") - tree.count("BroadcastExchange") == 4
 
 
@@ -64,7 +64,9 @@ def duck():
 
 ORACLE_SUBSET = ["training_set_v3", "features_v2", "features_v1", "user_features",
                  "purchase_prob_by_views", "user_month_next", "missing_fraction", "metric_auc",
-                 "purchase_position", "hist_duration", "left_join_keys", "scale_features"]
+                 "purchase_position", "hist_duration", "left_join_keys", "scale_features",
+                 "user_year_spend", "gnb_scores", "logit_scores", "spend_regression", "ab_log_compare",
+                 "user_trend_order2", "user_trend_order3"]
 
 
 @pytest.mark.parametrize("name", ORACLE_SUBSET)
@@ -84,8 +86,8 @@ def test_every_sql_entry_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-MODEL_BACKED = {"gnb_scores", "logreg_scores", "forest_scores", "model_selection",
-                "spend_regression", "ab_score"}
+MODEL_BACKED = {"gnb_scores", "logreg_scores", "logit_scores", "forest_scores", "model_selection", "model_search",
+                "spend_regression", "svr_scores", "ab_score"}
 
 
 def test_no_query_plans_a_cartesian_product_or_row_udf(spark):
