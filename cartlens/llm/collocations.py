@@ -229,8 +229,9 @@ def count_pairs(left: np.ndarray, right: np.ndarray, tile: int = TILE, dense: in
     return np.concatenate(found_i or empty), np.concatenate(found_j or empty), np.concatenate(found_n or empty), number
 
 
-def _pairs(seqs: pa.Table, ids: pa.Table) -> pa.Table:
-    """One block: its sequence with corpus-wide ids, the pairs of neighbours counted and numbered."""
+def _pairs(seqs: pa.Table, ids: pa.Table, last: bool) -> pa.Table:
+    """One block: its sequence with corpus-wide ids, the pairs of neighbours counted and numbered
+    (the sequence of pairs is written unless this is the ``last`` level)."""
     batches = []
     known = [(unpack(a, True), unpack(b)) for a, b in zip(ids.column("lid").to_pylist(), ids.column("ids").to_pylist())]
     for block, raw in zip(seqs.column("of").to_pylist(), seqs.column("seq")):
@@ -248,8 +249,9 @@ def _pairs(seqs: pa.Table, ids: pa.Table) -> pa.Table:
         place[order] = np.arange(len(order))
         out = np.full(len(seq) - 1, -1, np.int64)
         out[at] = place[number]
-        batches += [_batch(PAIR_BLOCKS, block=[block], seq=[pack(out)]),
-                    _batch(PAIR_BLOCKS, block=[block], i=[pack(i[order], True)], j=[pack(j[order])], n=[pack(n[order])], size=[len(n)])]
+        if not last:
+            batches.append(_batch(PAIR_BLOCKS, block=[block], seq=[pack(out)]))
+        batches.append(_batch(PAIR_BLOCKS, block=[block], i=[pack(i[order], True)], j=[pack(j[order])], n=[pack(n[order])], size=[len(n)]))
     return pa.Table.from_batches(batches, _schema(PAIR_BLOCKS))
 
 
@@ -291,11 +293,11 @@ def _ranked(rows: DataFrame, min_count: int, words: bool) -> DataFrame:
     return staged(entries.groupBy("bucket").applyInArrow(lambda group: count(group, buckets, min_count), WORD_IDS if words else PAIR_IDS))
 
 
-def _next_level(rows: DataFrame, ranked: DataFrame) -> DataFrame:
+def _next_level(rows: DataFrame, ranked: DataFrame, last: bool) -> DataFrame:
     """The blocks get the ids of their units and count neighbours (``PAIR_BLOCKS``)."""
     seqs = rows.where("size IS NULL").select(F.col("block").alias("of"), "seq")
     ids = ranked.where("block IS NOT NULL").select("block", "lid", "ids")
-    return staged(seqs.groupBy("of").cogroup(ids.groupBy("block")).applyInArrow(_pairs, PAIR_BLOCKS))
+    return staged(seqs.groupBy("of").cogroup(ids.groupBy("block")).applyInArrow(lambda of, known: _pairs(of, known, last), PAIR_BLOCKS))
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 4, min_count: int = 30,
@@ -314,8 +316,8 @@ def phrase_counts(docs: DataFrame, max_words: int = 4, min_count: int = 30,
     word, f = F.col("word").cast("string"), F.array("f")
     levels = [staged(ranked.where("id IS NOT NULL").select("id", "lang", word.alias("phrase"), "f", f.alias("before"), f.alias("after"),
                                                            word.alias("last")))]
-    for _ in range(2, max_words + 1):
-        rows = _next_level(rows, ranked)
+    for size in range(2, max_words + 1):
+        rows = _next_level(rows, ranked, last=size == max_words)
         ranked = _ranked(rows, min_count, words=False)
         left = levels[-1].select(F.col("id").alias("i"), "lang", F.col("phrase").alias("head"), "before")
         right = levels[-1].select(F.col("id").alias("j"), "after", "last")
