@@ -31,6 +31,13 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_ids(docs: DataFrame) -> DataFrame:
+    """The ids (doc_id) that stand on different texts; one row per id is shuffled."""
+    th = F.xxhash64("text")
+    return (docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(th).alias("lo"), F.max(th).alias("hi"))
+            .where("lo <> hi").select("doc_id"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that no model may learn from: crc32(doc_id as text) mod 4 is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -24,8 +24,9 @@ The choice of common n-grams only changes the order, never the result.
 
 Defined results: a null, empty or blank text has no n-gram, size 0, and is its own component;
 a text of fewer words than n has its whole sequence as its one n-gram; copies and repeated rows
-fall in one class; rows without an id are left out; ties cannot arise (the component is the
-smallest id); an empty table gives an empty table; other columns are ignored.
+fall in one class; texts that share an id are documents of their own, and a component has the
+smallest of its rows' ids; rows without an id link with nothing and have a null component;
+ties cannot arise; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import (components, key_filter, passes, split_words, staged, texts_of,
+from cartlens.llm.common import (components, key_filter, passes, shared_ids, split_words, staged, texts_of,
                                  window_hashes, word_hashes)
 
 WIDTH = 5
@@ -280,8 +281,31 @@ def _crowd_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, percent: int = 80, width: int = WIDTH, hub_rounds: int = 3) -> DataFrame:
     """One row per document (doc_id): n_shingles and component_id (the smallest id linked)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    none = docs.where("doc_id IS NULL").withColumn("doc_id", F.lit(0).cast("long"))
+    none = none.mapInArrow(lambda it: _first_pass(it, width), "kind byte, a long, b long, c long").where("kind = 0").select(
+        F.lit(None).cast("long").alias("doc_id"), F.col("b").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    docs = docs.where("doc_id IS NOT NULL")
+    twice = staged(shared_ids(docs))
+    if twice.isEmpty():
+        return _components_by_id(docs, percent, width, hub_rounds).unionByName(none)
+    # Texts that share an id get numbers of their own, beside all ids.
+    lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    number = F.lit(hi) + 1 + F.monotonically_increasing_id() if hi < 1 << 62 else F.lit(lo) - 1 - F.monotonically_increasing_id()
+    marked = docs.withColumn("th", F.xxhash64("text"))
+    numbers = staged(marked.join(twice, "doc_id").select("doc_id", "th").distinct().withColumn("number", number))
+    own = marked.join(numbers, ["doc_id", "th"], "left").select(F.coalesce("number", "doc_id").alias("doc_id"), "text")
+    found = _components_by_id(staged(own), percent, width, hub_rounds).join(
+        numbers.select(F.col("number").alias("doc_id"), F.col("doc_id").alias("own")), "doc_id", "left")
+    found = staged(found.select(F.coalesce("own", "doc_id").alias("doc_id"), "n_shingles", "component_id"))
+    names = found.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return (found.join(names, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+            .unionByName(none))
+
+
+def _components_by_id(docs: DataFrame, percent: int, width: int, hub_rounds: int) -> DataFrame:
+    """The same for rows whose id (not null) names one text."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     first = staged(docs.mapInArrow(lambda it: _first_pass(it, width), "kind byte, a long, b long, c long"))
     members = first.where("kind = 0").select(F.col("a").alias("doc_id"), F.col("b").alias("size"), F.col("c").alias("key"))
     classes = staged(members.where("size > 0").groupBy("key", "size").agg(F.min("doc_id").alias("rep")))
