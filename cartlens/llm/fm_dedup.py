@@ -17,9 +17,9 @@ Runs of a minimizer that over ``hot_docs`` documents have go window by window to
 by the window's own hash, so a hot passage is spread however many documents quote it.
 
 Defined results: a null text has no words (kept text empty); texts shorter than a window keep
-all; rows without an id are left out; rows that share a doc_id count as one place of occurrence
-(no smaller id), each is cut on its own; an empty table gives an empty table; other columns are
-ignored.
+all; rows without an id are no place of occurrence and stay whole; rows that share a doc_id count
+as one place of occurrence (no smaller id), each text is cut on its own; an empty table gives an
+empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import key_filter, passes, split_words, staged, texts_of, window_hashes, word_hashes
+from cartlens.llm.common import key_filter, passes, shared_ids, split_words, staged, texts_of, window_hashes, word_hashes
 
 PIECE = 1 << 20           # windows handled at once in a very long text
 SAMPLE = 8                # words of the short runs that minimizers are chosen from
@@ -192,36 +192,38 @@ def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _split(batches: Iterator[pa.RecordBatch], width: int, shared: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _split(batches: Iterator[pa.RecordBatch], width: int, shared: np.ndarray, hot: np.ndarray, apart: bool) -> Iterator[pa.RecordBatch]:
     """Kind 0: a document (done if it has no shared run); kind 1: a run of it; kind 2: a window
-    of a hot minimizer's run.  A run's words come once a task, copies have its hash only."""
-    names = ["kind", "doc_id", "mini", "start", "n_words", "body", "sha"]
-    types = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    of a hot minimizer's run.  A run's words come once a task, copies have its hash only.
+    ``th`` tells texts ``apart`` that share an id; it is 0 where ids are unique."""
+    names = ["kind", "doc_id", "th", "mini", "start", "n_words", "body", "sha"]
+    types = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     sent: set[bytes] = set()
 
-    def run(kind: int, doc: int, mini: int, start: int, body: bytes) -> tuple:
+    def run(kind: int, doc: int, th: int, mini: int, start: int, body: bytes) -> tuple:
         sha = xxhash.xxh128_digest(body)
         known = sha in sent
         if not known:
             if len(sent) > 2_000_000:
                 sent.clear()
             sent.add(sha)
-        return kind, doc, mini, start, None, None if known else body, sha
+        return kind, doc, th, mini, start, None, None if known else body, sha
 
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
         rows: list[tuple] = []
         for doc, text in zip(ids.tolist(), texts_of(batch, "text")):
             words = split_words(text)
+            th = xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63) if apart else 0
             first, end, mini = minimizer_runs(word_hashes(words), width)
             mini = mini.view(np.int64)
             use = np.flatnonzero(passes(shared, mini)) if len(mini) else []
             for k, many in zip(use, passes(hot, mini[use]) if len(use) else ()):
                 if many:
-                    rows += [run(2, doc, int(mini[k]), j, b" ".join(words[j:j + width])) for j in range(int(first[k]), int(end[k]))]
+                    rows += [run(2, doc, th, int(mini[k]), j, b" ".join(words[j:j + width])) for j in range(int(first[k]), int(end[k]))]
                 else:
-                    rows.append(run(1, doc, int(mini[k]), int(first[k]), b" ".join(words[first[k]:end[k] + width - 1])))
-            rows.append((0, doc, None, None, len(words), b" ".join(words) if len(use) else None,
+                    rows.append(run(1, doc, th, int(mini[k]), int(first[k]), b" ".join(words[first[k]:end[k] + width - 1])))
+            rows.append((0, doc, th, None, None, len(words), b" ".join(words) if len(use) else None,
                          None if len(use) else _sha(words).encode()))
             if len(rows) > 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
@@ -269,19 +271,33 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"])
 
 
+def _uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [split_words(t) for t in texts_of(batch, "text")]
+        n = len(words)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.int64()), pa.array(map(len, words), pa.int64()), pa.array([0] * n, pa.int64()), pa.array(map(_sha, words), pa.string()),
+             pa.nulls(n, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))), pa.nulls(n, pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"])
+
+
 def remove_repeats(docs: DataFrame, width: int = 50, shard_runs: int = 8000, hot_docs: int = 20_000) -> DataFrame:
     """One row per document: n_words, n_removed, kept_sha256, the removed ``spans`` (word places,
     end exclusive) and ``kept_text`` (null where nothing could be removed: the text as it is)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    whole_rows = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<lo:long,hi:long>>, kept_text string"
+    none = docs.where("doc_id IS NULL").mapInArrow(_uncut, whole_rows)
+    docs = docs.where("doc_id IS NOT NULL")
+    apart = not shared_ids(docs).isEmpty()
     met = staged(docs.mapInArrow(lambda it: _scan(it, width), "mini long, doc_id long").groupBy("mini")
                  .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
                  .where("lo <> hi").select("mini", "n"))
     shared = spark.sparkContext.broadcast(key_filter(met, "mini"))
     hot = spark.sparkContext.broadcast(key_filter(met.where(F.col("n") > hot_docs), "mini"))
-    parts = staged(docs.mapInArrow(lambda it: _split(it, width, shared.value, hot.value),
-                                   "kind byte, doc_id long, mini long, start long, n_words long, body binary, sha binary"))
-    runs = parts.where("kind > 0").select("kind", "mini", "doc_id", "start", "body", "sha")
+    parts = staged(docs.mapInArrow(lambda it: _split(it, width, shared.value, hot.value, apart),
+                                   "kind byte, doc_id long, th long, mini long, start long, n_words long, body binary, sha binary"))
+    runs = parts.where("kind > 0").select("kind", "mini", "doc_id", "th", "start", "body", "sha")
     n = {r.kind: -(-r.n // shard_runs) for r in runs.groupBy("kind").agg(F.count("body").alias("n")).collect()}
     shard = F.when(F.col("kind") == 1, F.pmod(F.xxhash64("mini", F.lit(3)), F.lit(n.get(1) or 1))).otherwise(
         -1 - F.pmod(F.xxhash64("sha", F.lit(3)), F.lit(n.get(2) or 1)))
@@ -289,13 +305,12 @@ def remove_repeats(docs: DataFrame, width: int = 50, shard_runs: int = 8000, hot
     distinct = (runs.withColumn("shard", shard).groupBy("shard", "sha")
                 .agg(F.min("doc_id").alias("doc"), F.first("body", ignorenulls=True).alias("body")))
     found = distinct.groupBy("shard").applyInArrow(lambda group: _shard(group, width), "sha binary, lo long, hi long, least long")
-    spans = (runs.select("sha", "doc_id", "start").join(found, "sha").where("least < doc_id")
-             .groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct(
+    spans = (runs.select("sha", "doc_id", "th", "start").join(found, "sha").where("least < doc_id")
+             .groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct(
                  (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + width - 1).alias("hi")))).alias("spans")))
-    whole = parts.where("kind = 0").select("doc_id", "n_words", "body", "sha")
-    return (whole.join(spans, "doc_id", "left").select("doc_id", "n_words", "body", "sha", "spans")
-            .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, "
-                              "spans array<struct<lo:long,hi:long>>, kept_text string"))
+    whole = parts.where("kind = 0").select("doc_id", "th", "n_words", "body", "sha")
+    return (whole.join(spans, ["doc_id", "th"], "left").select("doc_id", "n_words", "body", "sha", "spans")
+            .mapInArrow(_cut, whole_rows).unionByName(none))
 
 
 def query(docs: DataFrame) -> DataFrame:
