@@ -4,17 +4,17 @@ Equal vectors of one label first become one class with a count.  The classes of
 dealt to shards of at most about ``shard_rows``; for every two shards of a label one task builds
 the graph of the first and asks it with the vectors of both.  A search walks to the ``ef`` nearest and from those within the threshold
 goes on, front by front, through all neighbours within it, so a crowded neighbourhood is walked
-whole.  Each task audits its answers against brute force on vectors that have a neighbour other
-than themselves and doubles ``ef`` until the recall asked for, averaged by vector, is reached; if
-the widest beam fails, or a recall of 1 is asked for, or too few vectors with a neighbour are found,
+whole.  Each task audits its answers against brute force on a fixed number of its vectors and of
+slightly turned copies, which have a neighbour for certain, and doubles ``ef`` until the recall
+asked for, averaged by vector, is reached; if the widest beam fails, or a recall of 1 is asked for,
 the search is exact.  Cosines are computed in double precision.
 
 A task returns one row per class (links and the smallest class it is connected to), never pairs;
 the connected classes of all tasks meet in ``components``.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers, and
-vectors without a label or an id, link with nothing and are their own component; vectors of
-different length are not compared; repeated rows are separate vectors that link with one
+vectors without a label or an id, link with nothing and are their own component; vectors that
+share an id are vectors of their own; vectors of different length are not compared; repeated rows are separate vectors that link with one
 another; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -164,32 +164,39 @@ def audited_search(index: np.ndarray, queries: np.ndarray, radius: float, recall
                    audits: int = 64, same: bool = False) -> Iterator[np.ndarray]:
     """For each query the rows of ``index`` within ``radius``; beams widen until the audit passes.
 
-    The audit takes queries, spread evenly, until ``audits`` of them have a true neighbour (for
-    ``same``, queries that are the index, other than themselves); if the queries run out first,
-    all of them have been searched exactly.
+    The evidence is of bounded size, however rare neighbours are: ``audits`` of the queries,
+    spread evenly, and as many indexed vectors turned away by a cosine between the radius and 1
+    (so each has a neighbour for certain), all searched exactly.  Recall is averaged over those
+    that have a true neighbour (for ``same``, queries that are the index, other than themselves).
+    All answers come from the graph; only if the widest beam fails is the search exact.
     """
-    if recall >= 1:
+    if recall >= 1 or len(index) < 2:
         return exact_search(index, queries, radius)
-    order = np.argsort((np.arange(len(queries)) * 0.6180339887498949) % 1, kind="stable")
-    known, sample = {}, []
-    for k, hits in zip(order.tolist(), exact_search(index, queries[order], radius)):
-        known[k] = hits
-        if len(hits) > (same and k in hits):
-            sample.append(k)
-            if len(sample) == audits:
-                break
-    if len(known) < len(queries):
-        graph, ef = SmallWorld(index), 16
-        while ef < 2 * len(index):
-            shares = []
-            for k in sample:
-                true = known[k][known[k] != k] if same else known[k]
-                shares.append(np.isin(true, graph.within(queries[k], radius, ef)).mean())
-            if np.mean(shares) >= recall:
-                return (known[k] if k in known else graph.within(q, radius, ef) for k, q in enumerate(queries))
-            ef *= 2
-        return exact_search(index, queries, radius)
-    return (known[k] for k in range(len(queries)))
+    spread = lambda n: np.argsort((np.arange(n) * 0.6180339887498949) % 1, kind="stable")[:audits]
+    picked = spread(len(queries))
+    asked = np.concatenate((queries[picked], turned(index[spread(len(index))], radius)))
+    truth = []
+    for k, hits in enumerate(exact_search(index, asked, radius)):
+        truth.append(hits[hits != picked[k]] if same and k < len(picked) else hits)
+    graph, ef = SmallWorld(index), 16
+    while ef < 2 * len(index):
+        shares = [np.isin(hits, graph.within(q, radius, ef)).mean() for q, hits in zip(asked, truth) if len(hits)]
+        if np.mean(shares) >= recall:
+            return (graph.within(q, radius, ef) for q in queries)
+        ef *= 2
+    return exact_search(index, queries, radius)
+
+
+def turned(x: np.ndarray, radius: float) -> np.ndarray:
+    """Unit vectors at cosines from ``radius`` to 1 of the rows of ``x``, in fixed random directions."""
+    rng = np.random.default_rng(len(x))
+    away = rng.standard_normal(x.shape)
+    away -= (away * x).sum(1)[:, None] * x
+    size = np.sqrt((away * away).sum(1))[:, None]
+    away = np.divide(away, size, out=np.zeros_like(away), where=size > 0)
+    cos = (radius + (1 - radius) * (np.arange(len(x)) + 0.5) / len(x))[:, None]
+    out = cos * x + np.sqrt(1 - cos * cos) * away
+    return out / np.sqrt((out * out).sum(1))[:, None]
 
 
 def _root(parent: list[int], i: int) -> int:
@@ -211,8 +218,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
     ok = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = rows.withColumn("ok", F.coalesce(ok, F.lit(False)))
     classes = staged(rows.where("ok").groupBy("label", "embedding")
-                     .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-                     .withColumn("dims", F.size("embedding")))
+                     .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+                     # A class has a number of its own: one vec_id may stand on different vectors.
+                     .withColumns({"dims": F.size("embedding"), "rep": F.monotonically_increasing_id()}))
     sizes = classes.groupBy("label", "dims").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
     dealt = (classes.join(sizes, ["label", "dims"])
              .withColumn("s", F.pmod(F.xxhash64("rep"), F.col("shards")))
@@ -247,9 +255,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, recall: float =
     found = staged(dealt.groupBy("label", "dims", "i", "j").applyInArrow(search, "rep long, links long, root long"))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    known = (classes.join(links, "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("label", "embedding", "rep", (F.col("links") + F.col("copies") - 1).alias("n_links"),
-                     F.coalesce("component", "rep").alias("component_id")))
+    known = staged(classes.join(links, "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+                   .select("label", "embedding", "least", (F.col("links") + F.col("copies") - 1).alias("n_links"),
+                           F.coalesce("component", "rep").alias("component")))
+    names = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = known.join(names, "component").select("label", "embedding", "n_links", "component_id")
     fine = (rows.where("ok").join(known, ["label", "embedding"])
             .select("vec_id", "n_links", "component_id"))
     alone = rows.where("NOT ok").select("vec_id", F.lit(0).cast("long").alias("n_links"),
