@@ -100,13 +100,16 @@ def mix(docs: DataFrame, weights: dict | None = None, alpha: float = 0.7, block:
     table = table.select(F.when(F.col("__null"), F.lit("n")).otherwise(F.concat(F.lit("s"), "__name")).alias("__key"),
                          "__n", "__k", "__given", "__at")
     few = table.select("__key", "__n")
-    hashed = (docs.withColumn("__key", key).withColumn("__h", F.xxhash64("doc_id", F.lit(seed)))
+    # Rows without an id go by their content, and so do ties: the places depend on the rows alone.
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in own if "map<" not in dict(docs.dtypes)[c]], F.lit(seed))
+    by_id = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit(seed))).otherwise(content)
+    hashed = (docs.withColumn("__key", key).withColumn("__h", by_id).withColumn("__t", content)
               .join(F.broadcast(few), "__key")
               .withColumn("__b", F.pmod("__h", F.ceil(F.col("__n") / bucket_rows))))
     before = (hashed.groupBy("__key", "__b").agg(F.count("*").alias("__c"))
               .withColumn("__off", F.sum("__c").over(Window.partitionBy("__key").orderBy("__b")) - F.col("__c"))
               .select("__key", "__b", "__off"))
-    w = Window.partitionBy("__key", "__b").orderBy("__h", "doc_id")
+    w = Window.partitionBy("__key", "__b").orderBy("__h", "doc_id", "__t")
     ranked = (hashed.drop("__n").withColumn("__r", F.row_number().over(w) - 1).join(before, ["__key", "__b"])
               .withColumn("__r", F.col("__r") + F.col("__off")).join(F.broadcast(table), "__key"))
     read = ranked.withColumn("__i", F.explode(F.sequence(F.col("__r"), F.col("__given") - 1, F.col("__n"))))
