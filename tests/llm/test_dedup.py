@@ -65,7 +65,7 @@ def test_jaccard_components_equal_brute_force(spark, monkeypatch, hubs, crowded,
 
 def test_jaccard_of_nothing(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (1, None)], "doc_id long, text string")
-    assert [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.query(docs).collect()] == [(1, 0, 1)]
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.query(docs).collect()} == {(1, 0, 1), (None, 2, None)}
     assert ngram_join.query(docs.limit(0)).count() == 0
 
 
@@ -122,16 +122,14 @@ def _cut(rows, width):
         for k in range(len(w) - width + 1):
             seen.setdefault(tuple(w[k:k + width]), i)
     for i, t in rows:
-        if i is None:
-            continue
         w = (t or "").encode().split()
         keep = [True] * len(w)
         for k in range(len(w) - width + 1):
-            if seen[tuple(w[k:k + width])] < i:
+            if i is not None and seen[tuple(w[k:k + width])] < i:
                 keep[k:k + width] = [False] * width
         kept = [x for x, z in zip(w, keep) if z]
         out.setdefault((i, len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()), []).append(i)
-    return sorted(out)
+    return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("hot", [1, 20_000])
@@ -142,7 +140,8 @@ def test_removed_windows_equal_brute_force(spark, hot):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for width in (6, 20):
         got = fm_dedup.remove_repeats(docs, width=width, shard_runs=100, hot_docs=hot).collect()
-        assert sorted({(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got}) == _cut(rows, width)
+        assert len(got) == len(rows)
+        assert sorted({(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got}, key=str) == _cut(rows, width)
         assert all(r.kept_text is None or hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got)
     assert fm_dedup.query(docs.limit(0)).count() == 0
 
@@ -184,6 +183,5 @@ def test_embedding_links_equal_brute_force(spark, shard):
     got = hnsw_dedup.near_duplicates(table, recall=1.0, shard_rows=shard).collect()
     assert len(got) == len(rows)
     want = {i: (links[i], root(i), root(i) == i) for i in links}
-    off = [i for i, r in ((r.vec_id, r) for r in got) if (r.n_links, r.component_id, r.kept) != want[i]]
-    assert len(off) <= 0.01 * len(rows), off                     # the search is audited, not exact
+    assert [i for i, r in ((r.vec_id, r) for r in got) if (r.n_links, r.component_id, r.kept) != want[i]] == []
     assert hnsw_dedup.query(table.limit(0)).count() == 0
