@@ -1,18 +1,26 @@
-"""Line dedup: a suffix array over line-ID sequences, built by distributed rounds of pairs.
-
-A document is the sequence of its lines that have a word.  Suffixes are ordered by their first
-1, 2, 3 ... lines; each round orders pairs of ranks (a suffix and the suffix one line on), until
-``min_lines`` lines are ordered, so that every length of a run up to there is seen.  Suffixes
-that are alone with their prefix leave after every round.  Neighbours with equal prefixes form
-intervals of common prefixes: the repeated runs.  A run counts with ``min_lines`` lines, with
-``min_words`` words in fewer lines or, for ``whole_documents``, if it is the whole document that
-has it later.  The first place of an interval (the smallest document, then line) stays and the
-run is deleted at all later places; overlapping and adjoining runs with one origin make up a
-maximal run.
+"""Line dedup: a suffix array over line-ID sequences, built by distributed prefix doubling.
+
+A document is the sequence of its lines that have a word.  Suffixes are ranked by their first 1,
+2, 4, 8 ... lines: each round orders pairs of ranks (a suffix and the suffix as many lines on as
+the ranks cover) until no two suffixes share a rank.  Suffixes that are alone with their prefix
+leave after every round.  Suffixes of one rank are an interval of common prefixes; its first place
+(the smallest document, then line) stays, all others are later copies.
+
+The longest common prefix of a place with an earlier one lies between two powers of two; a binary
+search over the lengths in between closes in on it.  A prefix of m lines, 2^k < m < 2^(k+1), is the
+pair of the ranks of its first and its last 2^k lines, so each step counts pairs of known ranks,
+for all places of an interval and only for the lengths that one of them asks for.
+
+So each place has the longest run of lines that also stands earlier.  A run counts with
+``min_lines`` lines, with ``min_words`` words in fewer lines or, for ``whole_documents``, if it is
+the whole document that has it later.  Counting runs are deleted; those inside no other are the
+document's maximal repeated runs.
 
 Ranks are given to distinct pairs (counted map-side first, then dealt by range and numbered
-inside each range after the rows of the ranges before), so a line that a third of the corpus
-has is one row there.  Only line hashes are moved until the texts are cut in the last join.
+inside each range after the rows of the ranges before) and come back to the rows from written
+tables, so a line that a third of the corpus has is one row there and a join key that Spark can
+split.  Lines are told apart by 128 bits of hash; only numbers are moved until the texts are cut
+in the last join.
 
 Defined results: a null or blank text has no lines and stays as it is; blank lines belong to no
 run and stay, unless nothing else is left: then the text is empty; rows with the same id and
@@ -32,12 +40,12 @@ from cartlens.llm.common import staged
 from cartlens.llm.line_quality import let, words_of
 
 RESULTS = ("n_lines", "n_removed", "n_runs", "longest_run")
-PLACE = ["id", "th"]
+PLACE = ["known", "id", "th"]           # null ids: known is false, id 0
 
 
 def line_places(docs: DataFrame, min_lines: int, min_words: int, whole_documents: bool) -> DataFrame:
-    """One row per line that has a word: place (id, th, line), the line's hash and ``short``, the
-    numbers of lines under ``min_lines`` from there on that count if they are repeated."""
+    """One row per line that has a word: place (document, line), the line's hash (h, g) and ``short``,
+    the numbers of lines under ``min_lines`` from there on that count if they are repeated."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.filter(lines, lambda x: x.rlike(r"[^ \t-\r]"))
 
@@ -49,10 +57,13 @@ def line_places(docs: DataFrame, min_lines: int, min_words: int, whole_documents
         return F.filter(F.array(*counts).cast("array<int>"), lambda k: k.isNotNull())
 
     # Hashes first: then only numbers leave the array.
-    numbers = F.transform(kept, lambda x: F.struct(F.xxhash64(x, F.lit(1)).alias("h"), F.size(words_of(x)).alias("n")))
-    places = let(numbers, lambda v: F.transform(v, lambda x, i: F.struct(x["h"].alias("h"), short(v, i).alias("short"))))
-    return (docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.posexplode(places).alias("line", "x"))
-            .select("id", "th", "line", "x.h", "x.short"))
+    numbers = F.transform(kept, lambda x: F.struct(
+        F.xxhash64(x, F.lit(1)).alias("h"), F.xxhash64(F.lit(2), x).alias("g"), F.size(words_of(x)).alias("n")))
+    places = let(numbers, lambda v: F.transform(v, lambda x, i: F.struct(
+        x["h"].alias("h"), x["g"].alias("g"), short(v, i).alias("short"))))
+    return (docs.select(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("th"),
+                        F.posexplode(places).alias("line", "x"))
+            .select(*PLACE, "line", "x.h", "x.g", "x.short"))
 
 
 def _ranked(keys: DataFrame) -> DataFrame:
@@ -66,24 +77,50 @@ def _ranked(keys: DataFrame) -> DataFrame:
             .withColumn("rank", F.col("before") + F.sum("n").over(w) - F.col("n")).drop("pid", "before"))
 
 
-def repeated_prefixes(places: DataFrame, length: int) -> DataFrame:
-    """Places whose next ``size`` lines also stand elsewhere, with their first place: ``size`` is
-    ``length`` or a number of lines in the place's ``short``."""
-    counted = places.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE, "line")).alias("first"))
-    now = staged(places.join(counted.where("n > 1").drop("n"), "h").withColumnRenamed("h", "rank"))
-    out = []
-    for done in range(1, length + 1):
-        if done > 1:
-            # Same doc, a line on; missing: the run ends, or goes on like no other.
-            ahead = Window.partitionBy(*PLACE).orderBy("line").rangeBetween(1, 1)
-            pairs = staged(now.select(*PLACE, "line", "short", F.col("rank").alias("r1"), F.first("rank").over(ahead).alias("r2"))
-                           .where("r2 IS NOT NULL"))
-            keys = (pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE, "line")).alias("first"))
-                    .where("n > 1"))
-            now = staged(pairs.join(_ranked(keys), ["r1", "r2"]).select(*PLACE, "line", "short", "rank", "first"))
-        found = now if done == length else now.where(F.array_contains("short", done))
-        out.append(found.select(*PLACE, "line", "first", F.lit(done).alias("size")))
-    return reduce(DataFrame.unionByName, out)
+def _refined(pairs: DataFrame) -> DataFrame:
+    """Rows with a pair (r1, r2) that stands twice or more: its rank and first place instead."""
+    keys = pairs.groupBy("r1", "r2").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE, "line")).alias("first")).where("n > 1")
+    ranks = staged(_ranked(keys).select("r1", "r2", "rank", "first"))
+    return staged(pairs.join(ranks, ["r1", "r2"]).drop("r1", "r2"))
+
+
+def doubled(places: DataFrame) -> list[DataFrame]:
+    """Per round k the places whose next 2^k lines also stand elsewhere, with rank and first place."""
+    levels = [_refined(places.withColumnsRenamed({"h": "r1", "g": "r2"}))]
+    while not levels[-1].isEmpty():
+        on = 1 << (len(levels) - 1)
+        # Same document, 2^k lines on; missing: the run ends, or goes on like no other.
+        ahead = Window.partitionBy(*PLACE).orderBy("line").rangeBetween(on, on)
+        pairs = staged(levels[-1].select(*PLACE, "line", "short", F.col("rank").alias("r1"), F.first("rank").over(ahead).alias("r2"))
+                       .where("r2 IS NOT NULL"))
+        levels.append(_refined(pairs))
+    return levels[:-1]
+
+
+def longest_copies(levels: list[DataFrame]) -> DataFrame:
+    """Places with an earlier copy: (document, line, short, lines), ``lines`` as many as possible."""
+    here = F.struct(*PLACE, "line")
+    tagged = [x.withColumn("k", F.lit(k)) for k, x in enumerate(levels)]
+    ranks = reduce(DataFrame.unionByName, [x.select("k", "rank", *PLACE, "line") for x in tagged[1:]] or [tagged[0].limit(0).select("k", "rank", *PLACE, "line")])
+    later = (reduce(DataFrame.unionByName, [x.where(F.col("first") < here) for x in tagged])
+             .groupBy(*PLACE, "line").agg(F.max(F.struct("k", "rank")).alias("x"), F.first("short").alias("short")))
+    # Places with an earlier copy of 2^k lines and none of 2^(k+1): lo has one, hi has none.
+    now = staged(later.select(*PLACE, "line", "short", "x.k", "x.rank", F.expr("1 << x.k").alias("lo"), F.expr("2 << x.k").alias("hi")))
+    for _ in range(1, len(levels)):
+        mid = ((F.col("lo") + F.col("hi")) / 2).cast("int")
+        asks = now.where("hi - lo > 1").select("k", "rank", mid.alias("m"), *PLACE, "line")
+        lengths = staged(asks.select("k", "rank", "m").distinct())
+        members = ranks.join(lengths, ["k", "rank"]).withColumn("end", F.col("line") + F.col("m") - F.expr("1 << k"))
+        ends = ranks.select("k", F.col("rank").alias("rank2"), *PLACE, F.col("line").alias("end"))
+        pairs = staged(members.join(ends, ["k", *PLACE, "end"]).select("k", "rank", "m", "rank2", *PLACE, "line"))
+        groups = staged(pairs.groupBy("k", "rank", "m", "rank2").agg(F.min(here).alias("first")))
+        mine = pairs.join(asks, ["k", "rank", "m", *PLACE, "line"], "left_semi")
+        longer = mine.join(groups, ["k", "rank", "m", "rank2"]).where(F.col("first") < here).select(*PLACE, "line").distinct()
+        tried = now.join(longer.withColumn("yes", F.lit(True)), [*PLACE, "line"], "left")
+        open_ = F.col("hi") - F.col("lo") > 1
+        now = staged(tried.withColumns({"lo": F.when(open_ & F.col("yes"), mid).otherwise(F.col("lo")),
+                                        "hi": F.when(open_ & F.col("yes").isNull(), mid).otherwise(F.col("hi"))}).drop("yes"))
+    return now.select(*PLACE, "line", "short", F.col("lo").alias("lines"))
 
 
 def remove_repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 50,
@@ -92,19 +129,19 @@ def remove_repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 5
     own = [c for c in docs.columns if c.lower() not in RESULTS]
     docs = docs.select(*[F.col(f"`{c}`") for c in own])
     places = line_places(docs, min_lines, min_words, whole_documents)
-    later = repeated_prefixes(places, min_lines).where(F.col("first") != F.struct(*PLACE, "line"))
-    # The longest of a place's runs; the shorter ones are parts of it.
-    later = later.groupBy(*PLACE, "line").agg(F.max(F.struct("size", "first")).alias("x")).select(*PLACE, "line", "x.*")
-    # Consecutive places copied from consecutive lines of one document are one maximal run.
-    w = Window.partitionBy(*PLACE).orderBy("line")
-    same = ((F.lag("line").over(w) == F.col("line") - 1) & F.lag("first.id").over(w).eqNullSafe(F.col("first.id"))
-            & F.lag("first.th").over(w).eqNullSafe(F.col("first.th")) & (F.lag("first.line").over(w) == F.col("first.line") - 1))
-    runs = (later.withColumn("run", F.sum(F.when(same, 0).otherwise(1)).over(w))
-            .groupBy(*PLACE, "run").agg(F.min("line").alias("lo"), F.max(F.col("line") + F.col("size")).alias("hi"))
-            .groupBy(*PLACE).agg(F.collect_list(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("gone"),
-                                 F.count("*").alias("n_runs"), F.max(F.col("hi") - F.col("lo")).cast("long").alias("longest_run"))
-            .select(F.col("id").alias("__id"), F.col("th").alias("__th"), F.array_distinct(F.flatten("gone")).alias("__gone"),
-                    "n_runs", "longest_run"))
+    levels = doubled(places)
+    if not levels:
+        levels = [places.limit(0).select(*PLACE, "line", "short", F.lit(0).cast("long").alias("rank"), F.struct(*PLACE, "line").alias("first"))]
+    copies = longest_copies(levels).where((F.col("lines") >= min_lines) | F.exists("short", lambda k: k <= F.col("lines")))
+    # Ends never fall from line to line, so a run inside another one ends where the run a line before does.
+    w = Window.partitionBy(*PLACE).orderBy("line").rangeBetween(-1, -1)
+    end = F.col("line") + F.col("lines")
+    copies = copies.select(*PLACE, "line", "lines", end.alias("end")).withColumn("before", F.max("end").over(w))
+    runs = (copies.where("before IS NULL OR end > before")
+            .groupBy(*PLACE).agg(F.collect_list(F.sequence(F.col("line"), F.col("end") - 1)).alias("gone"),
+                                 F.count("*").alias("n_runs"), F.max("lines").cast("long").alias("longest_run"))
+            .select(F.when(F.col("known"), F.col("id")).alias("__id"), F.col("th").alias("__th"),
+                    F.array_distinct(F.flatten("gone")).alias("__gone"), "n_runs", "longest_run"))
     th = F.xxhash64("text")
     joined = docs.withColumn("__h", th).join(runs, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")
     joined = joined.withColumn("__l", F.split("text", "\n"))
