@@ -44,13 +44,20 @@ def user_month_rows(sessions: DataFrame, products: DataFrame, begin, end,
     """
     first, last = month_range(begin, end)
     pruned = month_window_filter(sessions, begin, end, extra_months=2)
-    nxt = user_month_next(user_month_facts(pruned, products, net_price=net_price))
-    rows = nxt.where(F.col("month_idx").between(first, last) & (F.col("buys") > 0))
+    rows = rows_of_facts(user_month_facts(pruned, products, net_price=net_price), first, last, threshold, keep_third)
     if require_full_window:
         last_seen = pruned.agg(F.max("timestamp")).first()[0]
         if last_seen is not None:
             last_idx = last_seen.year * 12 + last_seen.month - 1
             rows = rows.where(F.col("month_idx") + 2 <= F.lit(last_idx))
+    return rows
+
+
+def rows_of_facts(facts: DataFrame, first: int, last: int, threshold: float = 100.0, keep_third: bool = False) -> DataFrame:
+    """The rows of ``user_month_rows`` for the months first..last from a user-month fact table
+    that holds the months first..last + 2 (stored or just computed)."""
+    nxt = user_month_next(facts)
+    rows = nxt.where(F.col("month_idx").between(first, last) & (F.col("buys") > 0))
     sin, cos = cyclic_month(month_of_idx("month_idx"))
     return rows.select(
         "user_id", "month_idx",

@@ -735,6 +735,8 @@ he AS (SELECT CAST(g.i AS INTEGER) AS bin,
                   any_value(m[6]) AS mae_low, any_value(m[195]) AS mae_high
            FROM er LEFT JOIN sp ON sp.model_type = er.model_type GROUP BY er.model_type""",
         dbl=("mean_prediction", "mean_error", "mae", "mae_low", "mae_high"))
+    for name in ("left_join_keys", "user_month_next"):
+        q[f"stored_{name}"] = q[name]
     return q
 
 

@@ -8,6 +8,7 @@ oracle SQL (plans/oracle.py): timestamps and dates as text, doubles rounded to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,9 @@ from cartlens.plans import features as C
 from cartlens.plans import metrics as X
 from cartlens.plans import models as ML
 from cartlens.plans import search as SE
+from cartlens.plans import stored_facts as ST
 from cartlens.sources.adapters import Tables
-from cartlens.session import cut_lineage
+from cartlens.session import checkpoint_dir, cut_lineage
 from cartlens.sources.readers import preview, profile
 
 # Fixed parameters of the registered queries (the [L] log spans 1995-01 .. 2001-11).
@@ -246,6 +248,24 @@ def _user_month_next(t):
     return M.with_calendar(nxt).drop("month_idx", "window_buys")
 
 
+def _stored(t) -> DataFrame:
+    """The facts of the whole log as a bucketed table in the checkpoint folder."""
+    name = f"cartlens_facts_{uuid.uuid4().hex}"
+    facts = M.user_month_facts(t.line_sessions(), t.products())
+    ST.store_facts(facts, name, f"{checkpoint_dir(t.spark)}/{name}", buckets=8)
+    return t.spark.table(name)
+
+
+@query("stored_left_join_keys")
+def _stored_left_join_keys(t):
+    return J.with_user_totals(M.with_calendar(_stored(t)))
+
+
+@query("stored_user_month_next")
+def _stored_user_month_next(t):
+    return M.with_calendar(M.user_month_next(_stored(t))).drop("month_idx", "window_buys")
+
+
 @query("user_month_spine")
 def _user_month_spine(t):
     return J.user_month_spine(t.line_sessions(), *SPINE_WINDOW).drop("month_idx")
@@ -693,8 +713,8 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "P9": ("encode_event_type",), "P10": ("purchase_value",), "P11": ("fill_zero",),
     "P12": ("split_by_month",), "P13": ("split_by_window",), "P14": ("user_history",),
     "P15": ("product_lookup", "price_quality"), "P16": ("missing_purchase_views",),
-    "J1": ("sessions_with_price",), "J2": ("deals",), "J3": ("left_join_keys",),
-    "J4": ("user_month_next",), "J5": ("user_month_spine",), "J6": ("session_summary",),
+    "J1": ("sessions_with_price",), "J2": ("deals",), "J3": ("left_join_keys", "stored_left_join_keys"),
+    "J4": ("user_month_next", "stored_user_month_next"), "J5": ("user_month_spine",), "J6": ("session_summary",),
     "J7": ("user_features",), "J8": ("missing_dates",),
     "A1": ("event_type_counts",), "A2": ("discount_counts",), "A3": ("session_product_count",),
     "A4": ("session_outcome",), "A5": ("purchase_prob_by_views",), "A6": ("session_duration",),
