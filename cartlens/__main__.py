@@ -5,6 +5,7 @@
     python -m cartlens features-v2  --sessions S --products P --begin 2022-01-01 --end 2022-04-01 --out DIR
     python -m cartlens features-v1  --sessions S --products P [--begin ... --end ...] --out DIR
     python -m cartlens train --sessions S --products P --train B E --val B E [--model-dir DIR] [--out DIR]
+    python -m cartlens serve-requests --requests DIR --model-dir DIR --log DIR --checkpoint DIR
     python -m cartlens compare --log DIR [--sessions S --products P] [--out DIR]
     python -m cartlens serve --sessions S --products P --window B E --train B E --model-dir DIR --log DIR
 
@@ -45,18 +46,25 @@ def main(argv=None) -> int:
         "features-v1": "first feature job (user-month spine) as CSV",
         "train": "fit and evaluate the classifiers on time-based windows",
         "serve": "batch A/B scoring with a prediction log",
+        "serve-requests": "score and log the request files that arrived since the last call",
         "compare": "compare the two arms over the stored prediction log",
     }
     for name, text in helps.items():
         p = sub.add_parser(name, help=text)
-        p.add_argument("--sessions", required=name != "compare")
-        p.add_argument("--products", required=name != "compare")
+        p.add_argument("--sessions", required=name not in ("compare", "serve-requests"))
+        p.add_argument("--products", required=name not in ("compare", "serve-requests"))
         p.add_argument("--format", choices=("json", "parquet"), default="json")
         p.add_argument("--rejects", help="write lines that are no JSON objects here")
         p.add_argument("--max-reject-share", type=float, default=0.01, help="refuse inputs with a larger share of such lines")
         if name == "compare":
             p.add_argument("--log", required=True)
             p.add_argument("--out")
+        if name == "serve-requests":
+            p.add_argument("--requests", required=True)
+            p.add_argument("--model-dir", required=True, help="models that serve has stored")
+            p.add_argument("--log", required=True)
+            p.add_argument("--checkpoint", required=True)
+            p.add_argument("--salt", type=int, default=0)
         if name == "explore":
             p.add_argument("--out", required=True)
             p.add_argument("--test-month", type=int, default=3)
@@ -124,6 +132,10 @@ def _run(spark, args, inputs: dict) -> None:
                                   tuple(args.train), args.model_dir, args.log, args.salt, args.format,
                                   inputs=inputs)
         scored.groupBy("model_type").count().show()
+    elif args.cmd == "serve-requests":
+        from pyspark.ml import PipelineModel
+        models = {arm: PipelineModel.load(f"{args.model_dir}/{arm}") for arm in ("BaseModel", "SecondModel")}
+        print(jobs.serve_requests(spark, args.requests, models, args.log, args.checkpoint, args.salt), "batches")
     elif args.cmd == "compare":
         out = jobs.compare_log(spark, args.log, args.sessions, args.products, args.format, inputs=inputs)
         if args.out:

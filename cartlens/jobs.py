@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartlens.operators import monthly as M
 from cartlens.operators.filters import check_windows
@@ -224,6 +225,37 @@ def serve_batch(spark: SparkSession, sessions_path: str, products_path: str, win
     return scored
 
 
+def request_schema() -> T.StructType:
+    """A request: user_id, the features of the final feature job, and a model name if one is asked for."""
+    return T.StructType([T.StructField("user_id", T.LongType()), T.StructField("model_type", T.StringType())]
+                        + [T.StructField(c, T.DoubleType()) for c in ML.FEATURES])
+
+
+def serve_requests(spark: SparkSession, requests_dir: str, models: dict, log_path: str, checkpoint: str, salt: int = 0,
+                   files_per_batch: int = 100) -> int:
+    """B2/B3 for arriving request files: everything new in ``requests_dir`` is scored and logged.
+
+    A file stream with an available-now trigger: the call ends when all files there are done, and
+    the next call goes on behind them (``checkpoint``, a shared folder).  Each batch writes its
+    own part of the log in place of what an earlier, killed attempt left there, so every request
+    has exactly one log row.  Rows that name no model get the user's arm; requests that name
+    one are scored but, as in the service, not logged.  Returns the number of batches.
+    """
+    done = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        asked = batch.withColumn("model_type", F.nullif(F.trim("model_type"), F.lit("")))
+        rows = B.prediction_log(B.score(B.assign_variant(asked, salt), models))
+        rows.write.mode("overwrite").json(f"{log_path}/batch={number}")
+        done.append(number)
+
+    requests = spark.readStream.schema(request_schema()).option("maxFilesPerTrigger", files_per_batch).json(requests_dir)
+    query = (requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return len(done)
+
+
 def compare_log(spark: SparkSession, log_path: str, sessions_path: str | None = None, products_path: str | None = None,
                 fmt: str = "json", replicates: int = 200, seed: int = 0, inputs: dict | None = None) -> DataFrame:
     """B4 over the stored prediction log.

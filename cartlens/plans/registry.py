@@ -21,6 +21,7 @@ from cartlens.operators import filters as P
 from cartlens.operators import joins as J
 from cartlens.operators import monthly as M
 from cartlens.operators import sessions as A
+from cartlens.operators import sketches as K
 from cartlens.operators import users as U
 from cartlens.plans import abtest as B
 from cartlens.plans import features as C
@@ -368,6 +369,12 @@ def _distinct_periods(t):
     return A.distinct_periods(_clean(t))
 
 
+@query("distinct_running")
+def _distinct_running(t):
+    # Users, sessions and products of every three months in a row, from one pass over the log.
+    return K.distinct_running(cut_lineage(K.month_sketches(t.line_sessions())), 3)
+
+
 @query("data_extent")
 def _data_extent(t):
     return A.data_extent(t.events_sessions())
@@ -731,7 +738,7 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "A4": ("session_outcome",), "A5": ("purchase_prob_by_views",), "A6": ("session_duration",),
     "A7": ("duration_outcome",), "A8": ("purchase_prob_by_duration",),
     "A9": ("product_purchase_dist",), "A10": ("product_conversion", "best_conversion"),
-    "A11": ("missing_fraction",), "A12": ("distinct_counts",), "A13": ("distinct_periods",),
+    "A11": ("missing_fraction",), "A12": ("distinct_counts", "distinct_running"), "A13": ("distinct_periods",),
     "A14": ("data_extent",),
     "A15": ("hist_session_products", "hist_duration", "hist_discount", "hist_user_discount",
             "hist_purchase"),

@@ -42,7 +42,7 @@ def append_prediction_log(log: DataFrame, path: str) -> None:
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTION_LOG).json(path)
+    return spark.read.schema(PREDICTION_LOG).json(path).select(*PREDICTION_LOG.fieldNames())
 
 
 def save_model(model: PipelineModel, path: str) -> None:

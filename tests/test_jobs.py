@@ -135,3 +135,17 @@ def test_cli_compare_against_later_spend(spark, inputs, tmp_path):
     assert main(["compare", "--log", str(log), "--sessions", inputs[0], "--products", inputs[1], "--out", str(tmp_path / "c")]) == 0
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 3
     assert main(["compare", "--log", str(log)]) == 0
+
+
+def test_cli_serves_request_files_with_the_stored_models(spark, inputs, tmp_path):
+    from cartlens.plans import models as ML
+    jobs.serve_batch(spark, *inputs, ("2021-11-01", "2022-01-31"), ("2021-11-01", "2022-01-31"), str(tmp_path / "m"), allow_overlap=True)
+    (tmp_path / "in").mkdir()
+    with open(tmp_path / "in" / "r.json", "w") as fh:
+        for u in range(6):
+            fh.write(json.dumps({"user_id": u, **{c: 1.0 for c in ML.FEATURES}}) + "\n")
+    args = ["serve-requests", "--requests", str(tmp_path / "in"), "--model-dir", str(tmp_path / "m"), "--log", str(tmp_path / "l"),
+            "--checkpoint", str(tmp_path / "s")]
+    assert main(args) == 0 and main(args) == 0
+    log = SK.read_prediction_log(spark, str(tmp_path / "l")).collect()
+    assert sorted(r.user_id for r in log) == list(range(6)) and all(r.prediction is not None for r in log)
