@@ -36,18 +36,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import staged
-from cartlens.llm.line_quality import let, words_of
+from cartlens.llm.common import WORD, staged
+from cartlens.llm.line_quality import let
 
 RESULTS = ("n_lines", "n_removed", "n_runs", "longest_run")
 PLACE = ["known", "id", "th"]           # null ids: known is false, id 0
 
 
+def has_word(line: Column) -> Column:
+    return F.ltrim(line, F.lit(" \t\n\x0b\x0c\r")) != ""
+
+
 def line_places(docs: DataFrame, min_lines: int, min_words: int, whole_documents: bool) -> DataFrame:
     """One row per line that has a word: place (document, line), the line's hash (h, g) and ``short``,
     the numbers of lines under ``min_lines`` from there on that count if they are repeated."""
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    kept = F.filter(lines, lambda x: x.rlike(r"[^ \t-\r]"))
+    kept = F.filter(lines, has_word)
 
     def short(all_lines: Column, i: Column) -> Column:
         counts = []
@@ -58,7 +62,7 @@ def line_places(docs: DataFrame, min_lines: int, min_words: int, whole_documents
 
     # Hashes first: then only numbers leave the array.
     numbers = F.transform(kept, lambda x: F.struct(
-        F.xxhash64(x, F.lit(1)).alias("h"), F.xxhash64(F.lit(2), x).alias("g"), F.size(words_of(x)).alias("n")))
+        F.xxhash64(x, F.lit(1)).alias("h"), F.xxhash64(F.lit(2), x).alias("g"), F.regexp_count(x, F.lit(WORD)).alias("n")))
     places = let(numbers, lambda v: F.transform(v, lambda x, i: F.struct(
         x["h"].alias("h"), x["g"].alias("g"), short(v, i).alias("short"))))
     return (docs.select(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("th"),
@@ -109,7 +113,7 @@ def longest_copies(levels: list[DataFrame]) -> DataFrame:
     for _ in range(1, len(levels)):
         mid = ((F.col("lo") + F.col("hi")) / 2).cast("int")
         asks = now.where("hi - lo > 1").select("k", "rank", mid.alias("m"), *PLACE, "line")
-        lengths = staged(asks.select("k", "rank", "m").distinct())
+        lengths = asks.select("k", "rank", "m").distinct()
         members = ranks.join(lengths, ["k", "rank"]).withColumn("end", F.col("line") + F.col("m") - F.expr("1 << k"))
         ends = ranks.select("k", F.col("rank").alias("rank2"), *PLACE, F.col("line").alias("end"))
         pairs = staged(members.join(ends, ["k", *PLACE, "end"]).select("k", "rank", "m", "rank2", *PLACE, "line"))
@@ -128,7 +132,7 @@ def remove_repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 5
     """Rows of ``docs`` (doc_id, text, ...) with later copies of line runs cut out of ``text``."""
     own = [c for c in docs.columns if c.lower() not in RESULTS]
     docs = docs.select(*[F.col(f"`{c}`") for c in own])
-    places = line_places(docs, min_lines, min_words, whole_documents)
+    places = staged(line_places(docs, min_lines, min_words, whole_documents))
     levels = doubled(places)
     if not levels:
         levels = [places.limit(0).select(*PLACE, "line", "short", F.lit(0).cast("long").alias("rank"), F.struct(*PLACE, "line").alias("first"))]
@@ -145,7 +149,7 @@ def remove_repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 5
     th = F.xxhash64("text")
     joined = docs.withColumn("__h", th).join(runs, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left")
     joined = joined.withColumn("__l", F.split("text", "\n"))
-    joined = joined.withColumn("__c", F.filter(F.transform("__l", lambda x, i: F.when(x.rlike(r"[^ \t-\r]"), i)), lambda i: i.isNotNull()))
+    joined = joined.withColumn("__c", F.filter(F.transform("__l", lambda x, i: F.when(has_word(x), i)), lambda i: i.isNotNull()))
     joined = joined.withColumn("__cut", F.transform("__gone", lambda k: F.get("__c", k)))
     left = F.array_except(F.sequence(F.lit(0), F.size("__l") - 1), "__cut")
     cut = F.when(F.size("__gone") == F.size("__c"), "").otherwise(
