@@ -132,7 +132,9 @@ def fit(rows: DataFrame, clusters: int = 3, sample_per_lang: int = 400, slack: f
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns plus lang_pred, score (cosine, 0 to 1) and rejected."""
+    """``keep`` columns plus lang_pred, score (cosine, 0 to 1) and rejected, which replace columns of
+    their names."""
+    keep = tuple(c for c in keep if c.lower() not in ("lang_pred", "score", "rejected"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

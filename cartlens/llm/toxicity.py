@@ -150,7 +150,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = 4000, terms=
 
 def predict(docs: DataFrame, model: dict, text: str = "text", threshold: float = 0.3,
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns plus score (0 to 1) and predicted (1 from the threshold up)."""
+    """``keep`` columns plus score (0 to 1) and predicted (1 from the threshold up), which replace
+    columns of their names."""
+    keep = tuple(c for c in keep if c.lower() not in ("score", "predicted"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
