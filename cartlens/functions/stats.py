@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 MONEY = "decimal(28,6)"
@@ -49,9 +49,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram over [min, max] as (bin, bin_lo, bin_hi, rows).
 
     The input is first reduced to one row per distinct value with its count
-    (partial aggregation) and that table is checkpointed, so the range pass
-    and the binning pass read it instead of recomputing the input twice.  A
-    single row (min, max) comes to the driver.  Each value goes to bin
+    (partial aggregation) and that table is checkpointed; its range is observed
+    while it is written, so no pass is made for the range alone.  Two numbers
+    (min, max) come to the driver.  Each value goes to bin
     ``least(floor((x - lo) * bins / (hi - lo)), bins - 1)`` (the last bin is
     closed).  All ``bins`` rows are returned, empty ones with 0, so the bins
     sum to the number of non-null values.  A zero-width range gives one bin.
@@ -59,9 +59,11 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     from cartlens.session import cut_lineage
     spark = df.sparkSession
     x = F.col(col).cast("double")
+    seen = Observation()
     counts = cut_lineage(df.select(x.alias("x")).where(F.col("x").isNotNull())
-                         .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
-    lo, hi = counts.agg(F.min("x"), F.max("x")).first()
+                         .groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+                         .observe(seen, F.min("x").alias("lo"), F.max("x").alias("hi")))
+    lo, hi = seen.get["lo"], seen.get["hi"]
     if lo is None:
         return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, rows bigint")
     if hi == lo:

@@ -9,7 +9,7 @@ product only costs one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cartlens.functions.stats import histogram
@@ -97,13 +97,15 @@ def purchase_prob_by_duration(df: DataFrame, bins: int = 10,
 def _rate_by_bins(per: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     """Equal-width bins of ``x`` with row count and mean ``y``.
 
-    Reduced to (x, rows, sum y) and checkpointed once, so the range pass and
-    the binning pass do not recompute the per-session aggregate.
+    Reduced to (x, rows, sum y) and checkpointed once; the range is observed while it is
+    written, so no pass is made for the range alone.
     """
     from cartlens.session import cut_lineage
+    seen = Observation()
     per = cut_lineage(per.groupBy(F.col(x).alias(x)).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(y).cast("double")).alias("_sy")))
-    lo, hi = per.agg(F.min(x), F.max(x)).first()
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(y).cast("double")).alias("_sy"))
+        .observe(seen, F.min(x).alias("lo"), F.max(x).alias("hi")))
+    lo, hi = seen.get["lo"], seen.get["hi"]
     spark = per.sparkSession
     if lo is None:
         return spark.createDataFrame(

@@ -107,3 +107,20 @@ def test_model_selection_marks_one_choice(spark):
     assert len(chosen) == 1
     val = {r.model: r.auc for r in res if r.split == "val"}
     assert val[chosen.pop()] == max(val.values())
+
+
+def test_histogram_makes_no_pass_for_its_range(spark):
+    from cartlens.functions.stats import histogram
+    from cartlens.session import checkpoint_dir
+    checkpoint_dir(spark)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("hist", "histogram")
+    try:
+        out = histogram(spark.range(100).selectExpr("id % 7 AS x"), "x", 7)
+        jobs = len(tracker.getJobIdsForGroup("hist"))
+        spark.sparkContext.setJobGroup("plain", "checkpoint alone")
+        spark.range(100).selectExpr("id % 7 AS x").groupBy("x").count().checkpoint()
+        assert jobs == len(tracker.getJobIdsForGroup("plain"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.bin, r["rows"]) for r in out.collect()) == [(0, 15), (1, 15), (2, 14), (3, 14), (4, 14), (5, 14), (6, 14)]
