@@ -70,5 +70,5 @@ def test_stages_of_an_empty_table(spark, sf_dir):
 
 def test_registry():
     names = entry.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) <= set(names) and "pipeline" in names and set(ORACLE) <= set(entry.oracle_sql())
