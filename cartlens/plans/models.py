@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
@@ -114,9 +115,23 @@ def with_score(pred: DataFrame, margin: bool = False) -> DataFrame:
     return pred.withColumn("score", vector_to_array(F.col(col))[1])
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """A copy of the model without its training summary, for scoring.
+
+    The summary of a binary classifier refers to the Spark session, and a session in which an
+    ``Observation`` was ever used can not be sent to tasks; scoring needs nothing of the summary.
+    """
+    out = model.copy()
+    none = SparkContext.getOrCreate()._jvm.scala.Option.empty()
+    for stage in out.stages:
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(none)
+    return out
+
+
 def scored_counts(model: PipelineModel, data: DataFrame) -> DataFrame:
     """Rows per (split, score, prediction, label): all that the metrics need of the scored rows."""
-    pred = with_score(model.transform(data), margin=isinstance(model.stages[-1], NaiveBayesModel))
+    pred = with_score(without_summary(model).transform(data), margin=isinstance(model.stages[-1], NaiveBayesModel))
     return pred.groupBy("split", "score", "prediction", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
