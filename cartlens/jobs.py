@@ -176,8 +176,8 @@ def train_models(spark: SparkSession, sessions_path: str, products_path: str,
     confusion counts (M8) of each model: details[kind] = {"params": ..., "confusion": ...}.
     """
     sessions, products = load_inputs(spark, sessions_path, products_path, fmt, **(inputs or {}))
-    data = cut_lineage(ML.labelled_splits(sessions, products, ML.Windows(train, val),
-                                          allow_overlap=allow_overlap))
+    data = ML.staged_rows(ML.labelled_splits(sessions, products, ML.Windows(train, val),
+                                             allow_overlap=allow_overlap))
     out = None
     for kind in kinds:
         params = {"trees": trees, "depth": depth, "seed": 0} if kind == "forest" else {}

@@ -9,8 +9,10 @@ gradient aggregates); the driver only coordinates.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import SparkContext
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
@@ -45,6 +47,16 @@ def labelled_splits(sessions: DataFrame, products: DataFrame, windows: Windows,
     return training_sets(sessions, products, {"train": windows.train, "val": windows.val})
 
 
+def staged_rows(data: DataFrame) -> DataFrame:
+    """The labelled rows in the checkpoint folder, one partition a core.
+
+    Training passes over few bytes many times: adaptive execution, which looks at the bytes, would
+    leave cores without a partition, and more partitions would each bring statistics of all nodes.
+    """
+    n = data.sparkSession.sparkContext.defaultParallelism
+    return cut_lineage(data.repartition(n, *data.columns))
+
+
 def assemble(df: DataFrame, features=FEATURES, out: str = "features") -> DataFrame:
     """M1: feature columns -> vector, label last."""
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
@@ -70,7 +82,8 @@ def _estimator(kind: str, seed: int = 0, trees: int = 100, depth: int = 16,
     if kind == "logit":                                 # the same model by its likelihood's exact maximum
         return GeneralizedLinearRegression(family="binomial", link="logit", maxIter=50, tol=1e-10)
     if kind == "forest":
-        return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
+        # node ids are kept from level to level, or each level walks all trees from their roots
+        return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
     if kind == "gbt":
         return GBTClassifier(maxIter=20, maxDepth=5, seed=seed)
     if kind == "svc":
@@ -166,7 +179,7 @@ def fit_and_score(data: DataFrame, kind: str, scaler: str | None = None,
     every evaluation pass read it instead of recomputing the feature job.
     """
     if checkpoint:
-        data = cut_lineage(data)
+        data = staged_rows(data)
     model = build(kind, scaler, **params).fit(data.where(F.col("split") == "train"))
     return evaluate(model, data, kind if scaler in (None, "none") else f"{kind}+{scaler}")
 
@@ -182,18 +195,19 @@ DEFAULT_GRID = tuple((kind, scaler) for kind in ("logreg", "forest", "gbt", "svc
                      for scaler in ("none", "standard", "minmax"))
 
 
-def model_selection(data: DataFrame, grid=DEFAULT_GRID) -> DataFrame:
+def model_selection(data: DataFrame, grid=DEFAULT_GRID, parallelism: int = 3) -> DataFrame:
     """M10 (re-aim of the AutoML searches): explicit grid, chosen by validation AUC.
 
     The labelled data is checkpointed once into the reliable checkpoint folder
     so every fit re-reads it instead of recomputing C1 (and survives a lost
-    executor).
+    executor).  ``parallelism`` entries are fitted at a time, since the many
+    short jobs of one fit leave cores idle.
     """
-    data = cut_lineage(data)
-    results = None
-    for kind, scaler in grid:
-        r = fit_and_score(data, kind, scaler, checkpoint=False)
-        results = r if results is None else results.unionByName(r)
+    data = staged_rows(data)
+    fit = inheritable_thread_target(data.sparkSession)(
+        lambda entry: fit_and_score(data, *entry, checkpoint=False))
+    with ThreadPool(parallelism) as pool:
+        results = reduce(DataFrame.unionByName, pool.map(fit, grid, chunksize=1))
     results = cut_lineage(results)  # a few rows; read twice below, evaluated once
     # The choice: the grid entry with the highest validation AUC (ties: model name).
     best = (results.where(F.col("split") == "val").where(F.col("auc").isNotNull())

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.plans import models as ML
-from cartlens.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -144,7 +143,7 @@ def search(data: DataFrame, trials: int = 10, seed: int = 0, features=ML.FEATURE
 
     The score is the AUC of the validation split, as in the grid search.
     """
-    data = cut_lineage(data)
+    data = ML.staged_rows(data)
     train, done = data.where(F.col("split") == "train"), []
     for _ in range(trials):
         trial = propose(done, seed, space)
