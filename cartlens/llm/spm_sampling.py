@@ -32,8 +32,11 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import accumulate, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +52,9 @@ FIRST_BYTE, FIRST_PIECE = 3, 259
 FALLBACK = 1 << 20                  # + code point: a character that has no piece
 LONG_WORD = 48                      # longer words are summed one by one
 LIGHT = -38.0                       # log mass of regions that are left out
-MAX_STATES = 1 << 22                # states in the cache (state + probability stays exact to 2**-30)
-WORDS_AT_ONCE = 300_000
+MAX_STATES = 1 << 21                # states in the cache
+BYTES_AT_ONCE = 1 << 20             # of texts that are sampled together, one text at least
+AHEAD = 512                         # choices of a path that are looked at first for regions
 SLOT_BITS = 19
 _WORD = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -113,119 +117,118 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.new: list[str] = []
+        self.number: defaultdict[str, int] = defaultdict(count().__next__)
         self.base, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
         self.states = 0
-        # By edge: state + cumulated probability, log probability, characters, piece.
-        self.key, self.lp, self.step, self.piece = (np.empty(0, t) for t in (np.float64, np.float32, np.int8, np.int32))
+        # By edge: cumulated probability in its state (in 2**-30), log probability, characters, piece.
+        self.upto, self.lp, self.step, self.piece = (np.empty(0, t) for t in (np.uint32, np.float32, np.int8, np.int32))
+        self.first = np.zeros(1, np.int32)          # a state's first edge; the last entry: all edges
 
     def numbers(self, words: list[str]) -> list[int]:
-        number = self.number
-        out = list(map(number.get, words))
-        if None in out:
-            for i, k in enumerate(out):
-                if k is None:
-                    w = words[i]
-                    k = number.get(w)
-                    if k is None:
-                        k = number[w] = len(number)
-                        self.new.append(w)
-                    out[i] = k
-        return out
+        return list(map(self.number.__getitem__, words))
 
     def settle(self) -> None:
-        """Sum the lattices of the new words and add their states."""
-        if not self.new:
+        """Sum the lattices of the new words (their marks may be spaces) and add their states."""
+        words = list(islice(self.number, len(self.base), None))
+        if not words:
             return
-        words, self.new = self.new, []
-        n = np.array([len(w) for w in words])
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        each = np.array(words, object)
         base = np.zeros(len(words), np.int64)
         parts: list[tuple] = []
         low = 0
-        for high in (4, 8, 12, 20, LONG_WORD):
+        for high in (*range(1, 21), 28, LONG_WORD):
             at = np.flatnonzero((n > low) & (n <= high))
             for k in range(0, len(at), size := max(1, 400_000 // (high * min(high, self.v["longest"])))):
-                parts.append(self._block([words[i] for i in at[k:k + size]], n[at[k:k + size]], base, at[k:k + size]))
+                parts.append(self._block(each[at[k:k + size]].tolist(), n[at[k:k + size]], base, at[k:k + size]))
             low = high
         for i in np.flatnonzero(n > LONG_WORD):
-            parts.append(self._single(words[i], base, i))
-        self.key, self.lp, self.step, self.piece = (np.concatenate([old, *new]) for old, new in zip(
-            (self.key, self.lp, self.step, self.piece), zip(*parts)))
+            parts.append(self._single(words[i].replace(" ", SPACE), base, i))
+        columns = [list(c) for c in zip(*parts)]
+        del parts
+        edges = len(self.lp) + np.cumsum(np.concatenate(columns[0]), dtype=np.int64)
+        self.first = np.concatenate([self.first, edges.astype(np.int32)])
+        for name, new in zip(("upto", "lp", "step", "piece"), columns[1:]):     # one at a time: the old one goes first
+            setattr(self, name, np.concatenate([getattr(self, name), *new]))
+            new.clear()
         self.base, self.length = np.append(self.base, base), np.append(self.length, n)
 
     def _block(self, words: list[str], n: np.ndarray, base: np.ndarray, at: np.ndarray) -> tuple:
         v, rows, wide = self.v, len(words), int(n.max())
         most = min(wide, v["longest"])
         flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        short = int(n.min()) < wide
+        inside = np.arange(wide)[:, None] < n
+        # Place first, then length, then word: hashes and sums run along the words.
         cp = np.zeros((rows, wide), np.int64)
-        inside = np.arange(wide) < n[:, None]
-        cp[inside] = flat
-        h = np.zeros((rows, wide + 1), np.uint64)
+        cp[inside.T] = np.where(flat == 32, ord(SPACE), flat)
+        cp = np.ascontiguousarray(cp.T)
+        h = np.zeros((wide + 1, rows), np.uint64)
         for t in range(wide):
-            h[:, t + 1] = h[:, t] * _BASE + (cp[:, t] + 1).astype(np.uint64)
-        score = np.full((rows, wide, most), -np.inf)
-        place = np.zeros((rows, wide, most), np.int32)
+            h[t + 1] = h[t] * _BASE + (cp[t] + 1).astype(np.uint64)
+        score = np.full((wide, most, rows), -np.inf)
+        place = np.zeros((wide, most, rows), np.int32)
         for m in range(1, most + 1):
-            sub = h[:, m:] - h[:, :-m] * self.powers[m]
-            k, hit = self._find(sub)
-            hit &= inside[:, m - 1:]
-            score[:, m - 1:, m - 1] = np.where(hit, v["weight"][k], -np.inf)
-            place[:, m - 1:, m - 1] = k
-        alone = inside & np.isneginf(score[:, :, 0])               # no piece: the character's bytes
-        if alone.any():
-            c = cp[alone]
-            score[alone, 0] = v["byte"] * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000))
-            place[alone, 0] = -2 - c
-        total = np.full((rows, wide + 1), -np.inf)
-        total[:, 0] = 0.0
-        for t in range(wide):
-            m = min(t + 1, most)
-            x = score[:, t, :m] + total[:, t::-1][:, :m]
-            score[:, t, :m] = x
-            top = x.max(axis=1)
-            top[np.isneginf(top)] = 0.0
-            with np.errstate(divide="ignore"):
-                total[:, t + 1] = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-        r, t, m = np.nonzero(~np.isneginf(score) & inside[:, :, None])
-        lp = score[r, t, m] - total[r, t + 1]
-        k = place[r, t, m].astype(np.int64)
-        piece = np.where(k >= 0, v["id"][np.maximum(k, 0)], np.where(k > -130, FIRST_BYTE - 2 - k, FALLBACK - 2 - k))
-        state = (np.cumsum(inside.ravel()) - 1).reshape(inside.shape) + self.states
-        base[at] = state[:, 0]
-        self.states += int(inside.sum())
-        state = state[r, t]
-        new = np.append(True, state[1:] != state[:-1])
+            k, cell = self._find((h[m:] - h[:-m] * self.powers[m]).ravel())
+            t, r = np.divmod(cell, rows)
+            if short:
+                good = inside[t + m - 1, r]
+                k, t, r = k[good], t[good], r[good]
+            cell = ((t + m - 1) * most + m - 1) * rows + r
+            score.ravel()[cell], place.ravel()[cell] = v["weight"].take(k), v["id"].take(k)
+        t, r = np.nonzero(inside & np.isneginf(score[:, 0]))        # no piece: the character's bytes
+        if len(r):
+            c = cp[t, r]
+            score[t, 0, r] = v["byte"] * (1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000))
+            place[t, 0, r] = np.where(c < 0x80, FIRST_BYTE, FALLBACK) + c
+        there = np.ascontiguousarray((score > -np.inf).transpose(2, 0, 1))     # by word, place, length: as the states are
+        total = np.full((wide + 1, rows), -np.inf)
+        total[0] = 0.0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for t in range(wide):
+                m = min(t + 1, most)
+                x = score[t, :m]
+                x += total[t::-1][:m]
+                top = x.max(axis=0)
+                top[np.isneginf(top)] = 0.0
+                total[t + 1] = top + np.log(np.exp(x - top).sum(axis=0))
+                x -= total[t + 1]
+        e = np.flatnonzero(there)
+        lp = score.transpose(2, 0, 1).ravel().take(e)
+        piece = place.transpose(2, 0, 1).ravel().take(e)
+        step = (e.astype(np.uint32) % np.uint32(most) + np.uint32(1)).astype(np.int8)
+        size = there.sum(axis=2)[inside.T]
+        base[at] = np.cumsum(n) - n + self.states
+        self.states += int(n.sum())
         # Whole numbers add up exactly, so a word's entries do not depend on the words around it.
         p = np.cumsum((np.exp(lp) * 2.0 ** 40).astype(np.int64))
-        start = np.flatnonzero(new)
-        before = np.append(0, p)[start]
-        own = np.cumsum(new) - 1
-        last = np.append(start[1:], len(p)) - 1
-        key = state + np.minimum((p - before[own]) / (p[last] - before)[own], 1.0)
-        key[last] = state[last] + 1.0
-        return key, lp.astype(np.float32), (m + 1).astype(np.int8), piece.astype(np.int32)
+        last = np.cumsum(size) - 1
+        before = np.append(0, p[last[:-1]])
+        upto = np.minimum((p - np.repeat(before, size)) / np.repeat(p[last] - before, size), 1.0)
+        upto[last] = 1.0
+        return size, _thirty_bits(upto), lp.astype(np.float32), step, piece
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each hash in the vocabulary, and whether it is there."""
+        """Of the hashes that are in the vocabulary: their places there and here."""
         slots, known = self.v["slots"], self.v["hash"]
         at = _slot(hashes).astype(np.int64)
-        k = slots[at]
-        hit = (known[k] == hashes) & (k >= 0)
-        open_ = np.flatnonzero((~hit & (k >= 0)).ravel())
-        flat_k, flat_hit, flat_at, flat_h = k.ravel(), hit.ravel(), at.ravel(), hashes.ravel()
+        k = slots.take(at)
+        i = np.flatnonzero(k >= 0)
+        k, at, hashes = k.take(i), at.take(i), hashes.take(i)
+        hit = known.take(k) == hashes
+        open_ = np.flatnonzero(~hit)
         for p in range(1, self.v["probes"]):
             if not len(open_):
                 break
-            n = slots[(flat_at[open_] + p) % len(slots)]
-            good = (n >= 0) & (known[n] == flat_h[open_])
-            flat_k[open_[good]], flat_hit[open_[good]] = n[good], True
+            n = slots[(at[open_] + p) % len(slots)]
+            good = (n >= 0) & (known[n] == hashes[open_])
+            k[open_[good]], hit[open_[good]] = n[good], True
             open_ = open_[(n >= 0) & ~good]
-        return flat_k.reshape(hashes.shape), flat_hit.reshape(hashes.shape)
+        return k[hit], i[hit]
 
     def _single(self, word: str, base: np.ndarray, at: int) -> tuple:
         of, longest = self.v["of"], self.v["longest"]
-        total, key, lps, step, piece = [0.0], [], [], [], []
+        total, size, upto, lps, step, piece = [0.0], [], [], [], [], []
         base[at] = self.states
         for t in range(1, len(word) + 1):
             edges = []
@@ -241,39 +244,47 @@ class Lattices:
             cum = 0.0
             for k, (m, i, s) in enumerate(edges):
                 cum += math.exp(s - total[t])
-                key.append(self.states + (1.0 if k + 1 == len(edges) else min(cum, 1.0)))
+                upto.append(1.0 if k + 1 == len(edges) else min(cum, 1.0))
                 lps.append(s - total[t]), step.append(m), piece.append(i)
+            size.append(len(edges))
             self.states += 1
-        return np.array(key), np.array(lps, np.float32), np.array(step, np.int8), np.array(piece, np.int32)
+        return np.array(size), _thirty_bits(np.array(upto)), np.array(lps, np.float32), np.array(step, np.int8), np.array(piece, np.int32)
 
-    def draw(self, words: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def draw(self, words: np.ndarray, salt: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A sampled path of each word: edges (from the word's end to its start), their counts and
-        the pieces in reading order."""
-        order = np.argsort(words, kind="stable")
+        the pieces in reading order.  ``order`` sorts the words: equal ones read the same entries."""
         w = words[order]
-        state, left, salt = self.base[w] - 1, self.length[w].copy(), salt[order]
-        live, steps, count = np.arange(len(w)), [], np.zeros(len(w), np.int64)
+        start, salt = self.base[w] - 1, salt[order]
+        state, live, steps, taken = start + self.length[w], np.arange(len(w)), [], np.zeros(len(w), np.int32)
         while len(live):
-            u = (mix64(salt[live] + _times(_STEP, len(steps) + 1)) >> np.uint64(34)) / 1073741824.0
-            e = np.searchsorted(self.key, state[live] + left[live] + u, side="right")
+            u = (mix64(salt + _times(_STEP, len(steps) + 1)) >> np.uint64(34)).astype(np.uint32)
+            e = self.first.take(state)
+            more = np.flatnonzero(self.upto.take(e) <= u)
+            past, mine = u.take(more), e.take(more)
+            while len(more):
+                mine += 1
+                e[more] = mine
+                on = np.flatnonzero(self.upto.take(mine) <= past)
+                more, past, mine = more.take(on), past.take(on), mine.take(on)
             steps.append((live, e))
-            rest = left[live] - self.step[e]
-            left[live] = rest
-            count[live] += 1
-            live = live[rest > 0]
-        n = np.empty(len(w), np.int64)
-        n[order] = count
-        start = np.cumsum(n) - n
-        out, read = np.empty(int(n.sum()), np.int64), np.empty(int(n.sum()), np.int32)
-        begin, end = start[order], (start + n)[order]
+            taken[live] += 1
+            state = state - self.step.take(e)
+            go = np.flatnonzero(state > start)
+            live, state, start, salt = live.take(go), state.take(go), start.take(go), salt.take(go)
+        n = np.empty(len(w), np.int32)
+        n[order] = taken
+        end = np.cumsum(n, dtype=np.int64)
+        out, read = (np.empty(int(end[-1]) if len(end) else 0, np.int32) for _ in range(2))
+        begin, end = (end - n)[order], end[order] - 1
         for s, (k, e) in enumerate(steps):
             out[begin[k] + s] = e
-            read[end[k] - 1 - s] = self.piece[e]
+            read[end[k] - s] = self.piece.take(e)
         return out, n, read
 
-    def edges_of(self, state: int) -> np.ndarray:
-        lo = np.searchsorted(self.key, state, side="right")
-        return np.arange(lo, np.searchsorted(self.key, state + 1.0, side="left") + 1)
+
+def _thirty_bits(p: np.ndarray) -> np.ndarray:
+    """Smallest whole number of 2**-30 that is not below each probability."""
+    return np.ceil(p * 1073741824.0).astype(np.uint32)
 
 
 def _mixed(x: int) -> int:
@@ -329,64 +340,155 @@ class _Text:
                                               (*taken, int(edges[since])) if d == 0 else (int(edges[since + d]),)))
 
 
+def _split_all(lat: Lattices, newest: list[tuple], keys: np.ndarray, s: int, most: int) -> None:
+    """``split`` for the newest paths (text, edges, their log probabilities, top, since, taken,
+    rest) of many texts at once; those that need more than AHEAD choices go one by one."""
+    rows = len(newest)
+    size = np.array([min(len(x[1]), AHEAD) for x in newest])
+    since = np.array([x[4] for x in newest])
+    at = np.arange(AHEAD)
+    lp = np.zeros((rows, AHEAD))
+    lp[at < size[:, None]] = np.concatenate([x[2][:AHEAD] for x in newest])
+    before = np.cumsum(lp, axis=1) - lp
+    whole = (before[:, -1] < LIGHT) | (size == [len(x[1]) for x in newest])
+    light = before < LIGHT
+    stop = np.minimum(np.where(light.any(axis=1), light.argmax(axis=1), AHEAD), size)
+    stop = np.maximum(since + 1, stop)
+    whole &= stop <= size
+    wide = int(stop[whole].max(initial=0))
+    row, at = np.nonzero((at[:wide] >= since[:, None]) & (at[:wide] < stop[:, None]))
+    seeds = mix64(mix64(keys) + _times(_PLACE, s + 1))
+    x = mix64(at.astype(np.uint64) * _STEP + seeds[row])
+    noise = -np.log(((x >> np.uint64(11)).astype(float) + 0.5) / 9007199254740992.0)
+    best = np.full((rows, wide), -np.inf)
+    with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+        mass = np.log(-np.expm1(lp[row, at]))
+        rest = np.array([np.nan if x[6] is None else x[6] for x in newest])[row]
+        cut = np.flatnonzero((at == since[row]) & ~np.isnan(rest))
+        mass[cut] = np.log(rest[cut])
+        mass += before[row, at]
+        best[row, at] = -np.log(np.array([math.exp(-x[3]) for x in newest])[row] + np.exp(-mass) * noise)
+    row = np.arange(rows)
+    for _ in range(min(most, wide)):
+        d = best.argmax(axis=1)
+        value = best[row, d].tolist()
+        best[row, d] = -np.inf
+        for (t, e, _, _, first, taken, _), ok, b, c in zip(newest, whole.tolist(), value, d.tolist()):
+            if ok and b > -np.inf:
+                heapq.heappush(t.regions, (-b, len(t.paths) - 1, c, (*taken, int(e[c])) if c == first else (int(e[c]),)))
+    for i in np.flatnonzero(~whole):
+        t, e, _, top, first, taken, rest = newest[i]
+        t.split(lat, e, top, first, taken, most, rest)
+
+
 def sample_paths(lat: Lattices, texts: list[np.ndarray], keys: np.ndarray, k: int) -> list[tuple[_Text, float]]:
     """The k best perturbed paths of each text (word numbers) and its threshold kappa."""
     found = [_Text(w, key) for w, key in zip(texts, keys)]
+    if not found:
+        return []
+    size = np.array([len(w) for w in texts])
+    words = np.concatenate(texts)
+    owner = np.repeat(np.arange(len(texts)), size)
+    place = np.arange(len(words)) - (np.cumsum(size) - size)[owner] + 1
+    salt = keys[owner] + _PLACE * place.astype(np.uint64)
+    order = np.argsort(words, kind="stable")
+    step = int(_STEP)
     for s in range(k):
         asked = []
-        for t in found:
-            if s == 0:
-                asked.append((t, 0))
-            elif t.regions:
+        since_word = np.full(len(texts), len(words))               # words from there on are drawn anew
+        for i, t in enumerate(found):
+            w = 0
+            if s:
+                if not t.regions:
+                    continue
                 t.next = heapq.heappop(t.regions)
                 _, path, choice, _ = t.next
-                asked.append((t, int(np.searchsorted(np.cumsum(t.paths[path][1]), choice, side="right")) + 1))
-            else:
-                t.next = None
-        fresh = [t.words[w:] for t, w in asked]
-        if not fresh:
+                w = int(t.paths[path][1].cumsum().searchsorted(choice, side="right")) + 1
+            asked.append((i, t, w))
+            since_word[i] = w
+        if not asked:
             break
-        salt = [mix64(np.full(len(f), t.key) + _times(_SAMPLE, s + 1) + _PLACE * np.arange(w + 1, w + len(f) + 1, dtype=np.uint64))
-                for f, (t, w) in zip(fresh, asked)]
-        edges, counts, read = lat.draw(np.concatenate(fresh), np.concatenate(salt))
-        word_end = np.cumsum([len(f) for f in fresh])
-        edge_end = np.concatenate(([0], np.cumsum(counts)))[word_end]
+        fresh = place > since_word[owner]
+        at = (np.cumsum(fresh) - 1)[order[fresh[order]]]
+        edges, counts, read = lat.draw(words[fresh], mix64(salt[fresh] + _times(_SAMPLE, s + 1)), at)
+        which = [i for i, _, _ in asked]
+        word_end = np.cumsum(size[which] - np.array([w for _, _, w in asked]))
+        edge_end = np.append(0, np.cumsum(counts))[word_end]
+        lps = lat.lp.take(edges)
+        asked_keys = keys[which]
+        seeds = mix64(mix64(asked_keys) + _times(_PLACE, -1 - s)).tolist()
+        firsts = _uniform_first(asked_keys) if s == 0 else []
+        newest, open_ = [], []
         w0 = e0 = 0
-        for (t, w), w1, e1 in zip(asked, word_end, edge_end):
-            e, c, ids = edges[e0:e1], counts[w0:w1], read[e0:e1]
+        for j, ((_, t, w), w1, e1) in enumerate(zip(asked, word_end.tolist(), edge_end.tolist())):
+            e, c, ids, lp = edges[e0:e1], counts[w0:w1], read[e0:e1], lps[e0:e1]
             w0, e0 = w1, e1
             if s == 0:
-                top, since, taken, rest = -math.log(-math.log(_uniform(t.key, 0, 0, 1)[0])), 0, (), None
+                top, since, taken, rest = -math.log(-math.log(firsts[j])), 0, (), None
             else:
                 top, (_, path, since, taken) = -t.next[0], t.next
                 old, old_c, _, _, old_ids = t.paths[path]
                 head = int(old_c[:w - 1].sum())                    # choices before the word that changes
-                mine = list(old[head:since])
+                mine = old[head:since].tolist()
                 word = t.words[w - 1]
+                base = int(lat.base[word]) - 1
                 left = int(lat.length[word] - lat.step[old[head:since]].sum())
-                u = _uniform(t.key, -1 - s, since, left)
-                for i in range(left):
-                    if left <= 0:
-                        break
-                    options = lat.edges_of(int(lat.base[word]) + left - 1)
+                i = 0
+                while left > 0:
+                    options = range(*lat.first[base + left:base + left + 2].tolist())
+                    p = np.exp(lat.lp[options.start:options.stop].astype(float))
                     if i == 0:
-                        options = options[~np.isin(options, taken)]
-                    p = np.exp(lat.lp[options].astype(float))
-                    at = min(int(np.searchsorted(np.cumsum(p), u[i] * p.sum(), side="right")), len(options) - 1)
-                    x = int(options[at])
+                        options = [x for x in options if x not in taken]
+                        p = p[[x - lat.first[base + left] for x in options]]
+                    u = ((_mixed((since + i) * step + seeds[j] & 0xFFFFFFFFFFFFFFFF) >> 11) + 0.5) / 9007199254740992.0
+                    ends = list(accumulate(p.tolist()))
+                    pick = min(bisect_right(ends, u * ends[-1]), len(ends) - 1)
                     if i == 0:
-                        rest = float(np.delete(p, at).sum())
-                    mine.append(x)
-                    left -= int(lat.step[x])
-                e = np.concatenate((old[:head], np.array(mine, np.int64), e))
-                c = np.concatenate((old_c[:w - 1], [len(mine)], c))
-                ids = np.concatenate((old_ids[:head], lat.piece[np.array(mine[::-1], np.int64)], ids))
-            t.paths.append((e, c, float(lat.lp[e].sum(dtype=float)), top, ids))
+                        rest = float(np.concatenate((p[:pick], p[pick + 1:])).sum())
+                    mine.append(options[pick])
+                    left -= int(lat.step[options[pick]])
+                    i += 1
+                new = np.array(mine, np.int32)
+                e = np.concatenate((old[:head], new, e))
+                c = np.concatenate((old_c[:w - 1], np.array([len(mine)], np.int32), c))
+                ids = np.concatenate((old_ids[:head], lat.piece[new[::-1]], ids))
+                lp = np.concatenate((lat.lp[e[:head + len(mine)]], lp))
+            t.paths.append((e, c, float(lp.sum(dtype=float)), top, ids))
             if len(e):
-                t.split(lat, e, top, since, taken, k - s, rest)
+                newest.append((t, e, lp, top, since, taken, rest))
+                open_.append(j)
+        if newest:
+            _split_all(lat, newest, asked_keys[open_], s, k - s)
     return [(t, -t.regions[0][0] if t.regions else -math.inf) for t in found]
 
 
+def _uniform_first(keys: np.ndarray) -> list[float]:
+    """``_uniform`` of each key for path 0 and choice 0."""
+    return (((mix64(mix64(mix64(keys))) >> np.uint64(11)).astype(float) + 0.5) / 9007199254740992.0).tolist()
+
+
+def numbered(lat: Lattices, texts: list[str | None]) -> list[np.ndarray]:
+    """The numbers of the words (``_WORD``) of each normalised text, its marks written as spaces.
+
+    A word goes through Python once, not at each of its places.
+    """
+    raw = [b" " + t.replace(SPACE, " ").encode() if t else b"" for t in texts]
+    blob = np.frombuffer(b"".join(raw), np.uint8)
+    if not len(blob):
+        return [np.empty(0, np.int64) for _ in raw]
+    end = np.cumsum([len(x) for x in raw])
+    mark, line = blob == 32, blob == 10
+    new = line.copy()                   # marks with what follows, or a line feed
+    new[1:] |= line[:-1] | (mark[1:] & ~mark[:-1])
+    begin = np.append(0, end[:-1])
+    new[begin[begin < len(blob)]] = True
+    start = np.flatnonzero(new)
+    offsets = np.append(start, len(blob))
+    coded = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(blob)).dictionary_encode()
+    numbers = np.array(lat.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64)[coded.indices.to_numpy()]
+    return np.split(numbers, np.searchsorted(start, end[:-1]))
+
+
 def _ids(pieces: np.ndarray) -> np.ndarray:
     """Piece ids; a character without a piece becomes its bytes."""
     if (pieces >= FALLBACK).any():
@@ -397,6 +499,21 @@ def _ids(pieces: np.ndarray) -> np.ndarray:
     return pieces.astype(np.uint16)
 
 
+def ids_of_all(paths: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """``_ids`` of many paths in one array, and where each path ends in it."""
+    flat = np.concatenate([np.empty(0, np.int32), *paths])
+    end = np.cumsum([len(x) for x in paths], dtype=np.int64)
+    bare = flat >= FALLBACK
+    if bare.any():
+        chars = [chr(c).encode("utf-8", "surrogatepass") for c in (flat[bare] - FALLBACK).tolist()]
+        times = np.ones(len(flat), np.int64)
+        times[bare] = [len(c) for c in chars]
+        end = np.append(0, np.cumsum(times))[end]
+        flat = np.repeat(flat, times)
+        flat[np.repeat(bare, times)] = FIRST_BYTE + np.frombuffer(b"".join(chars), np.uint8).astype(np.int32)
+    return flat.astype(np.uint16), end
+
+
 def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0, seed: int = 42, key: str = "doc_id",
            text: str = "text", keep: tuple[str, ...] = (), read_back: bool = False) -> DataFrame:
     """Up to ``k`` sampled segmentations a row: key, sample, tokens, n_pieces, log_prob,
@@ -404,22 +521,22 @@ def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0,
     them where they are made and adds decoded_sha256, the digest of that text."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(vocabulary(load_pieces(model), alpha))
-    back = spark.sparkContext.broadcast(piece_bytes(model)) if read_back else None
+    back = spark.sparkContext.broadcast(text_bytes(piece_bytes(model))) if read_back else None
     results = ["sample", "tokens", "n_pieces", "log_prob", "perturbed", "inclusion", *["decoded_sha256"] * read_back]
     keep = tuple(c for c in dict.fromkeys((key, *keep)) if c.lower() not in results)
     names = [*keep, *results]
 
-    def rows(batch: pa.RecordBatch, at: list[int], found: list[tuple[_Text, float]]) -> pa.RecordBatch:
-        where, sample, tokens, n, lps, tops, inc = [], [], [], [], [], [], []
+    def rows(batch: pa.RecordBatch, at: range, found: list[tuple[_Text, float]]) -> pa.RecordBatch:
+        where, sample, pieces_of, lps, tops, inc = [], [], [], [], [], []
         for i, (t, kappa) in zip(at, found):
             for s, (_, _, lp, top, pieces) in enumerate(t.paths):
-                ids = _ids(pieces)
-                where.append(i), sample.append(s), tokens.append(ids.tobytes()), n.append(len(ids))
-                lps.append(lp), tops.append(top)
+                where.append(i), sample.append(s), pieces_of.append(pieces), lps.append(lp), tops.append(top)
                 inc.append(1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(700.0, lp - kappa))))
+        ids, end = ids_of_all(pieces_of)
+        n, raw = np.diff(end, prepend=0), memoryview(ids).cast("B")
+        tokens = [bytes(raw[2 * (j - m):2 * j]) for j, m in zip(end.tolist(), n.tolist())]
         cols = [batch.column(c).take(pa.array(where)) for c in keep]
-        digests = [] if back is None else [
-            pa.array([sha256(decode_ids(x, back.value).encode("utf-8", "surrogatepass")).hexdigest() for x in tokens], pa.string())]
+        digests = [] if back is None else [pa.array([sha256(x).hexdigest() for x in decoded(ids, end, back.value)], pa.string())]
         return pa.RecordBatch.from_arrays([*cols, pa.array(sample, pa.int32()), pa.array(tokens, pa.binary()), pa.array(n, pa.int32()),
                                            pa.array(lps, pa.float64()), pa.array(tops, pa.float64()), pa.array(inc, pa.float64()),
                                            *digests], names=names)
@@ -429,18 +546,17 @@ def encode(docs: DataFrame, k: int = 2, model: str = MODEL, alpha: float = 1.0,
         for batch in batches:
             ids = np.array([x or 0 for x in batch.column("__key").to_pylist()], np.int64)
             salts = mix64(xxhash64_long(ids).view(np.uint64) + np.uint64(seed))
-            texts: list[np.ndarray] = []
-            at: list[int] = []
+            texts: list[str | None] = []
             held = 0
             for i, t in enumerate(texts_of(batch, "__text")):
-                words = _WORD.findall(normalise(t))
-                texts.append(np.array(lat.numbers(words), np.int64))
-                at.append(i)
-                held += len(words)
-                if held >= WORDS_AT_ONCE or i + 1 == batch.num_rows:
+                texts.append(t)
+                held += len(t or "")
+                if held >= BYTES_AT_ONCE or i + 1 == batch.num_rows:
+                    at = range(i + 1 - len(texts), i + 1)
+                    numbers = numbered(lat, texts)
                     lat.settle()
-                    yield rows(batch, at, sample_paths(lat, texts, salts[at], k))
-                    texts, at, held = [], [], 0
+                    yield rows(batch, at, sample_paths(lat, numbers, salts[at.start:at.stop], k))
+                    texts, held = [], 0
                     if lat.states > MAX_STATES:
                         lat.clear()
 
@@ -458,6 +574,26 @@ def decode_ids(tokens: bytes | None, pieces: list[bytes]) -> str:
     return raw.decode("utf-8", "surrogatepass").replace(SPACE, " ")[1:]
 
 
+def text_bytes(pieces: list[bytes]) -> pa.LargeBinaryArray:
+    """What each piece stands for in a text: its marks are spaces."""
+    return pa.array([p.replace(SPACE.encode(), b" ") for p in pieces], pa.large_binary())
+
+
+def decoded(ids: np.ndarray, end: np.ndarray, pieces: pa.LargeBinaryArray) -> Iterator[memoryview]:
+    """The UTF-8 texts of many sequences of ids (``end``: where each ends), without the leading mark.
+
+    The bytes of all pieces are joined at once.  A mark is a piece of the vocabulary, never its bytes.
+    """
+    joined = pieces.take(pa.array(ids))
+    if not len(joined):
+        yield from (memoryview(b"") for _ in end)
+        return
+    at = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset:][np.append(0, end)].tolist()
+    raw = memoryview(joined.buffers()[2])
+    for lo, hi in zip(at, at[1:]):
+        yield raw[lo + 1:hi] if hi > lo else raw[:0]
+
+
 def piece_bytes(model: str = MODEL) -> list[bytes]:
     out = [p.encode() for p in load_pieces(model)]
     out[FIRST_BYTE:FIRST_PIECE] = [bytes([b]) for b in range(256)]
