@@ -72,8 +72,7 @@ def line_places(docs: DataFrame, min_lines: int, min_words: int, whole_documents
 
 def _ranked(keys: DataFrame) -> DataFrame:
     """Distinct pairs (r1, r2) with n rows each: ``rank`` = rows with a smaller pair."""
-    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    keys = staged(keys.repartitionByRange(parts, "r1", "r2").withColumn("pid", F.spark_partition_id()))
+    keys = staged(keys.repartitionByRange("r1", "r2").withColumn("pid", F.spark_partition_id()))
     before = keys.groupBy("pid").agg(F.sum("n").alias("rows"))          # one row per range
     before = before.select("pid", (F.sum("rows").over(Window.orderBy("pid")) - F.col("rows")).alias("before"))
     w = Window.partitionBy("pid").orderBy("r1", "r2")
@@ -105,14 +104,17 @@ def longest_copies(levels: list[DataFrame]) -> DataFrame:
     """Places with an earlier copy: (document, line, short, lines), ``lines`` as many as possible."""
     here = F.struct(*PLACE, "line")
     tagged = [x.withColumn("k", F.lit(k)) for k, x in enumerate(levels)]
-    ranks = reduce(DataFrame.unionByName, [x.select("k", "rank", *PLACE, "line") for x in tagged[1:]] or [tagged[0].limit(0).select("k", "rank", *PLACE, "line")])
     later = (reduce(DataFrame.unionByName, [x.where(F.col("first") < here) for x in tagged])
              .groupBy(*PLACE, "line").agg(F.max(F.struct("k", "rank")).alias("x"), F.first("short").alias("short")))
     # Places with an earlier copy of 2^k lines and none of 2^(k+1): lo has one, hi has none.
     now = staged(later.select(*PLACE, "line", "short", "x.k", "x.rank", F.expr("1 << x.k").alias("lo"), F.expr("2 << x.k").alias("hi")))
-    for _ in range(1, len(levels)):
+    done = [now.where("k = 0")]
+    for j in range(1, len(levels)):
+        # Each step halves what is between: after j of them the places of level j are done.
+        now = now.where(F.col("k") >= j)
+        ranks = reduce(DataFrame.unionByName, [x.select("k", "rank", *PLACE, "line") for x in tagged[j:]])
         mid = ((F.col("lo") + F.col("hi")) / 2).cast("int")
-        asks = now.where("hi - lo > 1").select("k", "rank", mid.alias("m"), *PLACE, "line")
+        asks = now.select("k", "rank", mid.alias("m"), *PLACE, "line")
         lengths = asks.select("k", "rank", "m").distinct()
         members = ranks.join(lengths, ["k", "rank"]).withColumn("end", F.col("line") + F.col("m") - F.expr("1 << k"))
         ends = ranks.select("k", F.col("rank").alias("rank2"), *PLACE, F.col("line").alias("end"))
@@ -121,10 +123,10 @@ def longest_copies(levels: list[DataFrame]) -> DataFrame:
         mine = pairs.join(asks, ["k", "rank", "m", *PLACE, "line"], "left_semi")
         longer = mine.join(groups, ["k", "rank", "m", "rank2"]).where(F.col("first") < here).select(*PLACE, "line").distinct()
         tried = now.join(longer.withColumn("yes", F.lit(True)), [*PLACE, "line"], "left")
-        open_ = F.col("hi") - F.col("lo") > 1
-        now = staged(tried.withColumns({"lo": F.when(open_ & F.col("yes"), mid).otherwise(F.col("lo")),
-                                        "hi": F.when(open_ & F.col("yes").isNull(), mid).otherwise(F.col("hi"))}).drop("yes"))
-    return now.select(*PLACE, "line", "short", F.col("lo").alias("lines"))
+        now = staged(tried.withColumns({"lo": F.when(F.col("yes"), mid).otherwise(F.col("lo")),
+                                        "hi": F.when(F.col("yes").isNull(), mid).otherwise(F.col("hi"))}).drop("yes"))
+        done.append(now.where(F.col("k") == j))
+    return reduce(DataFrame.unionByName, done).select(*PLACE, "line", "short", F.col("lo").alias("lines"))
 
 
 def remove_repeated_runs(docs: DataFrame, min_lines: int = 3, min_words: int = 50,
