@@ -341,7 +341,6 @@ def _components_by_id(docs: DataFrame, percent: int, width: int, hub_rounds: int
 
     reps = rows.select("rep").distinct()
     sets = staged(docs.mapInArrow(row_sets, "rep long, grams binary").dropDuplicates(["rep"]).join(reps, "rep", "left_semi"))
-    links = spark.createDataFrame([], "x long, y long")
     labels = None
     for r in range(hub_rounds + 1):
         live = rows
@@ -361,7 +360,7 @@ def _components_by_id(docs: DataFrame, percent: int, width: int, hub_rounds: int
             # Crowded columns: their documents are compared block by block, in tasks of their own.
             # Other columns: every pair across components (pairs of a crowd are known already).
             n = live.groupBy("gram").agg(F.count("*").alias("n"))
-            links = links.unionByName(_crowd_links(live.join(n.where(F.col("n") > CROWDED), "gram", "left_semi"), sets, percent))
+            crowds = _crowd_links(live.join(n.where(F.col("n") > CROWDED), "gram", "left_semi"), sets, percent)
             live = live.join(n.where(F.col("n") <= CROWDED), "gram", "left_semi")
             other = live.select("gram", *[F.col(c).alias(c + "2") for c in ("rep", "size", "comp")])
             met = live.join(other, "gram").where("rep < rep2")
@@ -371,8 +370,13 @@ def _components_by_id(docs: DataFrame, percent: int, width: int, hub_rounds: int
         pairs = (met.groupBy(F.least("rep", "rep2").alias("x"), F.greatest("rep", "rep2").alias("y"))
                  .agg(F.count("*").alias("met"), F.first(slacks).alias("slack"))
                  .where("met >= slack").select("x", "y"))
-        links = staged(_verified(pairs, sets, percent).unionByName(links))
-        labels = staged(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+        links = _verified(pairs, sets, percent)
+        if r == hub_rounds:
+            links = links.unionByName(crowds)
+        edges = links.select(F.col("x").alias("a"), F.col("y").alias("b"))
+        if labels is not None:          # the links of earlier rounds, as a star for each component
+            edges = edges.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = staged(components(edges))
     by_class = (classes.join(labels, classes["rep"] == labels["node"], "left")
                 .select("key", "size", F.coalesce("component", "rep").alias("component_id")))
     return (members.join(by_class, ["key", "size"], "left")
